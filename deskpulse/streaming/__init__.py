@@ -1,0 +1,7 @@
+"""Streaming.
+
+The report queries are batch only: none uses event-time windows,
+watermarks, state or late data.  Each report is a batch DataFrame, which a
+deployment can also run per micro-batch through ``foreachBatch``; no
+streaming operator of its own is needed.
+"""
