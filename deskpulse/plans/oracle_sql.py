@@ -259,3 +259,85 @@ ORACLE: dict[str, str] = {
 
 def oracle_sql() -> dict[str, str]:
     return {k: with_fixtures(v) for k, v in ORACLE.items()}
+
+
+# ------------------------------------------------------------ R11-R14
+def _numtext(x):
+    return f"cast(cast(trunc(try_cast({x} AS decimal(38,6))) AS bigint) AS varchar)"
+
+
+_UNION4 = "\n  UNION ALL\n  ".join(
+    f"""SELECT client_account, ticket_id, channel, local_date_created, local_time_created,
+    satisfaction_rating_score, satisfaction_rating_comment, assignee_id AS id_, tags, type, date_updated
+  FROM {tb}""" for tb in ("email_tickets", "chat_tickets", "call_tickets", "web_tickets"))
+_NOT_LIKE = " AND ".join(f"subteam NOT LIKE {q(p)}" for p in C.subteam_exclude_patterns)
+
+
+def _csat_inner(extra: str) -> str:
+    return f"""
+SELECT DISTINCT csat_.ticket_id, csat_.channel, local_date_created, local_time_created,
+  satisfaction_rating_score, satisfaction_rating_comment, tags, type, {extra}
+  ext_interaction_id AS uncontrollable_dsat, agent_.agent_name AS zendesk_assignee, date_updated,
+  min(date_updated) OVER (PARTITION BY ticket_id) AS last_update, subteam
+FROM (
+  SELECT * FROM (SELECT * FROM (
+    {_UNION4}
+  ) all_tickets WHERE satisfaction_rating_score = 'good' OR satisfaction_rating_score = 'bad') good_bad
+  WHERE client_account = {ACCT}
+) csat_
+LEFT JOIN (SELECT agent_name, subteam, agent_name AS name_, agent_email, start_date, end_date, zendesk_id
+           FROM subteams WHERE is_core_team IS TRUE AND {_NOT_LIKE}) agent_
+  ON (zendesk_id = id_ AND local_date_created BETWEEN start_date AND end_date)
+LEFT JOIN dsat_exclusions tdu ON {_numtext('ext_interaction_id')} = csat_.ticket_id
+WHERE agent_.agent_name IS NOT NULL AND local_date_created >= DATE {q(C.csat_floor)}"""
+
+
+def _csat_raw(clean: bool) -> str:
+    where = "WHERE uncontrollable_dsat IS NULL" if clean else ""
+    return f"""
+SELECT ticket_id, channel, {usd('local_date_created')} AS local_date_created,
+  {hr_of('local_time_created')} AS hour_, satisfaction_rating_score, satisfaction_rating_comment, tags, type,
+  {_numtext('uncontrollable_dsat')} AS uncontrollable_dsat, zendesk_assignee, subteam
+FROM (SELECT * FROM ({_csat_inner('')}) final_csat WHERE date_updated = last_update) duplicates
+{where}"""
+
+
+CSAT_NARROW = f"""
+SELECT * FROM (
+  SELECT DISTINCT ticket_id, channel, local_date_created, id_ AS assignee_id, zendesk_assignee AS name_,
+    agent_email AS email_, satisfaction_rating_score AS csat, hour_, subteam
+  FROM (
+    SELECT ticket_id, channel, {usd('local_date_created')} AS local_date_created,
+      {hr_of('local_time_created')} AS hour_, satisfaction_rating_score, id_, agent_email,
+      zendesk_assignee, subteam
+    FROM (SELECT * FROM ({_csat_inner('id_, agent_email,')}) final_csat WHERE date_updated = last_update) duplicates
+    WHERE uncontrollable_dsat IS NULL
+  ) extract_
+) extract_zendesk"""
+
+_UNION5 = "\n    UNION ALL\n    ".join(
+    f"""SELECT DISTINCT ticket_id, channel, local_date_created, assignee_id, satisfaction_rating_score
+    FROM {tb} WHERE client_account = {ACCT}
+      AND (satisfaction_rating_score = 'good' OR satisfaction_rating_score = 'bad')"""
+    for tb in ("email_tickets", "chat_tickets", "web_tickets", "kpi_summary", "call_tickets"))
+
+CSAT_FLEX = f"""
+SELECT ticket_id, channel, {usd('local_date_created')} AS local_date_created, assignee_id, name_, email_, csat
+FROM (
+  SELECT DISTINCT ticket_id, channel, local_date_created, assignee_id, satisfaction_rating_score AS csat
+  FROM (
+    {_UNION5}
+  ) all_csat
+) distinct_id
+LEFT JOIN (SELECT assignee_id AS assignee_, agent_name AS name_, agent_email AS email_ FROM agent_roster
+           WHERE client_account = {q(C.flex_roster_account)} AND assignee_id IS NOT NULL) core_agents
+  ON assignee_ = assignee_id
+LEFT JOIN dsat_exclusions tdu ON ticket_id = {_numtext('ext_interaction_id')}
+WHERE email_ IS NOT NULL AND local_date_created > DATE {q(C.csat_flex_after)} AND ext_interaction_id IS NULL"""
+
+ORACLE.update({
+    "csat_raw": _csat_raw(False),
+    "csat_clean": _csat_raw(True),
+    "csat_narrow": CSAT_NARROW,
+    "csat_flex": CSAT_FLEX,
+})

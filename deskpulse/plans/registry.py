@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from deskpulse.config import DEFAULT
 from deskpulse.plans import attendance as att
-from deskpulse.plans import frt
+from deskpulse.plans import csat, frt
 from deskpulse.sources import load_tables
 
 
@@ -28,4 +28,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frt_email_flex": _report(frt.frt_email_flex),
     "frt_chat_flex": _report(frt.frt_chat_flex),
     "frt_chat_asof": _report(frt.frt_chat_asof),
+    "csat_raw": _report(csat.csat_raw),
+    "csat_clean": _report(csat.csat_clean),
+    "csat_narrow": _report(csat.csat_narrow),
+    "csat_flex": _report(csat.csat_flex),
 }
