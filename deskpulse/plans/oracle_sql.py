@@ -341,3 +341,85 @@ ORACLE.update({
     "csat_narrow": CSAT_NARROW,
     "csat_flex": CSAT_FLEX,
 })
+
+
+# ------------------------------------------------------------- R4 / R5
+def _wait(sup: bool) -> str:
+    grains = {
+        "hourly": "agent_name, local_date_created, hour_",
+        "t_hourly": "local_date_created, hour_, subteam",
+        "v_hourly": "supervisor, subteam, local_date_created, hour_",
+        "daily": "agent_name, local_date_created",
+        "t_daily": "local_date_created, subteam",
+        "v_daily": "supervisor, local_date_created, subteam",
+        "weekly": f"agent_name, {wk()}",
+        "t_weekly": f"subteam, {wk()}",
+        "v_weekly": f"supervisor, subteam, {wk()}",
+        "monthly": f"agent_name, {mo()}",
+        "t_monthly": f"subteam, {mo()}",
+        "v_monthly": f"supervisor, subteam, {mo()}",
+    }
+    if not sup:
+        grains = {k: v for k, v in grains.items() if not k.startswith("v_")}
+    avgs = ",\n  ".join(f"{rtext(f'avg(dur) OVER (PARTITION BY {p})')} AS {n}" for n, p in grains.items())
+    secs = "minute(strptime(wait_time, '%M:%S')) * 60 + second(strptime(wait_time, '%M:%S'))"
+    sup_joins = f"""
+    LEFT JOIN (SELECT DISTINCT start_date AS date_, supervisor, agent_name AS agent_ FROM tracked_time
+               WHERE division_name = {q(C.tracked_division)}) su
+      ON (local_date_created = date_ AND agent_ = agent_name)
+    LEFT JOIN (
+      SELECT full_name, job_supervisor FROM (
+        SELECT concat(first_name, ' ', last_name) AS full_name, email_address, job_department, job_division,
+          profile_status, job_supervisor, status_effectivity_date, job_effectivity_date, created_on,
+          max(status_effectivity_date) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS max_status,
+          max(job_effectivity_date) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS job_status,
+          max(created_on) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS create_status
+        FROM hr_roster WHERE job_division = {q(C.hr_division)}) a
+      WHERE max_status = status_effectivity_date AND job_status = job_effectivity_date
+        AND created_on = create_status AND profile_status = 'Active'
+    ) bamboo_visor ON (agent_name = full_name)""" if sup else ""
+    sup1 = "CASE WHEN supervisor IS NULL THEN job_supervisor ELSE supervisor END AS supervisor," if sup else ""
+    sup2 = f"CASE WHEN supervisor IS NULL THEN {q(C.default_supervisor)} ELSE supervisor END AS supervisor," if sup else ""
+    sup3 = "supervisor," if sup else ""
+    inner = f"""
+SELECT subteam AS client_account, {usd('local_date_created')} AS local_date_created, hour_, ticket_id,
+  assignee_id, email_address, agent_name, {sup3} dur,
+  {avgs}
+FROM (
+  SELECT DISTINCT subteam, ticket_id, local_date_created, hour_, channel, assignee_id,
+    agent_email AS email_address, agent_name, {sup2} dur
+  FROM (
+    SELECT DISTINCT subteam, local_date_created, hour_, channel, ticket_id, assignee_id, agent_email,
+      agent_name, {sup1} dur
+    FROM (
+      SELECT DISTINCT zct.ticket_id, dur, channel, local_date_created,
+        {hr_of('local_time_created')} AS hour_, assignee_id, via_source_rel, zct.status
+      FROM call_tickets zct
+      LEFT JOIN (
+        SELECT DISTINCT ticket_id, status, dur FROM (
+          SELECT DISTINCT ticket_id, forwarded_to, status, {secs} AS dur, wait_time, local_date
+          FROM (SELECT *, max(wait_time) OVER (PARTITION BY ticket_id) AS max_wait
+                FROM call_legs WHERE client_account = {ACCT}) mx
+          WHERE max_wait = wait_time
+        ) dur
+      ) dur1 ON dur1.ticket_id = zct.ticket_id
+      WHERE client_account = {ACCT} AND via_source_rel <> 'outbound'
+        AND (zct.status = 'solved' OR zct.status = 'closed')
+    ) zd
+    LEFT JOIN (SELECT subteam, zendesk_id AS _id, agent_name, agent_email, start_date, end_date, is_core_team
+               FROM subteams WHERE is_core_team = true) a
+      ON (assignee_id = _id AND local_date_created BETWEEN start_date AND end_date){sup_joins}
+    WHERE local_date_created >= DATE {q(C.wait_time_floor)}
+  ) raw_
+) final_"""
+    cols = (["client_account", "local_date_created", "hour_", "ticket_id", "assignee_id", "email_address",
+             "agent_name"] + (["supervisor"] if sup else []) + ["dur"] + list(grains))
+    order = ([("client_account", "asc")] if sup else []) + [
+        ("local_date_created", "desc"), ("hour_", "desc"), ("agent_name", "asc")]
+    return capped(inner, cols, order, C.caps["wait_time_supervisor" if sup else "wait_time_multi_grain"])
+
+
+ORACLE.update({
+    "wait_time_supervisor": _wait(True),
+    "wait_time_multi_grain": _wait(False),
+})

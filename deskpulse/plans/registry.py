@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from deskpulse.config import DEFAULT
 from deskpulse.plans import attendance as att
-from deskpulse.plans import csat, frt
+from deskpulse.plans import csat, frt, wait
 from deskpulse.sources import load_tables
 
 
@@ -32,4 +32,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csat_clean": _report(csat.csat_clean),
     "csat_narrow": _report(csat.csat_narrow),
     "csat_flex": _report(csat.csat_flex),
+    "wait_time_supervisor": _report(wait.wait_time_supervisor),
+    "wait_time_multi_grain": _report(wait.wait_time_multi_grain),
 }
