@@ -423,3 +423,251 @@ ORACLE.update({
     "wait_time_supervisor": _wait(True),
     "wait_time_multi_grain": _wait(False),
 })
+
+
+# ------------------------------------------------------ R1-R3, C7-C9
+def _hb(x):
+    return f"cast({x} AS bigint)"
+
+
+def _roster_sql(acct, alias_id="assignee_id_"):
+    w = f" WHERE client_account = {q(acct)}" if acct else ""
+    return f"(SELECT assignee_id AS {alias_id}, agent_name FROM agent_roster{w})"
+
+
+def _latest_sql(table, acct_roster, join, extra_where, hourly, status_after):
+    """Latest update per (ticket, day) with a roster join, reference shape."""
+    cols = ("local_date_created, local_time_created, "
+            f"{hr_of('local_time_created')} AS hour_, ticket_id, assignee_id, agent_name" if hourly
+            else "local_date_created, ticket_id, agent_name")
+    post = " AND agent_name IS NOT NULL" if join == "LEFT JOIN" else ""
+    post += " AND (status = 'solved' OR status = 'closed')" if status_after else ""
+    return f"""
+SELECT DISTINCT {cols}
+FROM (SELECT *, max(date_updated) OVER (PARTITION BY ticket_id, local_date_created) AS max_date
+      FROM {table} t0 {join} {_roster_sql(acct_roster)} sar ON sar.assignee_id_ = t0.assignee_id
+      WHERE client_account = {ACCT}{extra_where}) x
+WHERE max_date = date_updated{post}"""
+
+
+def _chat_rows_sql(acct_roster, hourly):
+    cols = ("local_date_created, local_time_created, "
+            f"{hr_of('local_time_created')} AS hour_, ticket_id, assignee_id, agent_name" if hourly
+            else "local_date_created, ticket_id, agent_name")
+    return f"""
+SELECT DISTINCT {cols}
+FROM (SELECT *, max(date_updated) OVER (PARTITION BY zct.ticket_id, local_date_created) AS max_date
+      FROM chat_tickets zct
+      JOIN {_roster_sql(acct_roster)} sar ON sar.assignee_id_ = zct.assignee_id
+      JOIN (SELECT ticket_id AS ticket_id_, abandon_time FROM chat_insights WHERE client_account = {ACCT}) zci
+        ON zct.ticket_id = zci.ticket_id_
+      WHERE client_account = {ACCT} AND abandon_time IS NULL) chat_
+WHERE max_date = date_updated"""
+
+
+def _hourly_count(rows_sql, channel):
+    return f"""
+SELECT DISTINCT local_date_created, hour_, assignee_id, agent_name, '{channel}' AS channel,
+  count(ticket_id) OVER (PARTITION BY local_date_created, hour_, agent_name) AS h_tickets
+FROM ({rows_sql}) r_{channel}"""
+
+
+_VOICE_HOURLY = f"""
+SELECT DISTINCT zch.ticket_id, local_date AS local_date_created, local_time AS local_time_created,
+  {hr_of('local_time')} AS hour_, zct.assignee_id, agent_name
+FROM call_legs zch
+JOIN (SELECT DISTINCT ticket_id, local_date_created, assignee_id FROM call_tickets WHERE channel = 'voice') zct
+  ON zct.ticket_id = zch.ticket_id
+JOIN (SELECT assignee_id, agent_name FROM agent_roster) sar ON sar.assignee_id = zct.assignee_id
+WHERE zch.client_account = {ACCT} AND zch.ticket_id IS NOT NULL AND forwarded_to <> 'Voicemail'"""
+
+HOURLY_RAW = "\nUNION ALL\n".join([
+    _hourly_count(_VOICE_HOURLY, "voice"),
+    _hourly_count(_chat_rows_sql(None, True), "chat"),
+    _hourly_count(_latest_sql("email_tickets", None, "LEFT JOIN", " AND channel = 'email'", True, True), "email"),
+    _hourly_count(_latest_sql("web_tickets", None, "LEFT JOIN", "", True, True), "web"),
+    _hourly_count(_latest_sql("email_tickets", None, "JOIN", " AND channel = 'api'", True, False), "api"),
+])
+CHANNEL_COUNTS_HOURLY = f"SELECT DISTINCT * FROM ({HOURLY_RAW}) all_ticket"
+
+
+def _weekly_count(rows_sql, channel):
+    return f"""
+SELECT DISTINCT {wk()} AS local_date_created, agent_name, '{channel}' AS channel,
+  count(ticket_id) OVER (PARTITION BY {wk()}, agent_name) AS tickets,
+  count(ticket_id) OVER (PARTITION BY {wk()}) AS team_tickets
+FROM ({rows_sql}) r_{channel}"""
+
+
+def weekly_raw(acct_roster):
+    voice = f"""
+SELECT DISTINCT local_date_created, agent_name, 'voice' AS channel, tickets, team_tickets FROM (
+  SELECT zch.ticket_id, {wk('local_date')} AS local_date_created, zct.assignee_id, agent_name,
+    count(zch.ticket_id) OVER (PARTITION BY {wk('local_date')}, agent_name) AS tickets,
+    count(zch.ticket_id) OVER (PARTITION BY {wk('local_date')}) AS team_tickets
+  FROM call_legs zch
+  JOIN (SELECT DISTINCT ticket_id, local_date_created, assignee_id FROM call_tickets) zct
+    ON zct.ticket_id = zch.ticket_id
+  JOIN {_roster_sql(acct_roster, 'assignee_id_')} sar ON sar.assignee_id_ = zct.assignee_id
+  WHERE zch.client_account = {ACCT} AND zch.ticket_id IS NOT NULL AND forwarded_to <> 'Voicemail') voice_"""
+    web_rows = _latest_sql("web_tickets", acct_roster, "LEFT JOIN", "", False, False)
+    web = f"""
+SELECT *, {_hb('sum(tickets) OVER (PARTITION BY local_date_created)')} AS team_tickets FROM (
+  SELECT DISTINCT {wk()} AS local_date_created, agent_name, 'web' AS channel,
+    count(ticket_id) OVER (PARTITION BY {wk()}, agent_name) AS tickets
+  FROM ({web_rows}) unique_web
+  WHERE agent_name IS NOT NULL) a"""
+    parts = [
+        voice,
+        _weekly_count(_chat_rows_sql(acct_roster, False), "chat"),
+        _weekly_count(_latest_sql("email_tickets", acct_roster, "LEFT JOIN", " AND channel = 'email'",
+                                  False, False), "email"),
+        web,
+        _weekly_count(_latest_sql("email_tickets", acct_roster, "JOIN", " AND channel = 'api'", False, False),
+                      "api"),
+    ]
+    return ("SELECT DISTINCT local_date_created, agent_name, channel, tickets, team_tickets FROM ("
+            + "\nUNION ALL\n".join(parts) + ") all_ticket")
+
+
+_ACT = " OR ".join(f"activity LIKE {q(p)}" for p in C.activity_patterns)
+TRACKED_SUB = f"""
+SELECT start_date AS start_date_, {hr_of('start_time')} AS hour_au, agent_name AS agent_au, agent_email,
+  supervisor, duration_seconds,
+  {_hb(f"sum(duration_seconds) OVER (PARTITION BY start_date, {hr_of('start_time')}, agent_name)")} AS h_dur,
+  {_hb('sum(duration_seconds) OVER (PARTITION BY start_date, agent_name)')} AS d_dur,
+  {_hb(f"sum(duration_seconds) OVER (PARTITION BY {wk('start_date')}, agent_name)")} AS w_dur,
+  {_hb(f"sum(duration_seconds) OVER (PARTITION BY {mo('start_date')}, agent_name)")} AS m_dur
+FROM tracked_time su
+WHERE division_account LIKE {q(C.tracked_division)} AND is_billable = true AND ({_ACT})"""
+TRACKED_HOURS = (f"SELECT DISTINCT start_date_, hour_au, agent_au, supervisor, h_dur, d_dur, w_dur, m_dur "
+                 f"FROM ({TRACKED_SUB}) au")
+MANUAL_HOURS = f"""
+SELECT DISTINCT "date", CASE WHEN agent_name IS NULL THEN agent_alias ELSE agent_name END AS agent_manual,
+  d_dur_manual, w_dur_manual, m_dur_manual
+FROM (SELECT "date", agent_alias, agent_name, duration_seconds,
+        {_hb('sum(duration_seconds) OVER (PARTITION BY "date", agent_alias)')} AS d_dur_manual,
+        {_hb(f"sum(duration_seconds) OVER (PARTITION BY {wk('date')}, agent_alias)")} AS w_dur_manual,
+        {_hb(f"sum(duration_seconds) OVER (PARTITION BY {mo('date')}, agent_alias)")} AS m_dur_manual
+      FROM manual_time) manual_hr"""
+
+
+def _rate_sql(tk, dur, man):
+    d = lambda x: f"cast({x} AS double)"
+    return f"""CASE
+    WHEN (({dur} IS NULL OR {dur} = 0) AND ({man} IS NULL OR {man} = 0)) THEN {tk}
+    WHEN ({dur} IS NOT NULL AND ({man} IS NULL OR {man} = 0)) THEN {d(tk)} / ({d(dur)} / 3600.0)
+    WHEN (({dur} IS NULL OR {dur} = 0) AND {man} IS NOT NULL) THEN {d(tk)} / ({d(man)} / 3600.0)
+    ELSE {d(tk)} / ({d(dur)} / 3600.0) END"""
+
+
+def _r2(x):
+    return f"cast(round(cast({x} AS decimal(38,10)), 2) AS double)"
+
+
+PRODUCTIVITY_HOURLY = capped(f"""
+SELECT {usd('local_date_created')} AS local_date_created, hour_, assignee_id, agent_name, supervisor, subteam,
+  is_core_team, channel, h_tickets, h_dur, d_dur, w_dur, m_dur, d_dur_manual, w_dur_manual, m_dur_manual,
+  d_tickets, w_tickets, m_tickets,
+  {_r2('h_prod')} AS h_prod, {_r2('d_prod')} AS d_prod, {_r2('w_prod')} AS w_prod, {_r2('m_prod')} AS m_prod,
+  local_date_created AS _day
+FROM (
+  SELECT *,
+    CASE WHEN h_dur IS NOT NULL THEN cast(h_tickets AS double) / nullif(cast(h_dur AS double) / 3600.0, 0)
+         ELSE h_tickets END AS h_prod,
+    {_rate_sql('d_tickets', 'd_dur', 'd_dur_manual')} AS d_prod,
+    {_rate_sql('w_tickets', 'w_dur', 'w_dur_manual')} AS w_prod,
+    {_rate_sql('m_tickets', 'm_dur', 'm_dur_manual')} AS m_prod
+  FROM (
+    SELECT *,
+      {_hb('sum(h_tickets) OVER (PARTITION BY local_date_created, agent_name)')} AS d_tickets,
+      {_hb(f'sum(h_tickets) OVER (PARTITION BY {wk()}, agent_name)')} AS w_tickets,
+      {_hb(f'sum(h_tickets) OVER (PARTITION BY {mo()}, agent_name)')} AS m_tickets
+    FROM (
+      SELECT DISTINCT local_date_created, hour_, assignee_id, agent_name, supervisor, subteam, is_core_team,
+        channel, h_tickets, h_dur, d_dur, w_dur, m_dur, d_dur_manual, w_dur_manual, m_dur_manual
+      FROM (SELECT DISTINCT local_date_created, hour_, assignee_id, agent_name AS agent_, channel, h_tickets
+            FROM ({HOURLY_RAW}) all_ticket) raw_prod
+      JOIN subteams ssu ON (zendesk_id = assignee_id AND local_date_created BETWEEN start_date AND end_date)
+      LEFT JOIN ({TRACKED_SUB}) au
+        ON (local_date_created = start_date_ AND hour_ = hour_au AND agent_name = agent_au)
+      LEFT JOIN ({MANUAL_HOURS}) final_manual
+        ON (local_date_created = "date" AND agent_name = agent_manual)
+    ) extract_raw
+  ) d_tics
+) all_period""",
+    ["local_date_created", "hour_", "assignee_id", "agent_name", "supervisor", "subteam", "is_core_team",
+     "channel", "h_tickets", "h_dur", "d_dur", "w_dur", "m_dur", "d_dur_manual", "w_dur_manual",
+     "m_dur_manual", "d_tickets", "w_tickets", "m_tickets", "h_prod", "d_prod", "w_prod", "m_prod"],
+    [("_day", "desc"), ("hour_", "desc"), ("agent_name", "asc")], C.caps["productivity_hourly"])
+
+
+def _first_known(tk, a, b):
+    return f"""CASE
+    WHEN ({a} IS NULL AND {b} IS NOT NULL) THEN cast({tk} AS double) / nullif({b}, 0)
+    WHEN ({a} IS NOT NULL AND {b} IS NOT NULL) THEN cast({tk} AS double) / nullif({a}, 0)
+    WHEN ({a} IS NOT NULL AND {b} IS NULL) THEN cast({tk} AS double) / nullif({a}, 0)
+    ELSE {tk} END"""
+
+
+PRODUCTIVITY_WEEKLY = f"""
+SELECT *, {_first_known('team_tics', 'team_hr_au', 'team_hr')} AS team_prod
+FROM (
+  SELECT {usd('local_date_created')} AS local_date_created, agent_name, prod_tics,
+    {_hb('sum(prod_tics) OVER (PARTITION BY local_date_created)')} AS team_tics,
+    active_hr,
+    cast(sum(active_s) OVER (PARTITION BY local_date_created) AS double) / 3600.0 AS team_hr_au,
+    dur_hr,
+    cast(sum(dur_min) OVER (PARTITION BY local_date_created) AS double) / 60.0 AS team_hr,
+    prod
+  FROM (
+    SELECT DISTINCT local_date_created, agent_name, prod_tics, active_s, active_hr, dur_min, dur_hr,
+      {_first_known('prod_tics', 'active_hr', 'dur_hr')} AS prod
+    FROM (
+      SELECT local_date_created, agent_name, channel, tickets,
+        {_hb('sum(tickets) OVER (PARTITION BY local_date_created, agent_name)')} AS prod_tics
+      FROM ({weekly_raw(C.roster_account)}) raw_prod
+    ) prod_tics
+    LEFT JOIN (
+      SELECT DISTINCT {wk('start_date')} AS start_date, su.agent_name AS agent_, su.agent_email,
+        {_hb(f"sum(duration_seconds) OVER (PARTITION BY {wk('start_date')}, su.agent_name)")} AS active_s,
+        cast(sum(duration_seconds) OVER (PARTITION BY {wk('start_date')}, su.agent_name) AS double) / 3600.0 AS active_hr
+      FROM tracked_time su
+      JOIN (SELECT * FROM agent_roster WHERE client_account = {q(C.roster_account)}) sar ON su.agent_email = sar.agent_email
+      WHERE su.client_account LIKE {q(C.tracked_division)} AND function = {q(C.tracked_function)}
+    ) hrs ON ({wk('prod_tics.local_date_created')} = {wk('hrs.start_date')} AND agent_ = agent_name)
+    LEFT JOIN (
+      SELECT DISTINCT {wk('"date"')} AS local_date, agent_name AS name_,
+        {_hb(f"sum(duration_minutes) OVER (PARTITION BY {wk('date')}, agent_name)")} AS dur_min,
+        cast(sum(duration_minutes) OVER (PARTITION BY {wk('date')}, agent_name) AS double) / 60.0 AS dur_hr
+      FROM manual_time
+    ) manual_hrs ON ({wk('prod_tics.local_date_created')} = {wk('local_date')} AND name_ = agent_name)
+  ) weekly
+  WHERE local_date_created >= DATE {q(C.weekly_floor)}
+) weekly_team"""
+
+PRODUCTIVITY_FLEX = f"""
+SELECT {usd('local_date_created')} AS local_date_created, agent_name, channel, tickets, prod_tics, team_prod,
+  cast(prod_tics AS double) / {C.week_hours} AS flex_prod_w, cast(team_prod AS double) / {C.week_hours} AS team_prod_w,
+  prod_tics_m, team_prod_m, {usd('month_date')} AS month_date,
+  cast(prod_tics_m AS double) / {C.month_hours} AS flex_prod_m,
+  cast(team_prod_m AS double) / {C.month_hours} AS team_flex_prod_m
+FROM (
+  SELECT local_date_created, agent_name, channel, tickets,
+    {_hb('sum(tickets) OVER (PARTITION BY local_date_created, agent_name)')} AS prod_tics,
+    {_hb('sum(tickets) OVER (PARTITION BY local_date_created)')} AS team_prod,
+    {mo()} AS month_date,
+    {_hb(f'sum(tickets) OVER (PARTITION BY {mo()}, agent_name)')} AS prod_tics_m,
+    {_hb(f'sum(tickets) OVER (PARTITION BY {mo()})')} AS team_prod_m
+  FROM ({weekly_raw(C.flex_roster_account)}) raw_prod
+) all_"""
+
+ORACLE.update({
+    "channel_counts_hourly": CHANNEL_COUNTS_HOURLY,
+    "channel_counts_weekly": weekly_raw(C.roster_account),
+    "tracked_hours": TRACKED_HOURS,
+    "manual_hours": MANUAL_HOURS,
+    "productivity_hourly": PRODUCTIVITY_HOURLY,
+    "productivity_weekly": PRODUCTIVITY_WEEKLY,
+    "productivity_flex": PRODUCTIVITY_FLEX,
+})

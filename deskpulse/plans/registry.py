@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from deskpulse.config import DEFAULT
 from deskpulse.plans import attendance as att
-from deskpulse.plans import csat, frt, wait
+from deskpulse.plans import csat, frt, productivity as prod, wait
 from deskpulse.sources import load_tables
 
 
@@ -34,4 +34,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csat_flex": _report(csat.csat_flex),
     "wait_time_supervisor": _report(wait.wait_time_supervisor),
     "wait_time_multi_grain": _report(wait.wait_time_multi_grain),
+    "channel_counts_hourly": _report(prod.channel_counts_hourly),
+    "channel_counts_weekly": _report(prod.channel_counts_weekly),
+    "tracked_hours": _report(prod.tracked_hours),
+    "manual_hours": _report(prod.manual_hours),
+    "productivity_hourly": _report(prod.productivity_hourly),
+    "productivity_weekly": _report(prod.productivity_weekly),
+    "productivity_flex": _report(prod.productivity_flex),
 }
