@@ -671,3 +671,100 @@ ORACLE.update({
     "productivity_weekly": PRODUCTIVITY_WEEKLY,
     "productivity_flex": PRODUCTIVITY_FLEX,
 })
+
+
+# ------------------------------------------------- single operators
+_ALL_UPD = "(" + " UNION ALL ".join(
+    f"SELECT {', '.join(['client_account', 'ticket_id', 'channel', 'status', 'type', 'tags', 'assignee_id', 'local_date_created', 'local_time_created', 'date_updated', 'satisfaction_rating_score', 'satisfaction_rating_comment'])} FROM {tb}"
+    for tb in ("email_tickets", "chat_tickets", "call_tickets", "web_tickets")) + f") u WHERE client_account = {ACCT}"
+
+_HR_CURRENT = f"""
+SELECT DISTINCT full_name, job_supervisor FROM (
+  SELECT concat(first_name, ' ', last_name) AS full_name, profile_status, job_supervisor,
+    status_effectivity_date, job_effectivity_date, created_on,
+    max(status_effectivity_date) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS max_status,
+    max(job_effectivity_date) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS job_status,
+    max(created_on) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS create_status
+  FROM hr_roster WHERE job_division = {q(C.hr_division)}) a
+WHERE max_status = status_effectivity_date AND job_status = job_effectivity_date
+  AND created_on = create_status AND profile_status = 'Active'"""
+
+_LAG6 = {"daily": "agent_name, local_date_created", "team_daily": "local_date_created",
+         "weekly": f"agent_name, {wk()}", "team_weekly": wk(),
+         "monthly": f"agent_name, {mo()}", "team_monthly": mo()}
+
+ORACLE.update({
+    "latest_update_per_ticket": f"""
+SELECT DISTINCT ticket_id, channel, date_updated, assignee_id, status FROM (
+  SELECT ticket_id, channel, date_updated, assignee_id, status,
+    max(date_updated) OVER (PARTITION BY ticket_id) AS max_date FROM {_ALL_UPD}) x
+WHERE max_date = date_updated""",
+    "latest_update_per_ticket_day": f"""
+SELECT DISTINCT ticket_id, local_date_created, date_updated, assignee_id FROM (
+  SELECT ticket_id, local_date_created, date_updated, assignee_id,
+    max(date_updated) OVER (PARTITION BY ticket_id, local_date_created) AS max_date FROM {_ALL_UPD}) x
+WHERE max_date = date_updated""",
+    "first_update_per_ticket": f"""
+SELECT DISTINCT ticket_id, local_date_created, date_updated, assignee_id, recent_ FROM (
+  SELECT ticket_id, local_date_created, date_updated, assignee_id,
+    date_updated - local_date_created AS recent_,
+    min(date_updated - local_date_created) OVER (PARTITION BY ticket_id) AS min_recent FROM {_ALL_UPD}) x
+WHERE recent_ = min_recent""",
+    "longest_wait": f"""
+SELECT DISTINCT ticket_id, status,
+  minute(strptime(wait_time, '%M:%S')) * 60 + second(strptime(wait_time, '%M:%S')) AS dur
+FROM (SELECT *, max(wait_time) OVER (PARTITION BY ticket_id) AS max_wait
+      FROM call_legs WHERE client_account = {ACCT}) mx
+WHERE max_wait = wait_time""",
+    "current_roster": _HR_CURRENT,
+    "rated_without_exclusions": f"""
+SELECT DISTINCT ticket_id, channel, satisfaction_rating_score
+FROM (SELECT * FROM {_ALL_UPD}) u
+LEFT JOIN dsat_exclusions tdu ON {_numtext('ext_interaction_id')} = u.ticket_id
+WHERE (satisfaction_rating_score = 'good' OR satisfaction_rating_score = 'bad') AND ext_interaction_id IS NULL""",
+    "scd2_team_inner": f"""
+SELECT DISTINCT u.ticket_id, u.local_date_created, u.assignee_id, s.subteam, s.agent_name, s.is_core_team
+FROM (SELECT * FROM {_ALL_UPD}) u
+JOIN subteams s ON s.zendesk_id = u.assignee_id AND u.local_date_created BETWEEN s.start_date AND s.end_date""",
+    "asof_supervisor": f"""
+SELECT ticket_id, local_date_created, agent_name, supervisor, job_effectivity_date FROM (
+  SELECT DISTINCT ticket_id, local_date_created, agent_name, supervisor, job_effectivity_date,
+    local_date_created - job_effectivity_date AS recent,
+    min(local_date_created - job_effectivity_date) OVER (PARTITION BY local_date_created, agent_name) AS recent_
+  FROM (SELECT DISTINCT u.ticket_id, u.local_date_created, r.agent_name
+        FROM (SELECT * FROM {_ALL_UPD}) u
+        JOIN (SELECT * FROM agent_roster WHERE client_account = {q(C.roster_account)}) r
+          ON r.assignee_id = u.assignee_id) b
+  LEFT JOIN (SELECT DISTINCT concat(first_name, ' ', last_name) AS full_name, job_supervisor AS supervisor,
+               job_effectivity_date FROM hr_roster WHERE job_division = {q(C.hr_division)}) h
+    ON h.full_name = b.agent_name AND b.local_date_created >= h.job_effectivity_date
+) a WHERE recent = recent_""",
+    "resolve_supervisor": f"""
+SELECT DISTINCT local_date_created, agent_name,
+  CASE WHEN supervisor IS NULL THEN {q(C.default_supervisor)} ELSE supervisor END AS supervisor
+FROM (
+  SELECT DISTINCT local_date_created, agent_name,
+    CASE WHEN supervisor IS NULL THEN job_supervisor ELSE supervisor END AS supervisor
+  FROM (SELECT DISTINCT u.local_date_created, s.agent_name
+        FROM (SELECT * FROM {_ALL_UPD}) u
+        JOIN (SELECT * FROM subteams WHERE is_core_team = true) s
+          ON s.zendesk_id = u.assignee_id AND u.local_date_created BETWEEN s.start_date AND s.end_date) d
+  LEFT JOIN (SELECT DISTINCT start_date AS date_, supervisor, agent_name AS agent_ FROM tracked_time
+             WHERE division_name = {q(C.tracked_division)}) su
+    ON (local_date_created = date_ AND agent_ = agent_name)
+  LEFT JOIN ({_HR_CURRENT}) bamboo_visor ON (agent_name = full_name)
+) x""",
+    "update_lag_multi_grain": f"""
+SELECT ticket_id, local_date_created, date_updated, agent_name, lag_days,
+  {", ".join(f"{rtext(f'avg(lag_days) OVER (PARTITION BY {p})')} AS {n}" for n, p in _LAG6.items())}
+FROM (SELECT u.ticket_id, u.local_date_created, u.date_updated, r.agent_name,
+        u.date_updated - u.local_date_created AS lag_days
+      FROM (SELECT * FROM {_ALL_UPD}) u
+      LEFT JOIN (SELECT * FROM agent_roster WHERE client_account = {q(C.roster_account)}) r
+        ON r.assignee_id = u.assignee_id) x""",
+})
+ORACLE["scd2_team_left"] = f"""
+SELECT u.ticket_id, u.date_updated, u.assignee_id, u.local_date_created, a.subteam, a.agent_name
+FROM (SELECT * FROM {_ALL_UPD}) u
+LEFT JOIN (SELECT * FROM subteams WHERE is_core_team = true) a
+  ON u.assignee_id = a.zendesk_id AND u.local_date_created BETWEEN a.start_date AND a.end_date"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from deskpulse.config import DEFAULT
 from deskpulse.plans import attendance as att
-from deskpulse.plans import csat, frt, productivity as prod, wait
+from deskpulse.plans import building_blocks as bb, csat, frt, productivity as prod, wait
 from deskpulse.sources import load_tables
 
 
@@ -41,4 +41,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "productivity_hourly": _report(prod.productivity_hourly),
     "productivity_weekly": _report(prod.productivity_weekly),
     "productivity_flex": _report(prod.productivity_flex),
+    "latest_update_per_ticket": _report(bb.latest_update_per_ticket),
+    "latest_update_per_ticket_day": _report(bb.latest_update_per_ticket_day),
+    "first_update_per_ticket": _report(bb.first_update_per_ticket),
+    "longest_wait": _report(bb.longest_wait),
+    "scd2_team_left": _report(bb.scd2_team_left),
+    "scd2_team_inner": _report(bb.scd2_team_inner),
+    "asof_supervisor": _report(bb.asof_supervisor),
+    "current_roster": _report(bb.current_roster),
+    "resolve_supervisor": _report(bb.resolve_supervisor),
+    "rated_without_exclusions": _report(bb.rated_without_exclusions),
+    "update_lag_multi_grain": _report(bb.update_lag_multi_grain),
 }
