@@ -1,19 +1,21 @@
 """Aggregates of one measure at several grains, attached to every row
 (C6 multi-grain average; A2-A5 counts and sums per key; W1-W3, W6).
 
-``AVG(x) OVER (PARTITION BY k)`` for many key sets ``k`` would sort the
-whole input once per key set and put every row of a large partition (one
-busy day, one team) into a single task.  Instead the measure is summed
-once at the finest grain (map-side partial aggregation, so a hot key is
-pre-combined on every task), rolled up per key set from that small table,
-and joined back once on the finest key.
+``AVG(x) OVER (PARTITION BY k)`` straight on the facts would sort the whole
+input once per key set and put every row of a large partition (one busy
+day, one team) into a single task.  Instead the measure is summed once at
+the finest grain (a grouped aggregation with map-side partial aggregation,
+so a hot key is pre-combined on every task).  That table has one row per
+distinct finest key, bounded by dimension sizes (agents x hours x days),
+not by the number of facts; each coarser grain is a window over it, and
+the result is joined back to the facts once, on the finest key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskpulse.operators.joins import null_safe_join
@@ -31,23 +33,24 @@ def grain_table(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]],
                 extra_keys: Sequence[str] = ()) -> DataFrame:
     """One row per finest key (``extra_keys`` + all grain keys) with one
     column per grain: the ``fn`` (avg, sum or count) of ``value`` over the
-    rows sharing that grain's keys.  NULL keys form their own group."""
+    rows sharing that grain's keys.  NULL keys form their own group, as in
+    a window partition."""
     keys = _unique(list(extra_keys) + [k for ks in grains.values() for k in ks])
     fine = df.groupBy(*keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    out = fine.select(*keys)
+    cols = []
     for name, gk in grains.items():
-        g = fine.groupBy(*gk).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+        w = Window.partitionBy(*gk)
+        s, n = F.sum("_s").over(w), F.sum("_n").over(w)
         if fn == "avg":
-            v = F.when(F.col("_n") > 0, F.col("_s").cast("double") / F.col("_n"))
+            v = F.when(n > 0, s.cast("double") / n)
         elif fn == "sum":
-            v = F.col("_s")
+            v = s
         elif fn == "count":
-            v = F.col("_n")
+            v = n
         else:
             raise ValueError(fn)
-        g = g.select(*gk, v.alias(name))
-        out = null_safe_join(out, g, list(gk))
-    return out
+        cols.append(v.alias(name))
+    return fine.select(*keys, *cols)
 
 
 def attach_grains(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg") -> DataFrame:

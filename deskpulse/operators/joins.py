@@ -19,17 +19,21 @@ BROADCAST_MAX_ROWS = 2_000_000
 _size_checks: dict = {}
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` holds at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1).count()``), so it
-    never scans more than ``max_rows + 1`` rows; the answer is remembered per
-    plan.
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      bound_by: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` when ``df`` provably holds at most ``max_rows`` rows.
+
+    The proof is a bounded count (``limit(max_rows + 1).count()``, never
+    more than ``max_rows + 1`` rows read) of ``df`` itself or of
+    ``bound_by``, a table ``df`` is a filter/projection/distinct of (so it
+    cannot be larger).  Counts are remembered per plan, so a dimension
+    table is counted once per session however many reports use it.
     """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    src = df if bound_by is None else bound_by
+    key = (src.sparkSession.sparkContext.applicationId, src.semanticHash(), max_rows)
     small = _size_checks.get(key)
     if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
+        small = src.limit(max_rows + 1).count() <= max_rows
         _size_checks[key] = small
     return F.broadcast(df) if small else df
 
@@ -49,7 +53,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_date: str,
                   start: str = "start_date", end: str = "end_date", how: str = "left",
-                  broadcast: bool = True) -> DataFrame:
+                  bound_by: DataFrame | None = None) -> DataFrame:
     """Match a dimension row valid on the fact's date:
     ``fact_key = dim_key AND fact_date BETWEEN start AND end``.
 
@@ -58,13 +62,13 @@ def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     matches (BETWEEN with NULL is not true).  Column names of the two sides
     must not clash.
     """
-    d = bounded_broadcast(dim) if broadcast else dim
+    d = bounded_broadcast(dim, bound_by=bound_by)
     cond = (F.col(fact_key) == F.col(dim_key)) & F.col(fact_date).between(F.col(start), F.col(end))
     return facts.join(d, cond, how)
 
 
 def asof_nearest(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: str,
-                 dim_key: str, dim_date: str) -> DataFrame:
+                 dim_key: str, dim_date: str, bound_by: DataFrame | None = None) -> DataFrame:
     """C4: for each fact row, the dimension rows with ``dim_key = fact_key``
     and ``dim_date <= fact_date`` whose ``dim_date`` is nearest (ties kept).
     Facts with no such row are dropped.
@@ -73,7 +77,7 @@ def asof_nearest(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: str
     once per distinct pair and then joined back to the facts.
     """
     pairs = facts.select(fact_key, fact_date).distinct()
-    cand = pairs.join(bounded_broadcast(dim), (F.col(fact_key) == F.col(dim_key))
+    cand = pairs.join(bounded_broadcast(dim, bound_by=bound_by), (F.col(fact_key) == F.col(dim_key))
                       & (F.col(fact_date) >= F.col(dim_date)))
     cand = cand.withColumn("_lag", F.datediff(F.col(fact_date), F.col(dim_date)))
     best = keep_extreme(cand, [fact_date, fact_key], "_lag", largest=False).drop("_lag", dim_key)
@@ -102,7 +106,7 @@ def current_roster(hr: DataFrame, division: str) -> DataFrame:
         F.max("job_effectivity_date").alias("_mj"),
         F.max("created_on").alias("_mc"))
     mx = mx.withColumnRenamed("full_name", "_fn")
-    cur = h.join(bounded_broadcast(mx),
+    cur = h.join(bounded_broadcast(mx, bound_by=hr),
                  (F.col("full_name") == F.col("_fn")) & (F.col("status_effectivity_date") == F.col("_ms"))
                  & (F.col("job_effectivity_date") == F.col("_mj")) & (F.col("created_on") == F.col("_mc")))
     return cur.where(F.col("profile_status") == "Active").select("full_name", "job_supervisor").distinct()

@@ -41,7 +41,7 @@ def csat_base(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
                      F.col("end_date").alias("_end")))
     u = rated_updates(t, cfg)
     u = u.where(F.col("local_date_created") >= lit_like(u, "local_date_created", cfg.csat_floor))
-    return validity_join(u, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner")
+    return validity_join(u, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner", bound_by=t.subteams)
 
 
 def _exclusion_keys(t) -> DataFrame:

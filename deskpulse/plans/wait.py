@@ -47,7 +47,7 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> D
     team = (t.subteams.where(F.col("is_core_team"))
              .select("subteam", F.col("zendesk_id").alias("_zid"), "agent_name", "agent_email",
                      F.col("start_date").alias("_start"), F.col("end_date").alias("_end")))
-    x = validity_join(zd, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left")
+    x = validity_join(zd, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left", bound_by=t.subteams)
     x = x.where(F.col("local_date_created") >= lit_like(x, "local_date_created", cfg.wait_time_floor))
     keep = ["subteam", "local_date_created", "hour_", "channel", "ticket_id", "assignee_id",
             "agent_email", "agent_name", "dur"]
@@ -57,7 +57,7 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> D
                        F.col("agent_name").alias("_agent")).distinct())
         x = x.join(su, (F.col("local_date_created") == F.col("_sdate")) & (F.col("_agent") == F.col("agent_name")),
                    "left")
-        cur = bounded_broadcast(current_roster(t.hr_roster, cfg.hr_division))
+        cur = bounded_broadcast(current_roster(t.hr_roster, cfg.hr_division), bound_by=t.hr_roster)
         x = x.join(cur, F.col("agent_name") == F.col("full_name"), "left")
         x = x.withColumn("supervisor", F.coalesce("_util_sup", "job_supervisor"))
         x = x.select(*keep, "supervisor").distinct()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +75,29 @@ class Tables:
         return cls(**{k: spark.read.parquet(f"{root}/{k}") for k in SCHEMAS})
 
 
-def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Inputs derived from the driver's parquet tables under ``sf_dir``."""
-    from deskpulse.sources.fixtures import fixture_tables
-    return Tables(**fixture_tables(spark, sf_dir))
+_written: dict = {}
+
+
+def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Tables:
+    """Inputs derived from the driver's parquet tables under ``sf_dir``.
+
+    With ``materialize`` (the default) the fifteen derived inputs are
+    written once per application as parquet under the shared checkpoint
+    folder (``spark.checkpoint.dir``), and every report then scans those
+    files, the way reports scan their source tables in a deployment:
+    filters and column pruning reach the files and the planner sees real
+    table sizes.  Without it the inputs stay lazy views over ``sf_dir``.
+    """
+    from deskpulse.sources.fixtures import fixture_tables, write_fixtures
+    if not materialize:
+        return Tables(**fixture_tables(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    root = _written.get(key)
+    if root is None:
+        from deskpulse.session import ensure_checkpoint_dir
+        base = ensure_checkpoint_dir(spark).rstrip("/")
+        tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+        root = f"{base}/deskpulse-inputs/{tag}"
+        write_fixtures(spark, sf_dir, root)
+        _written[key] = root
+    return Tables.from_parquet(spark, root)
