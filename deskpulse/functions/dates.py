@@ -27,7 +27,7 @@ def us_datetime_of_date(x) -> Column:
 
 def parse_us_date(x) -> Column:
     """'mm/dd/yyyy' text -> date (NULL for malformed text)."""
-    return F.try_to_date(_c(x), F.lit(US_DATE)) if hasattr(F, "try_to_date") else F.to_date(_c(x), US_DATE)
+    return F.try_to_date(_c(x), US_DATE)
 
 
 def week_start(x) -> Column:
