@@ -29,6 +29,23 @@ def _unique(seq):
     return out
 
 
+def _nested_order(grains: Mapping[str, Sequence[str]]) -> list[str]:
+    """Grain names ordered so that each grain is followed by the grains whose
+    keys contain its keys.  A window partitioned by (agent, day) already
+    satisfies one partitioned by (agent, day, hour), so such runs share one
+    shuffle."""
+    left = dict(grains)
+    out: list[str] = []
+    while left:
+        base = min(left, key=lambda n: (len(left[n]), list(grains).index(n)))
+        chain = [n for n in left if set(left[base]) <= set(left[n])]
+        chain.sort(key=lambda n: (len(left[n]), list(grains).index(n)))
+        out += chain
+        for n in chain:
+            del left[n]
+    return out
+
+
 def grain_table(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg",
                 extra_keys: Sequence[str] = ()) -> DataFrame:
     """One row per finest key (``extra_keys`` + all grain keys) with one
@@ -36,10 +53,9 @@ def grain_table(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]],
     rows sharing that grain's keys.  NULL keys form their own group, as in
     a window partition."""
     keys = _unique(list(extra_keys) + [k for ks in grains.values() for k in ks])
-    fine = df.groupBy(*keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    cols = []
-    for name, gk in grains.items():
-        w = Window.partitionBy(*gk)
+    out = df.groupBy(*keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    for name in _nested_order(grains):
+        w = Window.partitionBy(*grains[name])
         s, n = F.sum("_s").over(w), F.sum("_n").over(w)
         if fn == "avg":
             v = F.when(n > 0, s.cast("double") / n)
@@ -49,8 +65,8 @@ def grain_table(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]],
             v = n
         else:
             raise ValueError(fn)
-        cols.append(v.alias(name))
-    return fine.select(*keys, *cols)
+        out = out.withColumn(name, v)
+    return out.select(*keys, *grains)
 
 
 def attach_grains(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg") -> DataFrame:

@@ -212,5 +212,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def write_fixtures(spark: SparkSession, sf_dir: str, out_root: str) -> None:
     """Write every input once as parquet under ``out_root/<name>`` (a shared
     folder on a cluster), so reports scan real files."""
+    n = spark.sparkContext.defaultParallelism
     for name, df in fixture_tables(spark, sf_dir).items():
-        df.write.mode("overwrite").parquet(f"{out_root}/{name}")
+        # at least one file per core, so scans of the inputs run in parallel
+        df.repartition(n).write.mode("overwrite").parquet(f"{out_root}/{name}")

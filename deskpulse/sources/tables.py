@@ -76,6 +76,7 @@ class Tables:
 
 
 _written: dict = {}
+_loaded: dict = {}
 
 
 def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Tables:
@@ -92,6 +93,8 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
     if not materialize:
         return Tables(**fixture_tables(spark, sf_dir))
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key in _loaded:
+        return _loaded[key]
     root = _written.get(key)
     if root is None:
         from deskpulse.session import ensure_checkpoint_dir
@@ -100,4 +103,5 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
         root = f"{base}/deskpulse-inputs/{tag}"
         write_fixtures(spark, sf_dir, root)
         _written[key] = root
-    return Tables.from_parquet(spark, root)
+    _loaded[key] = Tables.from_parquet(spark, root)
+    return _loaded[key]
