@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,21 +11,37 @@ from pyspark.sql import functions as F
 from deskpulse.functions import mmss_to_seconds
 
 
-def keep_extreme(df: DataFrame, keys: Sequence[str], order_col: str, largest: bool = True) -> DataFrame:
+def keep_extreme(df: DataFrame, keys: Sequence[str], order_col: str, largest: bool = True,
+                 method: str = "join") -> DataFrame:
     """Rows whose ``order_col`` equals the max (``largest``) or min over
-    ``keys``; every tied row is kept, rows with a NULL ``order_col`` never are.
+    ``keys``; every tied row is kept, rows with a NULL ``order_col`` never are
+    (same result as ``col = max(col) OVER (PARTITION BY keys)``).
 
-    Same result as ``col = max(col) OVER (PARTITION BY keys)``, written as
-    ``rank() = 1`` so Spark plans a ``WindowGroupLimit``: each map task keeps
-    only its own top rows per key before the shuffle, which also bounds the
-    work for a hot key.
+    ``method="join"`` (default): the extreme per key comes from a grouped
+    aggregation (partial aggregation on every task, so a key holding a large
+    share of the rows is pre-combined before the shuffle), and rows are kept
+    by an equi-join on (keys, extreme value).  Adaptive execution broadcasts
+    the extremes when they are measured small, so the rows are not shuffled
+    at all; otherwise it plans a shuffled join and splits skewed partitions.
+    A hot key never has to fit one task, even when all its rows tie.
+
+    ``method="window"``: ``rank() = 1`` over (keys ordered by ``order_col``);
+    Spark plans a ``WindowGroupLimit`` on both sides of the shuffle.  One
+    pass over the input, but all rows of one key meet in one task.
     """
     c = F.col(order_col)
-    w = Window.partitionBy(*keys).orderBy(c.desc() if largest else c.asc())
-    return (df.where(c.isNotNull())
-              .withColumn("_rank", F.rank().over(w))
-              .where(F.col("_rank") == 1)
-              .drop("_rank"))
+    if method == "window":
+        w = Window.partitionBy(*keys).orderBy(c.desc() if largest else c.asc())
+        return (df.where(c.isNotNull())
+                  .withColumn("_rank", F.rank().over(w))
+                  .where(F.col("_rank") == 1)
+                  .drop("_rank"))
+    agg = F.max if largest else F.min
+    ext = df.groupBy(*keys).agg(agg(order_col).alias("_ext"))
+    rn = {k: f"_ek{i}" for i, k in enumerate(keys)}
+    ext = ext.select(*[F.col(k).alias(rn[k]) for k in keys], "_ext")
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(rn[k])) for k in keys]) & (c == F.col("_ext"))
+    return df.join(ext, cond, "inner").drop(*rn.values(), "_ext")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:

@@ -32,10 +32,12 @@ def test_latest_keeps_ties_and_skips_null(spark):
     assert rows(first_per_key(df, ["k"], "ts"), "k", "v") == [("t1", "c"), ("t3", "f")]
 
 
-def test_latest_plans_window_group_limit(spark):
+def test_argmax_plan_shapes(spark):
     df = spark.createDataFrame([("t1", 1)], "k string, ts int")
-    plan = latest_per_key(df, ["k"], "ts")._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    win = keep_extreme(df, ["k"], "ts", method="window")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in win
+    j = latest_per_key(df, ["k"], "ts")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in j and "Window" not in j and "NestedLoop" not in j
 
 
 @settings(max_examples=15, deadline=None)
@@ -46,6 +48,9 @@ def test_rank_equals_max_equality(spark, data):
     w = Window.partitionBy("k")
     ref = df.withColumn("m", F.max("ts").over(w)).where(F.col("m") == F.col("ts")).drop("m")
     assert rows(keep_extreme(df, ["k"], "ts"), "k", "ts") == rows(ref, "k", "ts")
+    assert rows(keep_extreme(df, ["k"], "ts", method="window"), "k", "ts") == rows(ref, "k", "ts")
+    ref_min = df.withColumn("m", F.min("ts").over(w)).where(F.col("m") == F.col("ts")).drop("m")
+    assert rows(keep_extreme(df, ["k"], "ts", largest=False), "k", "ts") == rows(ref_min, "k", "ts")
 
 
 def test_validity_join_bounds_and_open_end(spark):
