@@ -119,13 +119,16 @@ def weekly_counts(rows: DataFrame, channel: str) -> DataFrame:
 def channel_counts_hourly(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """C7 hourly: agent x hour x channel ticket counts, all rosters."""
     rows = channel_rows(t, cfg, None, hourly=True)
-    return reduce(DataFrame.unionByName, [hourly_counts(rows[c], c) for c in CHANNELS]).distinct()
+    # each branch is unique per (day, hour, assignee, agent) and carries its own
+    # channel literal, so the union is already distinct
+    return reduce(DataFrame.unionByName, [hourly_counts(rows[c], c) for c in CHANNELS])
 
 
 def channel_counts_weekly(t, cfg: ReportConfig = DEFAULT, account: str | None = None) -> DataFrame:
     """C7 weekly: agent x week x channel ticket counts and team totals."""
     rows = channel_rows(t, cfg, account or cfg.roster_account, hourly=False)
-    return reduce(DataFrame.unionByName, [weekly_counts(rows[c], c) for c in CHANNELS]).distinct()
+    # unique per (week, agent) within a branch, channel literal per branch
+    return reduce(DataFrame.unionByName, [weekly_counts(rows[c], c) for c in CHANNELS])
 
 
 def tracked_hours(t, cfg: ReportConfig = DEFAULT) -> DataFrame:

@@ -49,8 +49,6 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> D
                      F.col("start_date").alias("_start"), F.col("end_date").alias("_end")))
     x = validity_join(zd, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left", bound_by=t.subteams)
     x = x.where(F.col("local_date_created") >= lit_like(x, "local_date_created", cfg.wait_time_floor))
-    keep = ["subteam", "local_date_created", "hour_", "channel", "ticket_id", "assignee_id",
-            "agent_email", "agent_name", "dur"]
     if with_supervisor:
         su = (t.tracked_time.where(F.col("division_name") == cfg.tracked_division)
                .select(F.col("start_date").alias("_sdate"), F.col("supervisor").alias("_util_sup"),
@@ -59,9 +57,9 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> D
                    "left")
         cur = bounded_broadcast(current_roster(t.hr_roster, cfg.hr_division), bound_by=t.hr_roster)
         x = x.join(cur, F.col("agent_name") == F.col("full_name"), "left")
-        x = x.withColumn("supervisor", F.coalesce("_util_sup", "job_supervisor"))
-        x = x.select(*keep, "supervisor").distinct()
-        x = x.withColumn("supervisor", F.coalesce("supervisor", F.lit(cfg.default_supervisor)))
+        # tracked-time supervisor, else HR, else the default label (one DISTINCT
+        # over the final projection equals the report's two nested ones)
+        x = x.withColumn("supervisor", F.coalesce("_util_sup", "job_supervisor", F.lit(cfg.default_supervisor)))
         grains = GRAINS
     else:
         grains = {k: v for k, v in GRAINS.items() if not k.startswith("v_")}
