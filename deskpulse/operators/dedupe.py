@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from deskpulse.functions import mmss_to_seconds
 
 
+DEFAULT_METHOD = "join"
+
+
 def keep_extreme(df: DataFrame, keys: Sequence[str], order_col: str, largest: bool = True,
-                 method: str = "join") -> DataFrame:
+                 method: str | None = None) -> DataFrame:
     """Rows whose ``order_col`` equals the max (``largest``) or min over
     ``keys``; every tied row is kept, rows with a NULL ``order_col`` never are
     (same result as ``col = max(col) OVER (PARTITION BY keys)``).
@@ -30,7 +33,7 @@ def keep_extreme(df: DataFrame, keys: Sequence[str], order_col: str, largest: bo
     pass over the input, but all rows of one key meet in one task.
     """
     c = F.col(order_col)
-    if method == "window":
+    if (method or DEFAULT_METHOD) == "window":
         w = Window.partitionBy(*keys).orderBy(c.desc() if largest else c.asc())
         return (df.where(c.isNotNull())
                   .withColumn("_rank", F.rank().over(w))

@@ -209,10 +209,33 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def write_fixtures(spark: SparkSession, sf_dir: str, out_root: str) -> None:
-    """Write every input once as parquet under ``out_root/<name>`` (a shared
-    folder on a cluster), so reports scan real files."""
+# Inputs keyed by ticket: bucketing them on ticket_id (same bucket count for
+# all) lets per-ticket aggregations and ticket-to-ticket joins run without a
+# shuffle.  A deployment would lay out its fact tables the same way.
+TICKET_KEYED = ("email_tickets", "chat_tickets", "call_tickets", "web_tickets", "call_legs",
+                "chat_insights", "email_metrics", "kpi_summary")
+
+
+def write_fixtures(spark: SparkSession, sf_dir: str, out_root: str, table_prefix: str | None = None,
+                   buckets: int | None = None) -> dict[str, str]:
+    """Write every input once under ``out_root/<name>`` (a shared folder on a
+    cluster), so reports scan real files.
+
+    With ``table_prefix`` the ticket-keyed inputs are saved as catalog tables
+    bucketed by ``ticket_id`` (``buckets`` buckets, default: one per core);
+    returns name -> catalog table for those, the rest are plain parquet.
+    """
     n = spark.sparkContext.defaultParallelism
+    buckets = buckets or max(n, 8)
+    tables = {}
     for name, df in fixture_tables(spark, sf_dir).items():
-        # at least one file per core, so scans of the inputs run in parallel
-        df.repartition(n).write.mode("overwrite").parquet(f"{out_root}/{name}")
+        path = f"{out_root}/{name}"
+        if table_prefix and name in TICKET_KEYED:
+            tname = f"{table_prefix}_{name}"
+            (df.write.bucketBy(buckets, "ticket_id").sortBy("ticket_id").mode("overwrite")
+               .option("path", path).saveAsTable(tname))
+            tables[name] = tname
+        else:
+            # at least one file per core, so scans of the inputs run in parallel
+            df.repartition(n).write.mode("overwrite").parquet(path)
+    return tables
