@@ -102,11 +102,14 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True,
     from deskpulse.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark).rstrip("/")
     tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    root = f"{base}/deskpulse-inputs/{tag}"
+    # one folder per application: the checkpoint folder is shared, so two
+    # applications must never overwrite each other's inputs
+    app = spark.sparkContext.applicationId
+    root = f"{base}/deskpulse-inputs/{app}/{tag}"
     if bucket_inputs:
         root += "-bucketed"
-    bucketed = write_fixtures(spark, sf_dir, root,
-                              table_prefix=f"deskpulse_in_{tag}" if bucket_inputs else None)
+    prefix = "deskpulse_in_" + hashlib.sha1(f"{app}/{tag}".encode()).hexdigest()[:12]
+    bucketed = write_fixtures(spark, sf_dir, root, table_prefix=prefix if bucket_inputs else None)
     frames = {k: (spark.table(bucketed[k]) if k in bucketed else spark.read.parquet(f"{root}/{k}"))
               for k in SCHEMAS}
     _loaded[key] = Tables(**{k: v.select(*SCHEMAS[k]) for k, v in frames.items()})
