@@ -6,10 +6,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskpulse.operators.dedupe import keep_extreme
 
 # Largest dimension (rows) that is broadcast on a hint.  Larger inputs are
 # left to the planner: adaptive execution still broadcasts them when the
@@ -70,17 +69,34 @@ def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 def asof_nearest(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: str,
                  dim_key: str, dim_date: str, bound_by: DataFrame | None = None) -> DataFrame:
     """C4: for each fact row, the dimension rows with ``dim_key = fact_key``
-    and ``dim_date <= fact_date`` whose ``dim_date`` is nearest (ties kept).
-    Facts with no such row are dropped.
-
-    The nearest record depends only on (fact_date, fact_key), so it is found
-    once per distinct pair and then joined back to the facts.
+    and the latest ``dim_date <= fact_date`` (all rows at that date, so ties
+    are kept).  Facts with no such row, or with a NULL key or date, are
+    dropped.
+
+    The answer depends only on (key, fact date), so it is found once per
+    distinct pair, without pairing every fact date with every earlier
+    record: the distinct pairs and the distinct (key, effective date)
+    records are unioned, and a running ``max`` per key ordered by date
+    (records before facts on equal dates) carries the latest effective date
+    forward.  Rows per key are bounded by distinct dates plus the key's
+    history, not by the number of facts.  Two equi-joins attach the
+    dimension rows and return to the facts.
     """
-    pairs = facts.select(fact_key, fact_date).distinct()
-    cand = pairs.join(bounded_broadcast(dim, bound_by=bound_by), (F.col(fact_key) == F.col(dim_key))
-                      & (F.col(fact_date) >= F.col(dim_date)))
-    cand = cand.withColumn("_lag", F.datediff(F.col(fact_date), F.col(dim_date)))
-    best = keep_extreme(cand, [fact_date, fact_key], "_lag", largest=False).drop("_lag", dim_key)
+    k, t = F.col("_asof_k"), F.col("_asof_t")
+    pairs = (facts.select(F.col(fact_key).alias("_asof_k"), F.col(fact_date).alias("_asof_t"))
+                  .where(k.isNotNull() & t.isNotNull()).distinct().withColumn("_asof_fact", F.lit(1)))
+    eff = (dim.select(F.col(dim_key).alias("_asof_k"), F.col(dim_date).alias("_asof_t"))
+              .where(k.isNotNull() & t.isNotNull()).distinct().withColumn("_asof_fact", F.lit(0)))
+    w = (Window.partitionBy("_asof_k").orderBy("_asof_t", "_asof_fact")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cur = (pairs.unionByName(eff)
+                .withColumn("_asof_eff", F.max(F.when(F.col("_asof_fact") == 0, t)).over(w))
+                .where((F.col("_asof_fact") == 1) & F.col("_asof_eff").isNotNull())
+                .drop("_asof_fact"))
+    best = cur.join(bounded_broadcast(dim, bound_by=bound_by),
+                    (k == F.col(dim_key)) & (F.col("_asof_eff") == F.col(dim_date)))
+    best = (best.drop(dim_key, "_asof_eff")
+                .withColumnRenamed("_asof_k", fact_key).withColumnRenamed("_asof_t", fact_date))
     return facts.join(best, [fact_key, fact_date], "inner")
 
 

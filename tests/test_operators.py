@@ -143,3 +143,25 @@ def test_longest_wait_numeric_not_text(spark):
     assert got == [("t1", "done", 600), ("t2", "x", 60), ("t2", "y", 60)]
     text = rows(longest_wait(legs, "a", compare="text"), "ticket_id", "dur")
     assert ("t1", 599) in text  # text order ranks '9:59' above '10:00' (H8)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["ann", "bob", None]), st.one_of(st.none(), st.integers(0, 20))),
+                min_size=1, max_size=25),
+       st.lists(st.tuples(st.sampled_from(["ann", "bob", "cy"]), st.sampled_from(["s1", "s2", "s3"]),
+                          st.one_of(st.none(), st.integers(0, 20))), min_size=0, max_size=12))
+def test_asof_equals_brute_force(spark, facts, dims):
+    base = D(2024, 1, 1)
+    f = [(i, n, None if d is None else base + dt.timedelta(days=d)) for i, (n, d) in enumerate(facts)]
+    g = sorted({(n, s, None if d is None else base + dt.timedelta(days=d)) for n, s, d in dims},
+               key=lambda r: (r[0], r[1], r[2] or D(1, 1, 1)))
+    fdf = spark.createDataFrame(f, "tid int, name string, d date")
+    ddf = spark.createDataFrame(g, "full string, sup string, eff date")
+    got = rows(asof_nearest(fdf, ddf, "name", "d", "full", "eff"), "tid", "sup", "eff")
+    want = []
+    for tid, n, d in f:
+        cand = [(s, e) for fn, s, e in g if n is not None and d is not None and e is not None and fn == n and e <= d]
+        if cand:
+            best = max(e for _, e in cand)
+            want += [(tid, s, e) for s, e in cand if e == best]
+    assert got == sorted(want, key=_key)
