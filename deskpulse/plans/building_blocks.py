@@ -15,6 +15,7 @@ from deskpulse.operators import (
     first_per_key, latest_per_key, longest_wait as _longest_wait, validity_join,
 )
 from deskpulse.plans.common import roster
+from deskpulse.plans.shared import shared
 from deskpulse.sources.tables import TICKET_COLS
 
 
@@ -46,7 +47,7 @@ def first_update_per_ticket(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
 
 def longest_wait(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Longest call leg(s) per ticket, in seconds."""
-    return _longest_wait(t.call_legs, cfg.account)
+    return shared(t, "longest_wait", cfg, lambda: _longest_wait(t.call_legs, cfg.account))
 
 
 def _team(t, core_only: bool) -> DataFrame:
@@ -88,7 +89,7 @@ def asof_supervisor(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
 
 def current_roster(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Current HR supervisor per person."""
-    return _current_roster(t.hr_roster, cfg.hr_division)
+    return shared(t, "current_roster", cfg, lambda: _current_roster(t.hr_roster, cfg.hr_division))
 
 
 def resolve_supervisor(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
@@ -101,7 +102,7 @@ def resolve_supervisor(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
            .select(F.col("start_date").alias("_sdate"), F.col("supervisor").alias("_util_sup"),
                    F.col("agent_name").alias("_agent")).distinct())
     x = x.join(su, (F.col("local_date_created") == F.col("_sdate")) & (F.col("_agent") == F.col("agent_name")), "left")
-    cur = bounded_broadcast(_current_roster(t.hr_roster, cfg.hr_division), bound_by=t.hr_roster)
+    cur = bounded_broadcast(current_roster(t, cfg), bound_by=t.hr_roster)
     x = x.join(cur, F.col("agent_name") == F.col("full_name"), "left")
     return x.select("local_date_created", "agent_name",
                     F.coalesce("_util_sup", "job_supervisor", F.lit(cfg.default_supervisor)).alias("supervisor")

@@ -4,7 +4,8 @@ Rated updates of all channels -> good/bad, one account -> core subteam on
 the creation date -> first update per ticket (ties kept) -> exclusion list
 (C14) as a flag (R11) or removed (R12, R13).  The exclusion key is the
 ticket id, the first-update choice's own key, so the anti join may run on
-either side of it; it runs first, before the shuffle.
+either side of it; it runs after it, so the three reports share one
+first-update table.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from deskpulse.config import DEFAULT, ReportConfig
 from deskpulse.functions import hour_of_time_text, not_like_all, numeric_id_text, us_date
 from deskpulse.operators import exclude_ids, first_per_key, validity_join
 from deskpulse.plans.common import lit_like, roster
+from deskpulse.plans.shared import shared
 
 RATED = ("good", "bad")
 BASE_COLS = ["client_account", "ticket_id", "channel", "local_date_created", "local_time_created",
@@ -44,6 +46,14 @@ def csat_base(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     return validity_join(u, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner", bound_by=t.subteams)
 
 
+def csat_first(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """First rated update(s) per ticket (shared by R11-R13).  The
+    exclusion list is applied after it: its key is the ticket id, the
+    choice's own key, so before and after give the same rows."""
+    return shared(t, "csat_first", cfg,
+                  lambda: first_per_key(csat_base(t, cfg), ["ticket_id"], "date_updated"))
+
+
 def _exclusion_keys(t) -> DataFrame:
     return t.dsat_exclusions.select(numeric_id_text("ext_interaction_id").alias("_xk"), "ext_interaction_id")
 
@@ -64,16 +74,15 @@ def _raw_out(x: DataFrame, excl_col) -> DataFrame:
 
 def csat_raw(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """First rated update per ticket, with the exclusion id as a flag."""
-    x = first_per_key(csat_base(t, cfg), ["ticket_id"], "date_updated")
-    x = x.join(_exclusion_keys(t), F.col("ticket_id") == F.col("_xk"), "left")
+    x = csat_first(t, cfg).join(_exclusion_keys(t), F.col("ticket_id") == F.col("_xk"), "left")
     x = x.select(*_INNER, "ext_interaction_id").distinct()
     return _raw_out(x, numeric_id_text("ext_interaction_id"))
 
 
 def csat_clean(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """As R11 with excluded tickets removed."""
-    x = exclude_ids(csat_base(t, cfg), "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"))
-    x = first_per_key(x, ["ticket_id"], "date_updated").select(*_INNER).distinct()
+    x = exclude_ids(csat_first(t, cfg), "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"))
+    x = x.select(*_INNER).distinct()
     return _raw_out(x, F.lit(None).cast("string"))
 
 
@@ -83,8 +92,7 @@ NARROW_COLS = ["ticket_id", "channel", "local_date_created", "assignee_id", "nam
 
 def csat_narrow(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Narrow satisfaction list (ticket, agent, email, hour, rating)."""
-    x = exclude_ids(csat_base(t, cfg), "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"))
-    x = first_per_key(x, ["ticket_id"], "date_updated")
+    x = exclude_ids(csat_first(t, cfg), "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"))
     return x.select(
         "ticket_id", "channel", us_date("local_date_created").alias("local_date_created"),
         "assignee_id", F.col("zendesk_assignee").alias("name_"), F.col("agent_email").alias("email_"),

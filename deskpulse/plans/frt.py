@@ -25,6 +25,7 @@ from deskpulse.operators import (
     asof_nearest, attach_grains, bounded_broadcast, first_per_key, latest_per_key, validity_join,
 )
 from deskpulse.plans.common import lit_like, roster, top_k
+from deskpulse.plans.shared import shared
 
 SOLVED = ("closed", "solved")
 
@@ -33,15 +34,18 @@ def _with_periods(df: DataFrame, date_col: str = "local_date_created") -> DataFr
     return df.withColumn("_week", week_start(date_col)).withColumn("_month", month_start(date_col))
 
 
-def _first_update(tickets: DataFrame, cfg: ReportConfig, channel: str) -> DataFrame:
+def _first_update(t, cfg: ReportConfig, source: str, channel: str) -> DataFrame:
     """Solved/closed tickets of one channel, only each ticket's update(s)
-    with the smallest creation-to-update lag."""
-    tk = (tickets.where((F.col("client_account") == cfg.account) & F.col("status").isin(*SOLVED)
-                        & (F.col("channel") == channel))
-                 .select("ticket_id", "local_date_created", "local_time_created", "date_updated",
-                         "assignee_id", F.col("channel").alias("_ticket_channel"))
-                 .withColumn("recent_", days_between("date_updated", "local_date_created")))
-    return first_per_key(tk, ["ticket_id"], "recent_")
+    with the smallest creation-to-update lag (shared by R7/R9/R8/R15)."""
+    def build():
+        tickets = getattr(t, source)
+        tk = (tickets.where((F.col("client_account") == cfg.account) & F.col("status").isin(*SOLVED)
+                            & (F.col("channel") == channel))
+                     .select("ticket_id", "local_date_created", "local_time_created", "date_updated",
+                             "assignee_id", F.col("channel").alias("_ticket_channel"))
+                     .withColumn("recent_", days_between("date_updated", "local_date_created")))
+        return first_per_key(tk, ["ticket_id"], "recent_")
+    return shared(t, f"first_update_{source}_{channel}", cfg, build)
 
 
 # --------------------------------------------------------------------- R7, R9
@@ -65,11 +69,11 @@ def frt_multi_grain(t, cfg: ReportConfig = DEFAULT, channel: str = "chat") -> Da
     subteam on the creation date, averaged at hour/day/week/month grain per
     agent and per subteam."""
     if channel == "chat":
-        tickets = t.chat_tickets
+        source = "chat_tickets"
         metric = t.chat_insights.select(F.col("ticket_id").alias("_mid"),
                                         F.col("response_time_first").alias("frt_calendar"))
     else:
-        tickets = t.email_tickets
+        source = "email_tickets"
         metric = t.email_metrics.select(F.col("ticket_id").alias("_mid"),
                                         F.col("reply_time_calendar_minutes").alias("frt_calendar"))
     metric = metric.withColumn("channel", F.lit(channel))
@@ -77,7 +81,7 @@ def frt_multi_grain(t, cfg: ReportConfig = DEFAULT, channel: str = "chat") -> Da
              .select("subteam", F.col("zendesk_id").alias("_zid"), "agent_name",
                      F.col("agent_email").alias("email_address"),
                      F.col("start_date").alias("_start"), F.col("end_date").alias("_end")))
-    x = _first_update(tickets, cfg, channel)
+    x = _first_update(t, cfg, source, channel)
     x = validity_join(x, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left", bound_by=t.subteams)
     x = x.join(metric, F.col("ticket_id") == F.col("_mid"), "left")
     x = x.where(F.col("agent_name").isNotNull()
@@ -111,7 +115,7 @@ def frt_email_kpi(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     # The summary joins on ticket and on its agent name being non-NULL.
     kpi = (t.kpi_summary.where(F.col("agent_name").isNotNull())
             .select(F.col("ticket_id").alias("_kid"), "frt_calendar", "channel").distinct())
-    x = _first_update(t.email_tickets, cfg, "email")
+    x = _first_update(t, cfg, "email_tickets", "email")
     x = x.join(r, F.col("assignee_id") == F.col("_rid"), "left")
     x = x.join(kpi, F.col("ticket_id") == F.col("_kid"), "left")
     x = x.where(F.col("agent_name").isNotNull()
@@ -142,7 +146,7 @@ def frt_email_flex(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     r = bounded_broadcast(roster(t, cfg.flex_roster_account), bound_by=t.agent_roster)
     m = (t.email_metrics.select(F.col("ticket_id").alias("_mid"),
                                 F.col("reply_time_calendar_minutes").alias("frt_calendar")).distinct())
-    x = _first_update(t.email_tickets, cfg, "email")
+    x = _first_update(t, cfg, "email_tickets", "email")
     x = x.join(r, F.col("assignee_id") == F.col("_rid"), "left")
     x = x.join(m, F.col("ticket_id") == F.col("_mid"), "left")
     x = x.where(F.col("agent_name").isNotNull())

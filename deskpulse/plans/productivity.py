@@ -34,6 +34,7 @@ from deskpulse.operators import (
     attach_grains, bounded_broadcast, grain_table, latest_per_key, null_safe_join, validity_join,
 )
 from deskpulse.plans.common import lit_like, roster, top_k
+from deskpulse.plans.shared import shared
 
 SOLVED = ("solved", "closed")
 CHANNELS = ("voice", "chat", "email", "web", "api")
@@ -118,6 +119,10 @@ def weekly_counts(rows: DataFrame, channel: str) -> DataFrame:
 
 def channel_counts_hourly(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """C7 hourly: agent x hour x channel ticket counts, all rosters."""
+    return shared(t, "channel_counts_hourly", cfg, lambda: _channel_counts_hourly(t, cfg))
+
+
+def _channel_counts_hourly(t, cfg: ReportConfig) -> DataFrame:
     rows = channel_rows(t, cfg, None, hourly=True)
     # each branch is unique per (day, hour, assignee, agent) and carries its own
     # channel literal, so the union is already distinct
@@ -126,7 +131,12 @@ def channel_counts_hourly(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
 
 def channel_counts_weekly(t, cfg: ReportConfig = DEFAULT, account: str | None = None) -> DataFrame:
     """C7 weekly: agent x week x channel ticket counts and team totals."""
-    rows = channel_rows(t, cfg, account or cfg.roster_account, hourly=False)
+    account = account or cfg.roster_account
+    return shared(t, f"channel_counts_weekly_{account}", cfg, lambda: _channel_counts_weekly(t, cfg, account))
+
+
+def _channel_counts_weekly(t, cfg: ReportConfig, account: str) -> DataFrame:
+    rows = channel_rows(t, cfg, account, hourly=False)
     # unique per (week, agent) within a branch, channel literal per branch
     return reduce(DataFrame.unionByName, [weekly_counts(rows[c], c) for c in CHANNELS])
 
@@ -134,6 +144,10 @@ def channel_counts_weekly(t, cfg: ReportConfig = DEFAULT, account: str | None =
 def tracked_hours(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Billable ticket-work seconds per hour/day/week/month and agent,
     one row per (day, hour, agent, supervisor) that has an entry."""
+    return shared(t, "tracked_hours", cfg, lambda: _tracked_hours(t, cfg))
+
+
+def _tracked_hours(t, cfg: ReportConfig) -> DataFrame:
     u = t.tracked_time.where((F.col("division_account") == cfg.tracked_division) & F.col("is_billable")
                              & like_any("activity", cfg.activity_patterns))
     u = u.select(F.col("start_date").alias("start_date_"), hour_of_time_text("start_time").alias("hour_au"),
@@ -150,6 +164,10 @@ def tracked_hours(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
 def manual_hours(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Manually logged seconds per day/week/month, summed per alias and
     reported under the agent name (the alias when the name is missing)."""
+    return shared(t, "manual_hours", cfg, lambda: _manual_hours(t, cfg))
+
+
+def _manual_hours(t, cfg: ReportConfig) -> DataFrame:
     m = t.manual_time.select("date", "agent_alias", "agent_name", "duration_seconds")
     m = m.withColumn("_week", week_start("date")).withColumn("_month", month_start("date"))
     g = grain_table(m, "duration_seconds", {

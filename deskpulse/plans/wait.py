@@ -16,6 +16,7 @@ from deskpulse.config import DEFAULT, ReportConfig
 from deskpulse.functions import hour_of_time_text, month_start, round_avg_text, us_date, week_start
 from deskpulse.operators import attach_grains, bounded_broadcast, current_roster, longest_wait, validity_join
 from deskpulse.plans.common import lit_like, top_k
+from deskpulse.plans.shared import shared
 
 GRAINS = {
     "hourly": ["agent_name", "local_date_created", "hour_"],
@@ -36,7 +37,8 @@ BASE_COLS = ["client_account", "local_date_created", "hour_", "ticket_id", "assi
 
 
 def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> DataFrame:
-    legs = longest_wait(t.call_legs, cfg.account).select(F.col("ticket_id").alias("_did"), "dur").distinct()
+    legs = (shared(t, "longest_wait", cfg, lambda: longest_wait(t.call_legs, cfg.account))
+            .select(F.col("ticket_id").alias("_did"), "dur").distinct())
     zct = t.call_tickets.where((F.col("client_account") == cfg.account)
                                & (F.col("via_source_rel") != "outbound")
                                & F.col("status").isin("solved", "closed"))
@@ -55,7 +57,8 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> D
                        F.col("agent_name").alias("_agent")).distinct())
         x = x.join(su, (F.col("local_date_created") == F.col("_sdate")) & (F.col("_agent") == F.col("agent_name")),
                    "left")
-        cur = bounded_broadcast(current_roster(t.hr_roster, cfg.hr_division), bound_by=t.hr_roster)
+        cur = bounded_broadcast(shared(t, "current_roster", cfg,
+                                       lambda: current_roster(t.hr_roster, cfg.hr_division)), bound_by=t.hr_roster)
         x = x.join(cur, F.col("agent_name") == F.col("full_name"), "left")
         # tracked-time supervisor, else HR, else the default label (one DISTINCT
         # over the final projection equals the report's two nested ones)
