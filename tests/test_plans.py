@@ -27,13 +27,21 @@ def test_top_k_is_take_ordered(spark, name):
     assert "TakeOrderedAndProject" in p and "WindowGroupLimit" in p
 
 
-@pytest.mark.parametrize("name", ["latest_update_per_ticket", "first_update_per_ticket", "longest_wait"])
+@pytest.mark.parametrize("name", ["latest_update_per_ticket", "first_update_per_ticket"])
 def test_no_window_over_raw_facts_in_argmax(spark, name):
     # argmax per ticket is a grouped aggregate joined back, not a window
     p = plan(spark, name)
     assert "HashAggregate" in p and "Window" not in p
 
 
+def test_longest_wait_operator_plan(spark):
+    from deskpulse.operators import longest_wait
+    from deskpulse.sources import load_tables
+    t = load_tables(spark, SMALL)
+    p = longest_wait(t.call_legs, "acct_a")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in p and "Window" not in p
+
+
 def test_filters_and_columns_reach_scan(spark):
     df = Q["attendance"](spark, SMALL)
     txt = df._jdf.queryExecution().executedPlan().toString()
