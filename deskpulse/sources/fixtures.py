@@ -212,6 +212,9 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # Inputs keyed by ticket: bucketing them on ticket_id (same bucket count for
 # all) lets per-ticket aggregations and ticket-to-ticket joins run without a
 # shuffle.  A deployment would lay out its fact tables the same way.
+# Inputs derived from the small driver tables (nation, region, supplier, labels).
+DIMENSIONS = ("agent_roster", "subteams", "hr_roster", "dsat_exclusions")
+
 TICKET_KEYED = ("email_tickets", "chat_tickets", "call_tickets", "web_tickets", "call_legs",
                 "chat_insights", "email_metrics", "kpi_summary")
 
@@ -236,6 +239,7 @@ def write_fixtures(spark: SparkSession, sf_dir: str, out_root: str, table_prefix
                .option("path", path).saveAsTable(tname))
             tables[name] = tname
         else:
-            # at least one file per core, so scans of the inputs run in parallel
-            df.repartition(n).write.mode("overwrite").parquet(path)
+            # fact-sized inputs: one file per core, so their scans run in
+            # parallel; dimension-sized ones: a single file (one scan task)
+            df.repartition(1 if name in DIMENSIONS else n).write.mode("overwrite").parquet(path)
     return tables
