@@ -24,8 +24,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(f"local[{cpus}]", app="deskpulse-bench", shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    for kv in filter(None, os.environ.get("BENCH_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        extra[k] = v
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = build_session(f"local[{cpus}]", app="deskpulse-bench", shuffle_partitions=parts, extra=extra)
     names = only or list(QUERIES)
     QUERIES["attendance"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
     times = {}

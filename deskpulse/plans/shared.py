@@ -32,6 +32,9 @@ def shared(t, key: str, cfg, build: Callable[[], DataFrame]) -> DataFrame:
     run = t._small.setdefault("_run_id", uuid.uuid4().hex[:12])
     path = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/deskpulse-shared/"
             f"{spark.sparkContext.applicationId}/{run}/{tag}")
-    df.write.mode("overwrite").parquet(path)
-    memo[tag] = spark.read.parquet(path)
+    try:
+        df.write.mode("overwrite").parquet(path)
+        memo[tag] = spark.read.parquet(path)
+    except Exception:  # no writable checkpoint folder: same rows, lazily
+        memo[tag] = df
     return memo[tag]
