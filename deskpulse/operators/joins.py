@@ -10,25 +10,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Largest dimension (rows) that is broadcast on a hint.  Larger inputs are
-# left to the planner: adaptive execution still broadcasts them when the
-# measured size is small, else it plans a shuffled join (with skew splits).
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest dimension broadcast on a hint, in estimated bytes of the projected
+# columns.  Larger inputs are left to the planner: adaptive execution still
+# broadcasts them when the measured size is small, else it plans a shuffled
+# join (with skew splits).
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 _size_checks: dict = {}
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      bound_by: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` when ``df`` provably holds at most ``max_rows`` rows.
+def _row_bytes(df: DataFrame) -> int:
+    """Generous per-row size estimate from the schema (text counted as 32
+    bytes, which the short ids, names and labels of dimensions stay under)."""
+    width = {"string": 32, "date": 4, "boolean": 1, "int": 4, "smallint": 2, "tinyint": 1}
+    return max(1, sum(width.get(f.dataType.simpleString(), 8) for f in df.schema.fields))
+
 
-    The proof is a bounded count (``limit(max_rows + 1).count()``, never
-    more than ``max_rows + 1`` rows read) of ``df`` itself or of
-    ``bound_by``, a table ``df`` is a filter/projection/distinct of (so it
-    cannot be larger).  Counts are remembered per plan, so a dimension
-    table is counted once per session however many reports use it.
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
+                      bound_by: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` when ``df`` provably holds at most
+    ``max_bytes / row size`` rows.
+
+    The proof is a bounded count (``limit(n + 1).count()``, never more than
+    n + 1 rows read) of ``df`` itself or of ``bound_by``, a table ``df`` is a
+    filter/projection/distinct of (so it cannot have more rows).  Counts are
+    remembered per plan, so a dimension table is counted once per session
+    however many reports use it.
     """
     src = df if bound_by is None else bound_by
+    max_rows = max(1, max_bytes // _row_bytes(df))
     key = (src.sparkSession.sparkContext.applicationId, src.semanticHash(), max_rows)
     small = _size_checks.get(key)
     if small is None:
