@@ -110,3 +110,29 @@ def test_h6_zero_hours_give_null_rate(spark):
     got = [(r["agent_name"], r["prod_tics"], r["dur_hr"], r["prod"], r["team_prod"])
            for r in productivity.productivity_weekly(t, cfg).collect()]
     assert got == [("Ann", 1, 0.0, None, None)]
+
+
+def test_h7_supervisor_change_within_hour_fans_out(spark):
+    from deskpulse.plans import productivity as p
+    t = tables(spark,
+               agent_roster=[("acct_a", "1", "Ann", "ann@x")],
+               email_tickets=[upd("e1", "email", "1", D(2024, 1, 1), D(2024, 1, 2))],
+               subteams=[("1", "Ann", "ann@x", "EMEA", D(2023, 1, 1), D(2025, 1, 1), True)],
+               tracked_time=[("Division A", "Division A", "Division A", "Service Delivery", "Ann", "ann@x", sup,
+                              "Ticket Active", D(2024, 1, 1), "10:00:00", 1800, True) for sup in ("S1", "S2")])
+    got = sorted((r["supervisor"], r["h_tickets"], r["h_dur"], r["d_tickets"], r["h_prod"])
+                 for r in p.productivity_hourly(t, DEFAULT).collect())
+    # two rows (one per supervisor); the day total sums both, as the report does
+    assert got == [("S1", 1, 3600, 2, 1.0), ("S2", 1, 3600, 2, 1.0)]
+
+
+def test_h2_first_update_ties_are_kept(spark):
+    from deskpulse.plans import csat
+    cfg = dataclasses.replace(DEFAULT, csat_floor=D(2020, 1, 1))
+    rows = [upd("r1", "email", "1", D(2024, 1, 1), D(2024, 1, 2), score="good"),
+            upd("r1", "email", "1", D(2024, 1, 1), D(2024, 1, 2), score="bad"),
+            upd("r1", "email", "1", D(2024, 1, 1), D(2024, 1, 5), score="good")]
+    t = tables(spark, email_tickets=rows,
+               subteams=[("1", "Ann", "ann@x", "EMEA", D(2023, 1, 1), D(2025, 1, 1), True)])
+    got = sorted(r["satisfaction_rating_score"] for r in csat.csat_raw(t, cfg).collect())
+    assert got == ["bad", "good"]
