@@ -46,26 +46,42 @@ def _nested_order(grains: Mapping[str, Sequence[str]]) -> list[str]:
     return out
 
 
+GRAIN_METHOD = "window"
+
+
 def grain_table(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg",
-                extra_keys: Sequence[str] = ()) -> DataFrame:
+                extra_keys: Sequence[str] = (), method: str | None = None) -> DataFrame:
     """One row per finest key (``extra_keys`` + all grain keys) with one
     column per grain: the ``fn`` (avg, sum or count) of ``value`` over the
     rows sharing that grain's keys.  NULL keys form their own group, as in
-    a window partition."""
+    a window partition.
+
+    ``method="window"``: each grain is a window over the finest aggregate
+    (nested grains share one shuffle).  ``method="join"``: each grain is a
+    grouped aggregation of the finest aggregate joined back null-safe; no
+    sort of the finest table, and the grains are independent stages.
+    """
     keys = _unique(list(extra_keys) + [k for ks in grains.values() for k in ks])
     out = df.groupBy(*keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+
+    def finish(s, n):
+        if fn == "avg":
+            return F.when(n > 0, s.cast("double") / n)
+        if fn == "sum":
+            return s
+        if fn == "count":
+            return n
+        raise ValueError(fn)
+
+    if (method or GRAIN_METHOD) == "join":
+        fine = out
+        for name, gk in grains.items():
+            g = fine.groupBy(*gk).agg(finish(F.sum("_s"), F.sum("_n")).alias(name))
+            out = null_safe_join(out, g, list(gk))
+        return out.select(*keys, *grains)
     for name in _nested_order(grains):
         w = Window.partitionBy(*grains[name])
-        s, n = F.sum("_s").over(w), F.sum("_n").over(w)
-        if fn == "avg":
-            v = F.when(n > 0, s.cast("double") / n)
-        elif fn == "sum":
-            v = s
-        elif fn == "count":
-            v = n
-        else:
-            raise ValueError(fn)
-        out = out.withColumn(name, v)
+        out = out.withColumn(name, finish(F.sum("_s").over(w), F.sum("_n").over(w)))
     return out.select(*keys, *grains)
 
 
