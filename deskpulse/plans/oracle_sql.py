@@ -1,11 +1,16 @@
 """Oracle SQL (DuckDB) for every registered query.
 
-Each statement keeps the shape of the original report: window aggregates
-compared with equality, DISTINCT, left joins followed by IS NULL / IS NOT
-NULL.  The Spark plans use the rewritten forms (rank, roll-ups, anti
-joins), so a matching result checks the rewrite.  Differences kept on
-purpose: ordering keys spell out NULL placement and end with every
-output column, so that a row cap picks one well-defined set of rows.
+Each statement restates the original report query in its own shape, and
+keeps its structure and subquery names on purpose, because that is what
+the oracle is for: window aggregates compared with equality, DISTINCT,
+left joins followed by IS NULL / IS NOT NULL.  The inputs are the fixture
+views, the literals come from ``ReportConfig``.  The Spark plans use the
+rewritten forms (argmax by pre-aggregate + join, grain roll-ups, anti
+joins, carry-forward as-of), so a matching result checks each rewrite.
+Differences kept on purpose: ordering keys spell out NULL placement and
+end with every output column, so that a row cap picks one well-defined
+set of rows; integer sums are cast to bigint (DuckDB widens them); team
+hours divide summed seconds (equal in exact arithmetic).
 """
 
 from __future__ import annotations
