@@ -172,3 +172,19 @@ def test_asof_equals_brute_force(spark, facts, dims):
             best = max(e for _, e in cand)
             want += [(tid, s, e) for s, e in cand if e == best]
     assert got == sorted(want, key=_key)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["1", "2", "3", "4"]), st.one_of(st.none(), st.integers(0, 5)),
+                          st.sampled_from(["x", "y"])), min_size=1, max_size=30),
+       st.lists(st.sampled_from(["1.0", "2.0", "3.5", "junk", "9"]), max_size=4))
+def test_exclusion_commutes_with_first_update(spark, data, excl):
+    base = D(2024, 1, 1)
+    df = spark.createDataFrame([(k, None if d is None else base + dt.timedelta(days=d), v) for k, d, v in data],
+                               "ticket_id string, date_updated date, v string")
+    ex = spark.createDataFrame([(e,) for e in excl], "ext_interaction_id string")
+    key = numeric_id_text("ext_interaction_id")
+    before = first_per_key(exclude_ids(df, "ticket_id", ex, key), ["ticket_id"], "date_updated")
+    after = exclude_ids(first_per_key(df, ["ticket_id"], "date_updated"), "ticket_id", ex, key)
+    cols = ("ticket_id", "date_updated", "v")
+    assert rows(before, *cols) == rows(after, *cols)
