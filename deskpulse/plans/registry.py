@@ -53,3 +53,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rated_without_exclusions": _report(bb.rated_without_exclusions),
     "update_lag_multi_grain": _report(bb.update_lag_multi_grain),
 }
+
+# SURVEY §2 inventory IDs exercised by each registered query.
+INVENTORY: dict[str, tuple[str, ...]] = {
+    "attendance": ("R16", "F1", "F2", "Q1", "Q9", "O1", "O3"),
+    "frt_chat_multi_grain": ("R7", "C2", "C6", "J3", "J4", "J10", "F4", "F5", "F6", "F8", "F9", "F12", "O1", "O3"),
+    "frt_email_multi_grain": ("R9", "C2", "C6", "J3", "J4", "J10", "F8", "F12", "O3"),
+    "frt_email_kpi": ("R8", "C2", "C6", "J3", "J10", "J14", "O3"),
+    "frt_email_flex": ("R15", "C2", "C6", "J3", "J10", "J13", "O3"),
+    "frt_chat_flex": ("R10", "C1", "C6", "J1", "J2", "F17", "W1", "W7"),
+    "frt_chat_asof": ("R6", "C4", "C6", "J3", "J6", "J12", "F15", "F16", "O3"),
+    "csat_raw": ("R11", "C13", "J4", "J8", "J9", "U1", "F11", "Q8"),
+    "csat_clean": ("R12", "C13", "C14", "J7"),
+    "csat_narrow": ("R13", "C13", "C14", "F3"),
+    "csat_flex": ("R14", "C14", "U1", "U2", "J9", "Q9"),
+    "wait_time_supervisor": ("R4", "C3", "C5", "C6", "C15", "F7", "J4", "J11", "J12", "O2", "O3", "P5"),
+    "wait_time_multi_grain": ("R5", "C3", "C6", "F7", "J4", "O2", "O3"),
+    "channel_counts_hourly": ("C7", "A1", "A2", "W3", "P3", "J1", "J13", "Q2", "Q3", "Q4"),
+    "channel_counts_weekly": ("C7", "A2", "A5", "W3", "W6"),
+    "tracked_hours": ("C8", "A3", "W2", "W6", "Q5", "Q6", "Q7"),
+    "manual_hours": ("C9", "A3", "W2", "P5"),
+    "productivity_hourly": ("R1", "C7", "C8", "C9", "C10", "C11", "A4", "J5", "J11", "F10", "F13", "F14", "O3"),
+    "productivity_weekly": ("R2", "C7", "C8", "C9", "C11", "A4", "P4", "F14"),
+    "productivity_flex": ("R3", "C7", "C12", "A4", "P6", "F13"),
+    "latest_update_per_ticket": ("C1", "W4", "Q10"),
+    "latest_update_per_ticket_day": ("C1", "W4", "Q10"),
+    "first_update_per_ticket": ("C2", "W5", "F8"),
+    "longest_wait": ("C3", "F7"),
+    "scd2_team_left": ("J4", "J2", "Q5"),
+    "scd2_team_inner": ("J5",),
+    "asof_supervisor": ("C4", "J6", "F15"),
+    "current_roster": ("C5",),
+    "resolve_supervisor": ("C15", "C5", "P5", "J11"),
+    "rated_without_exclusions": ("C14", "J7", "F11"),
+    "update_lag_multi_grain": ("C6", "W1", "F8", "H13"),
+}

@@ -28,3 +28,11 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "response_time_first" in df.columns
+
+
+def test_every_query_maps_to_inventory_ids():
+    from deskpulse.plans.registry import INVENTORY
+    assert set(INVENTORY) == set(Q)
+    covered = {i for ids in INVENTORY.values() for i in ids}
+    for rid in [f"R{i}" for i in range(1, 17)] + [f"C{i}" for i in range(1, 16)]:
+        assert rid in covered, rid
