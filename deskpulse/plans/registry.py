@@ -65,7 +65,7 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "frt_chat_asof": ("R6", "C4", "C6", "J3", "J6", "J12", "F15", "F16", "O3"),
     "csat_raw": ("R11", "C13", "J4", "J8", "J9", "U1", "F11", "Q8"),
     "csat_clean": ("R12", "C13", "C14", "J7"),
-    "csat_narrow": ("R13", "C13", "C14", "F3"),
+    "csat_narrow": ("R13", "C13", "C14"),
     "csat_flex": ("R14", "C14", "U1", "U2", "J9", "Q9"),
     "wait_time_supervisor": ("R4", "C3", "C5", "C6", "C15", "F7", "J4", "J11", "J12", "O2", "O3", "P5"),
     "wait_time_multi_grain": ("R5", "C3", "C6", "F7", "J4", "O2", "O3"),
