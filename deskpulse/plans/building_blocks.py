@@ -98,9 +98,8 @@ def resolve_supervisor(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     x = all_updates(t, cfg).select("assignee_id", "local_date_created")
     x = validity_join(x, _team(t, True), "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner", bound_by=t.subteams)
     x = x.select("local_date_created", "agent_name").distinct()
-    su = (t.tracked_time.where(F.col("division_name") == cfg.tracked_division)
-           .select(F.col("start_date").alias("_sdate"), F.col("supervisor").alias("_util_sup"),
-                   F.col("agent_name").alias("_agent")).distinct())
+    from deskpulse.plans.wait import tracked_supervisors
+    su = tracked_supervisors(t, cfg)
     x = x.join(su, (F.col("local_date_created") == F.col("_sdate")) & (F.col("_agent") == F.col("agent_name")), "left")
     cur = bounded_broadcast(current_roster(t, cfg), bound_by=t.hr_roster)
     x = x.join(cur, F.col("agent_name") == F.col("full_name"), "left")

@@ -36,6 +36,15 @@ BASE_COLS = ["client_account", "local_date_created", "hour_", "ticket_id", "assi
              "agent_name"]
 
 
+def tracked_supervisors(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """Distinct (day, supervisor, agent) of the division's tracked time
+    (shared by R4 and the supervisor-resolution query)."""
+    return shared(t, "tracked_supervisors", cfg, lambda: (
+        t.tracked_time.where(F.col("division_name") == cfg.tracked_division)
+         .select(F.col("start_date").alias("_sdate"), F.col("supervisor").alias("_util_sup"),
+                 F.col("agent_name").alias("_agent")).distinct()))
+
+
 def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> DataFrame:
     legs = (shared(t, "longest_wait", cfg, lambda: longest_wait(t.call_legs, cfg.account))
             .select(F.col("ticket_id").alias("_did"), "dur").distinct())
@@ -52,9 +61,7 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> D
     x = validity_join(zd, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left", bound_by=t.subteams)
     x = x.where(F.col("local_date_created") >= lit_like(x, "local_date_created", cfg.wait_time_floor))
     if with_supervisor:
-        su = (t.tracked_time.where(F.col("division_name") == cfg.tracked_division)
-               .select(F.col("start_date").alias("_sdate"), F.col("supervisor").alias("_util_sup"),
-                       F.col("agent_name").alias("_agent")).distinct())
+        su = tracked_supervisors(t, cfg)
         x = x.join(su, (F.col("local_date_created") == F.col("_sdate")) & (F.col("_agent") == F.col("agent_name")),
                    "left")
         cur = bounded_broadcast(shared(t, "current_roster", cfg,
