@@ -12,6 +12,7 @@ real size.
 from __future__ import annotations
 
 import hashlib
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -20,9 +21,18 @@ from pyspark.sql import DataFrame
 from deskpulse.session import ensure_checkpoint_dir
 
 
+_lock = threading.RLock()
+
+
 def shared(t, key: str, cfg, build: Callable[[], DataFrame]) -> DataFrame:
     """The intermediate ``key`` (for this input set and configuration):
-    built by ``build`` and written on first use, then scanned."""
+    built by ``build`` and written on first use, then scanned.  Callers in
+    several threads wait for one writer."""
+    with _lock:
+        return _shared(t, key, cfg, build)
+
+
+def _shared(t, key: str, cfg, build: Callable[[], DataFrame]) -> DataFrame:
     memo = t._small.setdefault("_shared", {})
     tag = key + "-" + hashlib.sha1(repr(cfg).encode()).hexdigest()[:10]
     if tag in memo:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from dataclasses import dataclass, field
 
@@ -76,6 +77,7 @@ class Tables:
 
 
 _loaded: dict = {}
+_lock = threading.RLock()
 
 
 def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True,
@@ -93,6 +95,11 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True,
     sf0.1 in local mode it was slower (97 s vs 75 s for all queries), so it
     is off by default.
     """
+    with _lock:
+        return _load_tables(spark, sf_dir, materialize, bucket_inputs)
+
+
+def _load_tables(spark: SparkSession, sf_dir: str, materialize: bool, bucket_inputs: bool) -> Tables:
     from deskpulse.sources.fixtures import fixture_tables, write_fixtures
     if not materialize:
         return Tables(**fixture_tables(spark, sf_dir))
