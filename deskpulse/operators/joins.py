@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deskpulse.constants import ACTIVE_PROFILE
+
 
 # Largest dimension broadcast on a hint, in estimated bytes of the projected
 # columns.  Larger inputs are left to the planner: adaptive execution still
@@ -135,4 +137,4 @@ def current_roster(hr: DataFrame, division: str) -> DataFrame:
     cur = h.join(bounded_broadcast(mx, bound_by=hr),
                  (F.col("full_name") == F.col("_fn")) & (F.col("status_effectivity_date") == F.col("_ms"))
                  & (F.col("job_effectivity_date") == F.col("_mj")) & (F.col("created_on") == F.col("_mc")))
-    return cur.where(F.col("profile_status") == "Active").select("full_name", "job_supervisor").distinct()
+    return cur.where(F.col("profile_status") == ACTIVE_PROFILE).select("full_name", "job_supervisor").distinct()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskpulse.config import DEFAULT, ReportConfig
+from deskpulse.constants import RATINGS
 from deskpulse.functions import days_between, month_start, numeric_id_text, round_avg_text, week_start
 from deskpulse.operators import (
     asof_nearest, attach_grains, bounded_broadcast, current_roster as _current_roster, exclude_ids,
@@ -110,7 +111,7 @@ def resolve_supervisor(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
 
 def rated_without_exclusions(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """C14: rated tickets minus the exclusion list (ids such as '123.0')."""
-    x = (all_updates(t, cfg).where(F.col("satisfaction_rating_score").isin("good", "bad"))
+    x = (all_updates(t, cfg).where(F.col("satisfaction_rating_score").isin(*RATINGS))
          .select("ticket_id", "channel", "satisfaction_rating_score"))
     return exclude_ids(x, "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id")).distinct()
 

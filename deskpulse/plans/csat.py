@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskpulse.config import DEFAULT, ReportConfig
+from deskpulse.constants import RATINGS
 from deskpulse.functions import hour_of_time_text, not_like_all, numeric_id_text, us_date
 from deskpulse.operators import exclude_ids, first_per_key, validity_join
 from deskpulse.plans.common import lit_like, roster
 from deskpulse.plans.shared import shared
 
-RATED = ("good", "bad")
 BASE_COLS = ["client_account", "ticket_id", "channel", "local_date_created", "local_time_created",
              "satisfaction_rating_score", "satisfaction_rating_comment", "assignee_id", "tags", "type",
              "date_updated"]
@@ -31,7 +31,7 @@ def rated_updates(t, cfg: ReportConfig) -> DataFrame:
     """Rated updates of the four ticket tables, one account."""
     u = reduce(DataFrame.unionByName,
                [x.select(*BASE_COLS) for x in (t.email_tickets, t.chat_tickets, t.call_tickets, t.web_tickets)])
-    return u.where(F.col("satisfaction_rating_score").isin(*RATED) & (F.col("client_account") == cfg.account))
+    return u.where(F.col("satisfaction_rating_score").isin(*RATINGS) & (F.col("client_account") == cfg.account))
 
 
 def csat_base(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
@@ -109,7 +109,7 @@ def csat_flex(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     cols = ["ticket_id", "channel", "local_date_created", "assignee_id", "satisfaction_rating_score"]
     srcs = (t.email_tickets, t.chat_tickets, t.web_tickets, t.kpi_summary, t.call_tickets)
     u = reduce(DataFrame.unionByName, [
-        s.where((F.col("client_account") == cfg.account) & F.col("satisfaction_rating_score").isin(*RATED))
+        s.where((F.col("client_account") == cfg.account) & F.col("satisfaction_rating_score").isin(*RATINGS))
          .select(*cols) for s in srcs])
     u = u.where(F.col("local_date_created") > lit_like(u, "local_date_created", cfg.csat_flex_after)).distinct()
     r = roster(t, cfg.flex_roster_account).where(F.col("_rid").isNotNull() & F.col("agent_email").isNotNull())

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskpulse.config import DEFAULT, ReportConfig
+from deskpulse.constants import CHAT_SESSION_TYPE, DONE_STATUSES
 from deskpulse.functions import (
     days_between, full_name, hour_of_time_text, month_start, nan_to_null, num_text,
     round_avg_text, us_date, week_start,
@@ -27,7 +28,6 @@ from deskpulse.operators import (
 from deskpulse.plans.common import lit_like, roster, top_k
 from deskpulse.plans.shared import shared
 
-SOLVED = ("closed", "solved")
 
 
 def _with_periods(df: DataFrame, date_col: str = "local_date_created") -> DataFrame:
@@ -39,7 +39,7 @@ def _first_update(t, cfg: ReportConfig, source: str, channel: str) -> DataFrame:
     with the smallest creation-to-update lag (shared by R7/R9/R8/R15)."""
     def build():
         tickets = getattr(t, source)
-        tk = (tickets.where((F.col("client_account") == cfg.account) & F.col("status").isin(*SOLVED)
+        tk = (tickets.where((F.col("client_account") == cfg.account) & F.col("status").isin(*DONE_STATUSES)
                             & (F.col("channel") == channel))
                      .select("ticket_id", "local_date_created", "local_time_created", "date_updated",
                              "assignee_id", F.col("channel").alias("_ticket_channel"))
@@ -199,7 +199,7 @@ ASOF_COLS = ["ticket_id", "local_date_created", "channel", "response_time_first"
 def frt_chat_asof(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Chat first response per rostered agent, with the supervisor of the
     HR record in force on the day (nearest earlier job date, C4)."""
-    ins = t.chat_insights.where((F.col("client_account") == cfg.account) & (F.col("type") == "chat"))
+    ins = t.chat_insights.where((F.col("client_account") == cfg.account) & (F.col("type") == CHAT_SESSION_TYPE))
     a = (t.chat_tickets.where(F.col("client_account") == cfg.account)
           .select(F.col("ticket_id").alias("_aid"), "assignee_id").distinct())
     r = bounded_broadcast(roster(t, cfg.roster_account), bound_by=t.agent_roster)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskpulse.config import DEFAULT, ReportConfig
+from deskpulse.constants import CHANNELS, DONE_STATUSES, VOICEMAIL
 from deskpulse.functions import (
     hour_of_time_text, like_any, month_start, rate_or_count, round2, true_divide, us_date, week_start,
 )
@@ -36,8 +37,6 @@ from deskpulse.operators import (
 from deskpulse.plans.common import lit_like, roster, top_k
 from deskpulse.plans.shared import shared
 
-SOLVED = ("solved", "closed")
-CHANNELS = ("voice", "chat", "email", "web", "api")
 
 
 def _agents(t, account: str | None) -> DataFrame:
@@ -64,7 +63,7 @@ def channel_rows(t, cfg: ReportConfig, account: str | None, hourly: bool) -> dic
         zct = zct.where(F.col("channel") == "voice")
     zct = zct.select(F.col("ticket_id").alias("_ztid"), F.col("local_date_created").alias("_zldc"),
                      "assignee_id").distinct()
-    legs = (t.call_legs.where(acct & F.col("ticket_id").isNotNull() & (F.col("forwarded_to") != "Voicemail"))
+    legs = (t.call_legs.where(acct & F.col("ticket_id").isNotNull() & (F.col("forwarded_to") != VOICEMAIL))
              .select("ticket_id", F.col("local_date").alias("local_date_created"),
                      F.col("local_time").alias("local_time_created")))
     voice = (legs.join(zct, F.col("ticket_id") == F.col("_ztid"))
@@ -82,7 +81,7 @@ def channel_rows(t, cfg: ReportConfig, account: str | None, hourly: bool) -> dic
     def latest_then_agent(df):
         x = latest_per_key(df.select(*upd), per_day, "date_updated")
         if hourly:
-            x = x.where(F.col("status").isin(*SOLVED))
+            x = x.where(F.col("status").isin(*DONE_STATUSES))
         x = x.join(agents, F.col("assignee_id") == F.col("_rid")).where(F.col("agent_name").isNotNull())
         return x.select(*cols).distinct()
 

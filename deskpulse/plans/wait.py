@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskpulse.config import DEFAULT, ReportConfig
+from deskpulse.constants import DONE_STATUSES, OUTBOUND
 from deskpulse.functions import hour_of_time_text, month_start, round_avg_text, us_date, week_start
 from deskpulse.operators import attach_grains, bounded_broadcast, current_roster, longest_wait, validity_join
 from deskpulse.plans.common import lit_like, top_k
@@ -49,8 +50,8 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> D
     legs = (shared(t, "longest_wait", cfg, lambda: longest_wait(t.call_legs, cfg.account))
             .select(F.col("ticket_id").alias("_did"), "dur").distinct())
     zct = t.call_tickets.where((F.col("client_account") == cfg.account)
-                               & (F.col("via_source_rel") != "outbound")
-                               & F.col("status").isin("solved", "closed"))
+                               & (F.col("via_source_rel") != OUTBOUND)
+                               & F.col("status").isin(*DONE_STATUSES))
     zd = (zct.join(legs, F.col("ticket_id") == F.col("_did"), "left")
              .select("ticket_id", "dur", "channel", "local_date_created",
                      hour_of_time_text("local_time_created").alias("hour_"), "assignee_id")
