@@ -39,9 +39,12 @@ def _shared(t, key: str, cfg, build: Callable[[], DataFrame]) -> DataFrame:
         return memo[tag]
     df = build()
     spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    if base is None:  # no shared folder named: same rows, lazily
+        memo[tag] = df
+        return df
     run = t._small.setdefault("_run_id", uuid.uuid4().hex[:12])
-    path = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/deskpulse-shared/"
-            f"{spark.sparkContext.applicationId}/{run}/{tag}")
+    path = f"{base.rstrip('/')}/deskpulse-shared/{spark.sparkContext.applicationId}/{run}/{tag}"
     try:
         df.write.mode("overwrite").parquet(path)
         memo[tag] = spark.read.parquet(path)

@@ -48,15 +48,19 @@ def build_session(master: str | None = None, app: str = "deskpulse",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (local
-    tests) is a fresh local scratch folder created.
+    A cluster names a shared folder there.  Only when it is unset and the
+    master is local (tests, local runs) is a fresh local scratch folder
+    made; on a cluster without one this returns None and callers keep their
+    plans lazy instead of writing to a machine-local folder.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            return None
         d = tempfile.mkdtemp(prefix="deskpulse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return d

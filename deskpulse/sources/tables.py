@@ -107,7 +107,11 @@ def _load_tables(spark: SparkSession, sf_dir: str, materialize: bool, bucket_inp
     if key in _loaded:
         return _loaded[key]
     from deskpulse.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = ensure_checkpoint_dir(spark)
+    if base is None:  # no shared folder named: keep the inputs lazy
+        _loaded[key] = Tables(**fixture_tables(spark, sf_dir))
+        return _loaded[key]
+    base = base.rstrip("/")
     tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
     # one folder per application: the checkpoint folder is shared, so two
     # applications must never overwrite each other's inputs
