@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from deskpulse.llm.chat_format import OP3_SQL, op3_chat_format
+from deskpulse.llm.embed_dedup import op1_embedding_near_dedup
 from deskpulse.llm.minhash_dedup import op2_minhash_near_dedup
+from deskpulse.llm.url_filter import op9_sql, op9_url_filter
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_chat_format": op3_chat_format,
+    "op9_url_filter": op9_url_filter,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_chat_format": OP3_SQL,
+    "op9_url_filter": op9_sql(),
+}
