@@ -5,12 +5,16 @@ from __future__ import annotations
 from deskpulse.llm.chat_format import OP3_SQL, op3_chat_format
 from deskpulse.llm.embed_dedup import op1_embedding_near_dedup
 from deskpulse.llm.minhash_dedup import op2_minhash_near_dedup
+from deskpulse.llm.pii import op4_pii
+from deskpulse.llm.secrets import op6_secret_scan
 from deskpulse.llm.url_filter import op9_sql, op9_url_filter
 
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_chat_format": op3_chat_format,
+    "op4_pii": op4_pii,
+    "op6_secret_scan": op6_secret_scan,
     "op9_url_filter": op9_url_filter,
 }
 
