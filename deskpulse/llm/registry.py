@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from deskpulse.llm.chat_format import OP3_SQL, op3_chat_format
+from deskpulse.llm.decontaminate import op10_benchmark_decontamination
 from deskpulse.llm.embed_dedup import op1_embedding_near_dedup
 from deskpulse.llm.minhash_dedup import op2_minhash_near_dedup
 from deskpulse.llm.pii import op4_pii
+from deskpulse.llm.quality import op8_quality
 from deskpulse.llm.secrets import op6_secret_scan
+from deskpulse.llm.toxicity import op7_toxicity
 from deskpulse.llm.url_filter import op9_sql, op9_url_filter
 
 QUERIES = {
@@ -15,7 +18,10 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_pii": op4_pii,
     "op6_secret_scan": op6_secret_scan,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 ORACLE: dict[str, str] = {
