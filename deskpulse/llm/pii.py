@@ -183,6 +183,11 @@ def redact_pii(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
     return found.withColumn(c, F.coalesce(select_spans(c, model), F.array())).withColumn(text, redact(F.col(text), F.col(c), KINDS)).select(*docs.columns)
 
 
+def redact_documents(docs: DataFrame) -> DataFrame:
+    """``redact_pii`` for rows of ``documents``: n_chars becomes the length of the new text."""
+    return redact_pii(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
 def pii_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, base, spans): arrays of struct<kind, start, end> per row of ``docs``."""
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

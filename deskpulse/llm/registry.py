@@ -9,6 +9,7 @@ from deskpulse.llm.minhash_dedup import op2_minhash_near_dedup
 from deskpulse.llm.pii import op4_pii
 from deskpulse.llm.quality import op8_quality
 from deskpulse.llm.secrets import op6_secret_scan
+from deskpulse.llm.sentencepiece_scan import op5_sentencepiece
 from deskpulse.llm.toxicity import op7_toxicity
 from deskpulse.llm.url_filter import op9_sql, op9_url_filter
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_pii": op4_pii,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_secret_scan": op6_secret_scan,
     "op7_toxicity": op7_toxicity,
     "op8_quality": op8_quality,
