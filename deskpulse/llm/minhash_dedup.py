@@ -12,15 +12,17 @@ How it stays whole and bounded at any size:
 * Texts with equal shingle sets are one class from the start (a grouped
   minimum of the doc_id over the set's 128-bit fingerprint), so a group of
   copies costs one row however large it is.
-* Buckets never emit their pairs. Each bucket first links its members to one
-  pivot (a grouped minimum joined back); the verified stars are joined into
-  components. A few rounds repeat this with other pivots among members that
-  are still in different components of a bucket. Whatever buckets then still
-  hold more than one component are resolved exactly: their members are dealt
-  into blocks, every pair of blocks is estimated by bit counts in numpy, and
-  only pairs across components that may reach the threshold are confirmed.
-* Shingle sets are made again from the texts of candidate documents only;
-  they are never written for the corpus.
+* Pairs are never written out. The members of a bucket are dealt into blocks
+  of bounded size, and two blocks meet in numpy, where all their pairs are
+  estimated at once. A meeting returns at most one row per member: the root
+  of its tree in the graph of likely pairs.
+* The components of those trees are families: documents that may be linked.
+  Only families' texts are read again for their shingle sets. A family is
+  dealt into blocks bounded by members and by shingles; where two blocks
+  meet, every likely pair is confirmed on the full sets (by merging two
+  sorted sets, or for many pairs by one product of incidence matrices), and
+  again only trees are returned. A family of any size is thus many bounded
+  tasks, and every likely pair is confirmed or already connected.
 
 Defined cases: a null, empty or separator-only text has an empty set and is
 linked with nothing (also not with another empty text); a text with fewer
@@ -40,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deskpulse.llm.bloom import bloom_filter, in_bloom
 from deskpulse.llm.components import components
 from deskpulse.llm.io import cut
 from deskpulse.llm.textvec import arrow_buffers, mix, shingle_hashes, slices, word_hashes
@@ -48,8 +51,10 @@ ROWS = 5  # minima per band
 BITS = 4  # kept bits per minimum
 MISS = 1e-6  # chance that a pair at the threshold shares no band
 SLACK = 5.0  # standard deviations by which an estimate may fall short
-BLOCK = 256  # members per block of an unresolved bucket
-PIVOT_ROUNDS = 3
+BLOCK = 1024  # members per block
+BLOCK_SHINGLES = 1 << 18  # shingles per block of a family
+STRIP = 128  # rows of a block estimated at once
+COLUMNS = 4096  # shingles per step of an incidence product
 
 
 def band_count(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -107,11 +112,16 @@ def _signatures(k: int, bands: int):
     return run
 
 
-def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, shingles): sorted distinct shingle hashes of each whole text."""
+def shingle_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
+    """(doc_id, shingles): sorted distinct shingle hashes of the whole texts of
+    the wanted documents. A Bloom filter of fixed size, made from the wanted
+    ids, drops most other rows where they are scanned, so texts are not
+    shuffled; the exact choice is the caller's join on doc_id."""
+    bloom = docs.sparkSession.sparkContext.broadcast(bloom_filter(wanted))
 
     def run(batches):
         for whole in batches:
+            whole = whole.filter(pa.array(in_bloom(bloom.value, whole.column("doc_id").to_numpy())))
             for b in slices(whole, "text"):
                 h, first = word_hashes(*arrow_buffers(b.column("text")))
                 sets = [shingle_hashes(h[first[i] : first[i + 1]], k).astype(np.int64) for i in range(b.num_rows)]
@@ -122,7 +132,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def _similar(equal_lanes, n_hash: int):
+def _similar(equal_lanes: np.ndarray, n_hash: int) -> np.ndarray:
     """b-bit estimate of the Jaccard similarity: equal lanes less those that
     are equal by chance."""
     chance = 2.0**-BITS
@@ -135,92 +145,118 @@ def _least_estimate(threshold: float, n_hash: int) -> float:
     return threshold - SLACK * math.sqrt(p * (1 - p) / n_hash) / (1 - chance)
 
 
-def _equal_lanes(sa, sb, n_hash: int):
-    """Column: lanes in which two packed signatures agree. A lane differs if
-    any of its bits does; the bits are or-ed into its lowest one and counted."""
-    ones = int("1" * (64 // BITS), 2**BITS)
-    ones = ones - 2**64 if ones >= 2**63 else ones
+def _likely(sx, sy, nx, ny, n_hash: int, least: float, percent: int) -> np.ndarray:
+    """Boolean matrix: pairs whose sizes and signatures allow the threshold."""
+    ones = np.uint64(int("1" * (64 // BITS), 2**BITS))
+    out = np.minimum(nx[:, None], ny) * 100 >= np.maximum(nx[:, None], ny) * percent
+    for at in range(0, len(nx), STRIP):
+        differ = np.zeros((min(STRIP, len(nx) - at), len(ny)), np.int64)
+        for w in range(sx.shape[1]):  # a lane differs if any of its bits does
+            z = sx[at : at + STRIP, w, None] ^ sy[:, w]
+            z |= z >> np.uint64(1)
+            z |= z >> np.uint64(2)
+            differ += np.bitwise_count(z & ones)
+        out[at : at + STRIP] &= _similar(n_hash - differ, n_hash) >= least
+    return out
 
-    def differing(x, y):
-        z = x.bitwiseXOR(y)
-        for step in (1, 2):
-            z = z.bitwiseOR(F.shiftrightunsigned(z, step))
-        return F.bit_count(z.bitwiseAND(F.lit(ones)))
 
-    return F.lit(n_hash) - F.aggregate(F.zip_with(sa, sb, differing), F.lit(0), lambda a, d: a + d)
+def _trees(link: np.ndarray, xi: np.ndarray, yi: np.ndarray) -> pa.RecordBatch:
+    """(a, b): every member with a link and the smallest member reachable within the meeting."""
+    rx, ry = xi.copy(), yi.copy()
+    big = np.iinfo(np.int64).max
+    while True:
+        nx = np.minimum(rx, np.where(link, ry, big).min(1))
+        ny = np.minimum(ry, np.where(link, nx[:, None], big).min(0))
+        if (nx == rx).all() and (ny == ry).all():
+            break
+        rx, ry = nx, ny
+    hx, hy = link.any(1), link.any(0)
+    return pa.record_batch([pa.array(np.concatenate([xi[hx], yi[hy]])), pa.array(np.concatenate([rx[hx], ry[hy]]))], names=["a", "b"])
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int, n_hash: int) -> DataFrame:
-    """Of distinct candidate pairs (a, b) those whose full sets reach the threshold."""
-    side = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("sig").alias(f"s{c}"))
-    likely = (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        # the larger set bounds the similarity from above
-        .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        .where(_similar(_equal_lanes(F.col("sa"), F.col("sb"), n_hash), n_hash) >= _least_estimate(percent / 100, n_hash))
-        .select("a", "b")
-    )
-    likely = cut(likely)
-    wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select(F.col("b").alias("doc_id"))).distinct()
-    sets = cut(shingle_sets(docs.join(wanted, "doc_id", "leftsemi"), k))
-    common = F.size(F.array_intersect("xa", "xb"))
-    return (
-        likely.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb")), "b")
-        .where(100 * common >= percent * (F.size("xa") + F.size("xb") - common))
-        .select("a", "b")
-    )
+def _meetings(members: DataFrame, group: str, row) -> DataFrame:
+    """(xs, ys): every two blocks of a group once, a block with itself included.
+    ``members`` has the columns of ``row``, ``doc_id``, ``group`` and ``blocks``."""
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    packed = dealt.groupBy(group, "blocks", "block").agg(F.collect_list(row).alias("rows"))
+    # a block goes to its meetings with itself and with every other block
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j")))
+    sent = packed.select(group, "block", "rows", F.explode(meets).alias("p"))
+    both = sent.groupBy(group, "p").agg(F.array_sort(F.collect_list(F.struct("block", "rows"))).alias("two"))
+    return both.select(F.get("two", 0)["rows"].alias("xs"), F.get("two", F.size("two") - 1)["rows"].alias("ys"))
 
 
-def _block_candidates(members: DataFrame, n_hash: int, least: float, percent: int) -> DataFrame:
-    """Pairs across components, within buckets that still hold several, whose
-    estimate may reach the threshold. ``members``: bucket, band, doc_id, comp,
-    n_shingles, bands, sig, size of the bucket.
-
-    A bucket of m members is dealt into ceil(m / BLOCK) blocks; a pair of
-    blocks meets once. A pair that shares several buckets is taken in the
-    first of them only.
-    """
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    row = F.struct("doc_id", "comp", "n_shingles", "bands", "sig")
-    packed = dealt.groupBy("bucket", "band", "blocks", "block").agg(F.collect_list(row).alias("rows"))
-    # the pair of blocks (i, j) is made from block i for j >= i and from block j for i <= j
-    pair = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j")),
-    )
-    met = packed.select("bucket", "band", "block", "rows", F.explode(pair).alias("p")).groupBy("bucket", "band", "p").agg(F.collect_list(F.struct("block", "rows")).alias("two"))
+def _array(rows: pa.StructArray, c: str) -> np.ndarray:
+    return rows.field(c).to_numpy(zero_copy_only=False)
+
+
+def _matrix(rows: pa.StructArray) -> np.ndarray:
+    flat = rows.field("sig").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return flat.reshape(len(rows), -1)
+
+
+def _likely_trees(members: DataFrame, n_hash: int, least: float, percent: int) -> DataFrame:
+    """Trees (a, b) of the likely pairs within buckets."""
+
+    def run(batches):
+        for b in batches:
+            for r in range(b.num_rows):
+                x, y = b.column("xs")[r].values, b.column("ys")[r].values
+                xi, yi = _array(x, "doc_id"), _array(y, "doc_id")
+                ok = _likely(_matrix(x), _matrix(y), _array(x, "n_shingles"), _array(y, "n_shingles"), n_hash, least, percent)
+                ok &= xi[:, None] != yi
+                if ok.any():
+                    yield _trees(ok, xi, yi)
+
+    blocked = members.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    return _meetings(blocked, "bucket", F.struct("doc_id", "n_shingles", "sig")).mapInArrow(run, "a long, b long")
+
+
+def _common(ok: np.ndarray, xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of the pairs marked in ``ok`` (0 elsewhere):
+    pair by pair, or for many pairs as a product of incidence matrices."""
+    out = np.zeros(ok.shape, np.int64)
+    i, j = np.nonzero(ok)
+    rows, cols = np.unique(i), np.unique(j)
+    flat = np.concatenate([xs[k] for k in rows] + [ys[k] for k in cols])
+    if len(i) * 60 < len(rows) * len(cols) + len(flat):
+        for a, b in zip(i, j, strict=True):
+            out[a, b] = len(np.intersect1d(xs[a], ys[b], assume_unique=True))
+        return out
+    _, col = np.unique(flat, return_inverse=True)
+    own = np.concatenate([np.full(len(xs[k]), r) for r, k in enumerate(rows)] + [np.full(len(ys[k]), len(rows) + c) for c, k in enumerate(cols)])
+    order = np.argsort(col, kind="stable")
+    col, own = col[order], own[order]
+    total = np.zeros((len(rows), len(cols)))
+    for lo in range(0, int(col[-1]) + 1, COLUMNS):
+        a, b = np.searchsorted(col, [lo, lo + COLUMNS])
+        m = np.zeros((len(rows) + len(cols), COLUMNS), np.float32)
+        m[own[a:b], col[a:b] - lo] = 1
+        total += m[: len(rows)] @ m[len(rows) :].T
+    out[np.ix_(rows, cols)] = np.rint(total).astype(np.int64)
+    return out
+
+
+def _confirmed_trees(members: DataFrame, n_hash: int, least: float, percent: int) -> DataFrame:
+    """Trees (a, b) of the pairs within families whose full sets reach the threshold."""
 
     def run(batches):
         for b in batches:
-            for band, p, two in zip(b.column("band").to_pylist(), b.column("p").to_pylist(), b.column("two").to_pylist(), strict=True):
-                two = sorted(two, key=lambda x: x["block"])
-                x, y = two[0]["rows"], two[-1]["rows"]
-                arr = lambda rows, c: np.array([r[c] for r in rows], dtype=np.int64)
-                dx, dy = arr(x, "doc_id"), arr(y, "doc_id")
-                ok = arr(x, "comp")[:, None] != arr(y, "comp")
-                if p["i"] == p["j"]:
-                    ok &= dx[:, None] < dy
-                nx, ny = arr(x, "n_shingles")[:, None], arr(y, "n_shingles")
-                ok &= np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * percent
-                bx, by = arr(x, "bands"), arr(y, "bands")
-                for q in range(band):
-                    ok &= bx[:, q][:, None] != by[:, q]
+            for r in range(b.num_rows):
+                x, y = b.column("xs")[r].values, b.column("ys")[r].values
+                xi, yi = _array(x, "doc_id"), _array(y, "doc_id")
+                nx, ny = _array(x, "n_shingles"), _array(y, "n_shingles")
+                ok = _likely(_matrix(x), _matrix(y), nx, ny, n_hash, least, percent)
+                ok &= xi[:, None] < yi if xi[0] == yi[0] and len(xi) == len(yi) else xi[:, None] != yi
                 if not ok.any():
                     continue
-                sx, sy = arr(x, "sig").astype(np.uint64), arr(y, "sig").astype(np.uint64)
-                i, j = np.nonzero(ok)
-                z = sx[i] ^ sy[j]
-                z |= z >> np.uint64(1)
-                z |= z >> np.uint64(2)
-                z &= np.uint64(int("1" * (64 // BITS), 2**BITS))
-                keep = _similar(n_hash - np.bitwise_count(z).sum(axis=1, dtype=np.int64), n_hash) >= least
-                a, c = dx[i[keep]], dy[j[keep]]
-                yield pa.record_batch([pa.array(np.minimum(a, c)), pa.array(np.maximum(a, c))], names=["a", "b"])
+                sets = [[v.values.to_numpy(zero_copy_only=False) for v in z.field("shingles")] for z in (x, y)]
+                common = _common(ok, *sets)
+                ok &= 100 * common >= percent * (nx[:, None] + ny - common)
+                if ok.any():
+                    yield _trees(ok, xi, yi)
 
-    return met.mapInArrow(run, "a long, b long").distinct()
+    return _meetings(members, "family", F.struct("doc_id", "n_shingles", "sig", "shingles")).mapInArrow(run, "a long, b long")
 
 
 def minhash_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -240,51 +276,22 @@ def minhash_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         .dropDuplicates(["doc_id"])
         .select("doc_id", "n_shingles", "bands", "sig")
     )
-    buckets = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
+    least = _least_estimate(percent / 100, n_hash)
+    buckets = reps.select("doc_id", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    buckets = cut(buckets.join(shared, "bucket"))  # only members of buckets that several share
-    links, comp, tried = None, None, None
-    for turn in range(PIVOT_ROUNDS):
-        open_ = _open_members(buckets, comp)
-        order = F.col("doc_id") if turn == 0 else F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id")
-        pivot = open_.groupBy("bucket").agg(F.min(order).alias("pivot"))
-        pivot = pivot.select("bucket", (F.col("pivot") if turn == 0 else F.col("pivot.doc_id")).alias("pivot"))
-        star = open_.join(pivot, "bucket").where("doc_id != pivot")
-        if comp is not None:
-            at = comp.select(F.col("node").alias("pivot"), F.col("component_id").alias("pc"))
-            star = star.join(at, "pivot", "left").where("comp != coalesce(pc, pivot)")
-        star = star.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
-        if tried is not None:
-            star = star.join(tried, ["a", "b"], "leftanti")
-        star = cut(star)
-        tried = star if tried is None else tried.union(star)
-        if star.isEmpty():
-            return _labelled(one, classes, comp)
-        found = _confirmed(star, reps, docs, k, percent, n_hash)
-        links = cut(found if links is None else links.union(found))
-        comp = cut(components(links))
-    open_ = _open_members(buckets, comp)
-    rest = open_.join(reps, "doc_id")
-    pairs = _block_candidates(rest, n_hash, _least_estimate(percent / 100, n_hash), percent).join(tried, ["a", "b"], "leftanti")
-    pairs = cut(pairs)
-    if not pairs.isEmpty():
-        comp = components(links.union(_confirmed(pairs, reps, docs, k, percent, n_hash)))
-    return _labelled(one, classes, comp)
-
-
-def _open_members(buckets: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """Members, with their component, of buckets that hold more than one."""
-    if comp is None:
-        return buckets.withColumn("comp", F.col("doc_id"))
-    own = buckets.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component_id", "doc_id")).drop("component_id")
-    several = own.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
-    return cut(own.join(several, "bucket", "leftsemi"))
-
-
-def _labelled(one: DataFrame, classes: DataFrame, comp: DataFrame | None) -> DataFrame:
+    narrow = reps.select("doc_id", "n_shingles", "sig")
+    members = buckets.join(shared, "bucket").join(narrow, "doc_id")
+    family = cut(components(cut(_likely_trees(members, n_hash, least, percent).where("a != b").distinct())))
+    sizes = family.join(narrow.select(F.col("doc_id").alias("node"), "n_shingles"), "node").groupBy("component_id")
+    sizes = sizes.agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    kin = family.join(sizes, "component_id").select(F.col("node").alias("doc_id"), F.col("component_id").alias("family"), "blocks").join(narrow, "doc_id")
+    sets = shingle_sets(docs, k, family.select(F.col("node").alias("doc_id")))
+    links = cut(_confirmed_trees(kin.join(sets, "doc_id"), n_hash, least, percent).where("a != b"))
+    return _labelled(one, classes, components(links))
+
+
+def _labelled(one: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame:
     out = one.join(classes, ["n_shingles", "f1", "f2"], "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
-    if comp is None:
-        return out.select("doc_id", "n_shingles", "class_id", F.col("class_id").alias("component_id"))
     named = comp.select(F.col("node").alias("class_id"), "component_id")
     return out.join(named, "class_id", "left").select("doc_id", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id"))
 
