@@ -1,7 +1,7 @@
 """Report parameters.
 
 Every literal the report queries hard-code (accounts, date floors, division
-names, activity patterns, row caps, standard hours) is a field here.  The
+names, activity patterns, standard hours) is a field here.  The
 defaults fit the fixture tables built by ``deskpulse.sources.fixtures``; a
 deployment passes its own values.
 """
@@ -9,7 +9,7 @@ deployment passes its own values.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -44,22 +44,5 @@ class ReportConfig:
     week_hours: int = 40
     month_hours: int = 160
 
-    # Report row caps (the reports are top-k lists).
-    caps: dict = field(default_factory=lambda: {
-        "frt_multi_grain": 30000,
-        "wait_time_multi_grain": 30000,
-        "productivity_hourly": 20000,
-        "wait_time_supervisor": 10000,
-        "frt_chat_asof": 10000,
-        "frt_email_kpi": 10000,
-        "frt_email_flex": 10000,
-        "attendance": 10000,
-    })
-
-    # Compatibility: two wait-time reports order by the *formatted* date
-    # text (mm/dd/yyyy) before their row cap.  True keeps that behaviour;
-    # False orders by the real date.
-    text_date_order: bool = True
-
 
 DEFAULT = ReportConfig()

@@ -1,100 +1,70 @@
 """Aggregates of one measure at several grains, attached to every row
 (C6 multi-grain average; A2-A5 counts and sums per key; W1-W3, W6).
 
-``AVG(x) OVER (PARTITION BY k)`` straight on the facts would sort the whole
-input once per key set and put every row of a large partition (one busy
-day, one team) into a single task.  Instead the measure is summed once at
-the finest grain (a grouped aggregation with map-side partial aggregation,
-so a hot key is pre-combined on every task).  That table has one row per
-distinct finest key, bounded by dimension sizes (agents x hours x days),
-not by the number of facts; each coarser grain is a window over it, and
-the result is joined back to the facts once, on the finest key.
+``AVG(x) OVER (PARTITION BY k)`` on the facts would sort the whole input once
+per key set and put every row of a large partition (one busy day, one team)
+into a single task.  Here nothing is a window: the measure is summed once at
+the finest grain, each coarser grain is a grouped aggregate of that table
+(partial aggregation before every shuffle, so a hot period is one row per
+task), and the grains are joined back on their keys.  The tables that are
+joined have one row per distinct finest key, not per fact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from deskpulse.operators.joins import null_safe_join
 
 
 def _unique(seq):
-    out = []
-    for x in seq:
-        if x not in out:
-            out.append(x)
-    return out
-
-
-def _nested_order(grains: Mapping[str, Sequence[str]]) -> list[str]:
-    """Grain names ordered so that each grain is followed by the grains whose
-    keys contain its keys.  A window partitioned by (agent, day) already
-    satisfies one partitioned by (agent, day, hour), so such runs share one
-    shuffle."""
-    left = dict(grains)
-    out: list[str] = []
-    while left:
-        base = min(left, key=lambda n: (len(left[n]), list(grains).index(n)))
-        chain = [n for n in left if set(left[base]) <= set(left[n])]
-        chain.sort(key=lambda n: (len(left[n]), list(grains).index(n)))
-        out += chain
-        for n in chain:
-            del left[n]
-    return out
-
-
-GRAIN_METHOD = "window"
-SPREAD_KEY = "agent_name"
+    return list(dict.fromkeys(seq))
 
 
 def grain_table(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg",
-                extra_keys: Sequence[str] = (), method: str | None = None) -> DataFrame:
+                extra_keys: Sequence[str] = (), nan_as_null: bool = False) -> DataFrame:
     """One row per finest key (``extra_keys`` + all grain keys) with one
     column per grain: the ``fn`` (avg, sum or count) of ``value`` over the
     rows sharing that grain's keys.  NULL keys form their own group, as in
     a window partition.
 
-    ``method="window"``: each grain is a window over the finest aggregate
-    (nested grains share one shuffle).  ``method="join"``: each grain is a
-    grouped aggregation of the finest aggregate joined back null-safe; no
-    sort of the finest table, and the grains are independent stages.
+    Fractional values are summed as decimals (six places), so a mean does not
+    depend on the order of summation; a group that holds a NaN gives NaN (H11)
+    unless ``nan_as_null``.
     """
     keys = _unique(list(extra_keys) + [k for ks in grains.values() for k in ks])
-    out = df.groupBy(*keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-
-    def finish(s, n):
-        if fn == "avg":
-            return F.when(n > 0, s.cast("double") / n)
-        if fn == "sum":
-            return s
+    v = F.col(value)
+    fractional = isinstance(df.schema[value].dataType, (DoubleType, FloatType))
+    nan = F.isnan(v) if fractional else F.lit(False)
+    number = F.when(~nan, v.cast("decimal(24,6)")) if fractional else v
+    fine = df.groupBy(*keys).agg(
+        F.sum(number).alias("_s"),
+        F.count(F.when(~nan, v) if nan_as_null else v).alias("_n"),
+        F.count(F.when(nan, 1)).alias("_nan"))
+
+    def finish(s, n, bad):
         if fn == "count":
             return n
+        poisoned = (bad > 0) if fractional and not nan_as_null else F.lit(False)
+        if fn == "avg":
+            return F.when(poisoned, F.lit(float("nan"))).when(n > 0, s.cast("double") / n)
+        if fn == "sum":
+            return F.when(poisoned, F.lit(float("nan"))).otherwise(s.cast("double")) if fractional else s
         raise ValueError(fn)
 
-    if (method or GRAIN_METHOD) == "join":
-        fine = out
-        for name, gk in grains.items():
-            g = fine.groupBy(*gk).agg(finish(F.sum("_s"), F.sum("_n")).alias(name))
-            out = null_safe_join(out, g, list(gk))
-        return out.select(*keys, *grains)
-    order = _nested_order(grains)
-    if SPREAD_KEY in keys:
-        # grains keyed by the agent first, after one shuffle by agent: a
-        # partitioning by agent satisfies every window whose keys include it
-        with_key = [n for n in order if SPREAD_KEY in grains[n]]
-        if len(with_key) > 1:
-            out = out.repartition(SPREAD_KEY)
-            order = with_key + [n for n in order if n not in with_key]
-    for name in order:
-        w = Window.partitionBy(*grains[name])
-        out = out.withColumn(name, finish(F.sum("_s").over(w), F.sum("_n").over(w)))
+    out = fine
+    for name, gk in grains.items():
+        g = fine.groupBy(*gk).agg(finish(F.sum("_s"), F.sum("_n"), F.sum("_nan")).alias(name))
+        out = null_safe_join(out, g, list(gk))
     return out.select(*keys, *grains)
 
 
-def attach_grains(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg") -> DataFrame:
+def attach_grains(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg",
+                  nan_as_null: bool = False) -> DataFrame:
     """``df`` with one extra column per grain (see ``grain_table``)."""
     keys = _unique([k for ks in grains.values() for k in ks])
-    return null_safe_join(df, grain_table(df, value, grains, fn), keys)
+    return null_safe_join(df, grain_table(df, value, grains, fn, nan_as_null=nan_as_null), keys)

@@ -13,7 +13,7 @@ ATTENDANCE_COLS = ["agent_email", "shift_start", "shift_end", "clock_in", "clock
                    "absenteeism", "tardiness", "agent_name", "local_date_created"]
 
 
-def attendance(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def attendance(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordered: bool = False) -> DataFrame:
     a = t.attendance
     a = a.where((F.col("client_account") == cfg.account)
                 & (F.col("shift_start") >= lit_like(a, "shift_start", cfg.attendance_floor)))
@@ -29,4 +29,4 @@ def attendance(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
         us_date(F.to_date("shift_start")).alias("local_date_created"),
         F.to_date("shift_start").alias("_day"),
     )
-    return top_k(out, [("_day", "desc"), ("agent_name", "asc")], cfg.caps["attendance"], ATTENDANCE_COLS)
+    return top_k(out, [("_day", "desc"), ("agent_name", "asc")], cap, ATTENDANCE_COLS, ordered)

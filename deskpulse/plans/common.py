@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,40 +23,20 @@ def sort_exprs(order: Sequence[tuple[str, str]], out_cols: Sequence[str]) -> lis
     return ex + [F.col(c).asc_nulls_last() for c in out_cols if c not in used]
 
 
-# Fan-in of the first top-k level (see ``top_k``).
-TOP_K_GROUPS = 64
-
-
 def top_k(df: DataFrame, order: Sequence[tuple[str, str]], k: int | None,
-          out_cols: Sequence[str], groups: int = TOP_K_GROUPS) -> DataFrame:
-    """O3: the first ``k`` rows in report order.  ``k=None`` returns every
-    row, unordered.
+          out_cols: Sequence[str], ordered: bool = False) -> DataFrame:
+    """O3: the first ``k`` rows in report order; ``k=None`` returns every row,
+    sorted by a range shuffle if ``ordered`` (O1).
 
-    Two levels, so no task merges more than ``groups * k`` rows however many
-    partitions feed it: rows are tagged with their task's partition id
-    modulo ``groups``; ``row_number() <= k`` per tag (a ``WindowGroupLimit``,
-    so each task ships at most k rows) leaves at most ``groups * k`` rows;
-    the final ``TakeOrderedAndProject`` picks the first k of those.  Used
-    when the session lets Spark plan that limit
-    (``spark.sql.optimizer.windowGroupLimitThreshold >= k``, set by
-    ``build_session``); otherwise a single ``TakeOrderedAndProject``.  The
+    With a cap every task keeps its own first k rows and one task merges
+    those (``TakeOrderedAndProject``, k rows in memory), in any session.  The
     ordering ends with every output column, so the result does not depend
     on which task a row was in.
     """
-    if k is None:
+    if k is None and not ordered:
         return df.select(*out_cols)
-    ex = sort_exprs(order, out_cols)
-    # The per-task limit needs a WindowGroupLimit, which Spark plans only for
-    # limits up to this threshold; without it the first level would shuffle
-    # every row, so fall back to the single-level plan.
-    limit_ok = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")) >= k
-    if groups and groups > 1 and limit_ok:
-        w = Window.partitionBy("_tk_g").orderBy(*ex)
-        df = (df.withColumn("_tk_g", F.spark_partition_id() % groups)
-                .withColumn("_tk_rn", F.row_number().over(w))
-                .where(F.col("_tk_rn") <= k)
-                .drop("_tk_g", "_tk_rn"))
-    return df.orderBy(*ex).limit(k).select(*out_cols)
+    out = df.orderBy(*sort_exprs(order, out_cols))
+    return (out if k is None else out.limit(k)).select(*out_cols)
 
 
 def roster(t, account: str | None) -> DataFrame:

@@ -19,7 +19,7 @@ from deskpulse.config import DEFAULT, ReportConfig
 from deskpulse.constants import RATINGS
 from deskpulse.functions import hour_of_time_text, not_like_all, numeric_id_text, us_date
 from deskpulse.operators import exclude_ids, first_per_key, validity_join
-from deskpulse.plans.common import lit_like, roster
+from deskpulse.plans.common import lit_like, roster, top_k
 from deskpulse.plans.shared import shared
 
 BASE_COLS = ["client_account", "ticket_id", "channel", "local_date_created", "local_time_created",
@@ -64,46 +64,51 @@ _INNER = ["ticket_id", "channel", "local_date_created", "local_time_created", "s
           "satisfaction_rating_comment", "tags", "type", "zendesk_assignee", "date_updated", "subteam"]
 
 
-def _raw_out(x: DataFrame, excl_col) -> DataFrame:
-    return x.select(
+def _raw_out(x: DataFrame, excl_col, ordered: bool) -> DataFrame:
+    out = x.select(
         "ticket_id", "channel", us_date("local_date_created").alias("local_date_created"),
         hour_of_time_text("local_time_created").alias("hour_"), "satisfaction_rating_score",
         "satisfaction_rating_comment", "tags", "type", excl_col.alias("uncontrollable_dsat"),
-        "zendesk_assignee", "subteam")
+        "zendesk_assignee", "subteam", F.col("local_date_created").alias("_day"),
+        F.col("local_time_created").alias("_time"))
+    return top_k(out, [("_day", "asc"), ("_time", "asc"), ("ticket_id", "asc")], None, RAW_COLS, ordered)
 
 
-def csat_raw(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def csat_raw(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFrame:
     """First rated update per ticket, with the exclusion id as a flag."""
     x = csat_first(t, cfg).join(_exclusion_keys(t), F.col("ticket_id") == F.col("_xk"), "left")
     x = x.select(*_INNER, "ext_interaction_id").distinct()
-    return _raw_out(x, numeric_id_text("ext_interaction_id"))
+    return _raw_out(x, numeric_id_text("ext_interaction_id"), ordered)
 
 
-def csat_clean(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def csat_clean(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFrame:
     """As R11 with excluded tickets removed."""
     x = exclude_ids(csat_first(t, cfg), "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"))
     x = x.select(*_INNER).distinct()
-    return _raw_out(x, F.lit(None).cast("string"))
+    return _raw_out(x, F.lit(None).cast("string"), ordered)
 
 
 NARROW_COLS = ["ticket_id", "channel", "local_date_created", "assignee_id", "name_", "email_", "csat",
                "hour_", "subteam"]
 
 
-def csat_narrow(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """Narrow satisfaction list (ticket, agent, email, hour, rating)."""
+def csat_narrow(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFrame:
+    """Narrow satisfaction list (ticket, agent, email, hour, rating); ordered by
+    the formatted date, as the report is (O2)."""
     x = exclude_ids(csat_first(t, cfg), "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"))
-    return x.select(
+    out = x.select(
         "ticket_id", "channel", us_date("local_date_created").alias("local_date_created"),
         "assignee_id", F.col("zendesk_assignee").alias("name_"), F.col("agent_email").alias("email_"),
         F.col("satisfaction_rating_score").alias("csat"),
         hour_of_time_text("local_time_created").alias("hour_"), "subteam").distinct()
+    return top_k(out, [("local_date_created", "desc"), ("hour_", "desc"), ("ticket_id", "asc")], None, NARROW_COLS,
+                 ordered)
 
 
 FLEX_COLS = ["ticket_id", "channel", "local_date_created", "assignee_id", "name_", "email_", "csat"]
 
 
-def csat_flex(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def csat_flex(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFrame:
     """Ratings of flex agents from five sources (no first-update
     choice), exclusions removed."""
     cols = ["ticket_id", "channel", "local_date_created", "assignee_id", "satisfaction_rating_score"]
@@ -115,6 +120,7 @@ def csat_flex(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     r = roster(t, cfg.flex_roster_account).where(F.col("_rid").isNotNull() & F.col("agent_email").isNotNull())
     x = u.join(r, F.col("assignee_id") == F.col("_rid"))
     x = exclude_ids(x, "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"))
-    return x.select("ticket_id", "channel", us_date("local_date_created").alias("local_date_created"),
-                    "assignee_id", F.col("agent_name").alias("name_"), F.col("agent_email").alias("email_"),
-                    F.col("satisfaction_rating_score").alias("csat"))
+    out = x.select("ticket_id", "channel", us_date("local_date_created").alias("local_date_created"),
+                   "assignee_id", F.col("agent_name").alias("name_"), F.col("agent_email").alias("email_"),
+                   F.col("satisfaction_rating_score").alias("csat"))
+    return top_k(out, [("local_date_created", "desc"), ("name_", "asc")], None, FLEX_COLS, ordered)

@@ -64,7 +64,8 @@ TEAM_GRAINS = {
 }
 
 
-def frt_multi_grain(t, cfg: ReportConfig = DEFAULT, channel: str = "chat") -> DataFrame:
+def frt_multi_grain(t, cfg: ReportConfig = DEFAULT, channel: str = "chat", cap: int | None = None,
+                    ordered: bool = False) -> DataFrame:
     """R7 (chat) / R9 (email): first response per solved ticket with its core
     subteam on the creation date, averaged at hour/day/week/month grain per
     agent and per subteam."""
@@ -98,7 +99,7 @@ def frt_multi_grain(t, cfg: ReportConfig = DEFAULT, channel: str = "chat") -> Da
         *[round_avg_text(n).alias(n) for n in TEAM_GRAINS],
         F.col("local_date_created").alias("_day"))
     return top_k(out, [("_day", "desc"), ("hour_", "desc"), ("agent_name", "asc")],
-                 cfg.caps["frt_multi_grain"], MULTI_GRAIN_COLS)
+                 cap, MULTI_GRAIN_COLS, ordered)
 
 
 # ------------------------------------------------------------------------ R8
@@ -108,7 +109,7 @@ AGENT_GRAINS = {"daily": ["agent_name", "local_date_created"], "weekly": ["agent
                 "monthly": ["agent_name", "_month"]}
 
 
-def frt_email_kpi(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def frt_email_kpi(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordered: bool = False) -> DataFrame:
     """First response of solved email tickets from the KPI summary, per
     rostered agent, with day/week/month agent averages."""
     r = bounded_broadcast(roster(t, cfg.roster_account), bound_by=t.agent_roster)
@@ -128,7 +129,7 @@ def frt_email_kpi(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
         "email_address", "agent_name", num_text("frt_calendar").alias("frt_calendar"),
         *[round_avg_text(n).alias(n) for n in AGENT_GRAINS],
         F.col("local_date_created").alias("_day"))
-    return top_k(out, [("_day", "desc"), ("agent_name", "asc")], cfg.caps["frt_email_kpi"], KPI_COLS)
+    return top_k(out, [("_day", "desc"), ("agent_name", "asc")], cap, KPI_COLS, ordered)
 
 
 # ----------------------------------------------------------------------- R15
@@ -140,7 +141,7 @@ FLEX_GRAINS = {"daily": ["agent_name", "local_date_created"], "team_daily": ["lo
                "monthly": ["agent_name", "_month"], "team_monthly": ["_month"]}
 
 
-def frt_email_flex(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def frt_email_flex(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordered: bool = False) -> DataFrame:
     """First reply time of solved email tickets of flex agents, with
     agent and team averages per day/week/month."""
     r = bounded_broadcast(roster(t, cfg.flex_roster_account), bound_by=t.agent_roster)
@@ -159,7 +160,7 @@ def frt_email_flex(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
         "email_address", "agent_name", num_text("frt_calendar").alias("frt_calendar"),
         *[round_avg_text(n).alias(n) for n in FLEX_GRAINS],
         F.col("local_date_created").alias("_day"))
-    return top_k(out, [("_day", "desc"), ("agent_name", "asc")], cfg.caps["frt_email_flex"], FLEX_EMAIL_COLS)
+    return top_k(out, [("_day", "desc"), ("agent_name", "asc")], cap, FLEX_EMAIL_COLS, ordered)
 
 
 # ----------------------------------------------------------------------- R10
@@ -168,7 +169,7 @@ FLEX_CHAT_COLS = ["ticket_id", "local_date_created", "assignee_id", "agent_name"
                   "month_date", "monthly", "team_monthly"]
 
 
-def frt_chat_flex(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def frt_chat_flex(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFrame:
     """Chat first response of flex agents on each ticket's latest
     update, NaN read as missing, with agent and team averages."""
     tk = (t.chat_tickets.where(F.col("client_account") == cfg.account)
@@ -181,14 +182,16 @@ def frt_chat_flex(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     rows = x.select("ticket_id", "local_date_created", "assignee_id", "agent_name", "agent_email",
                     nan_to_null("response_time_first").alias("response_time_first")).distinct()
     g = attach_grains(_with_periods(rows), "response_time_first", FLEX_GRAINS)
-    return g.select(
+    out = g.select(
         "ticket_id", us_date("local_date_created").alias("local_date_created"), "assignee_id",
         "agent_name", "agent_email", "response_time_first",
         F.round("daily").alias("daily"), F.round("team_daily").alias("team_daily"),
         us_date("_week").alias("week_date"),
         F.round("weekly").alias("weekly"), F.round("team_weekly").alias("team_weekly"),
         us_date("_month").alias("month_date"),
-        F.round("monthly").alias("monthly"), F.round("team_monthly").alias("team_monthly"))
+        F.round("monthly").alias("monthly"), F.round("team_monthly").alias("team_monthly"),
+        F.col("local_date_created").alias("_day"))
+    return top_k(out, [("_day", "desc")], None, FLEX_CHAT_COLS, ordered)
 
 
 # ------------------------------------------------------------------------ R6
@@ -196,7 +199,7 @@ ASOF_COLS = ["ticket_id", "local_date_created", "channel", "response_time_first"
              "agent_name", "supervisor", "daily", "week_date", "weekly", "month_date", "monthly"]
 
 
-def frt_chat_asof(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def frt_chat_asof(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordered: bool = False) -> DataFrame:
     """Chat first response per rostered agent, with the supervisor of the
     HR record in force on the day (nearest earlier job date, C4)."""
     ins = t.chat_insights.where((F.col("client_account") == cfg.account) & (F.col("type") == CHAT_SESSION_TYPE))
@@ -224,4 +227,4 @@ def frt_chat_asof(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
         "supervisor", F.round("daily").alias("daily"), us_date("_week").alias("week_date"),
         F.round("weekly").alias("weekly"), us_date("_month").alias("month_date"),
         F.round("monthly").alias("monthly"), F.col("local_date_created").alias("_day"))
-    return top_k(out, [("_day", "desc"), ("agent_name", "asc")], cfg.caps["frt_chat_asof"], ASOF_COLS)
+    return top_k(out, [("_day", "desc"), ("agent_name", "asc")], cap, ASOF_COLS, ordered)

@@ -141,6 +141,6 @@ FROM events""",
 
 
 def with_fixtures(body: str) -> str:
-    """Prefix ``body`` with every fixture view as a CTE."""
+    """Put every fixture view as a CTE before ``body`` (and before its own CTEs)."""
     ctes = ",\n".join(f"{k} AS ({v}\n)" for k, v in FIXTURE_VIEWS.items())
-    return f"WITH {ctes}\n{body}"
+    return f"WITH {ctes},\n{body[5:]}" if body.startswith("WITH ") else f"WITH {ctes}\n{body}"

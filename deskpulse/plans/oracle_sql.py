@@ -1,775 +1,587 @@
-"""Oracle SQL (DuckDB) for every registered query.
-
-Each statement restates the original report query in its own shape, and
-keeps its structure and subquery names on purpose, because that is what
-the oracle is for: window aggregates compared with equality, DISTINCT,
-left joins followed by IS NULL / IS NOT NULL.  The inputs are the fixture
-views, the literals come from ``ReportConfig``.  The Spark plans use the
-rewritten forms (argmax by pre-aggregate + join, grain roll-ups, anti
-joins, carry-forward as-of), so a matching result checks each rewrite.
-Differences kept on purpose: ordering keys spell out NULL placement and
-end with every output column, so that a row cap picks one well-defined
-set of rows; integer sums are cast to bigint (DuckDB widens them); team
-hours divide summed seconds (equal in exact arithmetic).
+"""Oracle SQL (DuckDB) for every registered report query.
+
+Written from SURVEY §2, independently of the Spark plans: each operator of the
+inventory is one flat CTE, extremes per key are ``rank()`` (C1-C3), averages
+and sums per grain are grouped aggregates joined back on their keys (C6), the
+nearest earlier record is a correlated maximum (C4), and exclusions are
+``NOT EXISTS`` (C14). The inputs are the fixture views, the literals come from
+``ReportConfig``. Ordering keys spell out NULL placement and end with every
+output column, so that a row cap picks one well-defined set of rows; integer
+sums are cast to bigint (DuckDB widens them).
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from deskpulse.config import DEFAULT as C
 from deskpulse.plans.oracle_fixtures import with_fixtures
 
 
-def q(s) -> str:
-    return "'" + str(s).replace("'", "''") + "'"
+# ------------------------------------------------------------ expressions
+def text(value) -> str:
+    return "'" + str(value).replace("'", "''") + "'"
 
 
-def usd(x):
-    return f"strftime({x}, '%m/%d/%Y')"
+def day(expr: str) -> str:
+    """a date as mm/dd/yyyy."""
+    return f"strftime({expr}, '%m/%d/%Y')"
 
 
-def wk(x="local_date_created"):
-    return f"cast(date_trunc('week', {x}) AS date)"
+def midnight(expr: str) -> str:
+    """the date of a timestamp, printed with a time of day."""
+    return f"strftime(cast({expr} AS date), '%m/%d/%Y %H:%M:%S')"
 
 
-def mo(x="local_date_created"):
-    return f"cast(date_trunc('month', {x}) AS date)"
+def period(unit: str, expr: str) -> str:
+    """first day of the week or month."""
+    return f"cast(date_trunc('{unit}', {expr}) AS date)"
 
 
-def hr_of(x):
-    return f"hour(cast({x} AS time))"
+def hour(expr: str) -> str:
+    """hour of a time text."""
+    return f"hour(cast({expr} AS time))"
 
 
-def rtext(avg_expr):
-    return (f"CASE WHEN isnan({avg_expr}) THEN 'NaN' "
-            f"ELSE cast(cast(round({avg_expr}) AS bigint) AS varchar) END")
+def mean_text(expr: str) -> str:
+    """a rounded mean as text without a decimal part, NaN as NaN."""
+    return f"if(isnan({expr}), 'NaN', cast(cast(round({expr}) AS bigint) AS varchar))"
 
 
-def ntext(x):
-    return (f"CASE WHEN isnan({x}) THEN 'NaN' WHEN {x} = floor({x}) "
-            f"THEN cast(cast(floor({x}) AS bigint) AS varchar) ELSE cast({x} AS varchar) END")
+def number_text(expr: str) -> str:
+    """a number as text, whole numbers without a decimal part."""
+    whole = f"cast(cast(floor({expr}) AS bigint) AS varchar)"
+    return f"CASE WHEN isnan({expr}) THEN 'NaN' WHEN {expr} = floor({expr}) THEN {whole} ELSE cast({expr} AS varchar) END"
 
 
-def capped(inner: str, cols: list[str], order: list[tuple[str, str]], k: int | None) -> str:
-    """SELECT cols FROM (inner) ORDER BY order + tie-breaks LIMIT k."""
-    if k is None:
-        return f"SELECT {', '.join(cols)} FROM ({inner}) capped_"
-    ex = [f"{c} DESC NULLS FIRST" if d == "desc" else f"{c} ASC NULLS LAST" for c, d in order]
-    used = {c for c, _ in order}
-    ex += [f"{c} ASC NULLS LAST" for c in cols if c not in used]
-    return f"SELECT {', '.join(cols)} FROM ({inner}) capped_ ORDER BY {', '.join(ex)} LIMIT {k}"
+def id_text(expr: str) -> str:
+    """the whole part of a numeric text as text; NULL if it is no number."""
+    return f"cast(cast(trunc(try_cast({expr} AS decimal(38, 6))) AS decimal(38, 0)) AS varchar)"
 
 
-ACCT = q(C.account)
-SOLVED = "(tk.status = 'closed' OR tk.status = 'solved')"
+def seconds(expr: str) -> str:
+    """mm:ss in seconds."""
+    return f"(cast(split_part({expr}, ':', 1) AS bigint) * 60 + cast(split_part({expr}, ':', 2) AS bigint))"
 
-# ------------------------------------------------------------------ R16
-ATTENDANCE = capped(f"""
-SELECT agent_email,
-  strftime(cast(shift_start AS date), '%m/%d/%Y %H:%M:%S') AS shift_start,
-  strftime(cast(shift_end AS date), '%m/%d/%Y %H:%M:%S') AS shift_end,
-  strftime(cast(clock_in AS date), '%m/%d/%Y %H:%M:%S') AS clock_in,
-  strftime(cast(clock_out AS date), '%m/%d/%Y %H:%M:%S') AS clock_out,
-  cast(absenteeism AS varchar) AS absenteeism,
-  cast(tardiness AS varchar) AS tardiness,
-  agent_name,
-  strftime(cast(shift_start AS date), '%m/%d/%Y') AS local_date_created,
-  cast(shift_start AS date) AS _day
-FROM attendance
-WHERE client_account = {ACCT} AND shift_start >= TIMESTAMP {q(C.attendance_floor)}""",
-    ["agent_email", "shift_start", "shift_end", "clock_in", "clock_out", "absenteeism", "tardiness",
-     "agent_name", "local_date_created"],
-    [("_day", "desc"), ("agent_name", "asc")], C.caps["attendance"])
 
+def cents(expr: str) -> str:
+    """two decimals, half away from zero."""
+    return f"cast(round(cast({expr} AS decimal(38, 10)), 2) AS double)"
 
-# ------------------------------------------------------------ R7 / R9
-def _multi_grain(channel: str) -> str:
-    if channel == "chat":
-        src, metric = "chat_tickets", ("SELECT ticket_id AS _id_, response_time_first AS frt_calendar, "
-                                       "'chat' AS channel FROM chat_insights")
-    else:
-        src, metric = "email_tickets", ("SELECT ticket_id AS _id_, reply_time_calendar_minutes AS frt_calendar, "
-                                        "'email' AS channel FROM email_metrics")
-    grains = {
-        "hourly": "agent_name, local_date_created, hour_",
-        "t_hourly": "local_date_created, hour_, subteam",
-        "daily": "agent_name, local_date_created",
-        "t_daily": "local_date_created, subteam",
-        "weekly": f"agent_name, {wk()}",
-        "t_weekly": f"subteam, {wk()}",
-        "monthly": f"agent_name, {mo()}",
-        "t_monthly": f"subteam, {mo()}",
-    }
-    avgs = ",\n  ".join(f"{rtext(f'avg(frt_calendar) OVER (PARTITION BY {p})')} AS {n}"
-                         for n, p in grains.items())
-    inner = f"""
-SELECT subteam, ticket_id, {usd('local_date_created')} AS local_date_created, hour_, channel,
-  assignee_id, email_address, agent_name, {ntext('frt_calendar')} AS frt_calendar,
-  {avgs},
-  local_date_created AS _day
-FROM (
-  SELECT DISTINCT subteam, ticket_id, local_date_created, hour_, channel, assignee_id, email_address,
-    agent_name, frt_calendar
-  FROM (
-    SELECT DISTINCT a.subteam, tk.ticket_id, tk.local_date_created,
-      {hr_of('tk.local_time_created')} AS hour_, tk.date_updated,
-      tk.date_updated - tk.local_date_created AS recent_,
-      min(tk.date_updated - tk.local_date_created) OVER (PARTITION BY tk.ticket_id) AS min_recent,
-      a._id AS assignee_id, a.agent_email AS email_address, a.agent_name, zen.frt_calendar, zen.channel
-    FROM {src} tk
-    LEFT JOIN (SELECT subteam, zendesk_id AS _id, agent_name, agent_email, start_date, end_date
-               FROM subteams WHERE is_core_team = true) a
-      ON tk.assignee_id = a._id AND tk.local_date_created BETWEEN a.start_date AND a.end_date
-    LEFT JOIN ({metric}) zen ON zen._id_ = tk.ticket_id
-    WHERE tk.client_account = {ACCT} AND {SOLVED} AND tk.channel = {q(channel)}
-  ) b
-  WHERE recent_ = min_recent AND agent_name IS NOT NULL AND local_date_created >= DATE {q(C.frt_floor)}
-) raw"""
-    cols = ["subteam", "ticket_id", "local_date_created", "hour_", "channel", "assignee_id",
-            "email_address", "agent_name", "frt_calendar", *grains]
-    return capped(inner, cols, [("_day", "desc"), ("hour_", "desc"), ("agent_name", "asc")],
-                  C.caps["frt_multi_grain"])
-
-
-# ------------------------------------------------------------------ R8
-FRT_EMAIL_KPI = capped(f"""
-SELECT ticket_id, {usd('local_date_created')} AS local_date_created, channel, assignee_id, email_address,
-  agent_name, {ntext('frt_calendar')} AS frt_calendar,
-  {rtext('avg(frt_calendar) OVER (PARTITION BY agent_name, local_date_created)')} AS daily,
-  {rtext(f'avg(frt_calendar) OVER (PARTITION BY agent_name, {wk()})')} AS weekly,
-  {rtext(f'avg(frt_calendar) OVER (PARTITION BY agent_name, {mo()})')} AS monthly,
-  local_date_created AS _day
-FROM (
-  SELECT DISTINCT ticket_id, local_date_created, channel, assignee_id, email_address, agent_name, frt_calendar
-  FROM (
-    SELECT DISTINCT tk.ticket_id, tk.local_date_created, tk.date_updated,
-      tk.date_updated - tk.local_date_created AS recent_,
-      min(tk.date_updated - tk.local_date_created) OVER (PARTITION BY tk.ticket_id) AS min_recent,
-      a._id AS assignee_id, a.agent_email AS email_address, a.agent_name, zen.frt_calendar, zen.channel
-    FROM email_tickets tk
-    LEFT JOIN (SELECT assignee_id AS _id, agent_name, agent_email FROM agent_roster
-               WHERE client_account = {q(C.roster_account)}) a ON tk.assignee_id = a._id
-    LEFT JOIN (SELECT frt_calendar, channel, ticket_id AS _id_, agent_name AS name_ FROM kpi_summary) zen
-      ON zen._id_ = tk.ticket_id AND zen.name_ = zen.name_
-    WHERE tk.client_account = {ACCT} AND {SOLVED} AND tk.channel = 'email'
-  ) b
-  WHERE recent_ = min_recent AND agent_name IS NOT NULL AND local_date_created >= DATE {q(C.frt_floor)}
-) raw""",
-    ["ticket_id", "local_date_created", "channel", "assignee_id", "email_address", "agent_name",
-     "frt_calendar", "daily", "weekly", "monthly"],
-    [("_day", "desc"), ("agent_name", "asc")], C.caps["frt_email_kpi"])
-
-# ----------------------------------------------------------------- R15
-_FLEX6 = {"daily": "agent_name, local_date_created", "team_daily": "local_date_created",
-          "weekly": f"agent_name, {wk()}", "team_weekly": wk(),
-          "monthly": f"agent_name, {mo()}", "team_monthly": mo()}
-
-FRT_EMAIL_FLEX = capped(f"""
-SELECT ticket_id, {usd('local_date_created')} AS local_date_created, channel2 AS channel, assignee_id,
-  email_address, agent_name, {ntext('frt_calendar')} AS frt_calendar,
-  {", ".join(f"{rtext(f'avg(frt_calendar) OVER (PARTITION BY {p})')} AS {n}" for n, p in _FLEX6.items())},
-  local_date_created AS _day
-FROM (
-  SELECT DISTINCT ticket_id, local_date_created, channel2, assignee_id, email_address, agent_name, frt_calendar
-  FROM (
-    SELECT DISTINCT tk.ticket_id, tk.local_date_created, tk.date_updated,
-      tk.date_updated - tk.local_date_created AS recent_,
-      min(tk.date_updated - tk.local_date_created) OVER (PARTITION BY tk.ticket_id) AS min_recent,
-      a._id AS assignee_id, a.agent_email AS email_address, a.agent_name, zen.frt_calendar,
-      tk.channel AS channel2
-    FROM email_tickets tk
-    LEFT JOIN (SELECT assignee_id AS _id, agent_name, agent_email FROM agent_roster
-               WHERE client_account = {q(C.flex_roster_account)}) a ON tk.assignee_id = a._id
-    LEFT JOIN (SELECT DISTINCT ticket_id AS _id_, reply_time_calendar_minutes AS frt_calendar
-               FROM email_metrics) zen ON zen._id_ = tk.ticket_id
-    WHERE tk.client_account = {ACCT} AND {SOLVED} AND tk.channel = 'email'
-  ) b
-  WHERE recent_ = min_recent AND agent_name IS NOT NULL
-) raw""",
-    ["ticket_id", "local_date_created", "channel", "assignee_id", "email_address", "agent_name",
-     "frt_calendar", *_FLEX6],
-    [("_day", "desc"), ("agent_name", "asc")], C.caps["frt_email_flex"])
-
-# ----------------------------------------------------------------- R10
-FRT_CHAT_FLEX = f"""
-SELECT ticket_id, {usd('local_date_created')} AS local_date_created, assignee_id, agent_name, agent_email,
-  response_time_first,
-  round(avg(response_time_first) OVER (PARTITION BY local_date_created, agent_name)) AS daily,
-  round(avg(response_time_first) OVER (PARTITION BY local_date_created)) AS team_daily,
-  {usd(wk())} AS week_date,
-  round(avg(response_time_first) OVER (PARTITION BY {wk()}, agent_name)) AS weekly,
-  round(avg(response_time_first) OVER (PARTITION BY {wk()})) AS team_weekly,
-  {usd(mo())} AS month_date,
-  round(avg(response_time_first) OVER (PARTITION BY {mo()}, agent_name)) AS monthly,
-  round(avg(response_time_first) OVER (PARTITION BY {mo()})) AS team_monthly
-FROM (
-  SELECT DISTINCT m.ticket_id, m.local_date_created, m.assignee_id, sar.agent_name, sar.agent_email,
-    CASE WHEN isnan(zci.response_time_first) THEN NULL ELSE zci.response_time_first END AS response_time_first
-  FROM (SELECT DISTINCT ticket_id, local_date_created, date_updated, assignee_id,
-          max(date_updated) OVER (PARTITION BY ticket_id) AS max_date
-        FROM chat_tickets WHERE client_account = {ACCT}) m
-  JOIN (SELECT * FROM agent_roster WHERE client_account = {q(C.flex_roster_account)}) sar
-    ON m.assignee_id = sar.assignee_id
-  JOIN chat_insights zci ON zci.ticket_id = m.ticket_id
-  WHERE m.max_date = m.date_updated
-) distinct_"""
-
-# ------------------------------------------------------------------ R6
-FRT_CHAT_ASOF = capped(f"""
-SELECT ticket_id, {usd('local_date_created')} AS local_date_created, channel, response_time_first,
-  lower(email_address) AS email_address, agent_name, supervisor, daily,
-  {usd(wk())} AS week_date,
-  round(avg(response_time_first) OVER (PARTITION BY {wk()}, agent_name)) AS weekly,
-  {usd(mo())} AS month_date,
-  round(avg(response_time_first) OVER (PARTITION BY {mo()}, agent_name)) AS monthly,
-  local_date_created AS _day
-FROM (
-  SELECT DISTINCT ticket_id, local_date_created, local_date_created - job_effectivity_date AS recent,
-    min(local_date_created - job_effectivity_date) OVER (PARTITION BY local_date_created, agent_name) AS recent_,
-    channel, assignee_id, email_address, agent_name, supervisor, frt AS daily, response_time_first
-  FROM (
-    SELECT ticket_id, assignee_id, agent_name, agent_email AS email_address, channel,
-      local_date AS local_date_created, response_time_first,
-      round(avg(response_time_first) OVER (PARTITION BY local_date, agent_name)) AS frt
-    FROM (
-      SELECT DISTINCT ci.ticket_id, a.assignee_id, b.agent_name, b.agent_email, ci.type AS channel,
-        ci.local_date, ci.response_time_first
-      FROM chat_insights ci
-      LEFT JOIN (SELECT ticket_id, assignee_id FROM chat_tickets WHERE client_account = {ACCT}) a
-        ON a.ticket_id = ci.ticket_id
-      LEFT JOIN (SELECT assignee_id, agent_name, agent_email FROM agent_roster
-                 WHERE client_account = {q(C.roster_account)}) b ON b.assignee_id = a.assignee_id
-      WHERE ci.client_account = {ACCT} AND ci.type = 'chat'
-    ) a
-  ) b
-  LEFT JOIN (SELECT DISTINCT concat(first_name, ' ', last_name) AS full_name, job_supervisor AS supervisor,
-               job_effectivity_date FROM hr_roster WHERE job_division = {q(C.hr_division)}) h
-    ON h.full_name = b.agent_name AND b.local_date_created >= h.job_effectivity_date
-) a
-WHERE recent = recent_""",
-    ["ticket_id", "local_date_created", "channel", "response_time_first", "email_address", "agent_name",
-     "supervisor", "daily", "week_date", "weekly", "month_date", "monthly"],
-    [("_day", "desc"), ("agent_name", "asc")], C.caps["frt_chat_asof"])
-
-
-ORACLE: dict[str, str] = {
-    "attendance": ATTENDANCE,
-    "frt_chat_multi_grain": _multi_grain("chat"),
-    "frt_email_multi_grain": _multi_grain("email"),
-    "frt_email_kpi": FRT_EMAIL_KPI,
-    "frt_email_flex": FRT_EMAIL_FLEX,
-    "frt_chat_flex": FRT_CHAT_FLEX,
-    "frt_chat_asof": FRT_CHAT_ASOF,
+
+def per(count: str, hours: str) -> str:
+    """true division; zero hours give NULL."""
+    return f"cast({count} AS double) / nullif(cast({hours} AS double), 0)"
+
+
+def any_of(column: str, values: Sequence[str]) -> str:
+    return f"{column} IN ({', '.join(map(text, values))})"
+
+
+# --------------------------------------------------------------- operators
+def statement(ctes: Mapping[str, str], body: str) -> str:
+    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in ctes.items()) + "\n" + body
+
+
+def report(ctes: Mapping[str, str], source: str, columns: Mapping[str, str], order: Sequence[str] = (), cap: int | None = None) -> str:
+    """The output columns of ``source``; with a cap, the first rows in report order (O1, O3)."""
+    listed = ", ".join(f"{e} AS {n}" if e != n else n for n, e in columns.items())
+    if cap is None:
+        return statement(ctes, f"SELECT {listed} FROM {source}")
+    ties = [f"{n} ASC NULLS LAST" for n in columns]
+    return statement(ctes, f"SELECT {listed} FROM {source} ORDER BY {', '.join([*order, *ties])} LIMIT {cap}")
+
+
+NEWEST_DAY = ["local_day DESC NULLS FIRST"]
+
+
+def extremes(source: str, keys: Sequence[str], by: str, largest: bool, columns: str = "*") -> str:
+    """Rows that tie for the extreme of each key."""
+    way = "DESC" if largest else "ASC"
+    return f"SELECT {columns} FROM {source} WHERE {by} IS NOT NULL QUALIFY rank() OVER (PARTITION BY {', '.join(keys)} ORDER BY {by} {way}) = 1"
+
+
+def grains(source: str, value: str, sets: Mapping[str, Sequence[str]], fn: str = "avg") -> tuple[dict[str, str], str]:
+    """One grouped aggregate per grain, and the join that attaches them to
+    ``source`` (NULL keys join their own group)."""
+    cte, joins = {}, []
+    for name, keys in sets.items():
+        total = f"cast(sum({value}) AS bigint)" if fn == "sum" else f"{fn}({value})"
+        cte[f"by_{name}"] = f"SELECT {', '.join(keys)}, {total} AS {name} FROM {source} GROUP BY {', '.join(keys)}"
+        same = " AND ".join(f"by_{name}.{k} IS NOT DISTINCT FROM f.{k}" for k in keys)
+        joins.append(f"JOIN by_{name} ON {same}")
+    names = "".join(f", by_{n}.{n}" for n in sets)
+    cte["graded"] = f"SELECT f.*{names} FROM {source} f {' '.join(joins)}"
+    return cte, "graded"
+
+
+PERIODS = f"{period('week', 'local_day')} AS week_day, {period('month', 'local_day')} AS month_day"
+BY_AGENT = {"daily": ["agent_name", "local_day"], "weekly": ["agent_name", "week_day"], "monthly": ["agent_name", "month_day"]}
+BY_ALL = {"daily": ["local_day"], "weekly": ["week_day"], "monthly": ["month_day"]}
+FLEX = {k: v for g in ("daily", "weekly", "monthly") for k, v in ((g, BY_AGENT[g]), (f"team_{g}", BY_ALL[g]))}
+BY_TEAM = {
+    "hourly": ["agent_name", "local_day", "hour_"], "t_hourly": ["subteam", "local_day", "hour_"],
+    "daily": ["agent_name", "local_day"], "t_daily": ["subteam", "local_day"],
+    "weekly": ["agent_name", "week_day"], "t_weekly": ["subteam", "week_day"],
+    "monthly": ["agent_name", "month_day"], "t_monthly": ["subteam", "month_day"],
+}
+
+OWN = f"client_account = {text(C.account)}"
+DONE = any_of("status", ["solved", "closed"])
+RATED = any_of("satisfaction_rating_score", ["good", "bad"])
+TICKETS = ["email_tickets", "chat_tickets", "call_tickets", "web_tickets"]
+
+
+def members(account: str | None) -> str:
+    """The agent roster, of one account or whole."""
+    where = f" WHERE client_account = {text(account)}" if account else ""
+    return f"SELECT assignee_id AS rostered_id, agent_name, agent_email FROM agent_roster{where}"
+
+
+def teams(core: bool = True, more: str = "") -> str:
+    """Subteam records with their validity."""
+    where = f"WHERE {'is_core_team' if core else 'true'}{more}"
+    return f"SELECT zendesk_id, agent_name, agent_email, subteam, is_core_team, start_date AS valid_from, end_date AS valid_to FROM subteams {where}"
+
+
+ON_DUTY = "m.zendesk_id = u.assignee_id AND u.local_date_created >= m.valid_from AND u.local_date_created <= m.valid_to"
+
+
+def updates(columns: str, where: str = OWN) -> str:
+    """Updates of the four ticket tables."""
+    return " UNION ALL ".join(f"SELECT {columns} FROM {t} WHERE {where}" for t in TICKETS)
+
+
+def hr_records() -> str:
+    return f"SELECT DISTINCT first_name || ' ' || last_name AS person, job_supervisor AS supervisor, job_effectivity_date AS since FROM hr_roster WHERE job_division = {text(C.hr_division)}"
+
+
+HR_NOW = {
+    "hr": f"SELECT first_name || ' ' || last_name AS person, * FROM hr_roster WHERE job_division = {text(C.hr_division)}",
+    "hr_last": "SELECT person, max(status_effectivity_date) AS s, max(job_effectivity_date) AS j, max(created_on) AS c FROM hr GROUP BY person",
+    "hr_now": """SELECT DISTINCT hr.person, hr.job_supervisor FROM hr JOIN hr_last USING (person)
+      WHERE (status_effectivity_date, job_effectivity_date, created_on) = (s, j, c) AND profile_status = 'Active'""",
 }
+TRACKED_BY = f"SELECT DISTINCT start_date, agent_name, supervisor FROM tracked_time WHERE division_name = {text(C.tracked_division)}"
+NOT_EXCLUDED = f"NOT EXISTS (SELECT 1 FROM dsat_exclusions x WHERE {id_text('x.ext_interaction_id')} = f.ticket_id)"
 
+ORACLE: dict[str, str] = {}
+
+
+# ------------------------------------------------------------- attendance
+ORACLE["attendance"] = report(
+    {"lines": f"""SELECT *, cast(shift_start AS date) AS local_day FROM attendance
+       WHERE {OWN} AND shift_start >= TIMESTAMP {text(C.attendance_floor)}"""},
+    "lines",
+    {"agent_email": "agent_email", **{c: midnight(c) for c in ("shift_start", "shift_end", "clock_in", "clock_out")},
+     "absenteeism": "cast(absenteeism AS varchar)", "tardiness": "cast(tardiness AS varchar)", "agent_name": "agent_name", "local_date_created": day("local_day")},
+)
+
+
+# ---------------------------------------------------- first response times
+def first_updates(source: str, channel: str) -> dict[str, str]:
+    """C2 over solved tickets of one channel (H1: before any agent rule)."""
+    return {
+        "done": f"SELECT *, date_updated - local_date_created AS lag_days FROM {source} WHERE {OWN} AND {DONE} AND channel = {text(channel)}",
+        "first_": extremes("done", ["ticket_id"], "lag_days", largest=False),
+    }
+
+
+def response_by_team(source: str, channel: str, metric: str) -> str:
+    ctes = {
+        **first_updates(source, channel),
+        "metric": metric,
+        "team": teams(),
+        "facts": f"""SELECT DISTINCT m.subteam, u.ticket_id, u.local_date_created AS local_day, {hour('u.local_time_created')} AS hour_,
+            if(r.ticket_id IS NULL, NULL, {text(channel)}) AS channel, m.zendesk_id AS assignee_id, m.agent_email AS email_address, m.agent_name, r.frt
+          FROM first_ u JOIN team m ON {ON_DUTY} LEFT JOIN metric r ON r.ticket_id = u.ticket_id
+          WHERE m.agent_name IS NOT NULL AND u.local_date_created >= DATE {text(C.frt_floor)}""",
+        "dated": f"SELECT *, {PERIODS} FROM facts",
+    }
+    more, source = grains("dated", "frt", BY_TEAM)
+    columns = {"subteam": "subteam", "ticket_id": "ticket_id", "local_date_created": day("local_day")}
+    columns |= {c: c for c in ("hour_", "channel", "assignee_id", "email_address", "agent_name")} | {"frt_calendar": number_text("frt")}
+    return report(ctes | more, source, columns | {n: mean_text(n) for n in BY_TEAM})
+
+
+ORACLE["frt_chat_multi_grain"] = response_by_team("chat_tickets", "chat", "SELECT ticket_id, response_time_first AS frt FROM chat_insights")
+ORACLE["frt_email_multi_grain"] = response_by_team("email_tickets", "email", "SELECT ticket_id, reply_time_calendar_minutes AS frt FROM email_metrics")
+
+
+def email_response(account: str, metric: str, channel: str, floor: bool, sets: Mapping[str, Sequence[str]]) -> str:
+    after = f" AND u.local_date_created >= DATE {text(C.frt_floor)}" if floor else ""
+    ctes = {
+        **first_updates("email_tickets", "email"),
+        "metric": metric,
+        "agent": members(account),
+        "facts": f"""SELECT DISTINCT u.ticket_id, u.local_date_created AS local_day, {channel} AS channel, a.rostered_id AS assignee_id,
+            a.agent_email AS email_address, a.agent_name, r.frt
+          FROM first_ u JOIN agent a ON a.rostered_id = u.assignee_id LEFT JOIN metric r ON r.ticket_id = u.ticket_id
+          WHERE a.agent_name IS NOT NULL{after}""",
+        "dated": f"SELECT *, {PERIODS} FROM facts",
+    }
+    more, source = grains("dated", "frt", sets)
+    columns = {"ticket_id": "ticket_id", "local_date_created": day("local_day")} | {c: c for c in ("channel", "assignee_id", "email_address", "agent_name")}
+    return report(ctes | more, source, columns | {"frt_calendar": number_text("frt")} | {n: mean_text(n) for n in sets})
+
+
+ORACLE["frt_email_kpi"] = email_response(
+    C.roster_account, "SELECT ticket_id, frt_calendar AS frt, channel FROM kpi_summary WHERE agent_name IS NOT NULL", "r.channel", True, BY_AGENT
+)
+ORACLE["frt_email_flex"] = email_response(C.flex_roster_account, "SELECT ticket_id, reply_time_calendar_minutes AS frt FROM email_metrics", "u.channel", False, FLEX)
+
+
+def chat_flex() -> str:
+    ctes = {
+        "own": f"SELECT ticket_id, local_date_created, date_updated, assignee_id FROM chat_tickets WHERE {OWN}",
+        "newest": extremes("own", ["ticket_id"], "date_updated", largest=True),
+        "agent": members(C.flex_roster_account),
+        "facts": """SELECT DISTINCT u.ticket_id, u.local_date_created AS local_day, u.assignee_id, a.agent_name, a.agent_email,
+            if(isnan(r.response_time_first), NULL, r.response_time_first) AS response_time_first
+          FROM newest u JOIN agent a ON a.rostered_id = u.assignee_id JOIN chat_insights r ON r.ticket_id = u.ticket_id""",
+        "dated": f"SELECT *, {PERIODS} FROM facts",
+    }
+    more, source = grains("dated", "response_time_first", FLEX)
+    columns = {"ticket_id": "ticket_id", "local_date_created": day("local_day")} | {c: c for c in ("assignee_id", "agent_name", "agent_email", "response_time_first")}
+    columns |= {n: f"round({n})" for n in FLEX} | {"week_date": day("week_day"), "month_date": day("month_day")}
+    return report(ctes | more, source, columns)
+
+
+ORACLE["frt_chat_flex"] = chat_flex()
+
+
+def chat_asof() -> str:
+    ctes = {
+        "session": f"SELECT ticket_id, type, local_date, response_time_first FROM chat_insights WHERE {OWN} AND type = 'chat'",
+        "handled": f"SELECT DISTINCT ticket_id, assignee_id FROM chat_tickets WHERE {OWN}",
+        "agent": members(C.roster_account),
+        "facts": """SELECT DISTINCT s.ticket_id, h.assignee_id, a.agent_name, a.agent_email, s.type AS channel, s.local_date AS local_day, s.response_time_first
+          FROM session s LEFT JOIN handled h USING (ticket_id) LEFT JOIN agent a ON a.rostered_id = h.assignee_id""",
+        "per_day": "SELECT agent_name, local_day, round(avg(response_time_first)) AS daily FROM facts GROUP BY agent_name, local_day",
+        "hr": hr_records(),
+        "moment": """SELECT d.agent_name, d.local_day, max(hr.since) AS since FROM (SELECT DISTINCT agent_name, local_day FROM facts) d
+          JOIN hr ON hr.person = d.agent_name AND hr.since <= d.local_day GROUP BY d.agent_name, d.local_day""",
+        "led": """SELECT DISTINCT f.ticket_id, f.local_day, f.channel, f.assignee_id, f.agent_email, f.agent_name, hr.supervisor, p.daily, f.response_time_first
+          FROM facts f JOIN moment m ON m.agent_name = f.agent_name AND m.local_day = f.local_day
+          JOIN hr ON hr.person = m.agent_name AND hr.since = m.since
+          JOIN per_day p ON p.agent_name = f.agent_name AND p.local_day = f.local_day""",
+        "dated": f"SELECT *, {PERIODS} FROM led",
+    }
+    more, source = grains("dated", "response_time_first", {k: BY_AGENT[k] for k in ("weekly", "monthly")})
+    return report(ctes | more, source, {
+        "ticket_id": "ticket_id", "local_date_created": day("local_day"), "channel": "channel", "response_time_first": "response_time_first",
+        "email_address": "lower(agent_email)", "agent_name": "agent_name", "supervisor": "supervisor", "daily": "daily",
+        "week_date": day("week_day"), "weekly": "round(weekly)", "month_date": day("month_day"), "monthly": "round(monthly)",
+    })
 
-def oracle_sql() -> dict[str, str]:
-    return {k: with_fixtures(v) for k, v in ORACLE.items()}
 
+ORACLE["frt_chat_asof"] = chat_asof()
 
-# ------------------------------------------------------------ R11-R14
-def _numtext(x):
-    return f"cast(cast(trunc(try_cast({x} AS decimal(38,6))) AS bigint) AS varchar)"
-
-
-_UNION4 = "\n  UNION ALL\n  ".join(
-    f"""SELECT client_account, ticket_id, channel, local_date_created, local_time_created,
-    satisfaction_rating_score, satisfaction_rating_comment, assignee_id AS id_, tags, type, date_updated
-  FROM {tb}""" for tb in ("email_tickets", "chat_tickets", "call_tickets", "web_tickets"))
-_NOT_LIKE = " AND ".join(f"subteam NOT LIKE {q(p)}" for p in C.subteam_exclude_patterns)
-
-
-def _csat_inner(extra: str) -> str:
-    return f"""
-SELECT DISTINCT csat_.ticket_id, csat_.channel, local_date_created, local_time_created,
-  satisfaction_rating_score, satisfaction_rating_comment, tags, type, {extra}
-  ext_interaction_id AS uncontrollable_dsat, agent_.agent_name AS zendesk_assignee, date_updated,
-  min(date_updated) OVER (PARTITION BY ticket_id) AS last_update, subteam
-FROM (
-  SELECT * FROM (SELECT * FROM (
-    {_UNION4}
-  ) all_tickets WHERE satisfaction_rating_score = 'good' OR satisfaction_rating_score = 'bad') good_bad
-  WHERE client_account = {ACCT}
-) csat_
-LEFT JOIN (SELECT agent_name, subteam, agent_name AS name_, agent_email, start_date, end_date, zendesk_id
-           FROM subteams WHERE is_core_team IS TRUE AND {_NOT_LIKE}) agent_
-  ON (zendesk_id = id_ AND local_date_created BETWEEN start_date AND end_date)
-LEFT JOIN dsat_exclusions tdu ON {_numtext('ext_interaction_id')} = csat_.ticket_id
-WHERE agent_.agent_name IS NOT NULL AND local_date_created >= DATE {q(C.csat_floor)}"""
-
-
-def _csat_raw(clean: bool) -> str:
-    where = "WHERE uncontrollable_dsat IS NULL" if clean else ""
-    return f"""
-SELECT ticket_id, channel, {usd('local_date_created')} AS local_date_created,
-  {hr_of('local_time_created')} AS hour_, satisfaction_rating_score, satisfaction_rating_comment, tags, type,
-  {_numtext('uncontrollable_dsat')} AS uncontrollable_dsat, zendesk_assignee, subteam
-FROM (SELECT * FROM ({_csat_inner('')}) final_csat WHERE date_updated = last_update) duplicates
-{where}"""
-
-
-CSAT_NARROW = f"""
-SELECT * FROM (
-  SELECT DISTINCT ticket_id, channel, local_date_created, id_ AS assignee_id, zendesk_assignee AS name_,
-    agent_email AS email_, satisfaction_rating_score AS csat, hour_, subteam
-  FROM (
-    SELECT ticket_id, channel, {usd('local_date_created')} AS local_date_created,
-      {hr_of('local_time_created')} AS hour_, satisfaction_rating_score, id_, agent_email,
-      zendesk_assignee, subteam
-    FROM (SELECT * FROM ({_csat_inner('id_, agent_email,')}) final_csat WHERE date_updated = last_update) duplicates
-    WHERE uncontrollable_dsat IS NULL
-  ) extract_
-) extract_zendesk"""
-
-_UNION5 = "\n    UNION ALL\n    ".join(
-    f"""SELECT DISTINCT ticket_id, channel, local_date_created, assignee_id, satisfaction_rating_score
-    FROM {tb} WHERE client_account = {ACCT}
-      AND (satisfaction_rating_score = 'good' OR satisfaction_rating_score = 'bad')"""
-    for tb in ("email_tickets", "chat_tickets", "web_tickets", "kpi_summary", "call_tickets"))
-
-CSAT_FLEX = f"""
-SELECT ticket_id, channel, {usd('local_date_created')} AS local_date_created, assignee_id, name_, email_, csat
-FROM (
-  SELECT DISTINCT ticket_id, channel, local_date_created, assignee_id, satisfaction_rating_score AS csat
-  FROM (
-    {_UNION5}
-  ) all_csat
-) distinct_id
-LEFT JOIN (SELECT assignee_id AS assignee_, agent_name AS name_, agent_email AS email_ FROM agent_roster
-           WHERE client_account = {q(C.flex_roster_account)} AND assignee_id IS NOT NULL) core_agents
-  ON assignee_ = assignee_id
-LEFT JOIN dsat_exclusions tdu ON ticket_id = {_numtext('ext_interaction_id')}
-WHERE email_ IS NOT NULL AND local_date_created > DATE {q(C.csat_flex_after)} AND ext_interaction_id IS NULL"""
-
-ORACLE.update({
-    "csat_raw": _csat_raw(False),
-    "csat_clean": _csat_raw(True),
-    "csat_narrow": CSAT_NARROW,
-    "csat_flex": CSAT_FLEX,
-})
-
-
-# ------------------------------------------------------------- R4 / R5
-def _wait(sup: bool) -> str:
-    grains = {
-        "hourly": "agent_name, local_date_created, hour_",
-        "t_hourly": "local_date_created, hour_, subteam",
-        "v_hourly": "supervisor, subteam, local_date_created, hour_",
-        "daily": "agent_name, local_date_created",
-        "t_daily": "local_date_created, subteam",
-        "v_daily": "supervisor, local_date_created, subteam",
-        "weekly": f"agent_name, {wk()}",
-        "t_weekly": f"subteam, {wk()}",
-        "v_weekly": f"supervisor, subteam, {wk()}",
-        "monthly": f"agent_name, {mo()}",
-        "t_monthly": f"subteam, {mo()}",
-        "v_monthly": f"supervisor, subteam, {mo()}",
+
+# ------------------------------------------------------------ satisfaction
+RATING_COLUMNS = "ticket_id, channel, local_date_created, local_time_created, satisfaction_rating_score, satisfaction_rating_comment, assignee_id, tags, type, date_updated"
+
+
+def first_ratings() -> dict[str, str]:
+    """First rated update of a ticket handled by a core agent on duty."""
+    shut = "".join(f" AND subteam NOT LIKE {text(p)}" for p in C.subteam_exclude_patterns)
+    return {
+        "rated": updates(RATING_COLUMNS, f"{OWN} AND {RATED} AND local_date_created >= DATE {text(C.csat_floor)}"),
+        "team": teams(more=shut),
+        "on_duty": f"SELECT u.*, m.agent_name, m.agent_email, m.subteam FROM rated u JOIN team m ON {ON_DUTY} WHERE m.agent_name IS NOT NULL",
+        "first_": extremes("on_duty", ["ticket_id"], "date_updated", largest=False),
     }
-    if not sup:
-        grains = {k: v for k, v in grains.items() if not k.startswith("v_")}
-    avgs = ",\n  ".join(f"{rtext(f'avg(dur) OVER (PARTITION BY {p})')} AS {n}" for n, p in grains.items())
-    secs = "minute(strptime(wait_time, '%M:%S')) * 60 + second(strptime(wait_time, '%M:%S'))"
-    sup_joins = f"""
-    LEFT JOIN (SELECT DISTINCT start_date AS date_, supervisor, agent_name AS agent_ FROM tracked_time
-               WHERE division_name = {q(C.tracked_division)}) su
-      ON (local_date_created = date_ AND agent_ = agent_name)
-    LEFT JOIN (
-      SELECT full_name, job_supervisor FROM (
-        SELECT concat(first_name, ' ', last_name) AS full_name, email_address, job_department, job_division,
-          profile_status, job_supervisor, status_effectivity_date, job_effectivity_date, created_on,
-          max(status_effectivity_date) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS max_status,
-          max(job_effectivity_date) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS job_status,
-          max(created_on) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS create_status
-        FROM hr_roster WHERE job_division = {q(C.hr_division)}) a
-      WHERE max_status = status_effectivity_date AND job_status = job_effectivity_date
-        AND created_on = create_status AND profile_status = 'Active'
-    ) bamboo_visor ON (agent_name = full_name)""" if sup else ""
-    sup1 = "CASE WHEN supervisor IS NULL THEN job_supervisor ELSE supervisor END AS supervisor," if sup else ""
-    sup2 = f"CASE WHEN supervisor IS NULL THEN {q(C.default_supervisor)} ELSE supervisor END AS supervisor," if sup else ""
-    sup3 = "supervisor," if sup else ""
-    inner = f"""
-SELECT subteam AS client_account, {usd('local_date_created')} AS local_date_created, hour_, ticket_id,
-  assignee_id, email_address, agent_name, {sup3} dur,
-  {avgs}
-FROM (
-  SELECT DISTINCT subteam, ticket_id, local_date_created, hour_, channel, assignee_id,
-    agent_email AS email_address, agent_name, {sup2} dur
-  FROM (
-    SELECT DISTINCT subteam, local_date_created, hour_, channel, ticket_id, assignee_id, agent_email,
-      agent_name, {sup1} dur
-    FROM (
-      SELECT DISTINCT zct.ticket_id, dur, channel, local_date_created,
-        {hr_of('local_time_created')} AS hour_, assignee_id, via_source_rel, zct.status
-      FROM call_tickets zct
-      LEFT JOIN (
-        SELECT DISTINCT ticket_id, status, dur FROM (
-          SELECT DISTINCT ticket_id, forwarded_to, status, {secs} AS dur, wait_time, local_date
-          FROM (SELECT *, max(wait_time) OVER (PARTITION BY ticket_id) AS max_wait
-                FROM call_legs WHERE client_account = {ACCT}) mx
-          WHERE max_wait = wait_time
-        ) dur
-      ) dur1 ON dur1.ticket_id = zct.ticket_id
-      WHERE client_account = {ACCT} AND via_source_rel <> 'outbound'
-        AND (zct.status = 'solved' OR zct.status = 'closed')
-    ) zd
-    LEFT JOIN (SELECT subteam, zendesk_id AS _id, agent_name, agent_email, start_date, end_date, is_core_team
-               FROM subteams WHERE is_core_team = true) a
-      ON (assignee_id = _id AND local_date_created BETWEEN start_date AND end_date){sup_joins}
-    WHERE local_date_created >= DATE {q(C.wait_time_floor)}
-  ) raw_
-) final_"""
-    cols = (["client_account", "local_date_created", "hour_", "ticket_id", "assignee_id", "email_address",
-             "agent_name"] + (["supervisor"] if sup else []) + ["dur"] + list(grains))
-    order = ([("client_account", "asc")] if sup else []) + [
-        ("local_date_created", "desc"), ("hour_", "desc"), ("agent_name", "asc")]
-    return capped(inner, cols, order, C.caps["wait_time_supervisor" if sup else "wait_time_multi_grain"])
-
-
-ORACLE.update({
-    "wait_time_supervisor": _wait(True),
-    "wait_time_multi_grain": _wait(False),
-})
-
-
-# ------------------------------------------------------ R1-R3, C7-C9
-def _hb(x):
-    return f"cast({x} AS bigint)"
-
-
-def _roster_sql(acct, alias_id="assignee_id_"):
-    w = f" WHERE client_account = {q(acct)}" if acct else ""
-    return f"(SELECT assignee_id AS {alias_id}, agent_name FROM agent_roster{w})"
-
-
-def _latest_sql(table, acct_roster, join, extra_where, hourly, status_after):
-    """Latest update per (ticket, day) with a roster join, reference shape."""
-    cols = ("local_date_created, local_time_created, "
-            f"{hr_of('local_time_created')} AS hour_, ticket_id, assignee_id, agent_name" if hourly
-            else "local_date_created, ticket_id, agent_name")
-    post = " AND agent_name IS NOT NULL" if join == "LEFT JOIN" else ""
-    post += " AND (status = 'solved' OR status = 'closed')" if status_after else ""
-    return f"""
-SELECT DISTINCT {cols}
-FROM (SELECT *, max(date_updated) OVER (PARTITION BY ticket_id, local_date_created) AS max_date
-      FROM {table} t0 {join} {_roster_sql(acct_roster)} sar ON sar.assignee_id_ = t0.assignee_id
-      WHERE client_account = {ACCT}{extra_where}) x
-WHERE max_date = date_updated{post}"""
-
-
-def _chat_rows_sql(acct_roster, hourly):
-    cols = ("local_date_created, local_time_created, "
-            f"{hr_of('local_time_created')} AS hour_, ticket_id, assignee_id, agent_name" if hourly
-            else "local_date_created, ticket_id, agent_name")
-    return f"""
-SELECT DISTINCT {cols}
-FROM (SELECT *, max(date_updated) OVER (PARTITION BY zct.ticket_id, local_date_created) AS max_date
-      FROM chat_tickets zct
-      JOIN {_roster_sql(acct_roster)} sar ON sar.assignee_id_ = zct.assignee_id
-      JOIN (SELECT ticket_id AS ticket_id_, abandon_time FROM chat_insights WHERE client_account = {ACCT}) zci
-        ON zct.ticket_id = zci.ticket_id_
-      WHERE client_account = {ACCT} AND abandon_time IS NULL) chat_
-WHERE max_date = date_updated"""
-
-
-def _hourly_count(rows_sql, channel):
-    return f"""
-SELECT DISTINCT local_date_created, hour_, assignee_id, agent_name, '{channel}' AS channel,
-  count(ticket_id) OVER (PARTITION BY local_date_created, hour_, agent_name) AS h_tickets
-FROM ({rows_sql}) r_{channel}"""
-
-
-_VOICE_HOURLY = f"""
-SELECT DISTINCT zch.ticket_id, local_date AS local_date_created, local_time AS local_time_created,
-  {hr_of('local_time')} AS hour_, zct.assignee_id, agent_name
-FROM call_legs zch
-JOIN (SELECT DISTINCT ticket_id, local_date_created, assignee_id FROM call_tickets WHERE channel = 'voice') zct
-  ON zct.ticket_id = zch.ticket_id
-JOIN (SELECT assignee_id, agent_name FROM agent_roster) sar ON sar.assignee_id = zct.assignee_id
-WHERE zch.client_account = {ACCT} AND zch.ticket_id IS NOT NULL AND forwarded_to <> 'Voicemail'"""
-
-HOURLY_RAW = "\nUNION ALL\n".join([
-    _hourly_count(_VOICE_HOURLY, "voice"),
-    _hourly_count(_chat_rows_sql(None, True), "chat"),
-    _hourly_count(_latest_sql("email_tickets", None, "LEFT JOIN", " AND channel = 'email'", True, True), "email"),
-    _hourly_count(_latest_sql("web_tickets", None, "LEFT JOIN", "", True, True), "web"),
-    _hourly_count(_latest_sql("email_tickets", None, "JOIN", " AND channel = 'api'", True, False), "api"),
-])
-CHANNEL_COUNTS_HOURLY = f"SELECT DISTINCT * FROM ({HOURLY_RAW}) all_ticket"
-
-
-def _weekly_count(rows_sql, channel):
-    return f"""
-SELECT DISTINCT {wk()} AS local_date_created, agent_name, '{channel}' AS channel,
-  count(ticket_id) OVER (PARTITION BY {wk()}, agent_name) AS tickets,
-  count(ticket_id) OVER (PARTITION BY {wk()}) AS team_tickets
-FROM ({rows_sql}) r_{channel}"""
-
-
-def weekly_raw(acct_roster):
-    voice = f"""
-SELECT DISTINCT local_date_created, agent_name, 'voice' AS channel, tickets, team_tickets FROM (
-  SELECT zch.ticket_id, {wk('local_date')} AS local_date_created, zct.assignee_id, agent_name,
-    count(zch.ticket_id) OVER (PARTITION BY {wk('local_date')}, agent_name) AS tickets,
-    count(zch.ticket_id) OVER (PARTITION BY {wk('local_date')}) AS team_tickets
-  FROM call_legs zch
-  JOIN (SELECT DISTINCT ticket_id, local_date_created, assignee_id FROM call_tickets) zct
-    ON zct.ticket_id = zch.ticket_id
-  JOIN {_roster_sql(acct_roster, 'assignee_id_')} sar ON sar.assignee_id_ = zct.assignee_id
-  WHERE zch.client_account = {ACCT} AND zch.ticket_id IS NOT NULL AND forwarded_to <> 'Voicemail') voice_"""
-    web_rows = _latest_sql("web_tickets", acct_roster, "LEFT JOIN", "", False, False)
-    web = f"""
-SELECT *, {_hb('sum(tickets) OVER (PARTITION BY local_date_created)')} AS team_tickets FROM (
-  SELECT DISTINCT {wk()} AS local_date_created, agent_name, 'web' AS channel,
-    count(ticket_id) OVER (PARTITION BY {wk()}, agent_name) AS tickets
-  FROM ({web_rows}) unique_web
-  WHERE agent_name IS NOT NULL) a"""
-    parts = [
-        voice,
-        _weekly_count(_chat_rows_sql(acct_roster, False), "chat"),
-        _weekly_count(_latest_sql("email_tickets", acct_roster, "LEFT JOIN", " AND channel = 'email'",
-                                  False, False), "email"),
-        web,
-        _weekly_count(_latest_sql("email_tickets", acct_roster, "JOIN", " AND channel = 'api'", False, False),
-                      "api"),
-    ]
-    return ("SELECT DISTINCT local_date_created, agent_name, channel, tickets, team_tickets FROM ("
-            + "\nUNION ALL\n".join(parts) + ") all_ticket")
-
-
-_ACT = " OR ".join(f"activity LIKE {q(p)}" for p in C.activity_patterns)
-TRACKED_SUB = f"""
-SELECT start_date AS start_date_, {hr_of('start_time')} AS hour_au, agent_name AS agent_au, agent_email,
-  supervisor, duration_seconds,
-  {_hb(f"sum(duration_seconds) OVER (PARTITION BY start_date, {hr_of('start_time')}, agent_name)")} AS h_dur,
-  {_hb('sum(duration_seconds) OVER (PARTITION BY start_date, agent_name)')} AS d_dur,
-  {_hb(f"sum(duration_seconds) OVER (PARTITION BY {wk('start_date')}, agent_name)")} AS w_dur,
-  {_hb(f"sum(duration_seconds) OVER (PARTITION BY {mo('start_date')}, agent_name)")} AS m_dur
-FROM tracked_time su
-WHERE division_account LIKE {q(C.tracked_division)} AND is_billable = true AND ({_ACT})"""
-TRACKED_HOURS = (f"SELECT DISTINCT start_date_, hour_au, agent_au, supervisor, h_dur, d_dur, w_dur, m_dur "
-                 f"FROM ({TRACKED_SUB}) au")
-MANUAL_HOURS = f"""
-SELECT DISTINCT "date", CASE WHEN agent_name IS NULL THEN agent_alias ELSE agent_name END AS agent_manual,
-  d_dur_manual, w_dur_manual, m_dur_manual
-FROM (SELECT "date", agent_alias, agent_name, duration_seconds,
-        {_hb('sum(duration_seconds) OVER (PARTITION BY "date", agent_alias)')} AS d_dur_manual,
-        {_hb(f"sum(duration_seconds) OVER (PARTITION BY {wk('date')}, agent_alias)")} AS w_dur_manual,
-        {_hb(f"sum(duration_seconds) OVER (PARTITION BY {mo('date')}, agent_alias)")} AS m_dur_manual
-      FROM manual_time) manual_hr"""
-
-
-def _rate_sql(tk, dur, man):
-    d = lambda x: f"cast({x} AS double)"
-    return f"""CASE
-    WHEN (({dur} IS NULL OR {dur} = 0) AND ({man} IS NULL OR {man} = 0)) THEN {tk}
-    WHEN ({dur} IS NOT NULL AND ({man} IS NULL OR {man} = 0)) THEN {d(tk)} / ({d(dur)} / 3600.0)
-    WHEN (({dur} IS NULL OR {dur} = 0) AND {man} IS NOT NULL) THEN {d(tk)} / ({d(man)} / 3600.0)
-    ELSE {d(tk)} / ({d(dur)} / 3600.0) END"""
-
-
-def _r2(x):
-    return f"cast(round(cast({x} AS decimal(38,10)), 2) AS double)"
-
-
-PRODUCTIVITY_HOURLY = capped(f"""
-SELECT {usd('local_date_created')} AS local_date_created, hour_, assignee_id, agent_name, supervisor, subteam,
-  is_core_team, channel, h_tickets, h_dur, d_dur, w_dur, m_dur, d_dur_manual, w_dur_manual, m_dur_manual,
-  d_tickets, w_tickets, m_tickets,
-  {_r2('h_prod')} AS h_prod, {_r2('d_prod')} AS d_prod, {_r2('w_prod')} AS w_prod, {_r2('m_prod')} AS m_prod,
-  local_date_created AS _day
-FROM (
-  SELECT *,
-    CASE WHEN h_dur IS NOT NULL THEN cast(h_tickets AS double) / nullif(cast(h_dur AS double) / 3600.0, 0)
-         ELSE h_tickets END AS h_prod,
-    {_rate_sql('d_tickets', 'd_dur', 'd_dur_manual')} AS d_prod,
-    {_rate_sql('w_tickets', 'w_dur', 'w_dur_manual')} AS w_prod,
-    {_rate_sql('m_tickets', 'm_dur', 'm_dur_manual')} AS m_prod
-  FROM (
-    SELECT *,
-      {_hb('sum(h_tickets) OVER (PARTITION BY local_date_created, agent_name)')} AS d_tickets,
-      {_hb(f'sum(h_tickets) OVER (PARTITION BY {wk()}, agent_name)')} AS w_tickets,
-      {_hb(f'sum(h_tickets) OVER (PARTITION BY {mo()}, agent_name)')} AS m_tickets
-    FROM (
-      SELECT DISTINCT local_date_created, hour_, assignee_id, agent_name, supervisor, subteam, is_core_team,
-        channel, h_tickets, h_dur, d_dur, w_dur, m_dur, d_dur_manual, w_dur_manual, m_dur_manual
-      FROM (SELECT DISTINCT local_date_created, hour_, assignee_id, agent_name AS agent_, channel, h_tickets
-            FROM ({HOURLY_RAW}) all_ticket) raw_prod
-      JOIN subteams ssu ON (zendesk_id = assignee_id AND local_date_created BETWEEN start_date AND end_date)
-      LEFT JOIN ({TRACKED_SUB}) au
-        ON (local_date_created = start_date_ AND hour_ = hour_au AND agent_name = agent_au)
-      LEFT JOIN ({MANUAL_HOURS}) final_manual
-        ON (local_date_created = "date" AND agent_name = agent_manual)
-    ) extract_raw
-  ) d_tics
-) all_period""",
-    ["local_date_created", "hour_", "assignee_id", "agent_name", "supervisor", "subteam", "is_core_team",
-     "channel", "h_tickets", "h_dur", "d_dur", "w_dur", "m_dur", "d_dur_manual", "w_dur_manual",
-     "m_dur_manual", "d_tickets", "w_tickets", "m_tickets", "h_prod", "d_prod", "w_prod", "m_prod"],
-    [("_day", "desc"), ("hour_", "desc"), ("agent_name", "asc")], C.caps["productivity_hourly"])
-
-
-def _first_known(tk, a, b):
-    return f"""CASE
-    WHEN ({a} IS NULL AND {b} IS NOT NULL) THEN cast({tk} AS double) / nullif({b}, 0)
-    WHEN ({a} IS NOT NULL AND {b} IS NOT NULL) THEN cast({tk} AS double) / nullif({a}, 0)
-    WHEN ({a} IS NOT NULL AND {b} IS NULL) THEN cast({tk} AS double) / nullif({a}, 0)
-    ELSE {tk} END"""
-
-
-PRODUCTIVITY_WEEKLY = f"""
-SELECT *, {_first_known('team_tics', 'team_hr_au', 'team_hr')} AS team_prod
-FROM (
-  SELECT {usd('local_date_created')} AS local_date_created, agent_name, prod_tics,
-    {_hb('sum(prod_tics) OVER (PARTITION BY local_date_created)')} AS team_tics,
-    active_hr,
-    cast(sum(active_s) OVER (PARTITION BY local_date_created) AS double) / 3600.0 AS team_hr_au,
-    dur_hr,
-    cast(sum(dur_min) OVER (PARTITION BY local_date_created) AS double) / 60.0 AS team_hr,
-    prod
-  FROM (
-    SELECT DISTINCT local_date_created, agent_name, prod_tics, active_s, active_hr, dur_min, dur_hr,
-      {_first_known('prod_tics', 'active_hr', 'dur_hr')} AS prod
-    FROM (
-      SELECT local_date_created, agent_name, channel, tickets,
-        {_hb('sum(tickets) OVER (PARTITION BY local_date_created, agent_name)')} AS prod_tics
-      FROM ({weekly_raw(C.roster_account)}) raw_prod
-    ) prod_tics
-    LEFT JOIN (
-      SELECT DISTINCT {wk('start_date')} AS start_date, su.agent_name AS agent_, su.agent_email,
-        {_hb(f"sum(duration_seconds) OVER (PARTITION BY {wk('start_date')}, su.agent_name)")} AS active_s,
-        cast(sum(duration_seconds) OVER (PARTITION BY {wk('start_date')}, su.agent_name) AS double) / 3600.0 AS active_hr
-      FROM tracked_time su
-      JOIN (SELECT * FROM agent_roster WHERE client_account = {q(C.roster_account)}) sar ON su.agent_email = sar.agent_email
-      WHERE su.client_account LIKE {q(C.tracked_division)} AND function = {q(C.tracked_function)}
-    ) hrs ON ({wk('prod_tics.local_date_created')} = {wk('hrs.start_date')} AND agent_ = agent_name)
-    LEFT JOIN (
-      SELECT DISTINCT {wk('"date"')} AS local_date, agent_name AS name_,
-        {_hb(f"sum(duration_minutes) OVER (PARTITION BY {wk('date')}, agent_name)")} AS dur_min,
-        cast(sum(duration_minutes) OVER (PARTITION BY {wk('date')}, agent_name) AS double) / 60.0 AS dur_hr
-      FROM manual_time
-    ) manual_hrs ON ({wk('prod_tics.local_date_created')} = {wk('local_date')} AND name_ = agent_name)
-  ) weekly
-  WHERE local_date_created >= DATE {q(C.weekly_floor)}
-) weekly_team"""
-
-PRODUCTIVITY_FLEX = f"""
-SELECT {usd('local_date_created')} AS local_date_created, agent_name, channel, tickets, prod_tics, team_prod,
-  cast(prod_tics AS double) / {C.week_hours} AS flex_prod_w, cast(team_prod AS double) / {C.week_hours} AS team_prod_w,
-  prod_tics_m, team_prod_m, {usd('month_date')} AS month_date,
-  cast(prod_tics_m AS double) / {C.month_hours} AS flex_prod_m,
-  cast(team_prod_m AS double) / {C.month_hours} AS team_flex_prod_m
-FROM (
-  SELECT local_date_created, agent_name, channel, tickets,
-    {_hb('sum(tickets) OVER (PARTITION BY local_date_created, agent_name)')} AS prod_tics,
-    {_hb('sum(tickets) OVER (PARTITION BY local_date_created)')} AS team_prod,
-    {mo()} AS month_date,
-    {_hb(f'sum(tickets) OVER (PARTITION BY {mo()}, agent_name)')} AS prod_tics_m,
-    {_hb(f'sum(tickets) OVER (PARTITION BY {mo()})')} AS team_prod_m
-  FROM ({weekly_raw(C.flex_roster_account)}) raw_prod
-) all_"""
-
-ORACLE.update({
-    "channel_counts_hourly": CHANNEL_COUNTS_HOURLY,
-    "channel_counts_weekly": weekly_raw(C.roster_account),
-    "tracked_hours": TRACKED_HOURS,
-    "manual_hours": MANUAL_HOURS,
-    "productivity_hourly": PRODUCTIVITY_HOURLY,
-    "productivity_weekly": PRODUCTIVITY_WEEKLY,
-    "productivity_flex": PRODUCTIVITY_FLEX,
-})
-
-
-# ------------------------------------------------- single operators
-_ALL_UPD = "(" + " UNION ALL ".join(
-    f"SELECT {', '.join(['client_account', 'ticket_id', 'channel', 'status', 'type', 'tags', 'assignee_id', 'local_date_created', 'local_time_created', 'date_updated', 'satisfaction_rating_score', 'satisfaction_rating_comment'])} FROM {tb}"
-    for tb in ("email_tickets", "chat_tickets", "call_tickets", "web_tickets")) + f") u WHERE client_account = {ACCT}"
-
-_HR_CURRENT = f"""
-SELECT DISTINCT full_name, job_supervisor FROM (
-  SELECT concat(first_name, ' ', last_name) AS full_name, profile_status, job_supervisor,
-    status_effectivity_date, job_effectivity_date, created_on,
-    max(status_effectivity_date) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS max_status,
-    max(job_effectivity_date) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS job_status,
-    max(created_on) OVER (PARTITION BY concat(first_name, ' ', last_name)) AS create_status
-  FROM hr_roster WHERE job_division = {q(C.hr_division)}) a
-WHERE max_status = status_effectivity_date AND job_status = job_effectivity_date
-  AND created_on = create_status AND profile_status = 'Active'"""
-
-_LAG6 = {"daily": "agent_name, local_date_created", "team_daily": "local_date_created",
-         "weekly": f"agent_name, {wk()}", "team_weekly": wk(),
-         "monthly": f"agent_name, {mo()}", "team_monthly": mo()}
-
-ORACLE.update({
-    "latest_update_per_ticket": f"""
-SELECT DISTINCT ticket_id, channel, date_updated, assignee_id, status FROM (
-  SELECT ticket_id, channel, date_updated, assignee_id, status,
-    max(date_updated) OVER (PARTITION BY ticket_id) AS max_date FROM {_ALL_UPD}) x
-WHERE max_date = date_updated""",
-    "latest_update_per_ticket_day": f"""
-SELECT DISTINCT ticket_id, local_date_created, date_updated, assignee_id FROM (
-  SELECT ticket_id, local_date_created, date_updated, assignee_id,
-    max(date_updated) OVER (PARTITION BY ticket_id, local_date_created) AS max_date FROM {_ALL_UPD}) x
-WHERE max_date = date_updated""",
-    "first_update_per_ticket": f"""
-SELECT DISTINCT ticket_id, local_date_created, date_updated, assignee_id, recent_ FROM (
-  SELECT ticket_id, local_date_created, date_updated, assignee_id,
-    date_updated - local_date_created AS recent_,
-    min(date_updated - local_date_created) OVER (PARTITION BY ticket_id) AS min_recent FROM {_ALL_UPD}) x
-WHERE recent_ = min_recent""",
-    "longest_wait": f"""
-SELECT DISTINCT ticket_id, status,
-  minute(strptime(wait_time, '%M:%S')) * 60 + second(strptime(wait_time, '%M:%S')) AS dur
-FROM (SELECT *, max(wait_time) OVER (PARTITION BY ticket_id) AS max_wait
-      FROM call_legs WHERE client_account = {ACCT}) mx
-WHERE max_wait = wait_time""",
-    "current_roster": _HR_CURRENT,
-    "rated_without_exclusions": f"""
-SELECT DISTINCT ticket_id, channel, satisfaction_rating_score
-FROM (SELECT * FROM {_ALL_UPD}) u
-LEFT JOIN dsat_exclusions tdu ON {_numtext('ext_interaction_id')} = u.ticket_id
-WHERE (satisfaction_rating_score = 'good' OR satisfaction_rating_score = 'bad') AND ext_interaction_id IS NULL""",
-    "scd2_team_inner": f"""
-SELECT DISTINCT u.ticket_id, u.local_date_created, u.assignee_id, s.subteam, s.agent_name, s.is_core_team
-FROM (SELECT * FROM {_ALL_UPD}) u
-JOIN subteams s ON s.zendesk_id = u.assignee_id AND u.local_date_created BETWEEN s.start_date AND s.end_date""",
-    "asof_supervisor": f"""
-SELECT ticket_id, local_date_created, agent_name, supervisor, job_effectivity_date FROM (
-  SELECT DISTINCT ticket_id, local_date_created, agent_name, supervisor, job_effectivity_date,
-    local_date_created - job_effectivity_date AS recent,
-    min(local_date_created - job_effectivity_date) OVER (PARTITION BY local_date_created, agent_name) AS recent_
-  FROM (SELECT DISTINCT u.ticket_id, u.local_date_created, r.agent_name
-        FROM (SELECT * FROM {_ALL_UPD}) u
-        JOIN (SELECT * FROM agent_roster WHERE client_account = {q(C.roster_account)}) r
-          ON r.assignee_id = u.assignee_id) b
-  LEFT JOIN (SELECT DISTINCT concat(first_name, ' ', last_name) AS full_name, job_supervisor AS supervisor,
-               job_effectivity_date FROM hr_roster WHERE job_division = {q(C.hr_division)}) h
-    ON h.full_name = b.agent_name AND b.local_date_created >= h.job_effectivity_date
-) a WHERE recent = recent_""",
-    "resolve_supervisor": f"""
-SELECT DISTINCT local_date_created, agent_name,
-  CASE WHEN supervisor IS NULL THEN {q(C.default_supervisor)} ELSE supervisor END AS supervisor
-FROM (
-  SELECT DISTINCT local_date_created, agent_name,
-    CASE WHEN supervisor IS NULL THEN job_supervisor ELSE supervisor END AS supervisor
-  FROM (SELECT DISTINCT u.local_date_created, s.agent_name
-        FROM (SELECT * FROM {_ALL_UPD}) u
-        JOIN (SELECT * FROM subteams WHERE is_core_team = true) s
-          ON s.zendesk_id = u.assignee_id AND u.local_date_created BETWEEN s.start_date AND s.end_date) d
-  LEFT JOIN (SELECT DISTINCT start_date AS date_, supervisor, agent_name AS agent_ FROM tracked_time
-             WHERE division_name = {q(C.tracked_division)}) su
-    ON (local_date_created = date_ AND agent_ = agent_name)
-  LEFT JOIN ({_HR_CURRENT}) bamboo_visor ON (agent_name = full_name)
-) x""",
-    "update_lag_multi_grain": f"""
-SELECT ticket_id, local_date_created, date_updated, agent_name, lag_days,
-  {", ".join(f"{rtext(f'avg(lag_days) OVER (PARTITION BY {p})')} AS {n}" for n, p in _LAG6.items())}
-FROM (SELECT u.ticket_id, u.local_date_created, u.date_updated, r.agent_name,
-        u.date_updated - u.local_date_created AS lag_days
-      FROM (SELECT * FROM {_ALL_UPD}) u
-      LEFT JOIN (SELECT * FROM agent_roster WHERE client_account = {q(C.roster_account)}) r
-        ON r.assignee_id = u.assignee_id) x""",
-})
-ORACLE["scd2_team_left"] = f"""
-SELECT u.ticket_id, u.date_updated, u.assignee_id, u.local_date_created, a.subteam, a.agent_name
-FROM (SELECT * FROM {_ALL_UPD}) u
-LEFT JOIN (SELECT * FROM subteams WHERE is_core_team = true) a
-  ON u.assignee_id = a.zendesk_id AND u.local_date_created BETWEEN a.start_date AND a.end_date"""
+
+
+def ratings(flagged: bool) -> str:
+    """R11 keeps excluded tickets and shows the exclusion id, R12 drops them."""
+    kept = "date_updated, f.ticket_id, channel, local_date_created, local_time_created, satisfaction_rating_score, satisfaction_rating_comment, tags, type, agent_name, subteam"
+    if flagged:
+        rows = f"SELECT DISTINCT {kept}, x.ext_interaction_id AS mark FROM first_ f LEFT JOIN dsat_exclusions x ON {id_text('x.ext_interaction_id')} = f.ticket_id"
+    else:
+        rows = f"SELECT DISTINCT {kept}, cast(NULL AS varchar) AS mark FROM first_ f WHERE {NOT_EXCLUDED}"
+    columns = {"ticket_id": "ticket_id", "channel": "channel", "local_date_created": day("local_date_created"), "hour_": hour("local_time_created")}
+    columns |= {c: c for c in ("satisfaction_rating_score", "satisfaction_rating_comment", "tags", "type")}
+    return report(first_ratings() | {"rows_": rows}, "rows_", columns | {"uncontrollable_dsat": id_text("mark"), "zendesk_assignee": "agent_name", "subteam": "subteam"})
+
+
+ORACLE["csat_raw"] = ratings(flagged=True)
+ORACLE["csat_clean"] = ratings(flagged=False)
+ORACLE["csat_narrow"] = report(
+    first_ratings() | {"rows_": f"""SELECT DISTINCT ticket_id, channel, {day('local_date_created')} AS local_date_created, assignee_id, agent_name AS name_,
+      agent_email AS email_, satisfaction_rating_score AS csat, {hour('local_time_created')} AS hour_, subteam FROM first_ f WHERE {NOT_EXCLUDED}"""},
+    "rows_",
+    {c: c for c in ("ticket_id", "channel", "local_date_created", "assignee_id", "name_", "email_", "csat", "hour_", "subteam")},
+)
+ORACLE["csat_flex"] = report(
+    {
+        "rated": " UNION ".join(
+            f"SELECT ticket_id, channel, local_date_created, assignee_id, satisfaction_rating_score FROM {t} WHERE {OWN} AND {RATED}" for t in [*TICKETS, "kpi_summary"]
+        ),
+        "agent": members(C.flex_roster_account),
+        "rows_": f"""SELECT f.*, a.agent_name, a.agent_email FROM rated f JOIN agent a ON a.rostered_id = f.assignee_id
+          WHERE a.agent_email IS NOT NULL AND f.local_date_created > DATE {text(C.csat_flex_after)} AND {NOT_EXCLUDED}""",
+    },
+    "rows_",
+    {"ticket_id": "ticket_id", "channel": "channel", "local_date_created": day("local_date_created"), "assignee_id": "assignee_id",
+     "name_": "agent_name", "email_": "agent_email", "csat": "satisfaction_rating_score"},
+)
+
+
+# -------------------------------------------------------------- wait times
+LONGEST = {
+    "legs": f"SELECT ticket_id, status, {seconds('wait_time')} AS dur FROM call_legs WHERE {OWN}",
+    "longest": extremes("legs", ["ticket_id"], "dur", largest=True, columns="DISTINCT ticket_id, status, dur"),
+}
+
+
+def waits(led: bool) -> tuple[dict[str, str], dict[str, str]]:
+    lead = f"coalesce(t.supervisor, h.job_supervisor, {text(C.default_supervisor)}) AS supervisor, " if led else ""
+    joins = "LEFT JOIN tracked t ON t.start_date = c.local_day AND t.agent_name = m.agent_name LEFT JOIN hr_now h ON h.person = m.agent_name" if led else ""
+    ctes = {
+        **LONGEST,
+        "calls": f"""SELECT DISTINCT c.ticket_id, w.dur, c.channel, c.local_date_created AS local_day, c.local_date_created, {hour('c.local_time_created')} AS hour_, c.assignee_id
+          FROM call_tickets c LEFT JOIN (SELECT DISTINCT ticket_id, dur FROM longest) w USING (ticket_id)
+          WHERE {OWN} AND via_source_rel <> 'outbound' AND {DONE} AND c.local_date_created >= DATE {text(C.wait_time_floor)}""",
+        "team": teams(),
+        **(HR_NOW | {"tracked": TRACKED_BY} if led else {}),
+        "facts": f"""SELECT DISTINCT m.subteam, c.ticket_id, c.local_day, c.hour_, c.channel, c.assignee_id, m.agent_email AS email_address, m.agent_name, {lead}c.dur
+          FROM calls c LEFT JOIN team m ON {ON_DUTY.replace('u.', 'c.')} {joins}""",
+        "dated": f"SELECT *, {PERIODS} FROM facts",
+    }
+    sets: dict[str, Sequence[str]] = {}
+    for name, keys in BY_TEAM.items():
+        sets[name] = keys
+        if led and name.startswith("t_"):
+            sets["v_" + name[2:]] = ["supervisor", *keys]
+    more, _ = grains("dated", "dur", sets)
+    columns = {"client_account": "subteam", "local_date_created": day("local_day")} | {c: c for c in ("hour_", "ticket_id", "assignee_id", "email_address", "agent_name")}
+    columns |= {"supervisor": "supervisor"} if led else {}
+    return ctes | more, columns | {"dur": "dur"} | {n: mean_text(n) for n in sets}
+
+
+ORACLE["wait_time_supervisor"] = report(waits(True)[0], "graded", waits(True)[1])
+ORACLE["wait_time_multi_grain"] = report(waits(False)[0], "graded", waits(False)[1])
+TOP_K = 500
+_WAITS = waits(False)
+ORACLE["text_date_sort_top_k"] = report(_WAITS[0], "graded", _WAITS[1], [f"{day('local_day')} DESC NULLS FIRST", "hour_ DESC NULLS FIRST", "agent_name ASC NULLS LAST"], TOP_K)
+ORACLE["real_date_sort_top_k"] = report(_WAITS[0], "graded", _WAITS[1], [*NEWEST_DAY, "hour_ DESC NULLS FIRST", "agent_name ASC NULLS LAST"], TOP_K)
+
+
+# ------------------------------------------------------------ productivity
+def counted(account: str | None, hourly: bool) -> dict[str, str]:
+    """Per channel the rows that count (``n_*`` CTEs), with their agents."""
+    done = f" AND {DONE}" if hourly else ""
+    own = {"agent": members(account)}
+    own["live_chat"] = f"SELECT * FROM chat_tickets f WHERE {OWN} AND EXISTS (SELECT 1 FROM chat_insights i WHERE i.ticket_id = f.ticket_id AND i.{OWN} AND i.abandon_time IS NULL)"
+    own["mail"] = f"SELECT * FROM email_tickets WHERE {OWN} AND channel = 'email'"
+    own["web"] = f"SELECT * FROM web_tickets WHERE {OWN}"
+    own["api"] = f"SELECT * FROM email_tickets WHERE {OWN} AND channel = 'api'"
+    spoken = "voice" if hourly else None
+    only = f" WHERE channel = {text(spoken)}" if spoken else ""
+    own["handled"] = f"SELECT DISTINCT ticket_id, local_date_created, assignee_id FROM call_tickets{only}"
+    unique = "DISTINCT " if hourly else ""
+    own["n_voice"] = f"""SELECT {unique}l.local_date AS local_day, l.local_time AS at_time, l.ticket_id, h.assignee_id, a.agent_name
+      FROM call_legs l JOIN handled h ON h.ticket_id = l.ticket_id JOIN agent a ON a.rostered_id = h.assignee_id
+      WHERE l.{OWN} AND l.forwarded_to <> 'Voicemail'"""
+    row = "local_date_created AS local_day, local_time_created AS at_time, ticket_id, assignee_id, agent_name" if hourly else "local_date_created AS local_day, ticket_id, agent_name"
+    for name, source in (("chat", "live_chat"), ("api", "api")):  # the roster first, then the latest update of the day
+        own[f"{name}_known"] = f"SELECT f.*, a.agent_name FROM {source} f JOIN agent a ON a.rostered_id = f.assignee_id"
+        own[f"n_{name}"] = extremes(f"{name}_known", ["ticket_id", "local_date_created"], "date_updated", True, f"DISTINCT {row}")
+    for name, source in (("email", "mail"), ("web", "web")):  # the latest update of the day first, then status and roster
+        own[f"{name}_latest"] = extremes(source, ["ticket_id", "local_date_created"], "date_updated", True)
+        own[f"n_{name}"] = f"SELECT DISTINCT {row} FROM {name}_latest f JOIN agent a ON a.rostered_id = f.assignee_id WHERE agent_name IS NOT NULL{done}"
+    return own
+
+
+CHANNELS = ["voice", "chat", "email", "web", "api"]
+
+
+def hourly_counts() -> dict[str, str]:
+    ctes = counted(None, hourly=True)
+    each = []
+    for c in CHANNELS:
+        ctes[f"h_{c}"] = f"SELECT local_day, {hour('at_time')} AS hour_, assignee_id, agent_name, ticket_id FROM n_{c}"
+        ctes[f"t_{c}"] = f"SELECT local_day, hour_, agent_name, count(ticket_id) AS h_tickets FROM h_{c} GROUP BY ALL"
+        each.append(f"""SELECT DISTINCT f.local_day, f.hour_, f.assignee_id, f.agent_name, {text(c)} AS channel, t.h_tickets FROM h_{c} f
+          JOIN t_{c} t ON t.local_day IS NOT DISTINCT FROM f.local_day AND t.hour_ IS NOT DISTINCT FROM f.hour_ AND t.agent_name IS NOT DISTINCT FROM f.agent_name""")
+    return ctes | {"hour_counts": " UNION ALL ".join(each)}
+
+
+def weekly_counts(account: str) -> dict[str, str]:
+    ctes = counted(account, hourly=False)
+    each = []
+    for c in CHANNELS:
+        ctes[f"w_{c}"] = f"SELECT {period('week', 'local_day')} AS week_day, agent_name, count(ticket_id) AS tickets FROM n_{c} GROUP BY ALL"
+        ctes[f"a_{c}"] = f"SELECT week_day, cast(sum(tickets) AS bigint) AS team_tickets FROM w_{c} GROUP BY week_day"
+        each.append(f"SELECT f.week_day, f.agent_name, {text(c)} AS channel, f.tickets, a.team_tickets FROM w_{c} f JOIN a_{c} a ON a.week_day IS NOT DISTINCT FROM f.week_day")
+    return ctes | {"week_counts": " UNION ALL ".join(each)}
+
+
+ORACLE["channel_counts_hourly"] = report(
+    hourly_counts(), "hour_counts", {"local_date_created": "local_day"} | {c: c for c in ("hour_", "assignee_id", "agent_name", "channel", "h_tickets")}
+)
+ORACLE["channel_counts_weekly"] = report(
+    weekly_counts(C.roster_account), "week_counts", {"local_date_created": "week_day"} | {c: c for c in ("agent_name", "channel", "tickets", "team_tickets")}
+)
+
+
+def tracked() -> dict[str, str]:
+    """Billable ticket work per hour, day, week and month."""
+    work = " OR ".join(f"activity LIKE {text(p)}" for p in C.activity_patterns)
+    ctes = {
+        "entries": f"""SELECT start_date AS local_day, {hour('start_time')} AS hour_, agent_name, supervisor, duration_seconds, {PERIODS.replace('local_day', 'start_date')}
+          FROM tracked_time WHERE division_account = {text(C.tracked_division)} AND is_billable AND ({work})""",
+    }
+    sets = {"h_dur": ["agent_name", "local_day", "hour_"], "d_dur": ["agent_name", "local_day"], "w_dur": ["agent_name", "week_day"], "m_dur": ["agent_name", "month_day"]}
+    more, source = grains("entries", "duration_seconds", sets, "sum")
+    return ctes | more | {"work_hours": f"SELECT DISTINCT local_day, hour_, agent_name, supervisor, {', '.join(sets)} FROM {source}"}
+
+
+def manual() -> dict[str, str]:
+    """Manual hours summed per alias, shown under the name if there is one."""
+    ctes = {"logged": f'SELECT "date" AS local_day, agent_alias, agent_name, duration_seconds, {PERIODS.replace("local_day", chr(34) + "date" + chr(34))} FROM manual_time'}
+    names = {"d_dur_manual": "local_day", "w_dur_manual": "week_day", "m_dur_manual": "month_day"}
+    for n, p in names.items():
+        ctes[f"by_{n}"] = f"SELECT agent_alias, {p}, cast(sum(duration_seconds) AS bigint) AS {n} FROM logged GROUP BY ALL"
+    joins = " ".join(f"JOIN by_{n} ON by_{n}.agent_alias IS NOT DISTINCT FROM f.agent_alias AND by_{n}.{p} = f.{p}" for n, p in names.items())
+    return ctes | {"manual_hours": f"SELECT DISTINCT f.local_day, coalesce(f.agent_name, f.agent_alias) AS person, {', '.join(names)} FROM logged f {joins}"}
+
+
+ORACLE["tracked_hours"] = report(
+    tracked(), "work_hours", {"start_date_": "local_day", "hour_au": "hour_", "agent_au": "agent_name"} | {c: c for c in ("supervisor", "h_dur", "d_dur", "w_dur", "m_dur")}
+)
+ORACLE["manual_hours"] = report(manual(), "manual_hours", {'"date"': "local_day", "agent_manual": "person"} | {c: c for c in ("d_dur_manual", "w_dur_manual", "m_dur_manual")})
+
+
+def rate(tickets: str, tracked_seconds: str, manual_seconds: str) -> str:
+    """Tickets per hour by the first kind of hours that applies, else the
+    count. Tracked time applies unless it is missing or zero; zero manual time
+    counts as missing; if only a zero is known, there is no rate."""
+    known = lambda s: f"nullif({s}, 0)"
+    hours = f"coalesce({known(tracked_seconds)}, {known(manual_seconds)}) / 3600.0"
+    return f"CASE WHEN {known(tracked_seconds)} IS NULL AND {known(manual_seconds)} IS NULL THEN cast({tickets} AS double) ELSE cast({tickets} AS double) / ({hours}) END"
+
+
+def hourly_productivity() -> str:
+    tracked_ctes = {k.replace("graded", "graded_work"): v for k, v in tracked().items()}
+    tracked_ctes["work_hours"] = tracked_ctes["work_hours"].replace("FROM graded", "FROM graded_work")
+    ctes = {
+        **hourly_counts(),
+        **tracked_ctes,
+        **manual(),
+        "team": teams(core=False),
+        "facts": """SELECT DISTINCT u.local_day, u.hour_, u.assignee_id, m.agent_name, w.supervisor, m.subteam, m.is_core_team, u.channel, u.h_tickets,
+            w.h_dur, w.d_dur, w.w_dur, w.m_dur, l.d_dur_manual, l.w_dur_manual, l.m_dur_manual
+          FROM hour_counts u JOIN team m ON m.zendesk_id = u.assignee_id AND u.local_day >= m.valid_from AND u.local_day <= m.valid_to
+          LEFT JOIN work_hours w ON w.local_day = u.local_day AND w.hour_ = u.hour_ AND w.agent_name = m.agent_name
+          LEFT JOIN manual_hours l ON l.local_day = u.local_day AND l.person = m.agent_name""",
+        "dated": f"SELECT *, {PERIODS} FROM facts",
+    }
+    sets = {"d_tickets": BY_AGENT["daily"], "w_tickets": BY_AGENT["weekly"], "m_tickets": BY_AGENT["monthly"]}
+    more, source = grains("dated", "h_tickets", sets, "sum")
+    plain = "hour_ assignee_id agent_name supervisor subteam is_core_team channel h_tickets h_dur d_dur w_dur m_dur d_dur_manual w_dur_manual m_dur_manual d_tickets w_tickets m_tickets"
+    columns = {"local_date_created": day("local_day")} | {c: c for c in plain.split()}
+    columns["h_prod"] = cents(f"if(h_dur IS NULL, cast(h_tickets AS double), {per('h_tickets', 'h_dur / 3600.0')})")
+    return report(ctes | more, source, columns | {f"{p}_prod": cents(rate(f"{p}_tickets", f"{p}_dur", f"{p}_dur_manual")) for p in "dwm"})
+
+
+ORACLE["productivity_hourly"] = hourly_productivity()
+
+
+def first_known(tickets: str, *hours: str) -> str:
+    """C11: tickets over the first hours that are known, else the count."""
+    whens = " ".join(f"WHEN {h} IS NOT NULL THEN {per(tickets, h)}" for h in hours)
+    return f"CASE {whens} ELSE cast({tickets} AS double) END"
+
+
+ORACLE["productivity_weekly"] = report(
+    {
+        **weekly_counts(C.roster_account),
+        "done": f"SELECT week_day, agent_name, cast(sum(tickets) AS bigint) AS prod_tics FROM week_counts WHERE week_day >= DATE {text(C.weekly_floor)} GROUP BY ALL",
+        "active": f"""SELECT {period('week', 't.start_date')} AS week_day, t.agent_name, cast(sum(t.duration_seconds) AS bigint) AS active_s
+          FROM tracked_time t JOIN agent a ON a.agent_email = t.agent_email
+          WHERE t.client_account = {text(C.tracked_division)} AND t.function = {text(C.tracked_function)} GROUP BY ALL""",
+        "logged": f"""SELECT {period('week', '"date"')} AS week_day, agent_name, cast(sum(duration_minutes) AS bigint) AS manual_min FROM manual_time GROUP BY ALL""",
+        "rows_": """SELECT d.*, active_s, active_s / 3600.0 AS active_hr, manual_min, manual_min / 60.0 AS dur_hr
+          FROM done d LEFT JOIN active t ON t.week_day = d.week_day AND t.agent_name = d.agent_name LEFT JOIN logged l ON l.week_day = d.week_day AND l.agent_name = d.agent_name""",
+        "whole": """SELECT week_day, cast(sum(prod_tics) AS bigint) AS team_tics, cast(sum(active_s) AS double) / 3600.0 AS team_hr_au, cast(sum(manual_min) AS double) / 60.0 AS team_hr
+          FROM rows_ GROUP BY week_day""",
+        "both_": "SELECT r.*, w.team_tics, w.team_hr_au, w.team_hr FROM rows_ r JOIN whole w USING (week_day)",
+    },
+    "both_",
+    {"local_date_created": day("week_day"), "agent_name": "agent_name", "prod_tics": "prod_tics", "team_tics": "team_tics",
+     "active_hr": "cast(active_hr AS double)", "team_hr_au": "team_hr_au", "dur_hr": "cast(dur_hr AS double)", "team_hr": "team_hr",
+     "prod": first_known("prod_tics", "active_hr", "dur_hr"), "team_prod": first_known("team_tics", "team_hr_au", "team_hr")},
+)
+
+
+def flex_productivity() -> str:
+    ctes = weekly_counts(C.flex_roster_account) | {"dated": f"SELECT week_day, agent_name, channel, tickets, {period('month', 'week_day')} AS month_day FROM week_counts"}
+    sets = {"prod_tics": ["agent_name", "week_day"], "team_prod": ["week_day"], "prod_tics_m": ["agent_name", "month_day"], "team_prod_m": ["month_day"]}
+    more, source = grains("dated", "tickets", sets, "sum")
+    columns = {"local_date_created": day("week_day")} | {c: c for c in ("agent_name", "channel", "tickets", *sets)} | {"month_date": day("month_day")}
+    columns |= {"flex_prod_w": per("prod_tics", str(C.week_hours)), "team_prod_w": per("team_prod", str(C.week_hours))}
+    return report(ctes | more, source, columns | {"flex_prod_m": per("prod_tics_m", str(C.month_hours)), "team_flex_prod_m": per("team_prod_m", str(C.month_hours))})
+
+
+ORACLE["productivity_flex"] = flex_productivity()
+
+
+# -------------------------------------------------------- single operators
+ORACLE["latest_update_per_ticket"] = statement(
+    {"u": updates("ticket_id, channel, date_updated, assignee_id, status")}, extremes("u", ["ticket_id"], "date_updated", True, "DISTINCT *")
+)
+ORACLE["latest_update_per_ticket_day"] = statement(
+    {"u": updates("ticket_id, local_date_created, date_updated, assignee_id")}, extremes("u", ["ticket_id", "local_date_created"], "date_updated", True, "DISTINCT *")
+)
+ORACLE["first_update_per_ticket"] = statement(
+    {"u": updates("ticket_id, local_date_created, date_updated, assignee_id, date_updated - local_date_created AS recent_")}, extremes("u", ["ticket_id"], "recent_", False, "DISTINCT *")
+)
+ORACLE["longest_wait"] = statement(LONGEST, "SELECT * FROM longest")
+ORACLE["current_roster"] = statement(HR_NOW, "SELECT person AS full_name, job_supervisor FROM hr_now")
+ORACLE["rated_without_exclusions"] = statement(
+    {"u": updates("ticket_id, channel, satisfaction_rating_score", f"{OWN} AND {RATED}")}, f"SELECT DISTINCT * FROM u f WHERE {NOT_EXCLUDED}"
+)
+ORACLE["scd2_team_left"] = statement(
+    {"u": updates("ticket_id, date_updated, assignee_id, local_date_created"), "team": teams()}, f"SELECT u.*, m.subteam, m.agent_name FROM u LEFT JOIN team m ON {ON_DUTY}"
+)
+ORACLE["scd2_team_inner"] = statement(
+    {"u": updates("ticket_id, assignee_id, local_date_created"), "team": teams(core=False)},
+    f"SELECT DISTINCT u.ticket_id, u.local_date_created, u.assignee_id, m.subteam, m.agent_name, m.is_core_team FROM u JOIN team m ON {ON_DUTY}",
+)
+ORACLE["asof_supervisor"] = statement(
+    {
+        "u": updates("ticket_id, local_date_created, assignee_id"),
+        "agent": members(C.roster_account),
+        "hr": hr_records(),
+        "facts": "SELECT DISTINCT u.ticket_id, u.local_date_created, a.agent_name FROM u JOIN agent a ON a.rostered_id = u.assignee_id",
+        "moment": """SELECT d.agent_name, d.local_date_created, max(hr.since) AS since FROM (SELECT DISTINCT agent_name, local_date_created FROM facts) d
+          JOIN hr ON hr.person = d.agent_name AND hr.since <= d.local_date_created GROUP BY ALL""",
+    },
+    """SELECT f.ticket_id, f.local_date_created, f.agent_name, hr.supervisor, hr.since AS job_effectivity_date
+    FROM facts f JOIN moment m USING (agent_name, local_date_created) JOIN hr ON hr.person = f.agent_name AND hr.since = m.since""",
+)
+ORACLE["resolve_supervisor"] = statement(
+    {"u": updates("assignee_id, local_date_created"), "team": teams(), "tracked": TRACKED_BY, **HR_NOW},
+    f"""SELECT DISTINCT u.local_date_created, m.agent_name, coalesce(t.supervisor, h.job_supervisor, {text(C.default_supervisor)}) AS supervisor
+    FROM u JOIN team m ON {ON_DUTY} LEFT JOIN tracked t ON t.start_date = u.local_date_created AND t.agent_name = m.agent_name LEFT JOIN hr_now h ON h.person = m.agent_name""",
+)
+
+
+def update_lags() -> str:
+    ctes = {
+        "u": updates("ticket_id, local_date_created, date_updated, assignee_id"),
+        "agent": members(C.roster_account),
+        "facts": "SELECT u.ticket_id, u.local_date_created AS local_day, u.date_updated, a.agent_name, u.date_updated - u.local_date_created AS lag_days FROM u LEFT JOIN agent a ON a.rostered_id = u.assignee_id",
+        "dated": f"SELECT *, {PERIODS} FROM facts",
+    }
+    more, source = grains("dated", "lag_days", FLEX)
+    return report(ctes | more, source, {"ticket_id": "ticket_id", "local_date_created": "local_day"} | {c: c for c in ("date_updated", "agent_name", "lag_days")} | {n: mean_text(n) for n in FLEX})
+
+
+ORACLE["update_lag_multi_grain"] = update_lags()
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: with_fixtures(v) for k, v in ORACLE.items()}

@@ -183,7 +183,7 @@ HOURLY_COLS = ["local_date_created", "hour_", "assignee_id", "agent_name", "supe
                "w_prod", "m_prod"]
 
 
-def productivity_hourly(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def productivity_hourly(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordered: bool = False) -> DataFrame:
     """Tickets per agent, hour and channel with tracked and manual hours
     and hour/day/week/month productivity."""
     raw = channel_counts_hourly(t, cfg).withColumnRenamed("agent_name", "_roster_agent")
@@ -215,7 +215,7 @@ def productivity_hourly(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
         round2(rate_or_count("m_tickets", "m_dur", "m_dur_manual")).alias("m_prod"),
         F.col("local_date_created").alias("_day"))
     return top_k(out, [("_day", "desc"), ("hour_", "desc"), ("agent_name", "asc")],
-                 cfg.caps["productivity_hourly"], HOURLY_COLS)
+                 cap, HOURLY_COLS, ordered)
 
 
 WEEKLY_COLS = ["local_date_created", "agent_name", "prod_tics", "team_tics", "active_hr", "team_hr_au",
@@ -231,7 +231,7 @@ def _rate_first_non_null(tickets, first_hours, second_hours):
              .otherwise(t))
 
 
-def productivity_weekly(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def productivity_weekly(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFrame:
     """R2: weekly tickets per core agent over tracked (else manual) hours,
     with team totals."""
     raw = channel_counts_weekly(t, cfg, cfg.roster_account)
@@ -254,14 +254,16 @@ def productivity_weekly(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
                   (F.sum("dur_min") / 60.0).alias("team_hr")))
     x = null_safe_join(x, team, ["local_date_created"])
     x = x.withColumn("team_prod", _rate_first_non_null("team_tics", "team_hr_au", "team_hr"))
-    return x.select(us_date("local_date_created").alias("local_date_created"), *WEEKLY_COLS[1:])
+    out = x.select(us_date("local_date_created").alias("local_date_created"), *WEEKLY_COLS[1:],
+                   F.col("local_date_created").alias("_day"))
+    return top_k(out, [("_day", "desc")], None, WEEKLY_COLS, ordered)
 
 
 FLEX_COLS = ["local_date_created", "agent_name", "channel", "tickets", "prod_tics", "team_prod", "flex_prod_w",
              "team_prod_w", "prod_tics_m", "team_prod_m", "month_date", "flex_prod_m", "team_flex_prod_m"]
 
 
-def productivity_flex(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def productivity_flex(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFrame:
     """Weekly tickets per flex agent and channel against standard hours
     (per week, and per month of the week's Monday, H12)."""
     raw = channel_counts_weekly(t, cfg, cfg.flex_roster_account)
@@ -271,9 +273,10 @@ def productivity_flex(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
                                        "prod_tics_m": ["_month", "agent_name"],
                                        "team_prod_m": ["_month"]}, fn="sum")
     wh, mh = float(cfg.week_hours), float(cfg.month_hours)
-    return g.select(
+    out = g.select(
         us_date("local_date_created").alias("local_date_created"), "agent_name", "channel", "tickets",
         "prod_tics", "team_prod", (F.col("prod_tics") / wh).alias("flex_prod_w"),
         (F.col("team_prod") / wh).alias("team_prod_w"), "prod_tics_m", "team_prod_m",
         us_date("_month").alias("month_date"), (F.col("prod_tics_m") / mh).alias("flex_prod_m"),
-        (F.col("team_prod_m") / mh).alias("team_flex_prod_m"))
+        (F.col("team_prod_m") / mh).alias("team_flex_prod_m"), F.col("local_date_created").alias("_day"))
+    return top_k(out, [("_day", "desc")], None, FLEX_COLS, ordered)

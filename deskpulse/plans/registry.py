@@ -34,6 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csat_flex": _report(csat.csat_flex),
     "wait_time_supervisor": _report(wait.wait_time_supervisor),
     "wait_time_multi_grain": _report(wait.wait_time_multi_grain),
+    "text_date_sort_top_k": _report(wait.wait_time_multi_grain, cap=500, text_date_order=True),
+    "real_date_sort_top_k": _report(wait.wait_time_multi_grain, cap=500),
     "channel_counts_hourly": _report(prod.channel_counts_hourly),
     "channel_counts_weekly": _report(prod.channel_counts_weekly),
     "tracked_hours": _report(prod.tracked_hours),
@@ -69,6 +71,8 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "csat_flex": ("R14", "C14", "U1", "U2", "J9", "Q9"),
     "wait_time_supervisor": ("R4", "C3", "C5", "C6", "C15", "F7", "J4", "J11", "J12", "O2", "O3", "P5"),
     "wait_time_multi_grain": ("R5", "C3", "C6", "F7", "J4", "O2", "O3"),
+    "text_date_sort_top_k": ("O2", "O3", "R5"),
+    "real_date_sort_top_k": ("O1", "O3", "R5"),
     "channel_counts_hourly": ("C7", "A1", "A2", "W3", "P3", "J1", "J13", "Q2", "Q3", "Q4"),
     "channel_counts_weekly": ("C7", "A2", "A5", "W3", "W6"),
     "tracked_hours": ("C8", "A3", "W2", "W6", "Q5", "Q6", "Q7"),

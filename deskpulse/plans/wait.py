@@ -46,20 +46,23 @@ def tracked_supervisors(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
                  F.col("agent_name").alias("_agent")).distinct()))
 
 
-def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> DataFrame:
+def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True, cap: int | None = None,
+              ordered: bool = False, text_date_order: bool = False) -> DataFrame:
+    """``text_date_order`` sorts by the formatted date (mm/dd/yyyy) before the cap, as
+    the reports do (O2, H3); otherwise the real date is used."""
     legs = (shared(t, "longest_wait", cfg, lambda: longest_wait(t.call_legs, cfg.account))
             .select(F.col("ticket_id").alias("_did"), "dur").distinct())
-    zct = t.call_tickets.where((F.col("client_account") == cfg.account)
+    calls = t.call_tickets.where((F.col("client_account") == cfg.account)
                                & (F.col("via_source_rel") != OUTBOUND)
                                & F.col("status").isin(*DONE_STATUSES))
-    zd = (zct.join(legs, F.col("ticket_id") == F.col("_did"), "left")
+    solved = (calls.join(legs, F.col("ticket_id") == F.col("_did"), "left")
              .select("ticket_id", "dur", "channel", "local_date_created",
                      hour_of_time_text("local_time_created").alias("hour_"), "assignee_id")
              .distinct())
     team = (t.subteams.where(F.col("is_core_team"))
              .select("subteam", F.col("zendesk_id").alias("_zid"), "agent_name", "agent_email",
                      F.col("start_date").alias("_start"), F.col("end_date").alias("_end")))
-    x = validity_join(zd, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left", bound_by=t.subteams)
+    x = validity_join(solved, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left", bound_by=t.subteams)
     x = x.where(F.col("local_date_created") >= lit_like(x, "local_date_created", cfg.wait_time_floor))
     if with_supervisor:
         su = tracked_supervisors(t, cfg)
@@ -86,18 +89,17 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True) -> D
         *(["supervisor"] if with_supervisor else []), "dur",
         *[round_avg_text(n).alias(n) for n in grains],
         F.col("local_date_created").alias("_day"))
-    day = "local_date_created" if cfg.text_date_order else "_day"
+    day = "local_date_created" if text_date_order else "_day"
     order = ([("client_account", "asc")] if with_supervisor else []) + [
         (day, "desc"), ("hour_", "desc"), ("agent_name", "asc")]
-    cap = cfg.caps["wait_time_supervisor" if with_supervisor else "wait_time_multi_grain"]
-    return top_k(out, order, cap, cols)
+    return top_k(out, order, cap, cols, ordered)
 
 
-def wait_time_supervisor(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def wait_time_supervisor(t, cfg: ReportConfig = DEFAULT, **how) -> DataFrame:
     """Wait time with supervisor grains (12 averages)."""
-    return wait_time(t, cfg, with_supervisor=True)
+    return wait_time(t, cfg, with_supervisor=True, **how)
 
 
-def wait_time_multi_grain(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def wait_time_multi_grain(t, cfg: ReportConfig = DEFAULT, **how) -> DataFrame:
     """Wait time without supervisors (8 averages)."""
-    return wait_time(t, cfg, with_supervisor=False)
+    return wait_time(t, cfg, with_supervisor=False, **how)

@@ -32,8 +32,6 @@ def build_session(master: str | None = None, app: str = "deskpulse",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-        # lets per-key / per-task row limits up to report caps run as WindowGroupLimit
-        "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
         # a report suite generates hundreds of distinct stage classes; keep them compiled
         "spark.sql.codegen.cache.maxEntries": "2000",
     }

@@ -94,9 +94,8 @@ def test_h10_open_validity_end_never_matches(spark):
 
 def test_h3_capped_order_uses_text_dates(spark):
     t, cfg = _wait_inputs(spark, D(2022, 12, 31))
-    caps = {**cfg.caps, "wait_time_multi_grain": 1}
-    text = wait.wait_time_multi_grain(t, dataclasses.replace(cfg, caps=caps)).collect()
-    real = wait.wait_time_multi_grain(t, dataclasses.replace(cfg, caps=caps, text_date_order=False)).collect()
+    text = wait.wait_time_multi_grain(t, cfg, cap=1, text_date_order=True).collect()
+    real = wait.wait_time_multi_grain(t, cfg, cap=1).collect()
     assert [r["local_date_created"] for r in text] == ["12/31/2021"]   # '12/...' > '01/...' as text
     assert [r["local_date_created"] for r in real] == ["01/05/2022"]
 

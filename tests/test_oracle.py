@@ -3,11 +3,14 @@ same columns, same row multiset."""
 
 import pytest
 
+from deskpulse.plans.oracle_sql import oracle_sql
+from deskpulse.plans.registry import QUERIES
+
 import __spark_entry__ as E
 from conftest import SMALL
 from oracle_compare import compare, duck
 
-Q, O = E.queries(), E.oracle_sql()
+Q, O = QUERIES, oracle_sql()
 
 
 @pytest.fixture(scope="module")

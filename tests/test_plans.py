@@ -2,12 +2,14 @@
 
 import pytest
 
-import __spark_entry__ as E
+from deskpulse.plans.registry import QUERIES
 from conftest import SMALL
 
-Q = E.queries()
-CAPPED = ["attendance", "frt_chat_multi_grain", "frt_email_multi_grain", "frt_email_kpi", "frt_email_flex",
-          "frt_chat_asof", "wait_time_supervisor", "wait_time_multi_grain", "productivity_hourly"]
+Q = QUERIES
+UNCAPPED = ["attendance", "frt_chat_multi_grain", "frt_email_multi_grain", "frt_email_kpi", "frt_email_flex",
+            "frt_chat_asof", "wait_time_supervisor", "wait_time_multi_grain", "productivity_hourly"]
+GRAIN_QUERIES = ["frt_chat_multi_grain", "frt_email_multi_grain", "frt_email_kpi", "frt_email_flex", "frt_chat_flex",
+                 "wait_time_supervisor", "wait_time_multi_grain", "productivity_flex", "update_lag_multi_grain"]
 
 
 def plan(spark, name):
@@ -20,11 +22,27 @@ def test_no_nested_loop_or_cartesian(spark, name):
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
-@pytest.mark.parametrize("name", CAPPED)
-def test_top_k_is_take_ordered(spark, name):
-    p = plan(spark, name)
-    # two levels: per-task WindowGroupLimit, then TakeOrderedAndProject
-    assert "TakeOrderedAndProject" in p and "WindowGroupLimit" in p
+@pytest.mark.parametrize("name", ["text_date_sort_top_k", "real_date_sort_top_k"])
+@pytest.mark.parametrize("threshold", ["1", "100000"])
+def test_top_k_has_one_plan_in_every_session(spark, name, threshold):
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(key, "1000")
+    spark.conf.set(key, threshold)
+    try:
+        p = plan(spark, name)
+    finally:
+        spark.conf.set(key, before)
+    assert "TakeOrderedAndProject" in p and "WindowGroupLimit" not in p
+
+
+@pytest.mark.parametrize("name", UNCAPPED)
+def test_reports_are_uncapped(spark, name):
+    assert "Limit" not in plan(spark, name) and "TakeOrdered" not in plan(spark, name)
+
+
+@pytest.mark.parametrize("name", GRAIN_QUERIES)
+def test_no_window_in_grain_queries(spark, name):
+    assert "Window" not in plan(spark, name)
 
 
 @pytest.mark.parametrize("name", ["latest_update_per_ticket", "first_update_per_ticket"])
