@@ -40,6 +40,9 @@ class ReportConfig:
     weekly_floor: dt.date = dt.date(1996, 1, 15)
     attendance_floor: dt.datetime = dt.datetime(2024, 1, 5, 0, 0, 0)
 
+    # How the longest call leg is chosen: "seconds", or "text" as the reports compare (H8).
+    longest_wait_compare: str = "seconds"
+
     # Standard hours for the flex productivity rates.
     week_hours: int = 40
     month_hours: int = 160

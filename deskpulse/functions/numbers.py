@@ -47,7 +47,8 @@ def num_text(x) -> Column:
 def numeric_id_text(x) -> Column:
     """numeric text id such as '123.0' -> '123' (truncated); NULL when
     the text is not a number."""
-    return _c(x).try_cast("decimal(38,6)").cast("bigint").cast("string")
+    n = _c(x).try_cast("decimal(38,6)")
+    return F.when(n < 0, F.ceil(n)).otherwise(F.floor(n)).cast("string")
 
 
 def true_divide(num, den) -> Column:

@@ -12,41 +12,34 @@ from pyspark.sql import functions as F
 from deskpulse.constants import ACTIVE_PROFILE
 
 
-# Largest dimension broadcast on a hint, in estimated bytes of the projected
+# Largest dimension broadcast on a hint, in measured bytes of the projected
 # columns.  Larger inputs are left to the planner: adaptive execution still
 # broadcasts them when the measured size is small, else it plans a shuffled
 # join (with skew splits).
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
+BROADCAST_MAX_ROWS = 1_000_000
 
-_size_checks: dict = {}
 
+def _measured(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """Rows (max_rows + 1 at most are read) and bytes of their values: text by
+    its length, everything else as 16 bytes with its slot."""
+    width = [F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 if f.dataType.simpleString() == "string" else F.lit(16) for f in df.schema.fields]
+    r = df.limit(max_rows + 1).select(reduce(lambda a, b: a + b, width).alias("w")).agg(F.count("*"), F.sum("w")).first()
+    return r[0], r[1] or 0
 
-def _row_bytes(df: DataFrame) -> int:
-    """Generous per-row size estimate from the schema (text counted as 32
-    bytes, which the short ids, names and labels of dimensions stay under)."""
-    width = {"string": 32, "date": 4, "boolean": 1, "int": 4, "smallint": 2, "tinyint": 1}
-    return max(1, sum(width.get(f.dataType.simpleString(), 8) for f in df.schema.fields))
 
-
-def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, max_rows: int = BROADCAST_MAX_ROWS,
                       bound_by: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` when ``df`` provably holds at most
-    ``max_bytes / row size`` rows.
-
-    The proof is a bounded count (``limit(n + 1).count()``, never more than
-    n + 1 rows read) of ``df`` itself or of ``bound_by``, a table ``df`` is a
-    filter/projection/distinct of (so it cannot have more rows).  Counts are
-    remembered per plan, so a dimension table is counted once per session
-    however many reports use it.
+    """``broadcast(df)`` when ``df`` provably holds at most ``max_rows`` rows and
+    ``max_bytes`` bytes; otherwise ``df`` itself, for a shuffled join.
+
+    The proof is one bounded job over ``df`` itself or over ``bound_by``, a
+    table ``df`` is a filter, projection or distinct of (so it cannot be
+    larger).  It runs at every call: a size is never remembered across
+    changes of a source.
     """
-    src = df if bound_by is None else bound_by
-    max_rows = max(1, max_bytes // _row_bytes(df))
-    key = (src.sparkSession.sparkContext.applicationId, src.semanticHash(), max_rows)
-    small = _size_checks.get(key)
-    if small is None:
-        small = src.limit(max_rows + 1).count() <= max_rows
-        _size_checks[key] = small
-    return F.broadcast(df) if small else df
+    rows, size = _measured(df if bound_by is None else bound_by, max_rows)
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def _and(conds: Sequence[Column]) -> Column:
@@ -64,17 +57,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_date: str,
                   start: str = "start_date", end: str = "end_date", how: str = "left",
-                  bound_by: DataFrame | None = None) -> DataFrame:
+                  bound_by: DataFrame | None = None, open_end: bool = False) -> DataFrame:
     """Match a dimension row valid on the fact's date:
     ``fact_key = dim_key AND fact_date BETWEEN start AND end``.
 
     The equality part makes it a hash join with a residual range check; the
     dimension is broadcast after a size check.  A NULL ``end`` never
-    matches (BETWEEN with NULL is not true).  Column names of the two sides
+    matches (BETWEEN with NULL is not true, H10) unless ``open_end``.  Column names of the two sides
     must not clash.
     """
     d = bounded_broadcast(dim, bound_by=bound_by)
-    cond = (F.col(fact_key) == F.col(dim_key)) & F.col(fact_date).between(F.col(start), F.col(end))
+    until = F.col(fact_date) <= F.col(end)
+    if open_end:
+        until = until | F.col(end).isNull()
+    cond = (F.col(fact_key) == F.col(dim_key)) & (F.col(fact_date) >= F.col(start)) & until
     return facts.join(d, cond, how)
 
 

@@ -48,7 +48,7 @@ def first_update_per_ticket(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
 
 def longest_wait(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Longest call leg(s) per ticket, in seconds."""
-    return shared(t, "longest_wait", cfg, lambda: _longest_wait(t.call_legs, cfg.account))
+    return shared(t, "longest_wait", cfg, lambda: _longest_wait(t.call_legs, cfg.account, cfg.longest_wait_compare))
 
 
 def _team(t, core_only: bool) -> DataFrame:

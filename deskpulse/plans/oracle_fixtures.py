@@ -12,7 +12,19 @@ def _acct(k):
 
 
 def _pad2(x):
-    return f"lpad(cast({x} AS varchar), 2, '0')"
+    return f"if(length(cast({x} AS varchar)) < 2, lpad(cast({x} AS varchar), 2, '0'), cast({x} AS varchar))"
+
+
+def _agent(x):
+    return f"(({x} + 1) // 2)"
+
+
+def _person(x):
+    return f"'NATION ' || cast({x} AS varchar)"
+
+
+def _mail(x):
+    return f"'nation.' || cast({x} AS varchar) || '@example.com'"
 
 
 TICKET_COLS = ("client_account, ticket_id, channel, status, type, tags, assignee_id, "
@@ -28,7 +40,7 @@ SELECT {_acct('o.o_custkey')} AS client_account,
   CASE o.o_orderstatus WHEN 'F' THEN 'solved' WHEN 'P' THEN 'closed' ELSE 'open' END AS status,
   CASE WHEN o.o_orderkey % 3 = 0 THEN 'question' ELSE 'incident' END AS type,
   'tier_' || lower(o.o_orderstatus) AS tags,
-  cast((o.o_custkey + CASE WHEN l.l_linenumber >= 5 THEN 7 ELSE 0 END) % 30 AS varchar) AS assignee_id,
+  cast(l.l_suppkey AS varchar) AS assignee_id,
   cast(o.o_orderdate AS date) AS local_date_created,
   {_pad2('o.o_orderkey % 24')} || ':30:00' AS local_time_created,
   cast(l.l_shipdate AS date) AS date_updated,
@@ -64,37 +76,31 @@ FROM orders WHERE o_orderpriority = '2-HIGH'""",
 SELECT cast(o_orderkey AS varchar) AS ticket_id,
   CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 1440 END AS reply_time_calendar_minutes
 FROM orders WHERE o_orderpriority = '3-MEDIUM'""",
-    "agent_roster": """
-SELECT CASE WHEN n_nationkey % 4 = 3 THEN 'acct_a_flex' ELSE 'acct_a' END AS client_account,
-  cast(n_nationkey AS varchar) AS assignee_id,
-  replace(n_name, '_', ' ') AS agent_name,
-  lower(replace(n_name, '_', '.')) || '@example.com' AS agent_email
-FROM nation""",
+    "agent_roster": f"""
+SELECT CASE WHEN {_agent('s_suppkey')} % 4 = 3 THEN 'acct_a_flex' ELSE 'acct_a' END AS client_account,
+  cast(s_suppkey AS varchar) AS assignee_id, {_person(_agent('s_suppkey'))} AS agent_name, {_mail(_agent('s_suppkey'))} AS agent_email
+FROM supplier WHERE s_suppkey % 6 <> 5""",
     "kpi_summary": """
 SELECT DISTINCT t.client_account, t.ticket_id, t.channel, a.agent_name, t.assignee_id,
   t.satisfaction_rating_score, t.local_date_created, m.reply_time_calendar_minutes AS frt_calendar
 FROM email_tickets t JOIN email_metrics m ON m.ticket_id = t.ticket_id
 LEFT JOIN agent_roster a ON a.assignee_id = t.assignee_id
 WHERE t.channel = 'email'""",
-    "subteams": """
-SELECT cast(n.n_nationkey AS varchar) AS zendesk_id, replace(n.n_name, '_', ' ') AS agent_name,
-  lower(replace(n.n_name, '_', '.')) || '@example.com' AS agent_email, r.r_name AS subteam,
-  DATE '1995-01-01' AS start_date, DATE '1998-06-30' AS end_date,
-  n.n_nationkey % 7 <> 0 AS is_core_team
-FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
+    "subteams": f"""
+SELECT cast(s_suppkey AS varchar) AS zendesk_id, {_person(_agent('s_suppkey'))} AS agent_name, {_mail(_agent('s_suppkey'))} AS agent_email,
+  r_name AS subteam, DATE '1995-01-01' AS start_date, DATE '1998-06-30' AS end_date, {_agent('s_suppkey')} % 7 <> 0 AS is_core_team
+FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
 UNION ALL
-SELECT cast(n.n_nationkey AS varchar), replace(n.n_name, '_', ' '),
-  lower(replace(n.n_name, '_', '.')) || '@example.com', r.r_name,
-  DATE '1998-07-01', CASE WHEN n.n_nationkey <> 24 THEN DATE '2001-12-31' END,
-  n.n_nationkey % 7 <> 0
-FROM nation n JOIN region r ON r.r_regionkey = (n.n_regionkey + 1) % 5""",
+SELECT cast(s_suppkey AS varchar), {_person(_agent('s_suppkey'))}, {_mail(_agent('s_suppkey'))},
+  r_name, DATE '1998-07-01', CASE WHEN s_suppkey % 25 <> 24 THEN DATE '2001-12-31' END, {_agent('s_suppkey')} % 7 <> 0
+FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = (n_regionkey + 1) % 5""",
     "tracked_time": f"""
 SELECT CASE WHEN l_suppkey % 10 = 0 THEN 'Division B' ELSE 'Division A' END AS client_account,
   CASE WHEN l_suppkey % 10 = 0 THEN 'Division B' ELSE 'Division A' END AS division_account,
   CASE WHEN l_suppkey % 10 = 0 THEN 'Division B' ELSE 'Division A' END AS division_name,
   CASE WHEN l_linenumber = 7 THEN 'Training' ELSE 'Service Delivery' END AS function,
-  'NATION ' || cast(l_suppkey % 25 AS varchar) AS agent_name,
-  'nation.' || cast(l_suppkey % 25 AS varchar) || '@example.com' AS agent_email,
+  {_person(_agent('l_suppkey'))} AS agent_name,
+  {_mail(_agent('l_suppkey'))} AS agent_email,
   'SUP_' || cast(l_suppkey % 6 AS varchar) AS supervisor,
   CASE WHEN l_linestatus = 'F' THEN 'Ticket Active' WHEN l_linenumber = 1 THEN 'Helpdesk Review'
        ELSE 'Break' END AS activity,
@@ -103,23 +109,23 @@ SELECT CASE WHEN l_suppkey % 10 = 0 THEN 'Division B' ELSE 'Division A' END AS c
   cast(l_quantity * 60 AS bigint) AS duration_seconds,
   l_returnflag <> 'N' AS is_billable
 FROM lineitem""",
-    "hr_roster": """
-SELECT 'NATION' AS first_name, cast(s_nationkey AS varchar) AS last_name,
+    "hr_roster": f"""
+SELECT 'NATION' AS first_name, cast({_agent('s_suppkey')} AS varchar) AS last_name,
   'sup' || cast(s_suppkey AS varchar) || '@example.com' AS email_address,
   'Support' AS job_department,
   CASE WHEN s_suppkey % 9 = 0 THEN 'Other' ELSE 'Care' END AS job_division,
   CASE WHEN s_acctbal < 1000 THEN 'Inactive' ELSE 'Active' END AS profile_status,
   s_name AS job_supervisor,
-  make_date(cast(1995 + s_suppkey % 3 AS integer), 1, 1) AS status_effectivity_date,
-  make_date(cast(1995 + s_suppkey % 6 AS integer), cast(1 + s_suppkey % 12 AS integer), 1) AS job_effectivity_date,
-  make_date(cast(1994 + s_suppkey % 2 AS integer), 1, 1) AS created_on
-FROM supplier""",
-    "manual_time": """
+  make_date(cast(1995 + moment % 3 AS integer), 1, 1) AS status_effectivity_date,
+  make_date(cast(1993 + moment % 6 AS integer), cast(1 + moment % 12 AS integer), 1) AS job_effectivity_date,
+  make_date(cast(1994 + moment % 2 AS integer), 1, 1) AS created_on
+FROM (SELECT *, CASE WHEN {_agent('s_suppkey')} % 5 = 0 THEN {_agent('s_suppkey')} ELSE s_suppkey END AS moment FROM supplier)""",
+    "manual_time": f"""
 SELECT cast(o_orderdate AS date) AS "date",
-  'NATION ' || cast(o_custkey % 25 AS varchar) AS agent_alias,
+  {_person('o_custkey // 30')} AS agent_alias,
   CASE WHEN o_orderkey % 5 = 0 THEN NULL
-       WHEN o_orderkey % 7 = 0 THEN 'NATION ' || cast((o_custkey + 1) % 25 AS varchar)
-       ELSE 'NATION ' || cast(o_custkey % 25 AS varchar) END AS agent_name,
+       WHEN o_orderkey % 7 = 0 THEN {_person('(o_custkey // 30 + 1)')}
+       ELSE {_person('o_custkey // 30')} END AS agent_name,
   (o_orderkey % 8) * 900 AS duration_seconds,
   (o_orderkey % 8) * 15 AS duration_minutes
 FROM orders WHERE o_orderstatus = 'F'""",

@@ -1,12 +1,11 @@
-"""Intermediates shared by several reports, computed once per input set.
-
-A run of the report suite repeats some work: the first update per email
-ticket feeds three reports, the rated first-update base three more, channel
-counts and hours feed the productivity reports and their own queries.  Each
-such intermediate is written once as parquet in the shared checkpoint
-folder (``spark.checkpoint.dir``) and later reports scan it: the lineage is
-cut, the result survives the loss of executors, and the planner sees its
-real size.
+"""Intermediates that several reports use.
+
+A report builds them lazily, so its filters reach the inputs and calling it
+runs no job.  For a run of the whole suite ``materialize(tables)`` turns on
+sharing for that set of inputs: each intermediate is then written once as
+parquet in the shared checkpoint folder (``spark.checkpoint.dir``) and later
+reports scan it.  The lineage is cut there and survives lost executors.  A
+new ``Tables`` starts lazily again, so changed sources mean new inputs.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import threading
 import uuid
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -21,33 +21,30 @@ from pyspark.sql import DataFrame
 from deskpulse.session import ensure_checkpoint_dir
 
 
-_lock = threading.RLock()
+def materialize(t):
+    """Share intermediates between the reports on ``t`` from now on."""
+    t._small.setdefault("_shared", {})
+    t._small.setdefault("_locks", defaultdict(threading.Lock))
+    t._small.setdefault("_run_id", uuid.uuid4().hex[:12])
+    return t
 
 
 def shared(t, key: str, cfg, build: Callable[[], DataFrame]) -> DataFrame:
-    """The intermediate ``key`` (for this input set and configuration):
-    built by ``build`` and written on first use, then scanned.  Callers in
-    several threads wait for one writer."""
-    with _lock:
-        return _shared(t, key, cfg, build)
-
-
-def _shared(t, key: str, cfg, build: Callable[[], DataFrame]) -> DataFrame:
-    memo = t._small.setdefault("_shared", {})
+    """The intermediate ``key`` for this input set and configuration: built
+    lazily, or, after ``materialize``, written on first use and scanned.
+    Callers in several threads wait for the writer of their key only."""
+    memo = t._small.get("_shared")
+    if memo is None:
+        return build()
     tag = key + "-" + hashlib.sha1(repr(cfg).encode()).hexdigest()[:10]
-    if tag in memo:
+    with t._small["_locks"][tag]:
+        if tag not in memo:
+            df = build()
+            spark = df.sparkSession
+            base = ensure_checkpoint_dir(spark)
+            if base is None:
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            path = f"{base.rstrip('/')}/deskpulse-shared/{spark.sparkContext.applicationId}/{t._small['_run_id']}/{tag}"
+            df.write.mode("overwrite").parquet(path)
+            memo[tag] = spark.read.parquet(path)
         return memo[tag]
-    df = build()
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    if base is None:  # no shared folder named: same rows, lazily
-        memo[tag] = df
-        return df
-    run = t._small.setdefault("_run_id", uuid.uuid4().hex[:12])
-    path = f"{base.rstrip('/')}/deskpulse-shared/{spark.sparkContext.applicationId}/{run}/{tag}"
-    try:
-        df.write.mode("overwrite").parquet(path)
-        memo[tag] = spark.read.parquet(path)
-    except Exception:  # no writable checkpoint folder: same rows, lazily
-        memo[tag] = df
-    return memo[tag]

@@ -50,7 +50,7 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True, cap:
               ordered: bool = False, text_date_order: bool = False) -> DataFrame:
     """``text_date_order`` sorts by the formatted date (mm/dd/yyyy) before the cap, as
     the reports do (O2, H3); otherwise the real date is used."""
-    legs = (shared(t, "longest_wait", cfg, lambda: longest_wait(t.call_legs, cfg.account))
+    legs = (shared(t, "longest_wait", cfg, lambda: longest_wait(t.call_legs, cfg.account, cfg.longest_wait_compare))
             .select(F.col("ticket_id").alias("_did"), "dur").distinct())
     calls = t.call_tickets.where((F.col("client_account") == cfg.account)
                                & (F.col("via_source_rel") != OUTBOUND)

@@ -57,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local[") and sc.master != "local":
             return None
         d = tempfile.mkdtemp(prefix="deskpulse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)

@@ -18,7 +18,8 @@ from deskpulse.sources.tables import SCHEMAS
 
 
 def _pad2(c):
-    return F.lpad(c.cast("string"), 2, "0")
+    s = c.cast("string")  # longer numbers stay whole
+    return F.when(F.length(s) < 2, F.lpad(s, 2, "0")).otherwise(s)
 
 
 def _acct(key):
@@ -33,11 +34,16 @@ def _email(num):
     return F.concat(F.lit("nation."), num.cast("string"), F.lit("@example.com"))
 
 
+def _agent(supplier_key):
+    """Agent number of a supplier key: two ids per agent."""
+    return F.floor((supplier_key + 1) / 2).cast("bigint")
+
+
 def ticket_updates(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One row per ticket update: orders are tickets, line items updates."""
     o, l = orders.alias("o"), lineitem.alias("l")
     j = o.join(l, F.col("l.l_orderkey") == F.col("o.o_orderkey"))
-    key, cust, line = F.col("o.o_orderkey"), F.col("o.o_custkey"), F.col("l.l_linenumber")
+    key, cust = F.col("o.o_orderkey"), F.col("o.o_custkey")
     return j.select(
         _acct(cust).alias("client_account"),
         key.cast("string").alias("ticket_id"),
@@ -51,8 +57,8 @@ def ticket_updates(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
          .otherwise("open").alias("status"),
         F.when(key % 3 == 0, "question").otherwise("incident").alias("type"),
         F.concat(F.lit("tier_"), F.lower(F.col("o.o_orderstatus"))).alias("tags"),
-        # later updates of long tickets move to another agent
-        ((cust + F.when(line >= 5, 7).otherwise(0)) % 30).cast("string").alias("assignee_id"),
+        # every update has the agent of its supplier, so tickets change hands and agents grow with the data
+        F.col("l.l_suppkey").cast("string").alias("assignee_id"),
         F.col("o.o_orderdate").cast("date").alias("local_date_created"),
         F.concat(_pad2(key % 24), F.lit(":30:00")).alias("local_time_created"),
         F.col("l.l_shipdate").cast("date").alias("date_updated"),
@@ -65,12 +71,12 @@ def ticket_updates(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def fixture_tables(spark: SparkSession, sf_dir: str, updates: DataFrame | None = None) -> dict[str, DataFrame]:
     rd = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
     orders, lineitem, nation = rd("orders"), rd("lineitem"), rd("nation")
     region, supplier, events, labels = rd("region"), rd("supplier"), rd("events"), rd("labels")
 
-    upd = ticket_updates(orders, lineitem)
+    upd = ticket_updates(orders, lineitem) if updates is None else updates
     tcols = SCHEMAS["email_tickets"]
     email = upd.where(F.col("channel").isin("email", "api")).select(*tcols)
     chat = upd.where(F.col("channel") == "chat").select(*tcols)
@@ -109,12 +115,13 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(k % 11 != 0, k % 1440).alias("reply_time_calendar_minutes"),
     )
 
-    nk = F.col("n_nationkey")
-    roster = nation.select(
-        F.when(nk % 4 == 3, "acct_a_flex").otherwise("acct_a").alias("client_account"),
-        nk.cast("string").alias("assignee_id"),
-        F.regexp_replace("n_name", "_", " ").alias("agent_name"),
-        F.concat(F.lower(F.regexp_replace("n_name", "_", ".")), F.lit("@example.com")).alias("agent_email"),
+    s = F.col("s_suppkey")
+    agent = _agent(s)
+    roster = supplier.where(s % 6 != 5).select(  # every sixth id is not rostered
+        F.when(agent % 4 == 3, "acct_a_flex").otherwise("acct_a").alias("client_account"),
+        s.cast("string").alias("assignee_id"),
+        _name(agent).alias("agent_name"),
+        _email(agent).alias("agent_email"),
     )
 
     t, m, a = email.alias("t"), metrics.alias("m"), roster.alias("a")
@@ -127,27 +134,27 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
            .distinct())
 
     def era(region_key, start, end):
-        n, r = nation.alias("n"), region.alias("r")
-        return n.join(r, F.col("r.r_regionkey") == region_key).select(
-            F.col("n.n_nationkey").cast("string").alias("zendesk_id"),
-            F.regexp_replace("n.n_name", "_", " ").alias("agent_name"),
-            F.concat(F.lower(F.regexp_replace("n.n_name", "_", ".")), F.lit("@example.com")).alias("agent_email"),
-            F.col("r.r_name").alias("subteam"),
+        n = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        return n.join(region, F.col("r_regionkey") == region_key).select(
+            s.cast("string").alias("zendesk_id"),
+            _name(agent).alias("agent_name"),
+            _email(agent).alias("agent_email"),
+            F.col("r_name").alias("subteam"),
             F.lit(start).alias("start_date"),
             end.alias("end_date"),
-            (F.col("n.n_nationkey") % 7 != 0).alias("is_core_team"),
+            (agent % 7 != 0).alias("is_core_team"),
         )
-    subteams = era(F.col("n.n_regionkey"), dt.date(1995, 1, 1), F.lit(dt.date(1998, 6, 30))).unionByName(
-        era((F.col("n.n_regionkey") + 1) % 5, dt.date(1998, 7, 1),
-            F.when(F.col("n.n_nationkey") != 24, F.lit(dt.date(2001, 12, 31)))))
+    subteams = era(F.col("n_regionkey"), dt.date(1995, 1, 1), F.lit(dt.date(1998, 6, 30))).unionByName(
+        era((F.col("n_regionkey") + 1) % 5, dt.date(1998, 7, 1),
+            F.when(s % 25 != 24, F.lit(dt.date(2001, 12, 31)))))
 
     sk = F.col("l_suppkey")
     div = F.when(sk % 10 == 0, "Division B").otherwise("Division A")
     tracked = lineitem.select(
         div.alias("client_account"), div.alias("division_account"), div.alias("division_name"),
         F.when(F.col("l_linenumber") == 7, "Training").otherwise("Service Delivery").alias("function"),
-        _name(sk % 25).alias("agent_name"),
-        _email(sk % 25).alias("agent_email"),
+        _name(_agent(sk)).alias("agent_name"),
+        _email(_agent(sk)).alias("agent_email"),
         F.concat(F.lit("SUP_"), (sk % 6).cast("string")).alias("supervisor"),
         F.when(F.col("l_linestatus") == "F", "Ticket Active")
          .when(F.col("l_linenumber") == 1, "Helpdesk Review")
@@ -158,27 +165,29 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.col("l_returnflag") != "N").alias("is_billable"),
     )
 
-    s = F.col("s_suppkey")
+    # two records per person; every fifth person's two records share their dates
+    when = F.when(agent % 5 == 0, agent).otherwise(s)
     hr = supplier.select(
         F.lit("NATION").alias("first_name"),
-        F.col("s_nationkey").cast("string").alias("last_name"),
+        agent.cast("string").alias("last_name"),
         F.concat(F.lit("sup"), s.cast("string"), F.lit("@example.com")).alias("email_address"),
         F.lit("Support").alias("job_department"),
         F.when(s % 9 == 0, "Other").otherwise("Care").alias("job_division"),
         F.when(F.col("s_acctbal") < 1000, "Inactive").otherwise("Active").alias("profile_status"),
         F.col("s_name").alias("job_supervisor"),
-        F.make_date((1995 + s % 3).cast("int"), F.lit(1), F.lit(1)).alias("status_effectivity_date"),
-        F.make_date((1995 + s % 6).cast("int"), (1 + s % 12).cast("int"), F.lit(1)).alias("job_effectivity_date"),
-        F.make_date((1994 + s % 2).cast("int"), F.lit(1), F.lit(1)).alias("created_on"),
+        F.make_date((1995 + when % 3).cast("int"), F.lit(1), F.lit(1)).alias("status_effectivity_date"),
+        F.make_date((1993 + when % 6).cast("int"), (1 + when % 12).cast("int"), F.lit(1)).alias("job_effectivity_date"),
+        F.make_date((1994 + when % 2).cast("int"), F.lit(1), F.lit(1)).alias("created_on"),
     )
 
     c = F.col("o_custkey")
+    alias = F.floor(c / 30).cast("bigint")
     manual = orders.where(F.col("o_orderstatus") == "F").select(
         F.col("o_orderdate").cast("date").alias("date"),
-        _name(c % 25).alias("agent_alias"),
+        _name(alias).alias("agent_alias"),
         F.when(k % 5 == 0, F.lit(None).cast("string"))
-         .when(k % 7 == 0, _name((c + 1) % 25))
-         .otherwise(_name(c % 25)).alias("agent_name"),
+         .when(k % 7 == 0, _name(alias + 1))
+         .otherwise(_name(alias)).alias("agent_name"),
         ((k % 8) * 900).alias("duration_seconds"),
         ((k % 8) * 15).alias("duration_minutes"),
     )
@@ -212,9 +221,6 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # Inputs keyed by ticket: bucketing them on ticket_id (same bucket count for
 # all) lets per-ticket aggregations and ticket-to-ticket joins run without a
 # shuffle.  A deployment would lay out its fact tables the same way.
-# Inputs derived from the small driver tables (nation, region, supplier, labels).
-DIMENSIONS = ("agent_roster", "subteams", "hr_roster", "dsat_exclusions")
-
 TICKET_KEYED = ("email_tickets", "chat_tickets", "call_tickets", "web_tickets", "call_legs",
                 "chat_insights", "email_metrics", "kpi_summary")
 
@@ -228,10 +234,13 @@ def write_fixtures(spark: SparkSession, sf_dir: str, out_root: str, table_prefix
     bucketed by ``ticket_id`` (``buckets`` buckets, default: one per core);
     returns name -> catalog table for those, the rest are plain parquet.
     """
-    n = spark.sparkContext.defaultParallelism
-    buckets = buckets or max(n, 8)
+    buckets = buckets or max(spark.sparkContext.defaultParallelism, 8)
     tables = {}
-    for name, df in fixture_tables(spark, sf_dir).items():
+    rd = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
+    # the updates feed five inputs: joined once, then scanned
+    ticket_updates(rd("orders"), rd("lineitem")).write.mode("overwrite").parquet(f"{out_root}/_updates")
+    updates = spark.read.parquet(f"{out_root}/_updates")
+    for name, df in fixture_tables(spark, sf_dir, updates).items():
         path = f"{out_root}/{name}"
         if table_prefix and name in TICKET_KEYED:
             tname = f"{table_prefix}_{name}"
@@ -239,7 +248,5 @@ def write_fixtures(spark: SparkSession, sf_dir: str, out_root: str, table_prefix
                .option("path", path).saveAsTable(tname))
             tables[name] = tname
         else:
-            # fact-sized inputs: one file per core, so their scans run in
-            # parallel; dimension-sized ones: a single file (one scan task)
-            df.repartition(1 if name in DIMENSIONS else n).write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").parquet(path)
     return tables

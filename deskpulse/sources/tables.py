@@ -9,9 +9,12 @@ import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, NumericType
 
 # Column contract of each input.  Ids (ticket, assignee, roster id) are text
-# everywhere, so joins never need casts on either side.
+# everywhere, so joins never need casts on either side (J2); the loaders cast
+# real tables to the types below.
 TICKET_COLS = ["client_account", "ticket_id", "channel", "status", "type", "tags",
                "assignee_id", "local_date_created", "local_time_created", "date_updated",
                "satisfaction_rating_score", "satisfaction_rating_comment"]
@@ -45,6 +48,35 @@ SCHEMAS = {
 }
 
 
+#: Types of the contract; columns that are not listed are text.
+TYPES = {
+    **dict.fromkeys(["local_date_created", "date_updated", "local_date", "start_date", "end_date", "date",
+                     "status_effectivity_date", "job_effectivity_date", "created_on"], "date"),
+    **dict.fromkeys(["shift_start", "shift_end", "clock_in", "clock_out"], "timestamp"),
+    **dict.fromkeys(["abandon_time", "reply_time_calendar_minutes", "frt_calendar", "absenteeism", "tardiness",
+                     "duration_seconds", "duration_minutes"], "bigint"),
+    **dict.fromkeys(["is_core_team", "is_billable"], "boolean"),
+    "response_time_first": "double",
+}
+
+
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """The contract columns of one input in the contract's types.  Whole
+    numbers become id text without a decimal part, whatever numeric type the
+    source stores them in; columns that already fit stay bare, so filters on
+    them reach the scan."""
+    out = []
+    for c in SCHEMAS[name]:
+        want, have = TYPES.get(c, "string"), df.schema[c].dataType
+        col = F.col(c)
+        if isinstance(have, NumericType) and isinstance(have, (DoubleType, FloatType, DecimalType)) and want == "string":
+            col = col.cast("decimal(38,0)")
+        if isinstance(have, NumericType) and want in ("bigint", "double"):
+            want = have.simpleString()  # numbers keep their own width
+        out.append((col if have.simpleString() == want else col.cast(want)).alias(c))
+    return df.select(*out)
+
+
 @dataclass
 class Tables:
     email_tickets: DataFrame
@@ -67,13 +99,13 @@ class Tables:
     @classmethod
     def from_catalog(cls, spark: SparkSession, names: dict[str, str]) -> "Tables":
         """Bind each input to a catalog table: ``names`` maps field -> table."""
-        return cls(**{k: spark.table(v).select(*SCHEMAS[k]) for k, v in names.items()})
+        return cls(**{k: conform(spark.table(v), k) for k, v in names.items()})
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "Tables":
         """Read each input from ``root/<field>`` parquet (e.g. written by
         ``deskpulse.sources.fixtures.write_fixtures``)."""
-        return cls(**{k: spark.read.parquet(f"{root}/{k}") for k in SCHEMAS})
+        return cls(**{k: conform(spark.read.parquet(f"{root}/{k}"), k) for k in SCHEMAS})
 
 
 _loaded: dict = {}
@@ -120,11 +152,7 @@ def _load_tables(spark: SparkSession, sf_dir: str, materialize: bool, bucket_inp
     if bucket_inputs:
         root += "-bucketed"
     prefix = "deskpulse_in_" + hashlib.sha1(f"{app}/{tag}".encode()).hexdigest()[:12]
-    try:
-        bucketed = write_fixtures(spark, sf_dir, root, table_prefix=prefix if bucket_inputs else None)
-    except Exception:  # no writable checkpoint folder: same results from lazy views
-        _loaded[key] = Tables(**fixture_tables(spark, sf_dir))
-        return _loaded[key]
+    bucketed = write_fixtures(spark, sf_dir, root, table_prefix=prefix if bucket_inputs else None)
     frames = {k: (spark.table(bucketed[k]) if k in bucketed else spark.read.parquet(f"{root}/{k}"))
               for k in SCHEMAS}
     _loaded[key] = Tables(**{k: v.select(*SCHEMAS[k]) for k, v in frames.items()})

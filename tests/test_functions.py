@@ -1,8 +1,6 @@
 """Column helpers F1-F18 on tiny inputs, including the hazards H5, H6, H8."""
 
 import datetime as dt
-import itertools
-import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,27 +77,27 @@ def test_round2_half_away(spark):
     assert [r[0] for r in df.select(fx.round2("x")).collect()] == [2.35, 2.34, -2.35]
 
 
-def _reference_rate(t, d, m):
-    """The four-branch CASE of the hourly report, as written there."""
-    if (d is None or d == 0) and (m is None or m == 0):
-        return float(t)
-    if d is not None and (m is None or m == 0):
-        return t / (d / 3600)
-    if (d is None or d == 0) and m is not None:
-        return t / (m / 3600)
-    return t / (d / 3600)
+#: tracked seconds, manual seconds -> tickets per hour of 6 tickets (C10 as a truth table)
+RATES = {
+    (None, None): 6.0, (None, 0): 6.0, (0, None): 6.0, (0, 0): 6.0,
+    (None, 1800): 12.0, (0, 1800): 12.0, (1800, None): 12.0, (1800, 0): 12.0,
+    (7200, 1800): 3.0, (1800, 7200): 12.0,
+}
 
 
-def test_rate_or_count_matches_case(spark):
-    vals = [None, 0, 1800, 7200]
-    rows = [(5, d, m) for d, m in itertools.product(vals, vals)]
-    df = spark.createDataFrame(rows, "t bigint, d bigint, m bigint")
-    got = df.select("t", "d", "m", fx.rate_or_count("t", "d", "m").alias("r")).collect()
-    for r in got:
-        assert math.isclose(r["r"], _reference_rate(r["t"], r["d"], r["m"]))
+def test_rate_or_count_truth_table(spark):
+    df = spark.createDataFrame([(6, d, m) for d, m in RATES], "t bigint, d bigint, m bigint")
+    got = df.select("d", "m", fx.rate_or_count("t", "d", "m").alias("r")).collect()
+    assert {(r["d"], r["m"]): r["r"] for r in got} == RATES
 
 
 def test_like_helpers(spark):
     df = spark.createDataFrame([("Ticket Active now",), ("Break",), (None,)], "a string")
     got = df.select(fx.like_any("a", ["%Ticket Active%", "%Zzz%"]), fx.not_like_all("a", ["%Break%"])).collect()
     assert [tuple(r) for r in got] == [(True, True), (False, False), (None, None)]
+
+
+def test_numeric_id_text_of_long_and_negative_numbers(spark):
+    df = spark.createDataFrame([("123.0",), ("1234567890123456789012345.9",), ("-7.9",), ("x1",), (None,)], "a string")
+    got = [r[0] for r in df.select(fx.numeric_id_text("a")).collect()]
+    assert got == ["123", "1234567890123456789012345", "-7", None, None]
