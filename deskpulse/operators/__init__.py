@@ -6,12 +6,12 @@ collects data to the driver.
 
 from deskpulse.operators.dedupe import keep_extreme, latest_per_key, first_per_key, longest_wait
 from deskpulse.operators.joins import (
-    bounded_broadcast, null_safe_join, validity_join, asof_nearest, exclude_ids, current_roster,
+    null_safe_join, validity_join, asof_nearest, exclude_ids, current_roster,
 )
 from deskpulse.operators.grains import grain_table, attach_grains
 
 __all__ = [
     "keep_extreme", "latest_per_key", "first_per_key", "longest_wait",
-    "bounded_broadcast", "null_safe_join", "validity_join", "asof_nearest", "exclude_ids",
+    "null_safe_join", "validity_join", "asof_nearest", "exclude_ids",
     "current_roster", "grain_table", "attach_grains",
 ]

@@ -1,5 +1,10 @@
-"""Join operators: bounded broadcast, validity-interval (SCD2) join, as-of
-join, exclusion (anti) join, current HR record (J4-J7, J13, C4, C5, C14)."""
+"""Join operators: validity-interval (SCD2) join, as-of join, exclusion (anti)
+join, current HR record (J4-J7, J13, C4, C5, C14).
+
+No join carries a broadcast hint: Spark broadcasts a side whose file or
+runtime size it has measured below the session's threshold, and otherwise
+plans a shuffled join and splits skewed partitions.
+"""
 
 from __future__ import annotations
 
@@ -12,36 +17,6 @@ from pyspark.sql import functions as F
 from deskpulse.constants import ACTIVE_PROFILE
 
 
-# Largest dimension broadcast on a hint, in measured bytes of the projected
-# columns.  Larger inputs are left to the planner: adaptive execution still
-# broadcasts them when the measured size is small, else it plans a shuffled
-# join (with skew splits).
-BROADCAST_MAX_BYTES = 32 * 1024 * 1024
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def _measured(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """Rows (max_rows + 1 at most are read) and bytes of their values: text by
-    its length, everything else as 16 bytes with its slot."""
-    width = [F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 if f.dataType.simpleString() == "string" else F.lit(16) for f in df.schema.fields]
-    r = df.limit(max_rows + 1).select(reduce(lambda a, b: a + b, width).alias("w")).agg(F.count("*"), F.sum("w")).first()
-    return r[0], r[1] or 0
-
-
-def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, max_rows: int = BROADCAST_MAX_ROWS,
-                      bound_by: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` when ``df`` provably holds at most ``max_rows`` rows and
-    ``max_bytes`` bytes; otherwise ``df`` itself, for a shuffled join.
-
-    The proof is one bounded job over ``df`` itself or over ``bound_by``, a
-    table ``df`` is a filter, projection or distinct of (so it cannot be
-    larger).  It runs at every call: a size is never remembered across
-    changes of a source.
-    """
-    rows, size = _measured(df if bound_by is None else bound_by, max_rows)
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
-
-
 def _and(conds: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
@@ -57,7 +32,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_date: str,
                   start: str = "start_date", end: str = "end_date", how: str = "left",
-                  bound_by: DataFrame | None = None, open_end: bool = False) -> DataFrame:
+                  open_end: bool = False) -> DataFrame:
     """Match a dimension row valid on the fact's date:
     ``fact_key = dim_key AND fact_date BETWEEN start AND end``.
 
@@ -66,16 +41,15 @@ def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     matches (BETWEEN with NULL is not true, H10) unless ``open_end``.  Column names of the two sides
     must not clash.
     """
-    d = bounded_broadcast(dim, bound_by=bound_by)
     until = F.col(fact_date) <= F.col(end)
     if open_end:
         until = until | F.col(end).isNull()
     cond = (F.col(fact_key) == F.col(dim_key)) & (F.col(fact_date) >= F.col(start)) & until
-    return facts.join(d, cond, how)
+    return facts.join(dim, cond, how)
 
 
 def asof_nearest(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: str,
-                 dim_key: str, dim_date: str, bound_by: DataFrame | None = None) -> DataFrame:
+                 dim_key: str, dim_date: str) -> DataFrame:
     """C4: for each fact row, the dimension rows with ``dim_key = fact_key``
     and the latest ``dim_date <= fact_date`` (all rows at that date, so ties
     are kept).  Facts with no such row, or with a NULL key or date, are
@@ -101,7 +75,7 @@ def asof_nearest(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: str
                 .withColumn("_asof_eff", F.max(F.when(F.col("_asof_fact") == 0, t)).over(w))
                 .where((F.col("_asof_fact") == 1) & F.col("_asof_eff").isNotNull())
                 .drop("_asof_fact"))
-    best = cur.join(bounded_broadcast(dim, bound_by=bound_by),
+    best = cur.join(dim,
                     (k == F.col(dim_key)) & (F.col("_asof_eff") == F.col(dim_date)))
     best = (best.drop(dim_key, "_asof_eff")
                 .withColumnRenamed("_asof_k", fact_key).withColumnRenamed("_asof_t", fact_date))
@@ -130,7 +104,7 @@ def current_roster(hr: DataFrame, division: str) -> DataFrame:
         F.max("job_effectivity_date").alias("_mj"),
         F.max("created_on").alias("_mc"))
     mx = mx.withColumnRenamed("full_name", "_fn")
-    cur = h.join(bounded_broadcast(mx, bound_by=hr),
+    cur = h.join(mx,
                  (F.col("full_name") == F.col("_fn")) & (F.col("status_effectivity_date") == F.col("_ms"))
                  & (F.col("job_effectivity_date") == F.col("_mj")) & (F.col("created_on") == F.col("_mc")))
     return cur.where(F.col("profile_status") == ACTIVE_PROFILE).select("full_name", "job_supervisor").distinct()

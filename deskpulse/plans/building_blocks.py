@@ -12,7 +12,7 @@ from deskpulse.config import DEFAULT, ReportConfig
 from deskpulse.constants import RATINGS
 from deskpulse.functions import days_between, month_start, numeric_id_text, round_avg_text, week_start
 from deskpulse.operators import (
-    asof_nearest, attach_grains, bounded_broadcast, current_roster as _current_roster, exclude_ids,
+    asof_nearest, attach_grains, current_roster as _current_roster, exclude_ids,
     first_per_key, latest_per_key, longest_wait as _longest_wait, validity_join,
 )
 from deskpulse.plans.common import roster
@@ -61,14 +61,14 @@ def scd2_team_left(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Every update with the core subteam valid on its creation date
     (NULL when none)."""
     x = all_updates(t, cfg).select("ticket_id", "date_updated", "assignee_id", "local_date_created")
-    x = validity_join(x, _team(t, True), "assignee_id", "_zid", "local_date_created", "_start", "_end", "left", bound_by=t.subteams)
+    x = validity_join(x, _team(t, True), "assignee_id", "_zid", "local_date_created", "_start", "_end", "left")
     return x.select("ticket_id", "date_updated", "assignee_id", "local_date_created", "subteam", "agent_name")
 
 
 def scd2_team_inner(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Tickets whose agent had a subteam record valid on the creation date."""
     x = all_updates(t, cfg).select("ticket_id", "assignee_id", "local_date_created")
-    x = validity_join(x, _team(t, False), "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner", bound_by=t.subteams)
+    x = validity_join(x, _team(t, False), "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner")
     return x.select("ticket_id", "local_date_created", "assignee_id", "subteam", "agent_name",
                     "is_core_team").distinct()
 
@@ -76,15 +76,14 @@ def scd2_team_inner(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
 def asof_supervisor(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """C4: for each update's creation day and rostered agent, the HR
     supervisor(s) of the nearest job record at or before that day."""
-    r = bounded_broadcast(roster(t, cfg.roster_account), bound_by=t.agent_roster)
+    r = roster(t, cfg.roster_account)
     x = (all_updates(t, cfg).join(r, F.col("assignee_id") == F.col("_rid"))
          .select("ticket_id", "local_date_created", "agent_name").distinct())
     from deskpulse.functions import full_name
     hr = (t.hr_roster.where(F.col("job_division") == cfg.hr_division)
            .select(full_name("first_name", "last_name").alias("full_name"),
                    F.col("job_supervisor").alias("supervisor"), "job_effectivity_date").distinct())
-    x = asof_nearest(x, hr, "agent_name", "local_date_created", "full_name", "job_effectivity_date",
-                     bound_by=t.hr_roster)
+    x = asof_nearest(x, hr, "agent_name", "local_date_created", "full_name", "job_effectivity_date")
     return x.select("ticket_id", "local_date_created", "agent_name", "supervisor", "job_effectivity_date")
 
 
@@ -97,12 +96,12 @@ def resolve_supervisor(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Supervisor per (creation day, core agent): tracked time first,
     then the current HR record, then the default label."""
     x = all_updates(t, cfg).select("assignee_id", "local_date_created")
-    x = validity_join(x, _team(t, True), "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner", bound_by=t.subteams)
+    x = validity_join(x, _team(t, True), "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner")
     x = x.select("local_date_created", "agent_name").distinct()
     from deskpulse.plans.wait import tracked_supervisors
     su = tracked_supervisors(t, cfg)
     x = x.join(su, (F.col("local_date_created") == F.col("_sdate")) & (F.col("_agent") == F.col("agent_name")), "left")
-    cur = bounded_broadcast(current_roster(t, cfg), bound_by=t.hr_roster)
+    cur = current_roster(t, cfg)
     x = x.join(cur, F.col("agent_name") == F.col("full_name"), "left")
     return x.select("local_date_created", "agent_name",
                     F.coalesce("_util_sup", "job_supervisor", F.lit(cfg.default_supervisor)).alias("supervisor")
@@ -124,7 +123,7 @@ LAG_GRAINS = {"daily": ["agent_name", "local_date_created"], "team_daily": ["loc
 def update_lag_multi_grain(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """C6 on every update: days from creation to update, with rounded
     agent and team averages per day/week/month (agents may be NULL)."""
-    r = bounded_broadcast(roster(t, cfg.roster_account), bound_by=t.agent_roster)
+    r = roster(t, cfg.roster_account)
     x = (all_updates(t, cfg).join(r, F.col("assignee_id") == F.col("_rid"), "left")
          .select("ticket_id", "local_date_created", "date_updated", "agent_name",
                  days_between("date_updated", "local_date_created").alias("lag_days")))

@@ -23,7 +23,7 @@ from deskpulse.functions import (
     round_avg_text, us_date, week_start,
 )
 from deskpulse.operators import (
-    asof_nearest, attach_grains, bounded_broadcast, first_per_key, latest_per_key, validity_join,
+    asof_nearest, attach_grains, first_per_key, latest_per_key, validity_join,
 )
 from deskpulse.plans.common import lit_like, roster, top_k
 from deskpulse.plans.shared import shared
@@ -83,7 +83,7 @@ def frt_multi_grain(t, cfg: ReportConfig = DEFAULT, channel: str = "chat", cap:
                      F.col("agent_email").alias("email_address"),
                      F.col("start_date").alias("_start"), F.col("end_date").alias("_end")))
     x = _first_update(t, cfg, source, channel)
-    x = validity_join(x, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left", bound_by=t.subteams)
+    x = validity_join(x, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left")
     x = x.join(metric, F.col("ticket_id") == F.col("_mid"), "left")
     x = x.where(F.col("agent_name").isNotNull()
                 & (F.col("local_date_created") >= lit_like(x, "local_date_created", cfg.frt_floor)))
@@ -112,7 +112,7 @@ AGENT_GRAINS = {"daily": ["agent_name", "local_date_created"], "weekly": ["agent
 def frt_email_kpi(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordered: bool = False) -> DataFrame:
     """First response of solved email tickets from the KPI summary, per
     rostered agent, with day/week/month agent averages."""
-    r = bounded_broadcast(roster(t, cfg.roster_account), bound_by=t.agent_roster)
+    r = roster(t, cfg.roster_account)
     # The summary joins on ticket and on its agent name being non-NULL.
     kpi = (t.kpi_summary.where(F.col("agent_name").isNotNull())
             .select(F.col("ticket_id").alias("_kid"), "frt_calendar", "channel").distinct())
@@ -144,7 +144,7 @@ FLEX_GRAINS = {"daily": ["agent_name", "local_date_created"], "team_daily": ["lo
 def frt_email_flex(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordered: bool = False) -> DataFrame:
     """First reply time of solved email tickets of flex agents, with
     agent and team averages per day/week/month."""
-    r = bounded_broadcast(roster(t, cfg.flex_roster_account), bound_by=t.agent_roster)
+    r = roster(t, cfg.flex_roster_account)
     m = (t.email_metrics.select(F.col("ticket_id").alias("_mid"),
                                 F.col("reply_time_calendar_minutes").alias("frt_calendar")).distinct())
     x = _first_update(t, cfg, "email_tickets", "email")
@@ -175,7 +175,7 @@ def frt_chat_flex(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> Data
     tk = (t.chat_tickets.where(F.col("client_account") == cfg.account)
            .select("ticket_id", "local_date_created", "date_updated", "assignee_id"))
     latest = latest_per_key(tk, ["ticket_id"], "date_updated")
-    r = bounded_broadcast(roster(t, cfg.flex_roster_account), bound_by=t.agent_roster)
+    r = roster(t, cfg.flex_roster_account)
     ins = t.chat_insights.select(F.col("ticket_id").alias("_tid"), "response_time_first")
     x = (latest.join(r, F.col("assignee_id") == F.col("_rid"))
                .join(ins, F.col("ticket_id") == F.col("_tid")))
@@ -205,7 +205,7 @@ def frt_chat_asof(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordere
     ins = t.chat_insights.where((F.col("client_account") == cfg.account) & (F.col("type") == CHAT_SESSION_TYPE))
     a = (t.chat_tickets.where(F.col("client_account") == cfg.account)
           .select(F.col("ticket_id").alias("_aid"), "assignee_id").distinct())
-    r = bounded_broadcast(roster(t, cfg.roster_account), bound_by=t.agent_roster)
+    r = roster(t, cfg.roster_account)
     x = (ins.join(a, F.col("ticket_id") == F.col("_aid"), "left")
             .join(r, F.col("assignee_id") == F.col("_rid"), "left"))
     rows = x.select("ticket_id", "assignee_id", "agent_name", F.col("agent_email").alias("email_address"),
@@ -216,7 +216,7 @@ def frt_chat_asof(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordere
            .select(full_name("first_name", "last_name").alias("full_name"),
                    F.col("job_supervisor").alias("supervisor"), "job_effectivity_date").distinct())
     x = asof_nearest(rows, hr, fact_key="agent_name", fact_date="local_date_created",
-                     dim_key="full_name", dim_date="job_effectivity_date", bound_by=t.hr_roster)
+                     dim_key="full_name", dim_date="job_effectivity_date")
     x = x.select("ticket_id", "local_date_created", "channel", "assignee_id", "email_address",
                  "agent_name", "supervisor", "daily", "response_time_first").distinct()
     g = attach_grains(_with_periods(x), "response_time_first",

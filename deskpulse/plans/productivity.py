@@ -32,7 +32,7 @@ from deskpulse.functions import (
     hour_of_time_text, like_any, month_start, rate_or_count, round2, true_divide, us_date, week_start,
 )
 from deskpulse.operators import (
-    attach_grains, bounded_broadcast, grain_table, latest_per_key, null_safe_join, validity_join,
+    attach_grains, grain_table, latest_per_key, null_safe_join, validity_join,
 )
 from deskpulse.plans.common import lit_like, roster, top_k
 from deskpulse.plans.shared import shared
@@ -40,7 +40,7 @@ from deskpulse.plans.shared import shared
 
 
 def _agents(t, account: str | None) -> DataFrame:
-    return bounded_broadcast(roster(t, account), bound_by=t.agent_roster).select("_rid", "agent_name")
+    return roster(t, account).select("_rid", "agent_name")
 
 
 def channel_rows(t, cfg: ReportConfig, account: str | None, hourly: bool) -> dict[str, DataFrame]:
@@ -189,7 +189,7 @@ def productivity_hourly(t, cfg: ReportConfig = DEFAULT, cap: int | None = None,
     raw = channel_counts_hourly(t, cfg).withColumnRenamed("agent_name", "_roster_agent")
     team = t.subteams.select(F.col("zendesk_id").alias("_zid"), "agent_name", "subteam", "is_core_team",
                              F.col("start_date").alias("_start"), F.col("end_date").alias("_end"))
-    x = validity_join(raw, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner", bound_by=t.subteams)
+    x = validity_join(raw, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner")
     au = tracked_hours(t, cfg)
     x = x.join(au, (F.col("local_date_created") == F.col("start_date_")) & (F.col("hour_") == F.col("hour_au"))
                & (F.col("agent_name") == F.col("agent_au")), "left")
@@ -239,7 +239,7 @@ def productivity_weekly(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -
     emails = roster(t, cfg.roster_account).select(F.col("agent_email").alias("_sar_email"))
     u = t.tracked_time.where((F.col("client_account") == cfg.tracked_division)
                              & (F.col("function") == cfg.tracked_function))
-    act = (u.join(bounded_broadcast(emails, bound_by=t.agent_roster), F.col("agent_email") == F.col("_sar_email"))
+    act = (u.join(emails, F.col("agent_email") == F.col("_sar_email"))
             .groupBy(week_start("start_date").alias("_aweek"), F.col("agent_name").alias("_aagent"))
             .agg(F.sum("duration_seconds").alias("active_s")))
     man = (t.manual_time.groupBy(week_start("date").alias("_mweek"), F.col("agent_name").alias("_mname"))

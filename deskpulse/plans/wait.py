@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from deskpulse.config import DEFAULT, ReportConfig
 from deskpulse.constants import DONE_STATUSES, OUTBOUND
 from deskpulse.functions import hour_of_time_text, month_start, round_avg_text, us_date, week_start
-from deskpulse.operators import attach_grains, bounded_broadcast, current_roster, longest_wait, validity_join
+from deskpulse.operators import attach_grains, current_roster, longest_wait, validity_join
 from deskpulse.plans.common import lit_like, top_k
 from deskpulse.plans.shared import shared
 
@@ -62,14 +62,13 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True, cap:
     team = (t.subteams.where(F.col("is_core_team"))
              .select("subteam", F.col("zendesk_id").alias("_zid"), "agent_name", "agent_email",
                      F.col("start_date").alias("_start"), F.col("end_date").alias("_end")))
-    x = validity_join(solved, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left", bound_by=t.subteams)
+    x = validity_join(solved, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left")
     x = x.where(F.col("local_date_created") >= lit_like(x, "local_date_created", cfg.wait_time_floor))
     if with_supervisor:
         su = tracked_supervisors(t, cfg)
         x = x.join(su, (F.col("local_date_created") == F.col("_sdate")) & (F.col("_agent") == F.col("agent_name")),
                    "left")
-        cur = bounded_broadcast(shared(t, "current_roster", cfg,
-                                       lambda: current_roster(t.hr_roster, cfg.hr_division)), bound_by=t.hr_roster)
+        cur = shared(t, "current_roster", cfg, lambda: current_roster(t.hr_roster, cfg.hr_division))
         x = x.join(cur, F.col("agent_name") == F.col("full_name"), "left")
         # tracked-time supervisor, else HR, else the default label (one DISTINCT
         # over the final projection equals the report's two nested ones)

@@ -63,9 +63,18 @@ def test_validity_join_bounds_and_open_end(spark):
                    ("2", D(2024, 5, 1), None)]
 
 
-def test_validity_join_broadcasts_small_dim(spark):
+def test_validity_join_open_end(spark):
+    facts = spark.createDataFrame([("2", D(2024, 5, 1)), ("2", D(2023, 1, 1))], "id string, d date")
+    dim = spark.createDataFrame([("2", "B", D(2024, 1, 1), None)], "zid string, team string, s date, e date")
+    got = rows(validity_join(facts, dim, "id", "zid", "d", "s", "e", "left", open_end=True), "id", "d", "team")
+    assert got == [("2", D(2023, 1, 1), None), ("2", D(2024, 5, 1), "B")]
+
+
+def test_validity_join_broadcasts_a_side_of_measured_size(spark, tmp_path):
     facts = spark.createDataFrame([("1", D(2024, 1, 1))], "id string, d date")
     dim = spark.createDataFrame([("1", "A", D(2024, 1, 1), D(2024, 1, 31))], "zid string, team string, s date, e date")
+    dim.write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
     plan = validity_join(facts, dim, "id", "zid", "d", "s", "e")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
 
