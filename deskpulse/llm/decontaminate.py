@@ -2,7 +2,7 @@
 
 Method.
 1. Word counts over all documents give inverse frequencies (hashed
-   vocabulary of 2 ** WORD_BITS buckets).
+   vocabulary of 2 ** WORD_BITS buckets; the commonest words weigh nothing).
 2. A randomised SVD of the TF-IDF matrix of all passages (PASSAGE words
    each): every task multiplies its passages with a random test matrix and
    back, ``Y = A' (A O)``; the tasks' sums meet in Spark, and the driver takes
@@ -42,12 +42,13 @@ from deskpulse.llm.textfeatures import PLAIN, member
 from deskpulse.llm.textvec import arrow_buffers, mix, slices
 
 WORD_BITS = 15
-RANK, SKETCH = 64, 72
+RANK, SKETCH = 48, 56
+STOP = 250  # a word that is more than one in so many has weight zero
 PASSAGE = 16
 WINDOW, STEP, ITEM_STEP = 16, 8, 4
-LEAST_SHARED = 0.7  # of a window's weight, in words of the benchmark
-LEAST_OWN = 0.45  # of a window's weight, in words of one item
-COSINE = 0.45
+LEAST_SHARED = 0.6  # of a window's weight, in words of the benchmark
+LEAST_OWN = 0.4  # of a window's weight, in words of one item
+COSINE = 0.4
 COVER = 0.6
 ITEM_CHARS = 8 << 20
 BLOCK = 1024  # vocabulary buckets per summed row
@@ -94,10 +95,15 @@ def fit_latent(docs: DataFrame) -> dict:
 
     n = _summed(docs, 1, "<f8", count)[:, 0]
     idf = np.log((n.sum() + 1) / (n + 1)).astype(np.float32)
+    idf[n * STOP > n.sum()] = 0
     test = np.random.default_rng(3).standard_normal((2**WORD_BITS, SKETCH)).astype(np.float32)
 
     def sketch(acc, idx, first):
         omega = weighted.value
+        keep = idf[idx] > 0  # passages of words that weigh something
+        idx, first = idx[keep], np.concatenate([[0], np.cumsum(keep)])[first]
+        if not len(idx):
+            return
         begins = passages(first)
         z = np.add.reduceat(omega[idx], begins, axis=0)
         # back: every word adds its passage's row; words are sorted so that each bucket is one sum

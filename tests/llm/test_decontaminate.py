@@ -39,7 +39,10 @@ def test_planted_passages_paraphrases_and_clean_documents(spark):
     d = spark.createDataFrame(rows + rows[:3], DOC)
     b = spark.createDataFrame([(i, t) for i, t in items.items()] + [(77, None), (78, ""), (None, "a b c"), (0, items[0])], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in dc.contaminations(d, b).collect()}
-    assert got <= want and len(got) >= 0.95 * len(want) and {p for p in want if p[0] % 8} <= got
+    assert got <= want and {p for p in want if p[0] % 8} <= got  # every verbatim passage, nothing else
+    loose = [p for p in want if p[0] % 8 == 0]
+    assert len(got & set(loose)) >= 0.8 * len(loose)  # short items with every sixth word replaced are the hardest
+    assert {p for p in loose if len(items[p[1]].split()) > 14} <= got
     clean = dc.drop_contaminated(d, b)
     assert clean.columns == d.columns and {r["doc_id"] for r in clean.collect()} == {r[0] for r in rows} - {i for i, _ in got}
     assert dc.contaminations(d.limit(0), b).count() == 0 and dc.contaminations(d, b.limit(0)).count() == 0
