@@ -78,12 +78,15 @@ def features(data: np.ndarray, offsets: np.ndarray, learned: np.ndarray, fixed:
             near[k:] |= same & second[:-k]
             near[:-k] |= same & second[k:]
     # a disguised word reads as a lexicon word only after its stand-ins are replaced
-    disguised = np.maximum(0, per_text(member(d, fixed["disguised"]), dfirst) - per_text(hit, first)) + per_text(member(d, fixed["masked"]), dfirst)
+    masked = per_text(member(d, fixed["masked"]), dfirst)
+    disguised = np.maximum(0, per_text(member(d, fixed["disguised"]), dfirst) - per_text(hit, first)) + masked
     c = byte_counts(data, offsets)
     words = np.diff(first).astype(float)
     per = lambda v: v / np.maximum(words, 1) * 100
     chars = np.maximum(c["chars"], 1)
-    a, b = per_text(hit, first), per_text(also, first)
+    # a disguised word is a lexicon word too; both readings hash a word's letters alike
+    a = per_text(hit, first) + disguised
+    b = np.maximum(per_text(also, first), per_text(member(d, learned), dfirst)) + masked
     cols = [
         per(a), np.minimum(a, 8), per(b), np.minimum(b, 8), np.minimum(disguised, 8), per(per_text(second, first)), per_text((hit | also) & near, first),
         c["upper"] / np.maximum(c["letters"], 1), c["bangs"] / chars, c["asks"] / chars,
