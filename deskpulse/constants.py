@@ -9,7 +9,6 @@ live with the date helpers in ``deskpulse.functions.dates``.
 # Ticket status, rating, channel and call labels used by the reports.
 DONE_STATUSES = ("solved", "closed")
 RATINGS = ("good", "bad")
-CHANNELS = ("voice", "chat", "email", "web", "api")
 CHAT_SESSION_TYPE = "chat"
 VOICEMAIL = "Voicemail"
 OUTBOUND = "outbound"

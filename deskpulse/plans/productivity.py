@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskpulse.config import DEFAULT, ReportConfig
-from deskpulse.constants import CHANNELS, DONE_STATUSES, VOICEMAIL
+from deskpulse.constants import DONE_STATUSES, VOICEMAIL
 from deskpulse.functions import (
     hour_of_time_text, like_any, month_start, rate_or_count, round2, true_divide, us_date, week_start,
 )
@@ -43,101 +43,84 @@ def _agents(t, account: str | None) -> DataFrame:
     return roster(t, account).select("_rid", "agent_name")
 
 
-def channel_rows(t, cfg: ReportConfig, account: str | None, hourly: bool) -> dict[str, DataFrame]:
-    """C7 step 1: per channel, the ticket rows that count.
+def channel_rows(t, cfg: ReportConfig, account: str | None, hourly: bool) -> DataFrame:
+    """C7 step 1: the ticket rows that count, with their channel.
 
-    Hourly rows are distinct (local_date_created, local_time_created,
-    ticket_id, assignee_id, agent_name); weekly rows are distinct
-    (local_date_created, ticket_id, agent_name), except voice, whose weekly
-    count counts every matching call leg.
+    Hourly rows are distinct (channel, local_date_created, local_time_created,
+    ticket_id, assignee_id, agent_name); weekly rows are distinct (channel,
+    local_date_created, ticket_id, agent_name), except voice, whose weekly
+    count counts every matching call leg.  Email tickets are read once for
+    their two channels.
     """
     agents = _agents(t, account)
     acct = F.col("client_account") == cfg.account
     cols = (["local_date_created", "local_time_created", "ticket_id", "assignee_id", "agent_name"] if hourly
             else ["local_date_created", "ticket_id", "agent_name"])
+    cols = ["channel", *cols]
     upd = ["ticket_id", "local_date_created", "local_time_created", "assignee_id", "status", "date_updated"]
     per_day = ["ticket_id", "local_date_created"]
+    on_roster = F.col("assignee_id") == F.col("_rid")
+    done = F.col("status").isin(*DONE_STATUSES) if hourly else F.lit(True)
 
-    zct = t.call_tickets
+    calls = t.call_tickets
     if hourly:
-        zct = zct.where(F.col("channel") == "voice")
-    zct = zct.select(F.col("ticket_id").alias("_ztid"), F.col("local_date_created").alias("_zldc"),
-                     "assignee_id").distinct()
+        calls = calls.where(F.col("channel") == "voice")
+    calls = calls.select(F.col("ticket_id").alias("_call"), F.col("local_date_created").alias("_call_day"),
+                         "assignee_id").distinct()
     legs = (t.call_legs.where(acct & F.col("ticket_id").isNotNull() & (F.col("forwarded_to") != VOICEMAIL))
              .select("ticket_id", F.col("local_date").alias("local_date_created"),
-                     F.col("local_time").alias("local_time_created")))
-    voice = (legs.join(zct, F.col("ticket_id") == F.col("_ztid"))
-                 .join(agents, F.col("assignee_id") == F.col("_rid")).select(*cols))
+                     F.col("local_time").alias("local_time_created"), F.lit("voice").alias("channel")))
+    voice = legs.join(calls, F.col("ticket_id") == F.col("_call")).join(agents, on_roster).select(*cols)
     if hourly:
         voice = voice.distinct()
 
     sessions = (t.chat_insights.where(acct & F.col("abandon_time").isNull())
                  .select(F.col("ticket_id").alias("_iid")))
-    chat = (t.chat_tickets.where(acct).select(*upd)
-             .join(agents, F.col("assignee_id") == F.col("_rid"))
-             .join(sessions, F.col("ticket_id") == F.col("_iid"), "left_semi"))
+    chat = (t.chat_tickets.where(acct).select(*upd, F.lit("chat").alias("channel"))
+             .join(agents, on_roster).join(sessions, F.col("ticket_id") == F.col("_iid"), "left_semi"))
     chat = latest_per_key(chat, per_day, "date_updated").select(*cols).distinct()
 
-    def latest_then_agent(df):
-        x = latest_per_key(df.select(*upd), per_day, "date_updated")
-        if hourly:
-            x = x.where(F.col("status").isin(*DONE_STATUSES))
-        x = x.join(agents, F.col("assignee_id") == F.col("_rid")).where(F.col("agent_name").isNotNull())
-        return x.select(*cols).distinct()
+    web = latest_per_key(t.web_tickets.where(acct).select(*upd, F.lit("web").alias("channel")), per_day, "date_updated")
+    web = web.where(done).join(agents, on_roster).where(F.col("agent_name").isNotNull()).select(*cols).distinct()
 
-    email = latest_then_agent(t.email_tickets.where(acct & (F.col("channel") == "email")))
-    web = latest_then_agent(t.web_tickets.where(acct))
+    # api: the roster decides before the latest update is chosen; email: after it (H1)
+    mail = t.email_tickets.where(acct & F.col("channel").isin("email", "api")).select(*upd, "channel")
+    mail = mail.join(agents, on_roster, "left").where((F.col("channel") == "email") | F.col("_rid").isNotNull())
+    mail = latest_per_key(mail, ["channel", *per_day], "date_updated")
+    mail = mail.where((F.col("channel") == "api") | (F.col("agent_name").isNotNull() & done)).select(*cols).distinct()
+    return reduce(DataFrame.unionByName, [voice, chat, web, mail])
 
-    api = (t.email_tickets.where(acct & (F.col("channel") == "api")).select(*upd)
-            .join(agents, F.col("assignee_id") == F.col("_rid")))
-    api = latest_per_key(api, per_day, "date_updated").select(*cols).distinct()
-    return {"voice": voice, "chat": chat, "email": email, "web": web, "api": api}
 
-
-def hourly_counts(rows: DataFrame, channel: str) -> DataFrame:
-    """Distinct (day, hour, assignee, agent) with h_tickets = tickets of the
-    agent in that hour (over all of the agent's ids)."""
+def hourly_counts(rows: DataFrame) -> DataFrame:
+    """Distinct (channel, day, hour, assignee, agent) with h_tickets = tickets
+    of the agent in that hour and channel (over all of the agent's ids)."""
     r = rows.withColumn("hour_", hour_of_time_text("local_time_created"))
-    keys = ["local_date_created", "hour_", "agent_name"]
+    keys = ["channel", "local_date_created", "hour_", "agent_name"]
     n = r.groupBy(*keys, "assignee_id").agg(F.count("ticket_id").alias("_n"))
     h = n.groupBy(*keys).agg(F.sum("_n").alias("h_tickets"))
     return (null_safe_join(n.select(*keys, "assignee_id"), h, keys)
-            .select("local_date_created", "hour_", "assignee_id", "agent_name",
-                    F.lit(channel).alias("channel"), "h_tickets"))
+            .select("local_date_created", "hour_", "assignee_id", "agent_name", "channel", "h_tickets"))
 
 
-def weekly_counts(rows: DataFrame, channel: str) -> DataFrame:
-    """Per (week, agent): tickets; per week: team_tickets."""
+def weekly_counts(rows: DataFrame) -> DataFrame:
+    """Per (channel, week, agent): tickets; per channel and week: team_tickets."""
     r = rows.withColumn("_week", week_start("local_date_created"))
-    a = r.groupBy("_week", "agent_name").agg(F.count("ticket_id").alias("tickets"))
-    team = a.groupBy("_week").agg(F.sum("tickets").alias("team_tickets"))
-    return (null_safe_join(a, team, ["_week"])
-            .select(F.col("_week").alias("local_date_created"), "agent_name", F.lit(channel).alias("channel"),
-                    "tickets", "team_tickets"))
+    a = r.groupBy("channel", "_week", "agent_name").agg(F.count("ticket_id").alias("tickets"))
+    team = a.groupBy("channel", "_week").agg(F.sum("tickets").alias("team_tickets"))
+    return (null_safe_join(a, team, ["channel", "_week"])
+            .select(F.col("_week").alias("local_date_created"), "agent_name", "channel", "tickets", "team_tickets"))
 
 
 def channel_counts_hourly(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """C7 hourly: agent x hour x channel ticket counts, all rosters."""
-    return shared(t, "channel_counts_hourly", cfg, lambda: _channel_counts_hourly(t, cfg))
-
-
-def _channel_counts_hourly(t, cfg: ReportConfig) -> DataFrame:
-    rows = channel_rows(t, cfg, None, hourly=True)
-    # each branch is unique per (day, hour, assignee, agent) and carries its own
-    # channel literal, so the union is already distinct
-    return reduce(DataFrame.unionByName, [hourly_counts(rows[c], c) for c in CHANNELS])
+    return shared(t, "channel_counts_hourly", cfg, lambda: hourly_counts(channel_rows(t, cfg, None, hourly=True)))
 
 
 def channel_counts_weekly(t, cfg: ReportConfig = DEFAULT, account: str | None = None) -> DataFrame:
     """C7 weekly: agent x week x channel ticket counts and team totals."""
     account = account or cfg.roster_account
-    return shared(t, f"channel_counts_weekly_{account}", cfg, lambda: _channel_counts_weekly(t, cfg, account))
-
-
-def _channel_counts_weekly(t, cfg: ReportConfig, account: str) -> DataFrame:
-    rows = channel_rows(t, cfg, account, hourly=False)
-    # unique per (week, agent) within a branch, channel literal per branch
-    return reduce(DataFrame.unionByName, [weekly_counts(rows[c], c) for c in CHANNELS])
+    return shared(t, f"channel_counts_weekly_{account}", cfg,
+                  lambda: weekly_counts(channel_rows(t, cfg, account, hourly=False)))
 
 
 def tracked_hours(t, cfg: ReportConfig = DEFAULT) -> DataFrame:

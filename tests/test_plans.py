@@ -70,3 +70,10 @@ def test_filters_and_columns_reach_scan(spark):
 def test_dimensions_are_broadcast(spark):
     p = plan(spark, "csat_raw")
     assert "BroadcastHashJoin" in p
+
+
+def test_email_tickets_get_one_latest_update_step(spark):
+    p = plan(spark, "channel_counts_hourly")
+    # one scan condition for both channels, none for either alone
+    assert "In(channel, [api,email])" in p or "In(channel, [email,api])" in p
+    assert "EqualTo(channel,email)" not in p and "EqualTo(channel,api)" not in p
