@@ -43,7 +43,7 @@ def main() -> None:
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
     spark = build_session(f"local[{cpus}]", app="deskpulse-bench", shuffle_partitions=parts, extra=extra)
     extra_queries = {}
-    if importlib.util.find_spec("deskpulse.llm") is not None:
+    if getattr(importlib.util.find_spec("deskpulse.llm"), "origin", None):
         from deskpulse.llm.registry import QUERIES as extra_queries
     names = [q for q in only or QUERIES if q in QUERIES]
     more = [q for q in only or extra_queries if q in extra_queries]
