@@ -23,7 +23,7 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="deskpulse-"))
     return df.checkpoint(eager=True)

@@ -142,7 +142,7 @@ def with_candidates(docs: DataFrame, out: str, text: str = "text") -> DataFrame:
     return docs.drop(*[c for _, _, c in parts])
 
 
-def fit_candidates(cands: DataFrame, col: str, id_col: str = "doc_id", fold_text: str | None = None):
+def fit_candidates(cands: DataFrame, col: str, id_col: str = "doc_id"):
     """Trees and the calibrated raw-score threshold, or None without candidates
     of both labels. One row per distinct feature vector, label and fold is
     collected (bounded by FEATURE_ROWS x 4)."""

@@ -1,8 +1,12 @@
 """SentencePiece encoding and decoding with a parallel scan for giant documents (operator 5).
 
-Documents of up to GIANT characters are one chunk and are encoded whole by
-the SentencePiece library. A longer one is cut into chunks of CHUNK
-characters that are encoded independently, by a max-plus scan:
+Documents of up to GIANT characters are one chunk. They are encoded by the
+SentencePiece library, word by word: where no piece of the vocabulary goes on
+from another character into a space sign (checked when the model is loaded),
+no merge crosses the start of a word, so a document's ids are its words' ids,
+and a task looks a word up that it has met before. For other vocabularies the
+library gets the document whole. A longer document is cut into chunks of
+CHUNK characters that are encoded independently, by a max-plus scan:
 
 * The model merges by rank. A sequence of pieces is its encoding exactly if
   every two neighbours are what the merges make of their joint text (merges
@@ -38,8 +42,11 @@ fixed size), so executors need no file of their own.
 
 from __future__ import annotations
 
+import hashlib
+from array import array
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -157,6 +164,64 @@ class Pieces:
         return [i] if i is not None else [self.byte[b] for b in piece.encode()]
 
 
+class Words(dict):
+    """Ids (as bytes of int32) of words with one space sign before them; a word
+    that is missing is encoded by the library. Holds MOST words at most."""
+
+    MOST = 300_000
+
+    def __init__(self, sp):
+        super().__init__()
+        self.sp = sp
+        pieces = (sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_byte(i) or sp.is_unknown(i)))
+        self.bare = np.array([sp.piece_to_id(SPACE)], np.int32).tobytes()
+        self.apart = not any(SPACE in p.lstrip(SPACE) for p in pieces) and sp.encode("a b") == sp.encode("a") + sp.encode("b")
+
+    def __missing__(self, word: str) -> bytes:
+        ids = array("i", self.sp.encode(word)).tobytes()
+        if len(word) <= 64:
+            if len(self) >= self.MOST:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of several texts; the words that are new in them are encoded in one call."""
+        if self.apart:
+            new = {w for t in texts if t for w in t.replace(SPACE, " ").split(" ")}
+            new.difference_update(self)
+            new = [w for w in new if 0 < len(w) <= 64]
+            if len(self) + len(new) > self.MOST:
+                self.clear()
+            for w, ids in zip(new, self.sp.encode(new, num_threads=1), strict=True):
+                self[w] = array("i", ids).tobytes()
+        return [b"" if t is None else self.encode(t) for t in texts]
+
+    def encode(self, text: str) -> bytes:
+        if not text:
+            return b""
+        if not self.apart:
+            return np.array(self.sp.encode(text), np.int32).tobytes()
+        parts = text.replace(SPACE, " ").split(" ")  # each has one space sign before it
+        if all(parts):
+            return b"".join(map(self.__getitem__, parts))
+        out, spaces = [], ""
+        for p in parts:  # further space signs belong to the word after them
+            if p:
+                out.append(self[spaces + p])
+                spaces = ""
+            else:
+                spaces += " "
+        if spaces:  # the text ends in them
+            out.append(self[spaces[:-1]] if len(spaces) > 1 else self.bare)
+        return b"".join(out)
+
+
+@lru_cache(maxsize=2)
+def words(model: bytes) -> Words:
+    return Words(processor(model))
+
+
 def _shared_model(df: DataFrame, path: str):
     with open(path, "rb") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
@@ -251,6 +316,13 @@ def giant_ids(giants: DataFrame, key: str, text: str, model) -> DataFrame:
     return traced.groupBy("key").agg(whole.alias("ids"))
 
 
+def _lists(ids: list[bytes], null: list[bool] | None = None) -> pa.ListArray:
+    """A list array from the ids of several texts."""
+    ends = np.cumsum([0, *[len(i) // 4 for i in ids]]).astype(np.int32)
+    flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+    return pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(null) if null else None)
+
+
 def encode(docs: DataFrame, out: str = "ids", text: str = "text", path: str = MODEL) -> DataFrame:
     """``docs`` plus ``out``: the ids of each whole text."""
     model = _shared_model(docs, path)
@@ -261,8 +333,8 @@ def encode(docs: DataFrame, out: str = "ids", text: str = "text", path: str = MO
         for whole in batches:
             for b in slices(whole, text):
                 texts = b.column(text).to_pylist()
-                ids = processor(model.value).encode([t or "" for t in texts], num_threads=1)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([None if t is None else i for t, i in zip(texts, ids, strict=True)], pa.list_(pa.int32()))], names=[*names, out])
+                lists = _lists(words(model.value).encode_all(texts), [t is None for t in texts])
+                yield pa.RecordBatch.from_arrays([*b.columns, lists], names=[*names, out])
 
     big = F.coalesce(F.char_length(text) > GIANT, F.lit(False))
     small = docs.where(~big).mapInArrow(run, schema)
@@ -283,18 +355,42 @@ def decode(df: DataFrame, out: str = "decoded", ids: str = "ids", path: str = MO
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 col = part.column(ids)
-                texts = [None if x is None else processor(model.value).decode(x) for x in col.to_pylist()]
+                flat, ends = col.values.to_numpy(), col.offsets.to_numpy()
+                lists = [flat[x:y].tolist() for x, y in zip(ends[:-1], ends[1:], strict=True)]
+                texts = [t if ok else None for t, ok in zip(processor(model.value).decode(lists), col.is_valid().to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, out])
 
     return df.mapInArrow(run, schema)
 
 
 def tokenized(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """(doc_id, n_tokens, ids, text_sha256, exact) of every document; null texts count as empty."""
-    e = encode(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), path=path)
-    d = decode(e.select("doc_id", F.sha2(F.col("text"), 256).alias("sha"), "ids"), path=path)
+    """(doc_id, n_tokens, ids, text_sha256, exact) of every document: encoded
+    and decoded again, with the digest of the decoded text and whether it is
+    the text itself; null texts count as empty. Documents of one chunk make
+    the round trip within one task."""
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    big = F.char_length("text") > GIANT
+    model = _shared_model(d, path)
+
+    def run(batches):
+        for whole in batches:
+            for b in slices(whole, "text"):
+                texts = b.column("text").to_pylist()
+                ids = words(model.value).encode_all(texts)
+                back = processor(model.value).decode([np.frombuffer(i, np.int32).tolist() for i in ids])
+                lists = _lists(ids)
+                sha = [hashlib.sha256(t.encode()).hexdigest() for t in back]
+                yield pa.record_batch([b.column("doc_id"), lists, pa.array(sha), pa.array([x == y for x, y in zip(back, texts, strict=True)])], names=["doc_id", "ids", "text_sha256", "exact"])
+
+    id_type = dict(d.dtypes)["doc_id"]
+    small = d.where(~big).mapInArrow(run, f"doc_id {id_type}, ids array<int>, text_sha256 string, exact boolean")
+    g = d.where(big).withColumn("text_key", F.sha2("text", 256))
+    found = giant_ids(g.dropDuplicates(["text_key"]), "text_key", "text", model)
+    back = decode(found, path=path)  # one row per giant text
     got = F.sha2(F.col("decoded"), 256)
-    return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", got.alias("text_sha256"), (got == F.col("sha")).alias("exact"))
+    back = back.select(F.col("key").alias("text_key"), "ids", got.alias("text_sha256"), (got == F.col("key")).alias("exact"))
+    out = small.unionByName(g.select("doc_id", "text_key").join(back, "text_key").drop("text_key"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text_sha256", "exact")
 
 
 def token_digest(docs: DataFrame, path: str = MODEL) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -35,6 +36,13 @@ def test_scan_equals_the_library(text, size):
     assert scanned(text, size) == scan.processor(PROTO).encode(text)
 
 
+@settings(max_examples=150, deadline=None)
+@given(text=st.text(st.sampled_from(list("ab  the\n▁.é珍日€🙂")) | st.characters(blacklist_categories=["Cs"]), max_size=80))
+def test_word_by_word_equals_the_library(text):
+    w = scan.words(PROTO)
+    assert w.apart and np.frombuffer(w.encode(text), np.int32).tolist() == scan.processor(PROTO).encode(text)
+
+
 @pytest.mark.parametrize("text", [" " * 500, "a" * 700, "the " * 300, "aaaa bbbb" * 60, "▁" * 100 + "x"])
 def test_runs(text):
     assert scanned(text, 64) == scan.processor(PROTO).encode(text)
