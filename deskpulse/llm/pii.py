@@ -179,7 +179,7 @@ def redact_pii(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
     A null text stays null."""
     c = free_name(docs, "candidates")
     found = with_candidates(docs, c, text)
-    model = fit_candidates(found, c, id_col)
+    model = fit_candidates(cut(found.select(id_col, c)), c, id_col)  # candidates only, without the texts
     return found.withColumn(c, F.coalesce(select_spans(c, model), F.array())).withColumn(text, redact(F.col(text), F.col(c), KINDS)).select(*docs.columns)
 
 

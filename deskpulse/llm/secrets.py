@@ -153,7 +153,7 @@ def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by ``[KIND]``; a null text stays null."""
     b, c = free_name(docs, "base"), free_name(docs, "cand")
     found = with_found(docs, b, c, text)
-    spans = F.coalesce(all_spans(b, c, discovery_thresholds(found, c)), F.array())
+    spans = F.coalesce(all_spans(b, c, discovery_thresholds(cut(found.select(c)), c)), F.array())
     return found.withColumn(text, redact(F.col(text), spans, KINDS)).select(*docs.columns)
 
 
