@@ -4,13 +4,13 @@ from deskpulse.session import build_session
 from deskpulse.plans.registry import QUERIES
 from deskpulse.sources import load_tables
 from deskpulse.operators import latest_per_key, attach_grains, asof_nearest
-sf = "/root/testdata/sf0.1"
-spark = build_session("local[8]", shuffle_partitions=16)
+sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+spark = build_session("local[2]", shuffle_partitions=16)
 def tree(df):
     s = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     return s.split("\n\n")[0].strip()
 out = ["# PLANS", "",
-       "Physical plans (before adaptive re-planning) of representative queries on sf0.1 inputs, from",
+       "Physical plans (before adaptive re-planning) of representative queries, from",
        "`explain(\"formatted\")`, tree part only. Regenerate with `python tools/plans_md.py`.", ""]
 for name, note in [
     ("frt_chat_flex", "R10: argmax per ticket as aggregate + join (AQE broadcasts the extremes when small), broadcast roster, multi-grain roll-up joined back once."),
