@@ -13,10 +13,7 @@ out = ["# PLANS", "",
        "Physical plans (before adaptive re-planning) of representative queries, from",
        "`explain(\"formatted\")`, tree part only. Regenerate with `python tools/plans_md.py`.", ""]
 for name, note in [
-    ("frt_chat_flex", "R10: argmax per ticket as aggregate + join (AQE broadcasts the extremes when small), broadcast roster, multi-grain roll-up joined back once."),
     ("csat_clean", "R12: first rated update as aggregate + join; exclusions as a left anti join."),
-    ("wait_time_multi_grain", "R5: longest legs, validity-interval join as broadcast hash join with BETWEEN residual, 8 grains as grouped aggregates of the finest aggregate, joined back."),
-    ("productivity_weekly", "R2: weekly channel counts; tracked hours joined to the roster by e-mail (broadcast); team totals by grouped aggregation."),
     ("asof_supervisor", "C4: carry-forward window per agent over distinct (agent, day) pairs and effective dates; equi-joins only."),
     ("attendance", "R16: filters and columns pushed into the scan; no cap unless asked for."),
 ]:
