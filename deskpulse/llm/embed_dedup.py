@@ -162,12 +162,13 @@ def _linked(classes: DataFrame, threshold: float, kind: str) -> DataFrame:
     rows = cut(classes.select("rep", "label", "dim", "copies", "vec").mapInArrow(assign, "id long, label string, dim int, copies long, cell int, visits array<int>, vec binary"))
     grid = rows.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     index = rows.join(grid, ["label", "dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    index = index.groupBy("label", "dim", "cell", "block").agg(F.collect_list(F.struct("id", "copies", "visits", "vec")).alias("ys"))
+    # dealt anew by block: the blocks of a hot cell are gathered by many tasks, and the join above can be split
+    index = index.repartition("label", "dim", "cell", "block").groupBy("label", "dim", "cell", "block").agg(F.collect_list(F.struct("id", "copies", "visits", "vec")).alias("ys"))
     callers = rows.select("id", "label", "dim", "copies", F.col("cell").alias("own"), "vec", F.explode("visits").alias("cell"))
     calls = callers.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("groups"))
     callers = callers.join(calls.join(grid, ["label", "dim", "cell"]), ["label", "dim", "cell"])  # cells without members drop out
     callers = callers.withColumn("group", F.pmod(F.xxhash64("id", F.lit(1)), "groups").cast("int"))
-    callers = callers.groupBy("label", "dim", "cell", "blocks", "group").agg(F.collect_list(F.struct("id", "copies", "own", "vec")).alias("xs"))
+    callers = callers.repartition("label", "dim", "cell", "blocks", "group").groupBy("label", "dim", "cell", "blocks", "group").agg(F.collect_list(F.struct("id", "copies", "own", "vec")).alias("xs"))
     callers = callers.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = callers.join(index, ["label", "dim", "cell", "block"]).select("dim", "cell", "xs", "ys")
 
