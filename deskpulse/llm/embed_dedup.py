@@ -1,17 +1,20 @@
 """Near-duplicate embeddings by an inverted multi-index (operator 1).
 
 Method: every vector is cut into two halves, each with its own codebook; the
-pair of nearest codewords is its cell in the product grid. A vector visits
-grid cells in the order of the multi-sequence traversal (growing sum of the
-two half distances). How many cells it visits is calibrated: sampled vectors
-get a synthetic neighbour exactly at the cosine threshold, and the visits
-are enough for the target share of those neighbours (they are the hardest
-ones). Meetings are then verified by cosine in double precision.
+pair of nearest codewords is its cell in the product grid. A vector nearer to
+codeword a than to c is at least ``(|x-c|^2 - |x-a|^2) / (2 |c-a|)`` away from
+everything that is nearest to c; both halves' bounds, squared, add up to a
+bound on the distance to a cell. A cell is visited, in the order of the
+multi-sequence traversal of the bounds, until the bound exceeds the distance
+that the threshold stands for, so no link is missed, whatever the vectors.
+Meetings are then verified by cosine in double precision. In vectors without
+structure the bound excludes few cells and the search is brute force in
+blocks; the codebooks save work where vectors lie in groups.
 
 Bounds and skew: equal vectors are one class (a grouped minimum), so copies
-cost one row. The members of a cell are dealt into blocks; a visiting block
-meets each of them in a join keyed by cell and block, so a hot cell is many
-keys. A meeting of two blocks is one matrix product in numpy and returns at
+cost one row. The members of a cell are dealt into blocks; two blocks meet
+once, in a join keyed by cell and block, the caller by the parity of the two
+numbers, so a hot cell is many keys. A meeting of two blocks is one matrix product in numpy and returns at
 most one row per member: the number of its links and the root of its tree
 within the meeting. Pairs are never written out. Codebooks are fitted on a
 bounded sample (SAMPLE vectors, taken in the order of a hash); every vector
@@ -38,8 +41,9 @@ from deskpulse.llm.io import cut, table
 SAMPLE = 8192  # vectors that the codebooks are fitted on
 CELL = 64  # vectors a cell should hold, on average over the largest label
 CODEWORDS = 512  # at most, per half
-RECALL = 0.995  # of neighbours exactly at the threshold
+RECALL = 0.995  # of isotropic neighbours, for the ``visits`` of ``fit_index``
 BLOCK = 256
+SLACK = 1e-9  # on squared distances, for rounding
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -79,7 +83,8 @@ def traverse(d1: np.ndarray, d2: np.ndarray, visits: int) -> np.ndarray:
 
 
 def fit_index(x: np.ndarray, largest: int, threshold: float, recall: float = RECALL) -> dict:
-    """Codebooks of both halves and the calibrated number of visits."""
+    """Codebooks of both halves, and the number of visits that meets isotropic
+    neighbours at the threshold (a figure; the search goes by ``bounds``)."""
     rng = np.random.default_rng(11)
     half = x.shape[1] // 2
     k = int(min(CODEWORDS, max(2, np.ceil(np.sqrt(largest / CELL))), max(1, len(x) // 4)))
@@ -98,6 +103,29 @@ def fit_index(x: np.ndarray, largest: int, threshold: float, recall: float = REC
     return {"c1": c1, "c2": c2, "half": half, "visits": int(np.quantile(seen, recall, method="higher")) + 1}
 
 
+def bounds(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """At most the squared distance of each row to anything nearest to each codeword."""
+    d, apart = sq_dists(x, c), np.sqrt(sq_dists(c, c))
+    near = d.argmin(1)
+    gap = d - d[np.arange(len(x)), near][:, None] - 1e-12
+    apart = apart[near]
+    return np.where(apart > 1e-6, np.maximum(0, gap) / (2 * np.maximum(apart, 1e-6)), 0) ** 2
+
+
+def reachable(x: np.ndarray, m: dict, threshold: float) -> np.ndarray:
+    """Every cell that can hold a vector linked with a row of ``x``."""
+    most = 2 - 2 * threshold + SLACK
+    l1, l2 = bounds(x[:, : m["half"]], m["c1"]), bounds(x[:, m["half"] :], m["c2"])
+    least1, least2 = l1.min(0), l2.min(0)
+    inside = (least1[:, None] + least2 <= most).sum()
+    cells = traverse(least1[None], least2[None], int(inside))[0]  # of the rows together
+    i, j = np.divmod(cells, len(m["c2"]))
+    out = np.zeros(len(cells), bool)
+    for a, b in zip(l1, l2, strict=True):
+        out |= a[i] + b[j] <= most
+    return cells[out]
+
+
 def _read(blobs: list[bytes], kind: str, dim: int) -> np.ndarray:
     return unit(np.frombuffer(b"".join(blobs), dtype=kind).reshape(len(blobs), dim))
 
@@ -145,47 +173,55 @@ def _linked(classes: DataFrame, threshold: float, kind: str) -> DataFrame:
             n = len(dims)
             off = b.column("vec").offsets.to_numpy()
             flat = b.column("vec").values.to_numpy(zero_copy_only=False).astype(kind)
-            cell = np.zeros(n, np.int32)
-            visits: list = [[0]] * n  # a length with few vectors is one cell
+            cell = np.zeros(n, np.int32)  # a length with few vectors is one cell
             for dim, m in shared.value.items():
                 at = np.flatnonzero(dims == dim)
-                if not len(at):
-                    continue
-                x = unit(flat[off[at][:, None] + np.arange(dim)])
-                t = traverse(sq_dists(x[:, : m["half"]], m["c1"]), sq_dists(x[:, m["half"] :], m["c2"]), m["visits"])
-                cell[at] = t[:, 0]
-                for r, i in enumerate(at):
-                    visits[i] = t[r].tolist()
+                if len(at):
+                    x = unit(flat[off[at][:, None] + np.arange(dim)])
+                    cell[at] = sq_dists(x[:, : m["half"]], m["c1"]).argmin(1) * len(m["c2"]) + sq_dists(x[:, m["half"] :], m["c2"]).argmin(1)
             blobs = [flat[off[i] : off[i + 1]].tobytes() for i in range(n)]
-            yield pa.record_batch([b.column("rep"), b.column("label").cast(pa.string()), b.column("dim"), b.column("copies"), pa.array(cell), pa.array(visits, pa.list_(pa.int32())), pa.array(blobs, pa.binary())], names=["id", "label", "dim", "copies", "cell", "visits", "vec"])
+            yield pa.record_batch([b.column("rep"), b.column("label").cast(pa.string()), b.column("dim"), b.column("copies"), pa.array(cell), pa.array(blobs, pa.binary())], names=["id", "label", "dim", "copies", "cell", "vec"])
 
-    rows = cut(classes.select("rep", "label", "dim", "copies", "vec").mapInArrow(assign, "id long, label string, dim int, copies long, cell int, visits array<int>, vec binary"))
+    rows = cut(classes.select("rep", "label", "dim", "copies", "vec").mapInArrow(assign, "id long, label string, dim int, copies long, cell int, vec binary"))
     grid = rows.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     index = rows.join(grid, ["label", "dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     # dealt anew by block: the blocks of a hot cell are gathered by many tasks, and the join above can be split
-    index = index.repartition("label", "dim", "cell", "block").groupBy("label", "dim", "cell", "block").agg(F.collect_list(F.struct("id", "copies", "visits", "vec")).alias("ys"))
-    callers = rows.select("id", "label", "dim", "copies", F.col("cell").alias("own"), "vec", F.explode("visits").alias("cell"))
-    calls = callers.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("groups"))
-    callers = callers.join(calls.join(grid, ["label", "dim", "cell"]), ["label", "dim", "cell"])  # cells without members drop out
-    callers = callers.withColumn("group", F.pmod(F.xxhash64("id", F.lit(1)), "groups").cast("int"))
-    callers = callers.repartition("label", "dim", "cell", "blocks", "group").groupBy("label", "dim", "cell", "blocks", "group").agg(F.collect_list(F.struct("id", "copies", "own", "vec")).alias("xs"))
-    callers = callers.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = callers.join(index, ["label", "dim", "cell", "block"]).select("dim", "cell", "xs", "ys")
+    index = cut(index.repartition("label", "dim", "cell", "block").groupBy("label", "dim", "cell", "block").agg(F.collect_list(F.struct("id", "copies", "vec")).alias("ys")))
+
+    def visit(batches):
+        for b in batches:
+            visits = []
+            for r in range(b.num_rows):
+                dim = b.column("dim")[r].as_py()
+                m = shared.value.get(dim)
+                visits.append([0] if m is None else reachable(_read(b.column("ys")[r].values.field("vec").to_pylist(), kind, dim), m, threshold).tolist())
+            yield pa.record_batch([*b.columns[:4], pa.array(visits, pa.list_(pa.int32()))], names=["label", "dim", "own", "from", "visits"])
+
+    def mine(a, b):  # of two numbers, whether the first one calls
+        return F.when((a + b) % 2 == 1, a < b).otherwise(a > b)
+
+    visits = index.mapInArrow(visit, "label string, dim int, own int, from int, visits array<int>")
+    visits = visits.select("label", "dim", "own", "from", F.explode("visits").alias("cell")).where((F.col("own") == F.col("cell")) | mine(F.col("own"), F.col("cell")))
+    visits = visits.join(grid, ["label", "dim", "cell"])  # cells without members drop out
+    visits = visits.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    visits = visits.where((F.col("own") != F.col("cell")) | (F.col("from") == F.col("block")) | mine(F.col("from"), F.col("block")))
+    callers = index.select("label", "dim", F.col("cell").alias("own"), F.col("block").alias("from"), F.col("ys").alias("xs"))
+    met = visits.join(callers, ["label", "dim", "own", "from"]).join(index, ["label", "dim", "cell", "block"]).select("dim", "xs", "ys")
 
     def verify(batches):
         for b in batches:
             for r in range(b.num_rows):
-                dim, cell = b.column("dim")[r].as_py(), b.column("cell")[r].as_py()
+                dim = b.column("dim")[r].as_py()
                 xs, ys = b.column("xs")[r].values, b.column("ys")[r].values
                 xi, yi = xs.field("id").to_numpy(), ys.field("id").to_numpy()
                 link = _read(xs.field("vec").to_pylist(), kind, dim) @ _read(ys.field("vec").to_pylist(), kind, dim).T >= threshold
                 link &= xi[:, None] != yi
                 if not link.any():
                     continue
-                own = xs.field("own").to_numpy()
-                back = np.array([np.isin(own, v) for v in ys.field("visits").to_pylist()]).T  # y visits x's cell too
                 to_x = link @ ys.field("copies").to_numpy()
-                to_y = xs.field("copies").to_numpy() @ (link & ~back)
+                to_y = xs.field("copies").to_numpy() @ link
+                if np.isin(xi, yi).any():  # a block with itself: every pair is there twice
+                    to_y[:] = 0
                 rx, ry = xi.copy(), yi.copy()
                 big = np.iinfo(np.int64).max
                 while True:  # smallest id within the meeting, along links

@@ -73,3 +73,25 @@ def test_calibrated_visits_reach_the_recall():
     visits = lambda v: embed_dedup.traverse(embed_dedup.sq_dists(v[:, :h], m["c1"]), embed_dedup.sq_dists(v[:, h:], m["c2"]), m["visits"])
     met = (visits(x) == cell(y)[:, None]).any(1) | (visits(y) == cell(x)[:, None]).any(1)
     assert m["visits"] < len(m["c1"]) * k and met.mean() >= 0.98
+
+
+def test_low_rank_clusters_with_many_codewords_lose_no_link(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    plane = rng.standard_normal((4, 32))
+    centres = rng.standard_normal((60, 4))
+    z = centres[rng.integers(0, 60, 1500)] + 0.25 * rng.standard_normal((1500, 4))
+    rows = [(i, [float(np.float32(x)) for x in v], 1) for i, v in enumerate(z @ plane + 0.01 * rng.standard_normal((1500, 32)))]
+    monkeypatch.setattr(embed_dedup, "CELL", 4)
+    check(embed_dedup.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")), rows)
+
+
+def test_bounds_exclude_cells_but_no_neighbour():
+    rng = np.random.default_rng(5)
+    x = embed_dedup.unit(rng.standard_normal((3000, 3)) @ rng.standard_normal((3, 24)))
+    m = embed_dedup.fit_index(x, 3000, 0.93)
+    h, k = m["half"], len(m["c2"])
+    cell = embed_dedup.sq_dists(x[:, :h], m["c1"]).argmin(1) * k + embed_dedup.sq_dists(x[:, h:], m["c2"]).argmin(1)
+    seen = [embed_dedup.reachable(v[None], m, 0.93) for v in x[:300]]
+    for v, cells in zip(x[:300], seen, strict=True):
+        assert np.isin(cell[x @ v >= 0.93], cells).all()
+    assert np.mean([len(c) for c in seen]) < len(m["c1"]) * k / 2
