@@ -50,6 +50,7 @@ LEAST_SHARED = 0.6  # of a window's weight, in words of the benchmark
 LEAST_OWN = 0.4  # of a window's weight, in words of one item
 COSINE = 0.4
 COVER = 0.6
+LOOKED_UP = 0.25  # of the words needed, that a region must have of the rarest (any share is exact)
 ITEM_CHARS = 8 << 20
 BLOCK = 1024  # vocabulary buckets per summed row
 
@@ -123,7 +124,7 @@ def fit_latent(docs: DataFrame) -> dict:
     u, s, _ = np.linalg.svd(y @ (vecs / np.sqrt(vals)), full_matrices=False)
     u, s = u[:, :RANK], np.maximum(s[:RANK], 1e-9 * max(s[0], 1e-30))  # s is the square of the singular values
     fold = (u / np.sqrt(s) * idf[:, None]).astype(np.float32)
-    return {"idf": idf, "fold": fold / max(np.abs(fold).max(), 1e-30)}
+    return {"idf": idf, "fold": fold / max(np.abs(fold).max(), 1e-30), "count": n}
 
 
 def passages(first: np.ndarray, size: int = PASSAGE) -> np.ndarray:
@@ -160,6 +161,31 @@ def item_index(items: list, model: dict) -> dict:
     return {
         "ids": np.array(ids, np.int64), "words": words, "answers": answers, "vocabulary": vocabulary, "salt": salt, "keys": keys,
         "vec": _unit(np.array(vec, np.float32).reshape(len(vec), RANK)), "owner": np.array(owner, np.int64),
+        **_rarest(words, model),
+    }
+
+
+def _rarest(words: list, model: dict) -> dict:
+    """For the lookup: postings of each item's rarest words (by word: items and
+    how often they have it among them), how many a region needs, and the regions."""
+    key, item, often, least = [], [], [], []
+    for k, h in enumerate(words):
+        need = int(np.ceil(COVER * len(h)))
+        m = max(1, int(need * LOOKED_UP))
+        own, n = np.unique(h[np.argsort(model["count"][_bucket(h)], kind="stable")[: len(h) - need + m]], return_counts=True)
+        key.append(own)
+        often.append(n)
+        item.append(np.full(len(own), k))
+        least.append(m)
+    key = np.concatenate([*key, np.zeros(0, np.uint64)])
+    order = np.argsort(key, kind="stable")
+    rare, begin = np.unique(key[order], return_index=True)
+    n = np.array([len(h) for h in words], np.int64)
+    step, length = np.maximum(1, n // 2), 2 * n + np.minimum(n, WINDOW)
+    return {
+        "rare": rare, "begin": np.append(begin, len(key)), "item": np.concatenate([*item, np.zeros(0, np.int64)]).astype(np.int64)[order],
+        "often": np.concatenate([*often, np.zeros(0, np.int64)]).astype(np.int64)[order], "least": np.array(least, np.int64),
+        "step": step, "length": length, "spans": -(-length // step),
     }
 
 
@@ -195,8 +221,61 @@ def lcs_length(item: np.ndarray, region: np.ndarray) -> int:
 
 def find_in_batch(h: np.ndarray, first: np.ndarray, index: dict, model: dict) -> list[tuple[int, int, int]]:
     """(text number, item number, lcs) of the contaminations in a batch."""
-    if not len(h) or not len(index["ids"]):
-        return []
+    found: dict[tuple[int, int], int] = {}
+    if len(h) and len(index["ids"]):
+        _by_latent(h, first, index, model, found)
+        _by_words(h, first, index, found)
+    return [(t, i, n) for (t, i), n in found.items()]
+
+
+def _holds(index: dict, i: int, region: np.ndarray) -> int:
+    """Words of item ``i`` in order in the region, 0 if it doesn't hold the item."""
+    words, answer = index["words"][i], index["answers"][i]
+    got = lcs_length(words, region)
+    return got if got >= COVER * len(words) and np.isin(answer, region).sum() * 2 >= len(answer) else 0
+
+
+def candidates(h: np.ndarray, first: np.ndarray, index: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, item, step number) of the first rare word of every region that
+    has enough of them; a superset of the regions that hold an item."""
+    word = np.minimum(np.searchsorted(index["rare"], h), len(index["rare"]) - 1)
+    at = np.flatnonzero(index["rare"][word] == h)
+    word = word[at]
+    text = np.searchsorted(first, at, side="right") - 1
+    per = index["begin"][word + 1] - index["begin"][word]
+    post = np.repeat(index["begin"][word] - np.cumsum(per) + per, per) + np.arange(per.sum())
+    item = index["item"][post]
+    texts, most = len(first) - 1, int(np.diff(first).max()) + int(index["spans"].max()) + 1
+    code = (item * texts + np.repeat(text, per)) * most + np.repeat(at - first[text], per) // index["step"][item]
+    code, place = np.unique(code, return_inverse=True)
+    # a word counts as often as the item has it, so one word said over and over is no candidate
+    pair, one, n = np.unique(place * len(index["rare"]) + np.repeat(word, per), return_index=True, return_counts=True)
+    total = np.bincount(pair // max(1, len(index["rare"])), np.minimum(n, index["often"][post[one]]), len(code))
+    item, step = code // most // texts, code % most
+    c = np.concatenate([[0], np.cumsum(total)])
+    enough = c[np.searchsorted(code, code + index["spans"][item])] - c[:-1] >= index["least"][item]
+    return (code // most % texts)[enough], item[enough], step[enough]
+
+
+def _by_words(h: np.ndarray, first: np.ndarray, index: dict, found: dict) -> None:
+    seen = set()
+    for t, i, b in zip(*(x.tolist() for x in candidates(h, first, index)), strict=True):
+        n, step, length = len(index["words"][i]), int(index["step"][i]), int(index["length"][i])
+        if found.get((t, i), 0) == n:
+            continue
+        lo, hi = int(first[t]), int(first[t + 1])
+        begin = max(0, b - int(index["spans"][i]) + 1)
+        if lcs_length(index["words"][i], h[lo + begin * step : min(hi, lo + b * step + length)]) < max(COVER * n, found.get((t, i), 0) + 1):
+            continue  # nor has any region within
+        for k in range(begin, b + 1):
+            if (t, i, k) not in seen:
+                seen.add((t, i, k))
+                got = _holds(index, i, h[lo + k * step : min(hi, lo + k * step + length)])
+                if got:
+                    found[(t, i)] = max(found.get((t, i), 0), got)
+
+
+def _by_latent(h: np.ndarray, first: np.ndarray, index: dict, model: dict, found: dict) -> None:
     halves = passages(first, STEP)  # STEP-word pieces; a window is two neighbours
     weight = model["idf"][_bucket(h)].astype(np.float64)
     text_of = np.searchsorted(first, halves, side="right") - 1
@@ -208,7 +287,7 @@ def find_in_batch(h: np.ndarray, first: np.ndarray, index: dict, model: dict) ->
     mass = summed(weight)
     near = np.flatnonzero((pair | alone) & (summed(weight * member(h, index["vocabulary"])) >= LEAST_SHARED * mass))
     if not len(near):
-        return []
+        return
     begin, size, mass, text_of = halves[near], (stop - halves)[near], mass[near], text_of[near]
     starts = np.concatenate([[0], np.cumsum(size)[:-1]])
     take = np.repeat(begin - starts, size) + np.arange(size.sum())
@@ -217,7 +296,6 @@ def find_in_batch(h: np.ndarray, first: np.ndarray, index: dict, model: dict) ->
     weight_once = np.zeros(len(take))
     weight_once[once] = weight[take[once]]
     latent = _unit(np.add.reduceat(model["fold"][_bucket(h[take])], starts, axis=0))
-    found: dict[tuple[int, int], int] = {}
     seen = set()
     for lo in range(0, len(latent), 1024):
         w, k = np.nonzero(latent[lo : lo + 1024] @ index["vec"].T >= COSINE)
@@ -227,17 +305,14 @@ def find_in_batch(h: np.ndarray, first: np.ndarray, index: dict, model: dict) ->
         own = member(mix(h[take[at]] ^ np.repeat(index["salt"][item], size[w])), index["keys"]) * weight_once[at]
         keep = np.add.reduceat(own, np.concatenate([[0], np.cumsum(size[w])[:-1]])) >= LEAST_OWN * mass[w] if len(w) else np.zeros(0, bool)
         for a, i in zip(w[keep].tolist(), item[keep].tolist(), strict=True):
-            words = index["words"][i]
-            n, t, at = len(words), int(text_of[a]), int(begin[a])
+            n, t, at = len(index["words"][i]), int(text_of[a]), int(begin[a])
             key = (t, i, at // max(WINDOW, n // 2))
             if key in seen or found.get((t, i), 0) == n:
                 continue
-            region = h[max(int(first[t]), at - n) : min(int(first[t + 1]), at + WINDOW + n)]
-            got = lcs_length(words, region)
-            if got >= COVER * n and np.isin(index["answers"][i], region).sum() * 2 >= len(index["answers"][i]):
+            got = _holds(index, i, h[max(int(first[t]), at - n) : min(int(first[t + 1]), at + WINDOW + n)])
+            if got:
                 seen.add(key)
                 found[(t, i)] = max(found.get((t, i), 0), got)
-    return [(t, i, n) for (t, i), n in found.items()]
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -65,3 +65,23 @@ def test_shares_of_a_large_benchmark_give_the_same(spark, monkeypatch):
     one = sorted(map(tuple, dc.contaminations(docs, b).collect()))
     monkeypatch.setattr(dc, "ITEM_CHARS", 3000)
     assert sorted(map(tuple, dc.contaminations(docs, b).collect())) == one
+
+
+def contaminated(spark, docs, items):
+    d = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    b = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in dc.contaminations(d, b).collect()}
+
+
+def test_verbatim_items_of_few_words_in_long_documents(spark):
+    rng = random.Random(12)
+    common, rare = ["w" + str(i) for i in range(40)], ["r" + str(i) for i in range(4000)]
+    say = lambda n: [rng.choice(common) if rng.random() < 0.4 else rng.choice(rare) for _ in range(n)]
+    items = {i: " ".join(say(3 + i % 10)) for i in range(60)}
+    docs = {}
+    for i in items:
+        w = say(700)
+        at = rng.randrange(len(w))
+        w[at:at] = items[i].split()
+        docs[i] = " ".join(w)
+    assert {(i, i) for i in items} <= contaminated(spark, docs, items)
