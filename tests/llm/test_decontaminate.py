@@ -85,3 +85,47 @@ def test_verbatim_items_of_few_words_in_long_documents(spark):
         w[at:at] = items[i].split()
         docs[i] = " ".join(w)
     assert {(i, i) for i in items} <= contaminated(spark, docs, items)
+
+
+def test_paraphrases_at_60_to_80_percent_cover_against_brute_force(spark):
+    rng = random.Random(13)
+    common, rare = ["w" + str(i) for i in range(40)], ["r" + str(i) for i in range(4000)]
+    say = lambda n: [rng.choice(common) if rng.random() < 0.4 else rng.choice(rare) for _ in range(n)]
+    items, docs, want = {}, {}, set()
+    for i in range(120):
+        n = rng.choice([14, 18, 30, 55])
+        body, last = say(n - 4), say(4)
+        items[i] = " ".join(body) + ". " + " ".join(last)
+        item = body + last
+        lost = int(n * rng.choice([0.2, 0.25, 0.3, 0.35, 0.4]))
+        if i % 2:  # any words
+            gone = set(rng.sample(range(n), lost))
+        else:  # rare ones first
+            gone = set(sorted(range(n), key=lambda k: (item[k][0] == "w", rng.random()))[:lost])
+        passage = [rng.choice(rare) if k in gone else x for k, x in enumerate(item)]
+        w = say(400)
+        at = rng.randrange(len(w))
+        docs[i] = " ".join(w[:at] + passage + w[at:])
+        if lcs(item, passage) >= dc.COVER * n and 2 * len(set(last) & set(passage)) >= len(set(last)):
+            want.add((i, i))
+    assert len(want) > 60 and want <= contaminated(spark, docs, items)
+
+
+def test_lookup_meets_every_region_that_holds_an_item():
+    rng = random.Random(14)
+    h = lambda n: np.array([1 + int(30 * rng.random() ** 2) for _ in range(n)], np.uint64) << np.uint64(50)
+    words = [h(rng.randrange(1, 30)) for _ in range(25)]
+    index = {"words": words, "answers": [w[:1] for w in words], **dc._rarest(words, {"count": np.bincount(dc._bucket(np.concatenate(words)), minlength=2**dc.WORD_BITS)})}
+    texts = [h(n) for n in (0, 1, 7, 60, 300, 0)]
+    first = np.cumsum([0, *map(len, texts)])
+    found = {}
+    dc._by_words(np.concatenate(texts), first, index, found)
+    want = {}
+    for t, text in enumerate(texts):
+        for i, w in enumerate(words):
+            step, length = max(1, len(w) // 2), 2 * len(w) + min(len(w), dc.WINDOW)
+            regions = [text[k : k + length] for k in range(0, len(text), step)]
+            best = max((lcs(w.tolist(), r.tolist()) for r in regions if w[0] in r), default=0)
+            if best >= dc.COVER * len(w):
+                want[(t, i)] = best
+    assert want and found == want
