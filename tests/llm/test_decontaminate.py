@@ -129,3 +129,16 @@ def test_lookup_meets_every_region_that_holds_an_item():
             if best >= dc.COVER * len(w):
                 want[(t, i)] = best
     assert want and found == want
+
+
+def test_items_of_common_words_and_items_repeated_by_a_third_of_short_rows(spark):
+    rng = random.Random(15)
+    common, rare = ["w" + str(i) for i in range(40)], ["r" + str(i) for i in range(4000)]
+    items = {0: " ".join(rng.choice(common) for _ in range(30)), 1: " ".join(rng.sample(rare, 16)), 2: " ".join(rng.choice(common) for _ in range(8))}
+    docs = {i: " ".join([*([items[1]] if i % 3 == 0 else []), *(rng.choice(rare) for _ in range(20))]) for i in range(300)}
+    for i in range(300, 340):
+        w = [rng.choice(common) if rng.random() < 0.8 else rng.choice(rare) for _ in range(60)]
+        docs[i] = " ".join(w[:30] + [items[i % 2 * 2]] + w[30:])
+    got = contaminated(spark, docs, items)
+    assert {(i, 1) for i in range(0, 300, 3)} <= got and {(i, i % 2 * 2) for i in range(300, 340)} <= got
+    assert not {i for i, k in got if k == 1 and i % 3}
