@@ -27,7 +27,8 @@ Defined cases: null, empty and wordless texts and items match nothing;
 items and documents shorter than a window are one window; repeated rows of a
 document or item give one pair; several regions give the best coverage;
 empty tables give no rows; other columns, whatever their names, are ignored
-by the search and kept by ``drop_contaminated``.
+by the search and kept by ``drop_contaminated``, which judges every row by its
+own text, with or without a doc_id.
 """
 
 from __future__ import annotations
@@ -315,17 +316,21 @@ def _by_latent(h: np.ndarray, first: np.ndarray, index: dict, model: dict, found
                 found[(t, i)] = max(found.get((t, i), 0), got)
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, lcs_words, coverage): documents that hold an item."""
-    spark = docs.sparkSession
+def _searches(docs: DataFrame, benchmark: DataFrame):
+    """(index, model) of each share of the benchmark, sent to the tasks one after the other."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
     size = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     shares = max(1, -(-size // ITEM_CHARS))
     model = fit_latent(docs)
-    out = None
     for s in range(shares):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(shares)) == s).collect()  # about ITEM_CHARS characters
-        sent = spark.sparkContext.broadcast((item_index(own, model), model))
+        yield docs.sparkSession.sparkContext.broadcast((item_index(own, model), model))
+
+
+def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, lcs_words, coverage): documents that hold an item."""
+    out = None
+    for sent in _searches(docs, benchmark):
 
         def run(batches, sent=sent):
             index, m = sent.value
@@ -345,10 +350,22 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; same columns.
-    Rows with a null doc_id stay."""
-    bad = contaminations(docs, benchmark).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "leftanti").select(*docs.columns)
+    """``docs`` without the rows that hold a benchmark item; same columns.
+    Every row is judged by its own text, whatever its doc_id."""
+    out = docs
+    for sent in _searches(docs, benchmark):
+
+        def run(batches, sent=sent):
+            index, m = sent.value
+            for whole in batches:
+                for b in slices(whole, "text"):
+                    h, first = PLAIN.tokens(*arrow_buffers(b.column("text")))
+                    clean = np.ones(b.num_rows, bool)
+                    clean[[t for t, _, _ in find_in_batch(h, first, index, m)]] = False
+                    yield b.filter(pa.array(clean))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out
 
 
 def op10_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

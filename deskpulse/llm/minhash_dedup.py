@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from deskpulse.llm.bloom import bloom_filter, in_bloom
 from deskpulse.llm.components import components
-from deskpulse.llm.io import cut
+from deskpulse.llm.io import cut, free_name
 from deskpulse.llm.textvec import arrow_buffers, mix, shingle_hashes, slices, word_hashes
 
 ROWS = 5  # minima per band
@@ -297,10 +297,16 @@ def _labelled(one: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest
-    doc_id. Rows with a null doc_id stay."""
-    gone = minhash_components(docs, k, percent).where("doc_id != component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "leftanti").select(*docs.columns)
+    """``docs`` with one row of each group: the one with the smallest doc_id,
+    null last. Every row is judged by its own text: rows without a doc_id take
+    part, repeated rows are a group, and texts that share a doc_id are told
+    apart. Texts without words stay."""
+    key = free_name(docs, "row_key")
+    rows = cut(docs.withColumn(key, F.monotonically_increasing_id()))  # kept, so that the numbers stay
+    comp = minhash_components(rows.select(F.col(key).alias("doc_id"), "text"), k, percent).select(F.col("doc_id").alias(key), "component_id")
+    ranked = rows.select(key, F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col(key).alias("key")).alias("rank"))
+    first = ranked.join(comp, key).groupBy("component_id").agg(F.min("rank").alias("rank")).select(F.col("rank.key").alias(key))
+    return rows.join(first, key, "leftsemi").select(*docs.columns)
 
 
 def op2_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

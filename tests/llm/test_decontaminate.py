@@ -142,3 +142,13 @@ def test_items_of_common_words_and_items_repeated_by_a_third_of_short_rows(spark
     got = contaminated(spark, docs, items)
     assert {(i, 1) for i in range(0, 300, 3)} <= got and {(i, i % 2 * 2) for i in range(300, 340)} <= got
     assert not {i for i, k in got if k == 1 and i % 3}
+
+
+def test_rows_are_dropped_by_their_own_text(spark):
+    rng = random.Random(16)
+    say = lambda n: " ".join("r" + str(rng.randrange(4000)) for _ in range(n))
+    item, clean = say(30), [say(60) for _ in range(4)]
+    rows = [(None, clean[0] + " " + item), (None, clean[1]), (5, clean[2]), (5, clean[3] + " " + item)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = dc.drop_contaminated(d, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {tuple(r) for r in kept} == {(None, clean[1]), (5, clean[2])}

@@ -66,3 +66,10 @@ def test_estimate_is_corrected_for_chance():
 
     n = 120
     assert abs(minhash_dedup._similar(np.array([n / 16]), n)[0]) < 1e-12 and minhash_dedup._similar(np.array([n]), n)[0] == 1
+
+
+def test_rows_without_or_with_a_shared_id_are_judged_by_their_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(None, a), (None, a + " more"), (7, b), (7, b), (7, c), (8, c), (9, a)]
+    kept = minhash_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert sorted(map(tuple, kept)) == [(7, b), (7, c), (9, a)]
