@@ -10,7 +10,7 @@ see, turns the score into a probability.
 Fitting uses a bounded sample of labelled rows: TRAIN_ROWS documents in the
 order of a hash, never any of the held-out ones (crc32 of the doc_id's text
 divisible by 5). Labels, language, source and id are not features. Learned
-words must occur with several distinct openings of toxic texts, so copies of
+words must occur in several toxic texts with distinct sets of words, so copies of
 one document do not make words toxic. Scoring runs over all documents.
 
 Defined cases: null and empty texts get the score of a text without words;
@@ -36,8 +36,8 @@ from deskpulse.llm.textvec import arrow_buffers, slices
 
 TRAIN_ROWS = 20_000  # labelled documents that the model is fitted on, at most
 LEARNED = 256  # learned words, at most
-OPENINGS = 8  # distinct openings of toxic texts a learned word needs
-LIFT = 6.0  # times as frequent among toxic openings
+OPENINGS = 8  # distinct toxic texts a learned word needs
+LIFT = 6.0  # times as frequent among toxic texts
 FOLDS = 5  # 0 is held out
 #: Seed lexicon: insults and hostile words in English, German, French and Spanish.
 INSULTS = (
@@ -111,7 +111,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) ->
 
 
 def _learn_words(train: DataFrame) -> np.ndarray:
-    """Hashes of words that mark toxic training texts, counted over distinct openings."""
+    """Hashes of words that mark toxic training texts, counted over texts with distinct sets of words."""
 
     def run(batches):
         for whole in batches:
@@ -121,8 +121,10 @@ def _learn_words(train: DataFrame) -> np.ndarray:
                 parts = []
                 for i in range(b.num_rows):
                     t = h[first[i] : first[i + 1]]
-                    u = np.unique(t).astype(np.int64)
-                    parts.append((u, np.full(len(u), t[:4].sum(dtype=np.uint64).astype(np.int64)), np.full(len(u), y[i], np.int32)))
+                    u = np.unique(t)
+                    own = u.sum(dtype=np.uint64).astype(np.int64)  # copies have the same set of words
+                    u = u.astype(np.int64)
+                    parts.append((u, np.full(len(u), own), np.full(len(u), y[i], np.int32)))
                 yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=["w", "o", "y"])
 
     pairs = train.mapInArrow(run, "w long, o long, y int").groupBy("w", "o").agg(F.max("y").alias("y"))

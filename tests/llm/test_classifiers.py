@@ -88,3 +88,9 @@ def test_tree_expression_equals_numpy(spark):
     df = spark.createDataFrame([tuple(map(float, r)) for r in x[:50]], "a double, b double, c double")
     got = [r[0] for r in df.select(m.column([F.col(c) for c in "abc"])).collect()]
     assert np.allclose(got, m.raw(x[:50]))
+
+
+def test_words_are_learned_over_whole_texts_not_openings(spark):
+    rows = [(i, f"one header of all texts n{i} " + ("vile" if i % 4 == 0 else "kind"), int(i % 4 == 0)) for i in range(80)]
+    learned = toxicity._learn_words(spark.createDataFrame(rows, "doc_id long, text string, y int"))
+    assert set(learned) == set(toxicity.PLAIN.of(["vile"]))
