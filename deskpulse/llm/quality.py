@@ -70,10 +70,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> dict:
                 x = features(*arrow_buffers(b.column("text")))
                 yield pa.record_batch([b.column("doc_id"), b.column("y"), *map(pa.array, x.T)], names=["doc_id", "y", *FEATURES])
 
-    rows = train.mapInArrow(run, "doc_id long, y int, " + ", ".join(f"{f} double" for f in FEATURES)).toPandas()  # TRAIN_ROWS x features
+    rows = train.mapInArrow(run, "doc_id long, y int, " + ", ".join(f"{f} double" for f in FEATURES))
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("y", *FEATURES)).alias("s")).select("doc_id", "s.*").toPandas()  # TRAIN_ROWS x features
     if rows.y.nunique() < 2:
         return {"trees": None}
-    rows = rows.sort_values("doc_id").drop_duplicates("doc_id")
+    rows = rows.sort_values("doc_id")
     x, y = rows[FEATURES].to_numpy(), rows.y.to_numpy(float)
     cal = np.array([zlib.crc32(b"cal%d" % i) % 4 == 0 for i in rows.doc_id])
     if len(set(y[cal])) < 2 or len(set(y[~cal])) < 2:

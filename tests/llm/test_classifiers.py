@@ -94,3 +94,12 @@ def test_words_are_learned_over_whole_texts_not_openings(spark):
     rows = [(i, f"one header of all texts n{i} " + ("vile" if i % 4 == 0 else "kind"), int(i % 4 == 0)) for i in range(80)]
     learned = toxicity._learn_words(spark.createDataFrame(rows, "doc_id long, text string, y int"))
     assert set(learned) == set(toxicity.PLAIN.of(["vile"]))
+
+
+def test_quality_collects_one_row_per_labelled_document(spark, monkeypatch):
+    docs = spark.createDataFrame([(i % 10 if i < 300 else 1, "some text of a document " * (i % 10 + 1)) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
+    sizes, whole = [], type(docs).toPandas
+    monkeypatch.setattr(type(docs), "toPandas", lambda df: sizes.append(len(out := whole(df))) or out)
+    quality.fit_quality(docs, labels)
+    assert sizes == [10]
