@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SMALL
+from inputs import SMALL
 from deskpulse.plans.oracle_fixtures import with_fixtures
 from deskpulse.sources.fixtures import fixture_tables
 from oracle_compare import compare, duck

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from inputs import SMALL
 from deskpulse.plans import csat
 from deskpulse.sources.fixtures import fixture_tables
 from deskpulse.sources.tables import SCHEMAS, TYPES, Tables, conform

@@ -7,7 +7,7 @@ from deskpulse.plans.oracle_sql import oracle_sql
 from deskpulse.plans.registry import QUERIES
 
 import __spark_entry__ as E
-from conftest import SMALL
+from inputs import SMALL
 from oracle_compare import compare, duck
 
 Q, O = QUERIES, oracle_sql()

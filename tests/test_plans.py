@@ -3,7 +3,7 @@
 import pytest
 
 from deskpulse.plans.registry import QUERIES
-from conftest import SMALL
+from inputs import SMALL
 
 Q = QUERIES
 UNCAPPED = ["attendance", "frt_chat_multi_grain", "frt_email_multi_grain", "frt_email_kpi", "frt_email_flex",

@@ -2,7 +2,7 @@
 
 from hypothesis import given, settings, strategies as st
 
-from conftest import SMALL
+from inputs import SMALL
 from deskpulse.plans import attendance, csat, frt, productivity, wait
 from deskpulse.plans.common import top_k
 from deskpulse.sources import load_tables
