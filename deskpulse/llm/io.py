@@ -21,12 +21,17 @@ def cut(df: DataFrame) -> DataFrame:
     scratch folder is made only where that setting is absent (tests), and
     only for a single-machine master. The copy survives lost executors.
     """
-    spark = df.sparkSession
+    scratch_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared checkpoint folder (see ``cut``), for tables that a job writes and reads again."""
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="deskpulse-"))
-    return df.checkpoint(eager=True)
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).rstrip("/")
 
 
 def free_name(df: DataFrame, stem: str) -> str:
