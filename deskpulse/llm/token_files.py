@@ -53,7 +53,7 @@ TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END = 1
 BLOCK = 2048  # ids of a block
 LANES = 3072  # blocks that a task codes side by side
-SLICE = 8 << 20  # bytes of text tokenized at a time (one text at least)
+SLICE = 4 << 20  # bytes of text tokenized at a time (one text at least)
 HEAD = struct.Struct("<4s7I")
 MAGIC = b"IDB1"
 NULL_ID = -(1 << 63)
@@ -251,15 +251,13 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     files = files.join(groups, "g").select("file", (F.col("group_start") + F.col("file_start")).alias("file_start"))
 
     parts = _pieces(blocks, False).withColumn("at", F.col("block").cast("long") * BLOCK + F.col("at"))
-    whole = parts.where("first and last").select("file", "doc_id", "at", F.col("n").cast("long").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
-    split = (
-        parts.where("not (first and last)")
-        .groupBy("file", "place", "doc_id")
+    docs = (
+        parts.groupBy("file", "place", "doc_id")
         .agg(F.min("at").alias("at"), F.sum("n").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("block", "n", "crc"))).alias("parts"))
         .drop("place")
         .mapInArrow(_joined, "file int, doc_id long, at long, n_tokens long, ids_crc32 long")
     )
-    docs = whole.unionByName(split).join(files, "file")
+    docs = docs.join(files, "file")
     return docs.select("doc_id", (F.col("file_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
