@@ -10,6 +10,7 @@ from deskpulse.llm.pii import op4_pii
 from deskpulse.llm.quality import op8_quality
 from deskpulse.llm.secrets import op6_secret_scan
 from deskpulse.llm.sentencepiece_scan import op5_sentencepiece
+from deskpulse.llm.spelling import op13_spelling_variants
 from deskpulse.llm.token_files import op11_token_files
 from deskpulse.llm.toxicity import op7_toxicity
 from deskpulse.llm.url_filter import op9_sql, op9_url_filter
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_token_files": op11_token_files,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
