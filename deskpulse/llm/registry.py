@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from deskpulse.llm.align import op12_token_alignment
 from deskpulse.llm.chat_format import OP3_SQL, op3_chat_format
 from deskpulse.llm.decontaminate import op10_benchmark_decontamination
 from deskpulse.llm.embed_dedup import op1_embedding_near_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_token_files": op11_token_files,
+    "op12_token_alignment": op12_token_alignment,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
