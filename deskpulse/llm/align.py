@@ -34,7 +34,6 @@ long texts are encoded whole and linked in several blocks.
 from __future__ import annotations
 
 import hashlib
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -51,10 +50,10 @@ from deskpulse.llm.tokenwords import Pieces, ragged_take, sums
 
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 4 << 20  # bytes of text aligned at a time (one text at least)
-BLOCK_LINKS = 1 << 21  # links of a block at most
+SLICE = 2 << 20  # bytes of text aligned at a time (one text at least)
+BLOCK_LINKS = 1 << 20  # links of a block at most
 SPACE = "▁"
-PLAIN = re.compile("\x20[!-~\u00C0-\u017F]+")
+PLAIN = "^ [!-~\u00C0-\u017F]+$"
 BLOCKS = (
     "doc_row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "block long, part int, pairs binary, times binary"
@@ -80,6 +79,7 @@ class ByteTokens:
         for t, i in vocab.items():
             self.bytes[i] = bytes(letter[c] for c in t) if all(c in letter for c in t) else t.encode()
         self.width = np.array([len(b) for b in self.bytes], np.int64)
+        self.spaced = np.array([b[:1] == b" " for b in self.bytes])
 
     def encode(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -93,6 +93,7 @@ class SentenceTokens:
         names = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
         self.bytes = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
         self.width = np.array([len(b) for b in self.bytes], np.int64)
+        self.spaced = np.array([b[:1] == b" " for b in self.bytes])
         self.by_word = all(SPACE not in p.lstrip(SPACE) for p in names)
 
     def encode(self, pieces: list[str]) -> list[list[int]]:
@@ -105,23 +106,20 @@ class Pair:
     def __init__(self, blob_a: bytes, blob_b: bytes):
         self.a, self.b = ByteTokens(blob_a), SentenceTokens(blob_b)
         self.b_size = len(self.b.bytes)
-        self.words = Pieces(self.both)
-        self.text_a = _spelled(len(self.a.bytes))
-        self.text_b = _spelled(self.b_size)
-
-    def both(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Per piece: number of A tokens, number of B tokens (-1, -1 if the bytes differ), A ids, B ids."""
-        flat, lengths = [], np.zeros(len(pieces), np.int64)
-        for i, (p, x, y) in enumerate(zip(pieces, side_by_side(self.a, pieces), side_by_side(self.b, pieces))):
-            raw = p.encode()
-            ok = b"".join([self.a.bytes[t] for t in x]) == raw and b"".join([self.b.bytes[t] for t in y]) == raw
-            row = [len(x), len(y), *x, *y] if ok else [-1, -1]
-            flat += row
-            lengths[i] = len(row)
-        return np.array(flat, np.int32), lengths
+        self.words = Pieces(self.both, 2)
+        text_a, text_b = _spelled(len(self.a.bytes)), _spelled(self.b_size)
+        wide = max(text_a[0].shape[1], text_b[0].shape[1])
+        self.digits = np.concatenate([np.pad(t, ((0, 0), (0, wide - t.shape[1]))) for t, _ in (text_a, text_b)])
+        self.digits_size = np.concatenate([text_a[1], text_b[1]])
+
+    def both(self, pieces: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Both tokenizers' (flat ids, number of ids); a piece whose bytes don't come back from both has none."""
+        sides = [side_by_side(t, pieces) for t in (self.a, self.b)]
+        ok = (sides[0][1] > 0) & (sides[1][1] > 0)
+        return [(flat[np.repeat(ok, n)], np.where(ok, n, 0)) for flat, n in sides]
 
     def texts(self, texts: pa.Array):
-        """(A ids, B ids, A counts, B counts) of texts; texts without tokens have counts 0."""
+        """(A ids, B ids, A count and B count of each word, first word of each text); words of texts without tokens have 0."""
         data, offsets = arrow_buffers(texts)
         starts, owner = word_starts(data, offsets, self.b.by_word)
         ends = np.append(starts[1:], len(data))
@@ -134,33 +132,44 @@ class Pair:
         body[at[lead]] = False
         padded[body] = data
         words = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(np.append(at, len(padded)).astype(np.int64)), pa.py_buffer(padded)])
-        coded = words.dictionary_encode()
-        which = self.words.numbers(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
-        first = self.words.starts[which]
-        na, nb = self.words.flat[first].astype(np.int64), self.words.flat[first + 1].astype(np.int64)
+        which = self.words.numbers(words)
+        a, b = self.words.sides
+        na, nb = a.lengths[which], b.lengths[which]
         bad = np.zeros(len(texts), bool)
-        bad[owner[na < 0]] = True
+        bad[owner[na == 0]] = True
         na, nb = np.where(bad[owner], 0, na), np.where(bad[owner], 0, nb)
-        a, b = ragged_take(self.words.flat, first + 2, na), ragged_take(self.words.flat, first + 2 + na, nb)
         per = np.searchsorted(owner, np.arange(len(texts) + 1))
-        return a.astype(np.int64), b.astype(np.int64), sums(na, per), sums(nb, per)
-
-
-def side_by_side(t, pieces: list[str]) -> list[list[int]]:
-    """Ids of each piece. Plain words (a space, then word characters) are encoded in rows of 500 and cut before
-    the tokens that begin with a space; other pieces one by one."""
-    out: list = [None] * len(pieces)
-    plain = [i for i, p in enumerate(pieces) if PLAIN.fullmatch(p)]
-    rows = [plain[i : i + 500] for i in range(0, len(plain), 500)]
-    for row, ids in zip(rows, t.encode(["".join([pieces[i] for i in row]) for row in rows])):
-        heads = [j for j, x in enumerate(ids) if t.bytes[x][:1] == b" "] + [len(ids)]
-        if len(heads) == len(row) + 1:
-            for i, s, e in zip(row, heads, heads[1:]):
-                out[i] = ids[s:e]
-    rest = [i for i, x in enumerate(out) if x is None]
-    for i, ids in zip(rest, t.encode([pieces[i] for i in rest])):
-        out[i] = ids
-    return out
+        ids = ragged_take(a.flat, a.starts[which], na).astype(np.int64), ragged_take(b.flat, b.starts[which], nb).astype(np.int64)
+        return *ids, na, nb, per
+
+
+def side_by_side(t, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(flat ids, number of ids) of each piece; a piece whose tokens don't give its bytes back has none. Plain words (a
+    space, then word characters) are encoded in rows of 500 and cut before the tokens that begin with a space."""
+    plain = pc.match_substring_regex(pieces, PLAIN).to_numpy(zero_copy_only=False)
+    words = pieces.to_pylist()
+    rows = np.array_split(np.flatnonzero(plain), range(500, int(plain.sum()), 500))
+    texts = ["".join([words[i] for i in row.tolist()]) for row in rows]
+    counts, parts, order, rest = np.zeros(len(words), np.int64), [], [], np.flatnonzero(~plain).tolist()
+    for row, text, ids in zip(rows, texts, t.encode(texts)):
+        flat = np.array(ids, np.int64)
+        heads = np.flatnonzero(t.spaced[flat]) if len(flat) else flat
+        if len(heads) == len(row) and b"".join([t.bytes[i] for i in ids]) == text.encode():
+            counts[row] = np.diff(np.append(heads, len(flat)))
+            parts.append(flat)
+            order.append(row)
+        else:
+            rest += row.tolist()
+    for i, ids in zip(rest, t.encode([words[i] for i in rest])):
+        if b"".join([t.bytes[k] for k in ids]) == words[i].encode():
+            counts[i] = len(ids)
+            parts.append(np.array(ids, np.int64))
+            order.append([i])
+    order = np.concatenate([np.asarray(o, np.int64) for o in order]) if order else np.zeros(0, np.int64)
+    starts = np.zeros(len(words), np.int64)
+    starts[order] = np.cumsum(counts[order]) - counts[order]
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return ragged_take(flat, starts, counts), counts
 
 
 @lru_cache(maxsize=1)
@@ -182,17 +191,17 @@ def word_starts(data: np.ndarray, offsets: np.ndarray, by_word: bool) -> tuple[n
         inner = np.flatnonzero((data[1:-1] == 0x20) & ends_word[:-2] & (ascii_ | latin)[2:]) + 1
         owner = np.searchsorted(offsets, inner, side="right") - 1
         inner = inner[(inner > offsets[owner]) & (inner + 1 < offsets[owner + 1])]
-        starts = np.union1d(begins, inner)
+        starts = np.sort(np.concatenate([begins, inner]))
     return starts, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
-    """Number of entries of ``long`` below each entry of ``short`` (both sorted, no repeats), by doubling leaps from
-    each entry's share of the way, up or down, and halving of the bracket."""
+def gallop(short: np.ndarray, long: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+    """Number of entries of ``long`` below each entry of ``short`` (both sorted, no repeats), by doubling leaps up or
+    down from ``start`` (else from each entry's share of the way), and halving of the bracket."""
     n, m = len(short), len(long)
     if not n or not m:
         return np.zeros(n, np.int64)
-    at = np.arange(n) * m // n
+    at = np.arange(n) * m // n if start is None else np.minimum(start, m - 1)
     up = long[at] < short
     lo, hi = np.where(up, at, -1), np.where(up, m, at)  # long[lo] < short <= long[hi]
     todo, leap = np.arange(n), 1
@@ -215,12 +224,13 @@ def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     return hi
 
 
-def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def align(ends_a: np.ndarray, ends_b: np.ndarray, starts: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Links and groups of two sorted lists of ends of the same bytes: (place in A, place in B) of every link, in order,
-    and the places in A and in B of the last token of every group."""
+    and the places in A and in B of the last token of every group. ``starts``: where the search for each end of A in B,
+    and of B in A, begins."""
     swap = len(ends_a) > len(ends_b)
     short, long = (ends_b, ends_a) if swap else (ends_a, ends_b)
-    rank = gallop(short, long)
+    rank = gallop(short, long, starts and starts[swap])
     common = np.flatnonzero(long[np.minimum(rank, len(long) - 1)] == short) if len(long) else np.zeros(0, np.int64)
     tied = np.zeros(len(short), np.int64)
     tied[common] = 1
@@ -249,16 +259,12 @@ def spelled_groups(p: Pair, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, la
     group_start = np.cumsum(na + nb) - (na + nb)
     is_b = np.zeros(total, bool)
     is_b[ragged_take(np.arange(total), group_start + na, nb)] = True
-    size = np.empty(total, np.int64)
-    size[~is_b], size[is_b] = p.text_a[1][a], p.text_b[1][b]
+    which = np.empty(total, np.int64)
+    which[~is_b], which[is_b] = a, b + len(p.a.bytes)
+    size = p.digits_size[which]
     end = np.cumsum(size)
-    out = np.empty(int(end[-1]) if total else 0, np.uint8)
     at = end - size
-    for digits, ids, where in ((p.text_a[0], a, at[~is_b]), (p.text_b[0], b, at[is_b])):
-        n = (p.text_a if digits is p.text_a[0] else p.text_b)[1][ids]
-        for j in range(digits.shape[1]):
-            on = np.flatnonzero(n > j)
-            out[where[on] + j] = digits[ids[on], j]
+    out = p.digits[which][np.arange(p.digits.shape[1]) < size[:, None]]
     out[end - 1] = ord(",")
     out[end[group_start + na - 1] - 1] = ord("|")
     out[end[group_start + na + nb - 1] - 1] = ord(";")
@@ -269,9 +275,12 @@ class Aligned:
     """A batch of texts, aligned. Links of all texts lie one after the other, ``links`` of each text."""
 
     def __init__(self, p: Pair, texts: pa.Array):
-        self.a, self.b, self.n_a, self.n_b = p.texts(texts)
+        self.a, self.b, na, nb, per = p.texts(texts)
+        self.n_a, self.n_b = sums(na, per), sums(nb, per)
         ends_a, ends_b = np.cumsum(p.a.width[self.a]), np.cumsum(p.b.width[self.b])
-        self.at_a, self.at_b, self.last_a, self.last_b = align(ends_a, ends_b)
+        # the search for an end begins at the other tokenizer's first token of the same word
+        starts = np.repeat(np.cumsum(nb) - nb, na), np.repeat(np.cumsum(na) - na, nb)
+        self.at_a, self.at_b, self.last_a, self.last_b = align(ends_a, ends_b, starts)
         self.off_a, self.off_b = (np.concatenate([[0], np.cumsum(n)]) for n in (self.n_a, self.n_b))
         self.off_groups = np.searchsorted(self.last_a, self.off_a)
         self.off_links = np.searchsorted(self.at_a, self.off_a)
@@ -353,32 +362,26 @@ def _added(block: list, held: list) -> pa.RecordBatch:
 
 
 def link_counts(blocks: DataFrame, b_size: int) -> DataFrame:
-    """(block, part, known, counts, best): each block's distinct pairs, sorted, with their corpus-wide counts of links and
-    whether that is the highest of the pair's B id."""
+    """(block, part, pair, count, best): each block's distinct pairs with their corpus-wide counts of links and whether
+    that is the highest of the pair's B id."""
     wanted = blocks.select("block", "part", "pairs", "times").mapInArrow(_block_pairs, "block long, part int, pair long, n long")
     counts = cut(wanted.groupBy("pair").agg(F.sum("n").alias("count")))
     best = counts.groupBy((F.col("pair") % b_size).alias("b")).agg(F.max("count").alias("highest"))
     counts = counts.join(best, F.col("pair") % b_size == F.col("b")).select("pair", "count", (F.col("count") == F.col("highest")).alias("best"))
-    rows = wanted.select("block", "part", "pair").join(counts, "pair")
-    rows = rows.groupBy("block", "part").agg(F.sort_array(F.collect_list(F.struct("pair", "count", "best"))).alias("of"))
-    return rows.select("block", "part", F.col("of.pair").alias("known"), F.col("of.count").alias("counts"), F.col("of.best").alias("best"))
+    return wanted.select("block", "part", "pair").join(counts, "pair")
 
 
-def _scored(batches):
-    """Sums of each row's links over the counts of its block."""
-    for batch in batches:
-        known = batch.column("known")
-        values = lambda c, t: batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(t)
-        offsets = known.offsets.to_numpy() - known.offsets[0].as_py()
-        pair_, count, best = values("known", np.int64), values("counts", np.int64), values("best", bool)
-        n_best, total = [], []
-        for i, (pairs, times) in enumerate(zip(batch.column("pairs").to_pylist(), batch.column("times").to_pylist())):
-            s, e = offsets[i], offsets[i + 1]
-            at = s + np.searchsorted(pair_[s:e], np.frombuffer(pairs, "<i8"))
-            t = np.frombuffer(times, "<u4").astype(np.int64)
-            n_best.append(int(t[best[at]].sum()))
-            total.append(int((t * count[at]).sum()))
-        yield pa.record_batch([batch.column("doc_row"), pa.array(n_best, pa.int64()), pa.array(total, pa.int64())], names=["doc_row", "n_best", "count_sum"])
+def _scored(rows: pa.Table, counts: pa.Table) -> pa.Table:
+    """Sums of each row's links over the counts of its block (all rows of one block, and its pairs' counts)."""
+    order = pc.sort_indices(counts["pair"])
+    known, count, best = (counts[c].take(order).to_numpy() for c in ("pair", "count", "best"))
+    n_best, total = [], []
+    for pairs, times in zip(rows["pairs"].to_pylist(), rows["times"].to_pylist()):
+        at = np.searchsorted(known, np.frombuffer(pairs, "<i8"))
+        t = np.frombuffer(times, "<u4").astype(np.int64)
+        n_best.append(int(t[best[at]].sum()))
+        total.append(int((t * count[at]).sum()))
+    return pa.table({"doc_row": rows["doc_row"], "n_best": pa.array(n_best, pa.int64()), "count_sum": pa.array(total, pa.int64())})
 
 
 def alignment(docs: DataFrame, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> DataFrame:
@@ -387,8 +390,9 @@ def alignment(docs: DataFrame, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> Da
         b_size = sentencepiece.SentencePieceProcessor(model_proto=f.read()).get_piece_size()
     blocks = cut(aligned_blocks(docs, a, b))
     linked = blocks.where("length(pairs) > 0")
-    scored = linked.select("doc_row", "block", "part", "pairs", "times").join(link_counts(linked, b_size), ["block", "part"])
-    scored = scored.mapInArrow(_scored, "doc_row long, n_best long, count_sum long")
+    by = ["block", "part"]
+    scored = linked.select("doc_row", *by, "pairs", "times").groupBy(*by).cogroup(link_counts(linked, b_size).groupBy(*by))
+    scored = scored.applyInArrow(_scored, "doc_row long, n_best long, count_sum long")
     own = ["n_a", "n_b", "n_groups", "n_links"]
     zero = F.lit(0).cast("long")
     both = blocks.select("doc_row", "doc_id", *own, zero.alias("n_best"), zero.alias("count_sum"), "groups_sha256").unionByName(
