@@ -52,7 +52,7 @@ from deskpulse.llm.tokenwords import Pieces, ragged_take, sums
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END = 1
 BLOCK = 2048  # ids of a block
-LANES = 3072  # blocks that a task codes side by side
+LANES = 2048  # blocks that a task codes side by side
 SLICE = 4 << 20  # bytes of text tokenized at a time (one text at least)
 HEAD = struct.Struct("<4s7I")
 MAGIC = b"IDB1"
@@ -75,7 +75,7 @@ class WordCoder:
         self.size = max(vocab.values()) + 1
         self.closes = np.zeros(self.size, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.atoms, self.odd = Pieces(self.words), Pieces(self.whole)
+        self.atoms, self.odd = Pieces(lambda p: [self.words(p.to_pylist())]), Pieces(lambda p: [self.whole(p.to_pylist())])
 
     def whole(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]

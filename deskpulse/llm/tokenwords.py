@@ -12,7 +12,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-MOST_CACHED = 1_000_000  # pieces that a task keeps; past that it starts anew
+MOST_CACHED = 200_000  # pieces that a task keeps; past that it starts anew
 
 
 def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -30,41 +30,55 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+class Growing:
+    """A flat array of ids that grows, cut into pieces."""
+
+    def __init__(self):
+        self.flat, self.used = np.zeros(1 << 12, np.int32), 0
+        self.starts = self.lengths = np.zeros(0, np.int64)
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        if self.used + len(flat) > len(self.flat):
+            grown = np.zeros(2 * (self.used + len(flat)), np.int32)
+            grown[: self.used] = self.flat[: self.used]
+            self.flat = grown
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.used += len(flat)
+
+
 class Pieces:
-    """Ids of the distinct pieces a task has met. ``encode`` gives (flat ids, number of ids) of a list of pieces."""
+    """Ids of the distinct pieces a task has met, for one or several tokenizers. ``encode`` gives, for each tokenizer,
+    (flat ids, number of ids) of an array of pieces."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[pa.Array], list[tuple[np.ndarray, np.ndarray]]], sides: int = 1):
+        self.encode, self.n = encode, sides
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 12, np.int32), 0
-        self.starts = self.lengths = np.zeros(0, np.int64)
+        self.sides = [Growing() for _ in range(self.n)]
 
     def numbers(self, pieces: pa.Array) -> np.ndarray:
-        """Number of each of the distinct ``pieces``; unknown ones are encoded first."""
+        """Number of each of ``pieces``, which may repeat; unknown ones are encoded first."""
         if len(self.number) > MOST_CACHED:
             self.clear()
-        words = pieces.to_pylist()
-        fresh = [w for w in words if w not in self.number]
-        if fresh:
-            flat, lengths = self.encode(fresh)
-            at = len(self.number)
-            self.number.update((w, at + i) for i, w in enumerate(fresh))
-            if self.used + len(flat) > len(self.flat):
-                grown = np.zeros(2 * (self.used + len(flat)), np.int32)
-                grown[: self.used] = self.flat[: self.used]
-                self.flat = grown
-            self.flat[self.used : self.used + len(flat)] = flat
-            self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.used += len(flat)
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        if not len(pieces):
+            return np.zeros(0, np.int64)
+        coded = pieces.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        which = np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
+        fresh = np.flatnonzero(which < 0)
+        if len(fresh):
+            for side, (flat, lengths) in zip(self.sides, self.encode(coded.dictionary.take(pa.array(fresh)))):
+                side.add(flat, lengths)
+            which[fresh] = len(self.number) + np.arange(len(fresh))
+            self.number.update(zip([words[i] for i in fresh.tolist()], which[fresh].tolist()))
+        return which[coded.indices.to_numpy(zero_copy_only=False)]
 
     def ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(flat ids, number of ids) of each of ``pieces``, which may repeat."""
-        coded = pieces.dictionary_encode()
-        which = self.numbers(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)] if len(pieces) else np.zeros(0, np.int64)
-        lengths = self.lengths[which]
-        return ragged_take(self.flat, self.starts[which], lengths), lengths
+        """(flat ids, number of ids) of each of ``pieces`` by the first tokenizer."""
+        which, side = self.numbers(pieces), self.sides[0]
+        lengths = side.lengths[which]
+        return ragged_take(side.flat, side.starts[which], lengths), lengths
