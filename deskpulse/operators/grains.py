@@ -3,18 +3,29 @@
 
 ``AVG(x) OVER (PARTITION BY k)`` on the facts would sort the whole input once
 per key set and put every row of a large partition (one busy day, one team)
-into a single task.  Here nothing is a window: the measure is summed once at
-the finest grain, each coarser grain is a grouped aggregate of that table
-(partial aggregation before every shuffle, so a hot period is one row per
-task), and the grains are joined back on their keys.  The tables that are
-joined have one row per distinct finest key, not per fact.
+into a single task; one aggregate and one join per grain would read and
+shuffle the facts once per grain.  Here all grains are computed together:
+
+1. one aggregation reduces the measure to mergeable partials (sum, count, NaN
+   count) per finest key;
+2. one aggregation of those by grouping sets (Spark's ``Expand``) gives the totals
+   of every group of every grain in one exchange; each task combines its rows
+   first, so a hot period is one row per task and grain;
+3. each finest key looks its groups' totals up in one equi-join on (grain,
+   masked keys), and one aggregation puts a key's grains side by side;
+4. that table is joined with the rows once.
+
+The number of exchanges does not depend on the number of grains.  The tables of
+steps 2 and 3 have one row per group, or per finest key and grain, not per fact.
+Steps 2 and 3 read the same exchange of step 1 (``ReusedExchange``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -25,6 +36,11 @@ def _unique(seq):
     return list(dict.fromkeys(seq))
 
 
+def _grouping_number(keys: Sequence[str], grain: frozenset) -> int:
+    """What ``grouping_id()`` is for the set: one bit per key, set where the key is left out, the last key lowest."""
+    return sum(1 << i for i, k in enumerate(reversed(keys)) if k not in grain)
+
+
 def grain_table(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg",
                 extra_keys: Sequence[str] = (), nan_as_null: bool = False) -> DataFrame:
     """One row per finest key (``extra_keys`` + all grain keys) with one
@@ -36,31 +52,69 @@ def grain_table(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]],
     depend on the order of summation; a group that holds a NaN gives NaN (H11)
     unless ``nan_as_null``.
     """
-    keys = _unique(list(extra_keys) + [k for ks in grains.values() for k in ks])
+    return grain_tables(df, {value: (grains, fn)}, extra_keys, nan_as_null)
+
+
+def grain_tables(df: DataFrame, measures: Mapping[str, tuple[Mapping[str, Sequence[str]], str]],
+                 extra_keys: Sequence[str] = (), nan_as_null: bool = False) -> DataFrame:
+    """``grain_table`` for several measures at once: value column -> (grains, fn).  All measures and grains
+    share the steps above; a key set that several grains use is aggregated once."""
+    columns = [(name, value, frozenset(ks), fn) for value, (grains, fn) in measures.items() for name, ks in grains.items()]
+    keys = _unique([*extra_keys, *[k for grains, _ in measures.values() for ks in grains.values() for k in ks]])
+    sets = _unique(ks for _, _, ks, _ in columns)
+    of = {v: i for i, v in enumerate(measures)}
+    finish = lambda value, fn: _finish(df, value, of[value], fn, nan_as_null)
+    partials = [p for i, value in enumerate(measures) for p in _partials(df, value, i, nan_as_null)]
+    if sets == [frozenset(keys)]:
+        return df.groupBy(*keys).agg(*partials).select(*keys, *[finish(value, fn).alias(name) for name, value, _, fn in columns])
+
+    number = {ks: _grouping_number(keys, ks) for ks in sets}
+    fine = df.groupBy(*keys).agg(*partials)
+    sums = [c for c in fine.columns if c not in keys]
+    totals = fine.groupingSets([[F.col(k) for k in keys if k in ks] for ks in sets], *keys).agg(
+        F.grouping_id().cast("bigint").alias("_grain"), *[F.sum(c).alias(c) for c in sums])
+    totals = totals.select("_grain", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *sums)
+    # The keys keep their own partials in use, so that this side needs the same columns of step 1 as the totals and
+    # Spark fills that exchange once.
+    asked = fine.select(*keys, *[F.col(c).alias(f"_own{c}") for c in sums],
+                        F.explode(F.array(*[F.lit(n).cast("bigint") for n in number.values()])).alias("_g"))
+    masked = [F.when(F.col("_g").isin(*[number[ks] for ks in sets if k in ks]), F.col(k)) for k in keys if any(k in ks for ks in sets)]
+    places = [i for i, k in enumerate(keys) if any(k in ks for ks in sets)]
+    same = [m.eqNullSafe(F.col(f"_k{i}")) for i, m in zip(places, masked)]
+    found = asked.join(totals, reduce(lambda a, b: a & b, same, F.col("_grain") == F.col("_g")))
+
+    impossible = reduce(lambda a, b: a & b, [F.col(f"_own{c}") == F.lit(-1) for c in sums], F.col("_own_n0") < 0)
+    out = [F.max(F.when((F.col("_g") == number[ks]) & ~F.coalesce(impossible, F.lit(False)), finish(value, fn))).alias(name)
+           for name, value, ks, fn in columns]
+    return found.groupBy(*keys).agg(*out)
+
+
+def _fractional(df: DataFrame, value: str) -> bool:
+    return isinstance(df.schema[value].dataType, (DoubleType, FloatType))
+
+
+def _partials(df: DataFrame, value: str, i: int, nan_as_null: bool) -> list[Column]:
+    """Mergeable parts of one measure: sum and count, and for fractional values the number of NaN."""
     v = F.col(value)
-    fractional = isinstance(df.schema[value].dataType, (DoubleType, FloatType))
-    nan = F.isnan(v) if fractional else F.lit(False)
-    number = F.when(~nan, v.cast("decimal(24,6)")) if fractional else v
-    fine = df.groupBy(*keys).agg(
-        F.sum(number).alias("_s"),
-        F.count(F.when(~nan, v) if nan_as_null else v).alias("_n"),
-        F.count(F.when(nan, 1)).alias("_nan"))
-
-    def finish(s, n, bad):
-        if fn == "count":
-            return n
-        poisoned = (bad > 0) if fractional and not nan_as_null else F.lit(False)
-        if fn == "avg":
-            return F.when(poisoned, F.lit(float("nan"))).when(n > 0, s.cast("double") / n)
-        if fn == "sum":
-            return F.when(poisoned, F.lit(float("nan"))).otherwise(s.cast("double")) if fractional else s
-        raise ValueError(fn)
-
-    out = fine
-    for name, gk in grains.items():
-        g = fine.groupBy(*gk).agg(finish(F.sum("_s"), F.sum("_n"), F.sum("_nan")).alias(name))
-        out = null_safe_join(out, g, list(gk))
-    return out.select(*keys, *grains)
+    if not _fractional(df, value):
+        return [F.sum(v).alias(f"_s{i}"), F.count(v).alias(f"_n{i}")]
+    nan = F.isnan(v)
+    return [F.sum(F.when(~nan, v.cast("decimal(24,6)"))).alias(f"_s{i}"),
+            F.count(F.when(~nan, v) if nan_as_null else v).alias(f"_n{i}"),
+            F.count(F.when(nan, 1)).alias(f"_nan{i}")]
+
+
+def _finish(df: DataFrame, value: str, i: int, fn: str, nan_as_null: bool) -> Column:
+    s, n = F.col(f"_s{i}"), F.col(f"_n{i}")
+    if fn == "count":
+        return n
+    fractional = _fractional(df, value)
+    poisoned = F.col(f"_nan{i}") > 0 if fractional and not nan_as_null else F.lit(False)
+    if fn == "avg":
+        return F.when(poisoned, F.lit(float("nan"))).when(n > 0, s.cast("double") / n)
+    if fn == "sum":
+        return F.when(poisoned, F.lit(float("nan"))).otherwise(s.cast("double")) if fractional else s
+    raise ValueError(fn)
 
 
 def attach_grains(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg",
