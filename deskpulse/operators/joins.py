@@ -30,22 +30,43 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*rn.values())
 
 
+#: Keys that the facts of one id are dealt over in a validity join.
+VALIDITY_BINS = 16
+
+
+def _month_number(c) -> Column:
+    return F.year(c) * 12 + F.month(c)
+
+
 def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_date: str,
                   start: str = "start_date", end: str = "end_date", how: str = "left",
-                  open_end: bool = False) -> DataFrame:
+                  open_end: bool = False, bins: int = VALIDITY_BINS) -> DataFrame:
     """Match a dimension row valid on the fact's date:
     ``fact_key = dim_key AND fact_date BETWEEN start AND end``.
 
-    The equality part makes it a hash join with a residual range check; the
-    dimension is broadcast after a size check.  A NULL ``end`` never
-    matches (BETWEEN with NULL is not true, H10) unless ``open_end``.  Column names of the two sides
-    must not clash.
+    The join key is (id, month of the date modulo ``bins``); the range check
+    is a residual of the hash join.  An interval is entered under every bin
+    that one of its months has, at most ``bins`` of them however long it is,
+    so a fact meets each of its intervals once, and an id that holds a large
+    share of the facts is ``bins`` keys instead of one.  ``bins=1`` joins by id.
+
+    A NULL ``end`` never matches (BETWEEN with NULL is not true, H10) unless
+    ``open_end``; facts without a date match nothing.  Column names of the
+    two sides must not clash.
     """
     until = F.col(fact_date) <= F.col(end)
+    valid = F.col(start) <= F.col(end)
     if open_end:
-        until = until | F.col(end).isNull()
+        until, valid = until | F.col(end).isNull(), valid | F.col(end).isNull()
     cond = (F.col(fact_key) == F.col(dim_key)) & (F.col(fact_date) >= F.col(start)) & until
-    return facts.join(dim, cond, how)
+    if bins == 1:
+        return facts.join(dim, cond, how)
+    first, last = _month_number(start), _month_number(end)
+    months = F.when(last - first < bins - 1, F.transform(F.sequence(first, last), lambda m: F.pmod(m, F.lit(bins))))
+    dealt = (dim.where(valid & F.col(start).isNotNull())
+                .withColumn("_dim_bin", F.explode(F.coalesce(months, F.sequence(F.lit(0), F.lit(bins - 1))))))
+    binned = facts.withColumn("_fact_bin", F.pmod(_month_number(fact_date), F.lit(bins)))
+    return binned.join(dealt, cond & (F.col("_fact_bin") == F.col("_dim_bin")), how).drop("_fact_bin", "_dim_bin")
 
 
 def asof_nearest(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: str,
@@ -57,24 +78,38 @@ def asof_nearest(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: str
 
     The answer depends only on (key, fact date), so it is found once per
     distinct pair, without pairing every fact date with every earlier
-    record: the distinct pairs and the distinct (key, effective date)
-    records are unioned, and a running ``max`` per key ordered by date
-    (records before facts on equal dates) carries the latest effective date
-    forward.  Rows per key are bounded by distinct dates plus the key's
-    history, not by the number of facts.  Two equi-joins attach the
-    dimension rows and return to the facts.
+    record, by a scan in two levels.  The distinct pairs and the distinct
+    (key, effective date) records are unioned.  Within each (key, month) a
+    running ``max`` ordered by date (records before facts on equal dates)
+    carries the latest effective date forward; the months' own maxima,
+    scanned per key, give the date carried into each month, which is added
+    back where a month has no earlier record of its own.  So a window
+    partition holds one key's dates of one month, or one row per month of a
+    key, whatever the share of the facts or the length of the history of a
+    key.  Two equi-joins attach the dimension rows and return to the facts.
     """
     k, t = F.col("_asof_k"), F.col("_asof_t")
     pairs = (facts.select(F.col(fact_key).alias("_asof_k"), F.col(fact_date).alias("_asof_t"))
                   .where(k.isNotNull() & t.isNotNull()).distinct().withColumn("_asof_fact", F.lit(1)))
     eff = (dim.select(F.col(dim_key).alias("_asof_k"), F.col(dim_date).alias("_asof_t"))
               .where(k.isNotNull() & t.isNotNull()).distinct().withColumn("_asof_fact", F.lit(0)))
-    w = (Window.partitionBy("_asof_k").orderBy("_asof_t", "_asof_fact")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cur = (pairs.unionByName(eff)
-                .withColumn("_asof_eff", F.max(F.when(F.col("_asof_fact") == 0, t)).over(w))
-                .where((F.col("_asof_fact") == 1) & F.col("_asof_eff").isNotNull())
-                .drop("_asof_fact"))
+    binned = lambda df: df.withColumn("_asof_bin", F.trunc("_asof_t", "month"))
+    inside = (Window.partitionBy("_asof_k", "_asof_bin").orderBy("_asof_t", "_asof_fact")
+                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = Window.partitionBy("_asof_k").orderBy("_asof_bin").rowsBetween(Window.unboundedPreceding, -1)
+    cur = (binned(pairs.unionByName(eff))
+           .withColumn("_asof_own", F.max(F.when(F.col("_asof_fact") == 0, t)).over(inside))
+           .where(F.col("_asof_fact") == 1).drop("_asof_fact"))
+    # months of a key: with records (their maximum), and with pairs only (which take what is carried in)
+    months = (binned(eff).groupBy("_asof_k", "_asof_bin").agg(F.max("_asof_t").alias("_asof_last"))
+              .unionByName(binned(pairs).select("_asof_k", "_asof_bin", F.lit(None).cast(eff.schema["_asof_t"].dataType)
+                                                .alias("_asof_last")).distinct())
+              .groupBy("_asof_k", "_asof_bin").agg(F.max("_asof_last").alias("_asof_last")))
+    carried = (months.withColumn("_asof_in", F.max("_asof_last").over(before))
+                     .select(k.alias("_asof_ck"), F.col("_asof_bin").alias("_asof_cb"), "_asof_in"))
+    cur = (cur.join(carried, (k == F.col("_asof_ck")) & (F.col("_asof_bin") == F.col("_asof_cb")))
+              .withColumn("_asof_eff", F.coalesce("_asof_own", "_asof_in"))
+              .where(F.col("_asof_eff").isNotNull()).select("_asof_k", "_asof_t", "_asof_eff"))
     best = cur.join(dim,
                     (k == F.col(dim_key)) & (F.col("_asof_eff") == F.col(dim_date)))
     best = (best.drop(dim_key, "_asof_eff")

@@ -23,7 +23,7 @@ from deskpulse.functions import (
     round_avg_text, us_date, week_start,
 )
 from deskpulse.operators import (
-    asof_nearest, attach_grains, first_per_key, latest_per_key, validity_join,
+    asof_nearest, attach_grains, first_per_key, grain_table, latest_per_key, null_safe_join, validity_join,
 )
 from deskpulse.plans.common import lit_like, roster, top_k
 from deskpulse.plans.shared import shared
@@ -211,16 +211,18 @@ def frt_chat_asof(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordere
     rows = x.select("ticket_id", "assignee_id", "agent_name", F.col("agent_email").alias("email_address"),
                     F.col("type").alias("channel"), F.col("local_date").alias("local_date_created"),
                     "response_time_first").distinct()
-    rows = attach_grains(rows, "response_time_first", {"daily": ["local_date_created", "agent_name"]})
+    # the daily mean is over the rows before the as-of join; its keys pass the join, so it is attached after it
+    daily = grain_table(rows, "response_time_first", {"daily": ["local_date_created", "agent_name"]})
     hr = (t.hr_roster.where(F.col("job_division") == cfg.hr_division)
            .select(full_name("first_name", "last_name").alias("full_name"),
                    F.col("job_supervisor").alias("supervisor"), "job_effectivity_date").distinct())
     x = asof_nearest(rows, hr, fact_key="agent_name", fact_date="local_date_created",
                      dim_key="full_name", dim_date="job_effectivity_date")
     x = x.select("ticket_id", "local_date_created", "channel", "assignee_id", "email_address",
-                 "agent_name", "supervisor", "daily", "response_time_first").distinct()
+                 "agent_name", "supervisor", "response_time_first").distinct()
     g = attach_grains(_with_periods(x), "response_time_first",
                       {"weekly": ["_week", "agent_name"], "monthly": ["_month", "agent_name"]})
+    g = null_safe_join(g, daily, ["local_date_created", "agent_name"])
     out = g.select(
         "ticket_id", us_date("local_date_created").alias("local_date_created"), "channel",
         "response_time_first", F.lower("email_address").alias("email_address"), "agent_name",
