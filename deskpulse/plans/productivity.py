@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskpulse.config import DEFAULT, ReportConfig
@@ -97,8 +97,8 @@ def hourly_counts(rows: DataFrame) -> DataFrame:
     r = rows.withColumn("hour_", hour_of_time_text("local_time_created"))
     keys = ["channel", "local_date_created", "hour_", "agent_name"]
     n = r.groupBy(*keys, "assignee_id").agg(F.count("ticket_id").alias("_n"))
-    h = n.groupBy(*keys).agg(F.sum("_n").alias("h_tickets"))
-    return (null_safe_join(n.select(*keys, "assignee_id"), h, keys)
+    # a window partition holds the ids of one agent in one hour and channel, already counted
+    return (n.withColumn("h_tickets", F.sum("_n").over(Window.partitionBy(*keys)))
             .select("local_date_created", "hour_", "assignee_id", "agent_name", "channel", "h_tickets"))
 
 
@@ -129,18 +129,32 @@ def tracked_hours(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     return shared(t, "tracked_hours", cfg, lambda: _tracked_hours(t, cfg))
 
 
-def _tracked_hours(t, cfg: ReportConfig) -> DataFrame:
+def _tracked_rows(t, cfg: ReportConfig) -> DataFrame:
     u = t.tracked_time.where((F.col("division_account") == cfg.tracked_division) & F.col("is_billable")
                              & like_any("activity", cfg.activity_patterns))
-    u = u.select(F.col("start_date").alias("start_date_"), hour_of_time_text("start_time").alias("hour_au"),
-                 F.col("agent_name").alias("agent_au"), "supervisor", "duration_seconds")
-    u = u.withColumn("_week", week_start("start_date_")).withColumn("_month", month_start("start_date_"))
-    g = grain_table(u, "duration_seconds", {
-        "h_dur": ["start_date_", "hour_au", "agent_au"],
-        "d_dur": ["start_date_", "agent_au"],
-        "w_dur": ["_week", "agent_au"],
-        "m_dur": ["_month", "agent_au"]}, fn="sum", extra_keys=["supervisor"])
-    return g.select("start_date_", "hour_au", "agent_au", "supervisor", "h_dur", "d_dur", "w_dur", "m_dur")
+    return u.select(F.lit("tracked").alias("_tag"), F.col("agent_name").alias("_who"), F.col("start_date").alias("_day"),
+                    hour_of_time_text("start_time").alias("_hour"), F.col("supervisor").alias("_with"), "duration_seconds")
+
+
+def _manual_rows(t) -> DataFrame:
+    """Manual seconds belong to the alias; the name only labels the result."""
+    return t.manual_time.select(F.lit("manual").alias("_tag"), F.col("agent_alias").alias("_who"), F.col("date").alias("_day"),
+                                F.lit(None).cast("bigint").alias("_hour"), F.col("agent_name").alias("_with"), "duration_seconds")
+
+
+def hours_cube(rows: DataFrame) -> DataFrame:
+    """Seconds per hour, day, week and month of tagged rows (C8 tracked, C9 manual), by one set of grouping sets:
+    one row per (tag, who, day, hour, with) and the four totals of (tag, who)."""
+    rows = rows.withColumn("_week", week_start("_day")).withColumn("_month", month_start("_day"))
+    return grain_table(rows, "duration_seconds", {
+        "h_dur": ["_tag", "_who", "_day", "_hour"], "d_dur": ["_tag", "_who", "_day"],
+        "w_dur": ["_tag", "_who", "_week"], "m_dur": ["_tag", "_who", "_month"]}, fn="sum", extra_keys=["_with"])
+
+
+def _tracked_hours(t, cfg: ReportConfig) -> DataFrame:
+    return hours_cube(_tracked_rows(t, cfg)).select(
+        F.col("_day").alias("start_date_"), F.col("_hour").alias("hour_au"), F.col("_who").alias("agent_au"),
+        F.col("_with").alias("supervisor"), "h_dur", "d_dur", "w_dur", "m_dur")
 
 
 def manual_hours(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
@@ -150,14 +164,30 @@ def manual_hours(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
 
 
 def _manual_hours(t, cfg: ReportConfig) -> DataFrame:
-    m = t.manual_time.select("date", "agent_alias", "agent_name", "duration_seconds")
-    m = m.withColumn("_week", week_start("date")).withColumn("_month", month_start("date"))
-    g = grain_table(m, "duration_seconds", {
-        "d_dur_manual": ["date", "agent_alias"],
-        "w_dur_manual": ["_week", "agent_alias"],
-        "m_dur_manual": ["_month", "agent_alias"]}, fn="sum", extra_keys=["agent_name"])
-    return g.select("date", F.coalesce("agent_name", "agent_alias").alias("agent_manual"),
-                    "d_dur_manual", "w_dur_manual", "m_dur_manual").distinct()
+    return hours_cube(_manual_rows(t)).select(
+        F.col("_day").alias("date"), F.coalesce("_with", "_who").alias("agent_manual"),
+        F.col("d_dur").alias("d_dur_manual"), F.col("w_dur").alias("w_dur_manual"), F.col("m_dur").alias("m_dur_manual")).distinct()
+
+
+def agent_days(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """Tracked and manual hours side by side (drill-across): one row per (day, agent) with the lists ``tracked``
+    (hour, supervisor and the four totals) and ``manual`` (three totals, distinct).
+
+    Both come out of one cube over the union of their rows; a list holds what one agent has on one day."""
+    return shared(t, "agent_days", cfg, lambda: _agent_days(t, cfg))
+
+
+def _agent_days(t, cfg: ReportConfig) -> DataFrame:
+    cube = hours_cube(_tracked_rows(t, cfg).unionByName(_manual_rows(t)))
+    tracked = F.col("_tag") == "tracked"
+    agent = F.when(tracked, F.col("_who")).otherwise(F.coalesce("_with", "_who"))
+    entry = F.struct(F.col("_hour").alias("hour"), F.col("_with").alias("supervisor"), "h_dur", "d_dur", "w_dur", "m_dur")
+    totals = F.struct(F.col("d_dur").alias("d_dur_manual"), F.col("w_dur").alias("w_dur_manual"), F.col("m_dur").alias("m_dur_manual"))
+    return (cube.select(F.col("_day").alias("_aday"), agent.alias("_agent"), F.when(tracked, entry).alias("tracked"),
+                        F.when(~tracked, totals).alias("manual"))
+            .where(F.col("_aday").isNotNull() & F.col("_agent").isNotNull())
+            .groupBy("_aday", "_agent")
+            .agg(F.collect_list("tracked").alias("tracked"), F.collect_set("manual").alias("manual")))
 
 
 HOURLY_COLS = ["local_date_created", "hour_", "assignee_id", "agent_name", "supervisor", "subteam",
@@ -173,15 +203,14 @@ def productivity_hourly(t, cfg: ReportConfig = DEFAULT, cap: int | None = None,
     team = t.subteams.select(F.col("zendesk_id").alias("_zid"), "agent_name", "subteam", "is_core_team",
                              F.col("start_date").alias("_start"), F.col("end_date").alias("_end"))
     x = validity_join(raw, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner")
-    au = tracked_hours(t, cfg)
-    x = x.join(au, (F.col("local_date_created") == F.col("start_date_")) & (F.col("hour_") == F.col("hour_au"))
-               & (F.col("agent_name") == F.col("agent_au")), "left")
-    man = manual_hours(t, cfg).withColumnRenamed("date", "_mdate")
-    x = x.join(man, (F.col("local_date_created") == F.col("_mdate")) & (F.col("agent_name") == F.col("agent_manual")),
-               "left")
-    x = x.select("local_date_created", "hour_", "assignee_id", "agent_name", "supervisor", "subteam",
-                 "is_core_team", "channel", "h_tickets", "h_dur", "d_dur", "w_dur", "m_dur", "d_dur_manual",
-                 "w_dur_manual", "m_dur_manual").distinct()
+    # one join brings both kinds of hours; each ticket row meets every supervisor of its hour (H7) and every
+    # manual entry of its day (H9), or a row of NULLs
+    x = x.join(agent_days(t, cfg), (F.col("local_date_created") == F.col("_aday")) & (F.col("agent_name") == F.col("_agent")), "left")
+    x = x.withColumn("_au", F.explode_outer(F.filter("tracked", lambda e: e["hour"] == F.col("hour_"))))
+    x = x.withColumn("_man", F.explode_outer("manual"))
+    x = x.select("local_date_created", "hour_", "assignee_id", "agent_name", "_au.supervisor", "subteam",
+                 "is_core_team", "channel", "h_tickets", "_au.h_dur", "_au.d_dur", "_au.w_dur", "_au.m_dur",
+                 "_man.d_dur_manual", "_man.w_dur_manual", "_man.m_dur_manual").distinct()
     x = x.withColumn("_week", week_start("local_date_created")).withColumn("_month", month_start("local_date_created"))
     x = attach_grains(x, "h_tickets", {"d_tickets": ["local_date_created", "agent_name"],
                                        "w_tickets": ["_week", "agent_name"],
