@@ -158,10 +158,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with the same columns."""
-    p, post = free_name(docs, "document_score"), free_name(docs, "posterior")
-    scored = document_evidence(docs, fit_quality(docs, labels), p)
-    return posterior(scored, p, post).where(F.col(post) >= KEEP).select(*docs.columns)
+    """The rows of ``docs`` that the classifier keeps, with the same columns.
+
+    Rows are told apart by a hash of their id, text and site, so one narrow row of each is scored, cut and joined
+    with its site; texts are read again only to leave out the rejected rows and never shuffled with them.
+    """
+    row, post = free_name(docs, "row_key"), free_name(docs, "posterior")
+    key = F.struct("doc_id", F.xxhash64("doc_id", "text", "lang", "source"), F.hash("text", "source", "lang", "doc_id"))
+    keyed = docs.withColumn(row, key)
+    narrow = keyed.select(row, "lang", "source", "text")
+    scored = cut(document_evidence(narrow, fit_quality(docs, labels), "document_score").drop("text"))
+    rejected = cut(posterior(scored, "document_score", post).where(F.col(post) < KEEP).select(F.col(row).alias("rejected_row")).distinct())
+    return keyed.join(rejected, F.col(row).eqNullSafe(F.col("rejected_row")), "left_anti").select(*docs.columns)
 
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:
