@@ -70,6 +70,40 @@ def test_validity_join_open_end(spark):
     assert got == [("2", D(2023, 1, 1), None), ("2", D(2024, 5, 1), "B")]
 
 
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["1", "2", None]), st.one_of(st.none(), st.integers(0, 1500))), min_size=1, max_size=15),
+       st.lists(st.tuples(st.sampled_from(["1", "2", None]), st.one_of(st.none(), st.integers(0, 1500)),
+                          st.one_of(st.none(), st.integers(0, 1500))), max_size=10),
+       st.booleans(), st.sampled_from(["left", "inner"]), st.sampled_from([2, 16]))
+def test_binned_validity_join_equals_the_join_by_id(spark, facts, spans, open_end, how, bins):
+    day = lambda n: None if n is None else D(2020, 1, 1) + dt.timedelta(days=n)
+    f = spark.createDataFrame([(i, k, day(d)) for i, (k, d) in enumerate(facts)], "n int, id string, d date")
+    g = spark.createDataFrame([(i, k, day(a), day(b)) for i, (k, a, b) in enumerate(spans)], "m int, zid string, s date, e date")
+    got, want = (rows(validity_join(f, g, "id", "zid", "d", "s", "e", how, open_end, b), "n", "m") for b in (bins, 1))
+    assert got == want
+
+
+def test_a_hot_id_is_many_keys_of_a_validity_join(spark):
+    from collections import Counter
+    facts = spark.range(6000).selectExpr("if(id % 3 = 0, 'hot', string(id)) as id", "date_add(date'2020-01-01', int(id % 1400)) as d")
+    dim = spark.createDataFrame([("hot", D(2020, 1, 1), None)], "zid string, s date, e date")
+    p = validity_join(facts, dim, "id", "zid", "d", "s", "e", open_end=True)
+    assert p.where("zid is not null").count() == 2000
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "_fact_bin" in plan and "NestedLoop" not in plan
+    per_bin = Counter((r[0].year * 12 + r[0].month) % 16 for r in facts.where("id = 'hot'").select("d").collect())
+    assert max(per_bin.values()) <= 3 * sorted(per_bin.values())[len(per_bin) // 2] and len(per_bin) == 16
+
+
+def test_asof_windows_hold_one_month_of_a_key(spark):
+    facts = spark.createDataFrame([("ann", D(2024, 3, 1)), ("ann", D(2025, 1, 1))], "name string, d date")
+    dim = spark.createDataFrame([("ann", "s1", D(2023, 12, 31)), ("ann", "s2", D(2024, 3, 1))], "full string, sup string, eff date")
+    p = asof_nearest(facts, dim, "name", "d", "full", "eff")
+    assert rows(p, "d", "sup") == [(D(2024, 3, 1), "s2"), (D(2025, 1, 1), "s2")]
+    plan = p._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") >= 2 and "_asof_bin" in plan
+
+
 def test_validity_join_broadcasts_a_side_of_measured_size(spark, tmp_path):
     facts = spark.createDataFrame([("1", D(2024, 1, 1))], "id string, d date")
     dim = spark.createDataFrame([("1", "A", D(2024, 1, 1), D(2024, 1, 31))], "zid string, team string, s date, e date")
@@ -139,6 +173,26 @@ def test_nan_in_means(spark):
     assert seen(nan_as_null=True) == {"x": "2.0", "y": "4.0", "z": "None"}
 
 
+def test_grains_share_one_totals_exchange(spark):
+    df = spark.createDataFrame([("x", 1, "p", 5), ("y", 2, "q", 7)], "a string, b int, c string, v bigint")
+    few = {"g1": ["a", "b"], "g2": ["a"]}
+    many = {**few, "g3": ["b"], "g4": ["a", "c"], "g5": ["c"], "g6": ["b", "c"]}
+    shape = lambda g: attach_grains(df, "v", g)._jdf.queryExecution().executedPlan().toString()
+    assert shape(many).count("Expand") == shape(few).count("Expand") == 1
+    assert shape(many).count("Exchange") == shape(few).count("Exchange")
+    finest = shape({"g": ["a", "b"]})
+    assert "Expand" not in finest
+
+
+def test_grain_tables_of_two_measures(spark):
+    from deskpulse.operators.grains import grain_tables
+    df = spark.createDataFrame([("x", 1, 5, 1.5), ("x", 2, None, float("nan")), ("y", 1, 7, None), (None, 1, 1, 2.0)],
+                               "a string, b int, v bigint, w double")
+    t = grain_tables(df, {"v": ({"s_a": ["a"], "s_b": ["b"]}, "sum"), "w": ({"m_b": ["b"]}, "avg")})
+    got = {(r["a"], r["b"]): (r["s_a"], r["s_b"], str(r["m_b"])) for r in t.collect()}
+    assert got == {("x", 1): (5, 13, "1.75"), ("x", 2): (5, None, "nan"), ("y", 1): (7, 13, "1.75"), (None, 1): (1, 13, "1.75")}
+
+
 def test_grain_table_sum_and_count(spark):
     df = spark.createDataFrame([("x", 1, 5), ("x", 2, None), ("y", 1, 7)], "a string, b int, v bigint")
     t = grain_table(df, "v", {"s_a": ["a"], "n_b": ["b"]}, "sum")
