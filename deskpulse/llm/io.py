@@ -34,6 +34,17 @@ def scratch_folder(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lets Spark hand Python at most ``rows`` rows at a time from now on (a session setting; smaller values stay).
+
+    Operators work through a batch in slices, so larger batches only cost memory: with whole texts, Spark's 10,000 rows
+    lie several times over in the executor and in its Python workers.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have yet."""
     taken, name = {c.lower() for c in df.columns}, stem

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from deskpulse.llm.io import scratch_folder, table
+from deskpulse.llm.io import scratch_folder, small_batches, table
 from deskpulse.llm.rangecoder import decode_blocks, encode_blocks
 from deskpulse.llm.textvec import slices
 from deskpulse.llm.tokenwords import Pieces, ragged_take, sums
@@ -302,6 +302,7 @@ def shifted_crc(crc: np.ndarray, zeros: np.ndarray) -> np.ndarray:
 
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of the token files of all documents, read back from them: doc_id, start, n_tokens, ids_crc32."""
+    small_batches(spark)
     path = f"{scratch_folder(spark)}/token-files-{uuid.uuid4().hex}"
     write_token_files(table(spark, sf_dir, "documents"), path)
     return read_documents(spark, path)
