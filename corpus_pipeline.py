@@ -12,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from deskpulse.llm import decontaminate, minhash_dedup, pii, quality, sentencepiece_scan
-from deskpulse.llm.io import cut, table
+from deskpulse.llm.io import cut, small_batches, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the hierarchical quality classifier keeps."""
+    small_batches(spark)
     return quality.keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
