@@ -133,7 +133,7 @@ def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     listed = np.zeros(lanes * most, np.int32)  # the distinct id at each place
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     words, at = np.zeros((lanes, 3 * most + 8), np.uint16), np.zeros(lanes, np.int64)
-    for t in range(most if lanes else 0):
+    for t in range(len(left)):
         n = int(left[t])
         m.predict(n)
         x, mine, lo = ids[t, :n], m.row[:n] + local[t, :n], low[:n]
@@ -195,7 +195,7 @@ def decode_blocks(coded: list[bytes], lengths, vocabulary: int) -> list[np.ndarr
     listed = np.zeros(lanes * most, np.int32)
     ids = np.zeros((most, lanes), np.int32)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    for t in range(most if lanes else 0):
+    for t in range(len(left)):
         n = int(left[t])
         m.predict(n)
         lo, cd = low[:n], code[:n]
