@@ -43,6 +43,12 @@ class ReportConfig:
     # How the longest call leg is chosen: "seconds", or "text" as the reports compare (H8).
     longest_wait_compare: str = "seconds"
 
+    # Rounded means: halves away from zero, or to the even neighbour (H5).
+    half_even_means: bool = False
+
+    # How listed tickets are excluded: "join", or "bloom" for a list too long to broadcast (C14).
+    exclusions: str = "join"
+
     # Standard hours for the flex productivity rates.
     week_hours: int = 40
     month_hours: int = 160

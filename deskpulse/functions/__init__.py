@@ -3,7 +3,7 @@ expression stays inside whole-stage code generation."""
 
 from deskpulse.functions.dates import (
     us_date, us_datetime_of_date, parse_us_date, week_start, month_start,
-    hour_of_time_text, days_between,
+    hour_of_time_text, seconds_of_day, days_between,
 )
 from deskpulse.functions.numbers import (
     mmss_to_seconds, nan_to_null, round_avg_text, num_text, numeric_id_text,
@@ -13,7 +13,7 @@ from deskpulse.functions.text import full_name, like_any, not_like_all
 
 __all__ = [
     "us_date", "us_datetime_of_date", "parse_us_date", "week_start", "month_start",
-    "hour_of_time_text", "days_between", "mmss_to_seconds", "nan_to_null",
+    "hour_of_time_text", "seconds_of_day", "days_between", "mmss_to_seconds", "nan_to_null",
     "round_avg_text", "num_text", "numeric_id_text", "true_divide", "round2",
     "rate_or_count", "full_name", "like_any", "not_like_all",
 ]

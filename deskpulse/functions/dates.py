@@ -45,6 +45,13 @@ def hour_of_time_text(x) -> Column:
     return F.substring_index(_c(x), ":", 1).try_cast("bigint")
 
 
+def seconds_of_day(x) -> Column:
+    """'HH:mm:ss' (or 'HH:mm') time-of-day text -> seconds since midnight (bigint); malformed text gives NULL."""
+    parts = F.split(_c(x), ":")
+    part = lambda i: F.get(parts, i).try_cast("bigint")
+    return F.when(F.size(parts) == 3, part(0) * 3600 + part(1) * 60 + part(2)).when(F.size(parts) == 2, part(0) * 3600 + part(1) * 60)
+
+
 def days_between(later, earlier) -> Column:
     """F8: whole days from ``earlier`` to ``later`` (date - date)."""
     return F.datediff(_c(later), _c(earlier)).cast("bigint")

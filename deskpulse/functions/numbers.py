@@ -28,12 +28,13 @@ def nan_to_null(x) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def round_avg_text(x) -> Column:
+def round_avg_text(x, half_even: bool = False) -> Column:
     """F9 + F12: round a mean to a whole number and print it as text the
-    way a numeric column prints ('12', not '12.0'); NaN prints 'NaN'."""
+    way a numeric column prints ('12', not '12.0'); NaN prints 'NaN'.  Halves
+    go away from zero, or to the even neighbour if ``half_even`` (H5)."""
     c = _c(x)
     return (F.when(F.isnan(c), F.lit("NaN"))
-             .otherwise(F.round(c).cast("bigint").cast("string")))
+             .otherwise((F.bround(c) if half_even else F.round(c)).cast("bigint").cast("string")))
 
 
 def num_text(x) -> Column:

@@ -1,5 +1,5 @@
-"""Join operators: validity-interval (SCD2) join, as-of join, exclusion (anti)
-join, current HR record (J4-J7, J13, C4, C5, C14).
+"""Join operators: validity-interval (SCD2) join, as-of join, current HR record
+(J4-J6, J13, C4, C5).
 
 No join carries a broadcast hint: Spark broadcasts a side whose file or
 runtime size it has measured below the session's threshold, and otherwise
@@ -117,12 +117,6 @@ def asof_nearest(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: str
     return facts.join(best, [fact_key, fact_date], "inner")
 
 
-def exclude_ids(df: DataFrame, key: str, excl: DataFrame, excl_key: Column) -> DataFrame:
-    """Drop rows whose ``key`` equals some exclusion key (anti join)."""
-    e = excl.select(excl_key.alias("_excl_key")).where(F.col("_excl_key").isNotNull())
-    return df.join(e, F.col(key) == F.col("_excl_key"), "left_anti")
-
-
 def current_roster(hr: DataFrame, division: str) -> DataFrame:
     """HR rows holding, per full name, the latest status date, the latest
     job date *and* the latest creation date at once; then active ones only.

@@ -17,6 +17,8 @@ def attendance(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordered:
     a = t.attendance
     a = a.where((F.col("client_account") == cfg.account)
                 & (F.col("shift_start") >= lit_like(a, "shift_start", cfg.attendance_floor)))
+    if "shift_day" in a.columns:  # partitioned by the day of the shift: the floor also picks the folders
+        a = a.where(F.col("shift_day") >= lit_like(a, "shift_day", cfg.attendance_floor.date()))
     out = a.select(
         "agent_email",
         us_datetime_of_date("shift_start").alias("shift_start"),

@@ -13,7 +13,7 @@ from deskpulse.constants import RATINGS
 from deskpulse.functions import days_between, month_start, numeric_id_text, round_avg_text, week_start
 from deskpulse.operators import (
     asof_nearest, attach_grains, current_roster as _current_roster, exclude_ids,
-    first_per_key, latest_per_key, longest_wait as _longest_wait, validity_join,
+    first_per_key, keep_extreme, latest_per_key, longest_wait as _longest_wait, validity_join,
 )
 from deskpulse.plans.common import roster
 from deskpulse.plans.shared import shared
@@ -33,6 +33,19 @@ def latest_update_per_ticket(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     return latest_per_key(x, ["ticket_id"], "date_updated").distinct()
 
 
+def latest_update_one_scan(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """C1 per ticket as ``latest_update_per_ticket``, by the extremes of bins: every source is read once."""
+    x = all_updates(t, cfg).select("ticket_id", "channel", "date_updated", "assignee_id", "status")
+    return keep_extreme(x, ["ticket_id"], "date_updated", method="bins").distinct()
+
+
+def first_update_one_scan(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """C2 per ticket as ``first_update_per_ticket``, by the extremes of bins: every source is read once."""
+    x = (all_updates(t, cfg).select("ticket_id", "local_date_created", "date_updated", "assignee_id")
+         .withColumn("recent_", days_between("date_updated", "local_date_created")))
+    return keep_extreme(x, ["ticket_id"], "recent_", largest=False, method="bins").distinct()
+
+
 def latest_update_per_ticket_day(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """C1 per ticket and creation day."""
     x = all_updates(t, cfg).select("ticket_id", "local_date_created", "date_updated", "assignee_id")
@@ -108,11 +121,11 @@ def resolve_supervisor(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
                     ).distinct()
 
 
-def rated_without_exclusions(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def rated_without_exclusions(t, cfg: ReportConfig = DEFAULT, method: str = "join") -> DataFrame:
     """C14: rated tickets minus the exclusion list (ids such as '123.0')."""
     x = (all_updates(t, cfg).where(F.col("satisfaction_rating_score").isin(*RATINGS))
          .select("ticket_id", "channel", "satisfaction_rating_score"))
-    return exclude_ids(x, "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id")).distinct()
+    return exclude_ids(x, "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"), method).distinct()
 
 
 LAG_GRAINS = {"daily": ["agent_name", "local_date_created"], "team_daily": ["local_date_created"],
@@ -130,4 +143,4 @@ def update_lag_multi_grain(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     x = x.withColumn("_week", week_start("local_date_created")).withColumn("_month", month_start("local_date_created"))
     g = attach_grains(x, "lag_days", LAG_GRAINS)
     return g.select("ticket_id", "local_date_created", "date_updated", "agent_name", "lag_days",
-                    *[round_avg_text(n).alias(n) for n in LAG_GRAINS])
+                    *[round_avg_text(n, cfg.half_even_means).alias(n) for n in LAG_GRAINS])

@@ -83,7 +83,7 @@ def csat_raw(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFrame
 
 def csat_clean(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFrame:
     """As R11 with excluded tickets removed."""
-    x = exclude_ids(csat_first(t, cfg), "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"))
+    x = exclude_ids(csat_first(t, cfg), "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"), cfg.exclusions)
     x = x.select(*_INNER).distinct()
     return _raw_out(x, F.lit(None).cast("string"), ordered)
 
@@ -95,7 +95,7 @@ NARROW_COLS = ["ticket_id", "channel", "local_date_created", "assignee_id", "nam
 def csat_narrow(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFrame:
     """Narrow satisfaction list (ticket, agent, email, hour, rating); ordered by
     the formatted date, as the report is (O2)."""
-    x = exclude_ids(csat_first(t, cfg), "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"))
+    x = exclude_ids(csat_first(t, cfg), "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"), cfg.exclusions)
     out = x.select(
         "ticket_id", "channel", us_date("local_date_created").alias("local_date_created"),
         "assignee_id", F.col("zendesk_assignee").alias("name_"), F.col("agent_email").alias("email_"),
@@ -119,7 +119,7 @@ def csat_flex(t, cfg: ReportConfig = DEFAULT, ordered: bool = False) -> DataFram
     u = u.where(F.col("local_date_created") > lit_like(u, "local_date_created", cfg.csat_flex_after)).distinct()
     r = roster(t, cfg.flex_roster_account).where(F.col("_rid").isNotNull() & F.col("agent_email").isNotNull())
     x = u.join(r, F.col("assignee_id") == F.col("_rid"))
-    x = exclude_ids(x, "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"))
+    x = exclude_ids(x, "ticket_id", t.dsat_exclusions, numeric_id_text("ext_interaction_id"), cfg.exclusions)
     out = x.select("ticket_id", "channel", us_date("local_date_created").alias("local_date_created"),
                    "assignee_id", F.col("agent_name").alias("name_"), F.col("agent_email").alias("email_"),
                    F.col("satisfaction_rating_score").alias("csat"))

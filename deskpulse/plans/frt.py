@@ -96,7 +96,7 @@ def frt_multi_grain(t, cfg: ReportConfig = DEFAULT, channel: str = "chat", cap:
         "subteam", "ticket_id", us_date("local_date_created").alias("local_date_created"), "hour_",
         "channel", "assignee_id", "email_address", "agent_name",
         num_text("frt_calendar").alias("frt_calendar"),
-        *[round_avg_text(n).alias(n) for n in TEAM_GRAINS],
+        *[round_avg_text(n, cfg.half_even_means).alias(n) for n in TEAM_GRAINS],
         F.col("local_date_created").alias("_day"))
     return top_k(out, [("_day", "desc"), ("hour_", "desc"), ("agent_name", "asc")],
                  cap, MULTI_GRAIN_COLS, ordered)
@@ -127,7 +127,7 @@ def frt_email_kpi(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordere
     out = g.select(
         "ticket_id", us_date("local_date_created").alias("local_date_created"), "channel", "assignee_id",
         "email_address", "agent_name", num_text("frt_calendar").alias("frt_calendar"),
-        *[round_avg_text(n).alias(n) for n in AGENT_GRAINS],
+        *[round_avg_text(n, cfg.half_even_means).alias(n) for n in AGENT_GRAINS],
         F.col("local_date_created").alias("_day"))
     return top_k(out, [("_day", "desc"), ("agent_name", "asc")], cap, KPI_COLS, ordered)
 
@@ -158,7 +158,7 @@ def frt_email_flex(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, order
     out = g.select(
         "ticket_id", us_date("local_date_created").alias("local_date_created"), "channel", "assignee_id",
         "email_address", "agent_name", num_text("frt_calendar").alias("frt_calendar"),
-        *[round_avg_text(n).alias(n) for n in FLEX_GRAINS],
+        *[round_avg_text(n, cfg.half_even_means).alias(n) for n in FLEX_GRAINS],
         F.col("local_date_created").alias("_day"))
     return top_k(out, [("_day", "desc"), ("agent_name", "asc")], cap, FLEX_EMAIL_COLS, ordered)
 

@@ -335,6 +335,27 @@ LONGEST = {
 }
 
 
+def led_once(source: str, entries: str) -> dict[str, str]:
+    """The supervisor that began last at or before ``at``, else the day's first."""
+    return {
+        "began": f"SELECT agent_name, start_date, cast(start_time AS time) AS began, min(supervisor) AS boss FROM tracked_time WHERE {entries} AND supervisor IS NOT NULL GROUP BY ALL",
+        "led": f"""SELECT f.*, coalesce(arg_max(b.boss, b.began) FILTER (WHERE b.began <= f.at), arg_min(b.boss, b.began)) AS boss
+          FROM {source} f LEFT JOIN began b ON b.start_date = f.local_day AND b.agent_name = f.agent_name GROUP BY ALL""",
+    }
+
+
+def waits_led_once() -> str:
+    ctes, columns = waits(True)
+    before = {"calls": ctes["calls"].replace("c.assignee_id", "c.assignee_id, cast(c.local_time_created AS time) AS at", 1),
+              "duty": f"SELECT DISTINCT m.subteam, c.*, m.agent_email AS email_address, m.agent_name FROM calls c LEFT JOIN team m ON {ON_DUTY.replace('u.', 'c.')}"}
+    before |= led_once("duty", f"division_name = {text(C.tracked_division)}")
+    before["hr_one"] = "SELECT person, min(job_supervisor) AS job_supervisor FROM hr_now GROUP BY person"
+    before["facts"] = f"""SELECT DISTINCT subteam, ticket_id, local_day, hour_, channel, assignee_id, email_address, agent_name,
+        coalesce(boss, job_supervisor, {text(C.default_supervisor)}) AS supervisor, dur FROM led LEFT JOIN hr_one ON person = agent_name"""
+    start = {k: v for k, v in ctes.items() if k not in ("calls", "facts", "dated") and not k.startswith("by_") and k != "graded"}
+    return report(start | before | {k: v for k, v in ctes.items() if k not in start and k not in before}, "graded", columns)
+
+
 def waits(led: bool) -> tuple[dict[str, str], dict[str, str]]:
     lead = f"coalesce(t.supervisor, h.job_supervisor, {text(C.default_supervisor)}) AS supervisor, " if led else ""
     joins = "LEFT JOIN tracked t ON t.start_date = c.local_day AND t.agent_name = m.agent_name LEFT JOIN hr_now h ON h.person = m.agent_name" if led else ""
@@ -362,6 +383,7 @@ def waits(led: bool) -> tuple[dict[str, str], dict[str, str]]:
 
 ORACLE["wait_time_supervisor"] = report(waits(True)[0], "graded", waits(True)[1])
 ORACLE["wait_time_multi_grain"] = report(waits(False)[0], "graded", waits(False)[1])
+ORACLE["wait_time_one_supervisor"] = waits_led_once()
 TOP_K = 500
 _WAITS = waits(False)
 ORACLE["text_date_sort_top_k"] = report(_WAITS[0], "graded", _WAITS[1], [f"{day('local_day')} DESC NULLS FIRST", "hour_ DESC NULLS FIRST", "agent_name ASC NULLS LAST"], TOP_K)
@@ -480,21 +502,50 @@ def hourly_productivity() -> str:
     }
     sets = {"d_tickets": BY_AGENT["daily"], "w_tickets": BY_AGENT["weekly"], "m_tickets": BY_AGENT["monthly"]}
     more, source = grains("dated", "h_tickets", sets, "sum")
-    plain = "hour_ assignee_id agent_name supervisor subteam is_core_team channel h_tickets h_dur d_dur w_dur m_dur d_dur_manual w_dur_manual m_dur_manual d_tickets w_tickets m_tickets"
-    columns = {"local_date_created": day("local_day")} | {c: c for c in plain.split()}
-    columns["h_prod"] = cents(f"if(h_dur IS NULL, cast(h_tickets AS double), {per('h_tickets', 'h_dur / 3600.0')})")
-    return report(ctes | more, source, columns | {f"{p}_prod": cents(rate(f"{p}_tickets", f"{p}_dur", f"{p}_dur_manual")) for p in "dwm"})
+    return report(ctes | more, source, HOURLY)
+
 
+_PLAIN = "hour_ assignee_id agent_name supervisor subteam is_core_team channel h_tickets h_dur d_dur w_dur m_dur d_dur_manual w_dur_manual m_dur_manual d_tickets w_tickets m_tickets"
+HOURLY = {"local_date_created": day("local_day")} | {c: c for c in _PLAIN.split()}
+HOURLY["h_prod"] = cents(f"if(h_dur IS NULL, cast(h_tickets AS double), {per('h_tickets', 'h_dur / 3600.0')})")
+HOURLY |= {f"{p}_prod": cents(rate(f"{p}_tickets", f"{p}_dur", f"{p}_dur_manual")) for p in "dwm"}
 
 ORACLE["productivity_hourly"] = hourly_productivity()
 
 
+def hourly_productivity_led_once() -> str:
+    work = " OR ".join(f"activity LIKE {text(p)}" for p in C.activity_patterns)
+    tracked_ctes = {k.replace("graded", "graded_work"): v for k, v in tracked().items()}
+    tracked_ctes["work_hours"] = tracked_ctes["work_hours"].replace("FROM graded", "FROM graded_work").replace("supervisor, ", "")
+    each = " UNION ALL ".join(f"SELECT DISTINCT {text(c)} AS channel, local_day, at_time, ticket_id, assignee_id FROM n_{c}" for c in CHANNELS)
+    ctes = {
+        **counted(None, hourly=True),
+        **tracked_ctes,
+        **manual(),
+        "team": teams(core=False),
+        "each_ticket": each,
+        "duty": """SELECT DISTINCT u.*, cast(u.at_time AS time) AS at, m.agent_name, m.subteam, m.is_core_team
+          FROM each_ticket u JOIN team m ON m.zendesk_id = u.assignee_id AND u.local_day >= m.valid_from AND u.local_day <= m.valid_to""",
+        **led_once("duty", f"division_account = {text(C.tracked_division)} AND is_billable AND ({work})"),
+        "facts": f"""SELECT local_day, {hour('at_time')} AS hour_, assignee_id, agent_name, boss AS supervisor, subteam, is_core_team, channel, count(ticket_id) AS h_tickets
+          FROM led GROUP BY ALL""",
+        "dated": f"SELECT *, {PERIODS} FROM facts",
+    }
+    sets = {"d_tickets": BY_AGENT["daily"], "w_tickets": BY_AGENT["weekly"], "m_tickets": BY_AGENT["monthly"]}
+    more, source = grains("dated", "h_tickets", sets, "sum")
+    more["all_hours"] = f"""SELECT u.*, w.h_dur, w.d_dur, w.w_dur, w.m_dur, l.d_dur_manual, l.w_dur_manual, l.m_dur_manual FROM {source} u
+      LEFT JOIN work_hours w ON w.local_day = u.local_day AND w.hour_ = u.hour_ AND w.agent_name = u.agent_name
+      LEFT JOIN manual_hours l ON l.local_day = u.local_day AND l.person = u.agent_name"""
+    return report(ctes | more, "all_hours", HOURLY)
+
+
 def first_known(tickets: str, *hours: str) -> str:
     """C11: tickets over the first hours that are known, else the count."""
     whens = " ".join(f"WHEN {h} IS NOT NULL THEN {per(tickets, h)}" for h in hours)
     return f"CASE {whens} ELSE cast({tickets} AS double) END"
 
 
+ORACLE["productivity_hourly_one_supervisor"] = hourly_productivity_led_once()
 ORACLE["productivity_weekly"] = report(
     {
         **weekly_counts(C.roster_account),
@@ -543,6 +594,9 @@ ORACLE["current_roster"] = statement(HR_NOW, "SELECT person AS full_name, job_su
 ORACLE["rated_without_exclusions"] = statement(
     {"u": updates("ticket_id, channel, satisfaction_rating_score", f"{OWN} AND {RATED}")}, f"SELECT DISTINCT * FROM u f WHERE {NOT_EXCLUDED}"
 )
+ORACLE["rated_without_exclusions_split"] = ORACLE["rated_without_exclusions"]
+ORACLE["latest_update_one_scan"] = ORACLE["latest_update_per_ticket"]
+ORACLE["first_update_one_scan"] = ORACLE["first_update_per_ticket"]
 ORACLE["scd2_team_left"] = statement(
     {"u": updates("ticket_id, date_updated, assignee_id, local_date_created"), "team": teams()}, f"SELECT u.*, m.subteam, m.agent_name FROM u LEFT JOIN team m ON {ON_DUTY}"
 )

@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from deskpulse.config import DEFAULT, ReportConfig
 from deskpulse.constants import DONE_STATUSES, VOICEMAIL
 from deskpulse.functions import (
-    hour_of_time_text, like_any, month_start, rate_or_count, round2, true_divide, us_date, week_start,
+    hour_of_time_text, like_any, month_start, rate_or_count, round2, seconds_of_day, true_divide, us_date, week_start,
 )
 from deskpulse.operators import (
-    attach_grains, grain_table, latest_per_key, null_safe_join, validity_join,
+    attach_grains, day_intervals, grain_table, in_effect, latest_per_key, null_safe_join, validity_join,
 )
 from deskpulse.plans.common import lit_like, roster, top_k
 from deskpulse.plans.shared import shared
@@ -129,10 +129,13 @@ def tracked_hours(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
     return shared(t, "tracked_hours", cfg, lambda: _tracked_hours(t, cfg))
 
 
+def _work_entries(t, cfg: ReportConfig) -> DataFrame:
+    return t.tracked_time.where((F.col("division_account") == cfg.tracked_division) & F.col("is_billable")
+                                & like_any("activity", cfg.activity_patterns))
+
+
 def _tracked_rows(t, cfg: ReportConfig) -> DataFrame:
-    u = t.tracked_time.where((F.col("division_account") == cfg.tracked_division) & F.col("is_billable")
-                             & like_any("activity", cfg.activity_patterns))
-    return u.select(F.lit("tracked").alias("_tag"), F.col("agent_name").alias("_who"), F.col("start_date").alias("_day"),
+    return _work_entries(t, cfg).select(F.lit("tracked").alias("_tag"), F.col("agent_name").alias("_who"), F.col("start_date").alias("_day"),
                     hour_of_time_text("start_time").alias("_hour"), F.col("supervisor").alias("_with"), "duration_seconds")
 
 
@@ -196,25 +199,73 @@ HOURLY_COLS = ["local_date_created", "hour_", "assignee_id", "agent_name", "supe
                "w_prod", "m_prod"]
 
 
+def _on_duty(t, rows: DataFrame) -> DataFrame:
+    team = t.subteams.select(F.col("zendesk_id").alias("_zid"), "agent_name", "subteam", "is_core_team",
+                             F.col("start_date").alias("_start"), F.col("end_date").alias("_end"))
+    return validity_join(rows, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner")
+
+
+def _with_agent_days(t, cfg: ReportConfig, x: DataFrame) -> DataFrame:
+    return x.join(agent_days(t, cfg), (F.col("local_date_created") == F.col("_aday")) & (F.col("agent_name") == F.col("_agent")), "left")
+
+
+def tickets_by_supervisor(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """Tickets per agent, hour, channel and the supervisor of the agent's ticket work when each came in (the day's
+    runs of tracked time, ``operators.intraday``; NULL on days without any).  Each ticket of a channel counts once
+    per subteam record that is valid on its day."""
+    rows = (channel_rows(t, cfg, None, hourly=True)
+            .select("channel", "local_date_created", "local_time_created", "ticket_id", "assignee_id").distinct())
+    x = (_on_duty(t, rows).select("channel", "local_date_created", "local_time_created", "ticket_id", "assignee_id",
+                                  "agent_name", "subteam", "is_core_team").distinct()
+         .withColumn("_at", seconds_of_day("local_time_created")))
+    entries = _work_entries(t, cfg).select("agent_name", "start_date", "supervisor", seconds_of_day("start_time").alias("_began"))
+    runs = day_intervals(entries, ["agent_name", "start_date"], "_began", "supervisor")
+    x = in_effect(x, runs, ["agent_name", "local_date_created"], "_at", ["agent_name", "start_date"], "supervisor")
+    return (x.groupBy("local_date_created", hour_of_time_text("local_time_created").alias("hour_"), "assignee_id",
+                      "agent_name", "supervisor", "subteam", "is_core_team", "channel")
+             .agg(F.count("ticket_id").alias("h_tickets")))
+
+
+PERIOD_TICKETS = {"d_tickets": ["local_date_created", "agent_name"], "w_tickets": ["_week", "agent_name"],
+                  "m_tickets": ["_month", "agent_name"]}
+
+
+def productivity_hourly_one_supervisor(t, cfg: ReportConfig = DEFAULT, cap: int | None = None,
+                                       ordered: bool = False) -> DataFrame:
+    """R1 without the supervisor fan-out (H7): a ticket belongs to the supervisor in effect when it came in.
+
+    Columns are R1's.  ``h_tickets`` counts the row's own tickets, so the rows of an hour add up to its tickets, and
+    the day, week and month totals count every ticket once.  Hours stay the agent's; a day's manual totals still give
+    a row per alias (H9), after the totals."""
+    x = tickets_by_supervisor(t, cfg)
+    x = x.withColumn("_week", week_start("local_date_created")).withColumn("_month", month_start("local_date_created"))
+    x = _with_agent_days(t, cfg, attach_grains(x, "h_tickets", PERIOD_TICKETS, fn="sum"))
+    # an hour's entries differ by supervisor only, their totals are the agent's
+    x = x.withColumn("_au", F.get(F.filter("tracked", lambda e: e["hour"] == F.col("hour_")), F.lit(0)))
+    x = x.withColumn("_man", F.explode_outer("manual"))
+    return _hourly_out(x.select(
+        "local_date_created", "hour_", "assignee_id", "agent_name", "supervisor", "subteam", "is_core_team", "channel",
+        "h_tickets", "_au.h_dur", "_au.d_dur", "_au.w_dur", "_au.m_dur", "_man.d_dur_manual", "_man.w_dur_manual",
+        "_man.m_dur_manual", *PERIOD_TICKETS), cap, ordered)
+
+
 def productivity_hourly(t, cfg: ReportConfig = DEFAULT, cap: int | None = None, ordered: bool = False) -> DataFrame:
     """Tickets per agent, hour and channel with tracked and manual hours
     and hour/day/week/month productivity."""
     raw = channel_counts_hourly(t, cfg).withColumnRenamed("agent_name", "_roster_agent")
-    team = t.subteams.select(F.col("zendesk_id").alias("_zid"), "agent_name", "subteam", "is_core_team",
-                             F.col("start_date").alias("_start"), F.col("end_date").alias("_end"))
-    x = validity_join(raw, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "inner")
     # one join brings both kinds of hours; each ticket row meets every supervisor of its hour (H7) and every
     # manual entry of its day (H9), or a row of NULLs
-    x = x.join(agent_days(t, cfg), (F.col("local_date_created") == F.col("_aday")) & (F.col("agent_name") == F.col("_agent")), "left")
+    x = _with_agent_days(t, cfg, _on_duty(t, raw))
     x = x.withColumn("_au", F.explode_outer(F.filter("tracked", lambda e: e["hour"] == F.col("hour_"))))
     x = x.withColumn("_man", F.explode_outer("manual"))
     x = x.select("local_date_created", "hour_", "assignee_id", "agent_name", "_au.supervisor", "subteam",
                  "is_core_team", "channel", "h_tickets", "_au.h_dur", "_au.d_dur", "_au.w_dur", "_au.m_dur",
                  "_man.d_dur_manual", "_man.w_dur_manual", "_man.m_dur_manual").distinct()
     x = x.withColumn("_week", week_start("local_date_created")).withColumn("_month", month_start("local_date_created"))
-    x = attach_grains(x, "h_tickets", {"d_tickets": ["local_date_created", "agent_name"],
-                                       "w_tickets": ["_week", "agent_name"],
-                                       "m_tickets": ["_month", "agent_name"]}, fn="sum")
+    return _hourly_out(attach_grains(x, "h_tickets", PERIOD_TICKETS, fn="sum"), cap, ordered)
+
+
+def _hourly_out(x: DataFrame, cap: int | None, ordered: bool) -> DataFrame:
     h_prod = F.when(F.col("h_dur").isNotNull(), true_divide("h_tickets", F.col("h_dur") / 3600.0)) \
               .otherwise(F.col("h_tickets").cast("double"))
     out = x.select(

@@ -34,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csat_flex": _report(csat.csat_flex),
     "wait_time_supervisor": _report(wait.wait_time_supervisor),
     "wait_time_multi_grain": _report(wait.wait_time_multi_grain),
+    "wait_time_one_supervisor": _report(wait.wait_time_supervisor, one_supervisor=True),
     "text_date_sort_top_k": _report(wait.wait_time_multi_grain, cap=500, text_date_order=True),
     "real_date_sort_top_k": _report(wait.wait_time_multi_grain, cap=500),
     "channel_counts_hourly": _report(prod.channel_counts_hourly),
@@ -41,11 +42,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tracked_hours": _report(prod.tracked_hours),
     "manual_hours": _report(prod.manual_hours),
     "productivity_hourly": _report(prod.productivity_hourly),
+    "productivity_hourly_one_supervisor": _report(prod.productivity_hourly_one_supervisor),
     "productivity_weekly": _report(prod.productivity_weekly),
     "productivity_flex": _report(prod.productivity_flex),
     "latest_update_per_ticket": _report(bb.latest_update_per_ticket),
     "latest_update_per_ticket_day": _report(bb.latest_update_per_ticket_day),
     "first_update_per_ticket": _report(bb.first_update_per_ticket),
+    "latest_update_one_scan": _report(bb.latest_update_one_scan),
+    "first_update_one_scan": _report(bb.first_update_one_scan),
     "longest_wait": _report(bb.longest_wait),
     "scd2_team_left": _report(bb.scd2_team_left),
     "scd2_team_inner": _report(bb.scd2_team_inner),
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "current_roster": _report(bb.current_roster),
     "resolve_supervisor": _report(bb.resolve_supervisor),
     "rated_without_exclusions": _report(bb.rated_without_exclusions),
+    "rated_without_exclusions_split": _report(bb.rated_without_exclusions, method="bloom"),
     "update_lag_multi_grain": _report(bb.update_lag_multi_grain),
 }
 
@@ -90,5 +95,10 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "current_roster": ("C5",),
     "resolve_supervisor": ("C15", "C5", "P5", "J11"),
     "rated_without_exclusions": ("C14", "J7", "F11"),
+    "wait_time_one_supervisor": ("R4", "C15", "C3", "C6", "J4"),
+    "productivity_hourly_one_supervisor": ("R1", "C15", "C7", "C10", "C11", "J5"),
+    "latest_update_one_scan": ("C1", "W4"),
+    "first_update_one_scan": ("C2", "W5", "F8"),
+    "rated_without_exclusions_split": ("C14", "J7", "F11"),
     "update_lag_multi_grain": ("C6", "W1", "F8", "H13"),
 }

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from deskpulse.config import DEFAULT, ReportConfig
 from deskpulse.constants import DONE_STATUSES, OUTBOUND
-from deskpulse.functions import hour_of_time_text, month_start, round_avg_text, us_date, week_start
-from deskpulse.operators import attach_grains, current_roster, longest_wait, validity_join
+from deskpulse.functions import hour_of_time_text, month_start, round_avg_text, seconds_of_day, us_date, week_start
+from deskpulse.operators import attach_grains, current_roster, day_intervals, in_effect, longest_wait, validity_join
 from deskpulse.plans.common import lit_like, top_k
 from deskpulse.plans.shared import shared
 
@@ -46,10 +46,34 @@ def tracked_supervisors(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
                  F.col("agent_name").alias("_agent")).distinct()))
 
 
+def _led_by_the_days_supervisors(x: DataFrame, t, cfg: ReportConfig) -> DataFrame:
+    """Every supervisor of the agent's day (a row each), and of the current HR record."""
+    su = tracked_supervisors(t, cfg)
+    x = x.join(su, (F.col("local_date_created") == F.col("_sdate")) & (F.col("_agent") == F.col("agent_name")),
+               "left")
+    cur = shared(t, "current_roster", cfg, lambda: current_roster(t.hr_roster, cfg.hr_division))
+    return x.join(cur, F.col("agent_name") == F.col("full_name"), "left")
+
+
+def _led_by_one_supervisor(x: DataFrame, t, cfg: ReportConfig) -> DataFrame:
+    """The supervisor of the agent's tracked time when the ticket was created, and one (the first by name) of the
+    current HR record: every row once."""
+    entries = (t.tracked_time.where(F.col("division_name") == cfg.tracked_division)
+                .select("agent_name", "start_date", seconds_of_day("start_time").alias("_began"),
+                        F.col("supervisor").alias("_util_sup")))
+    runs = day_intervals(entries, ["agent_name", "start_date"], "_began", "_util_sup")
+    x = in_effect(x, runs, ["agent_name", "local_date_created"], "_at", ["agent_name", "start_date"], "_util_sup")
+    cur = shared(t, "current_roster", cfg, lambda: current_roster(t.hr_roster, cfg.hr_division))
+    cur = cur.groupBy("full_name").agg(F.min("job_supervisor").alias("job_supervisor"))
+    return x.join(cur, F.col("agent_name") == F.col("full_name"), "left")
+
+
 def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True, cap: int | None = None,
-              ordered: bool = False, text_date_order: bool = False) -> DataFrame:
+              ordered: bool = False, text_date_order: bool = False, one_supervisor: bool = False) -> DataFrame:
     """``text_date_order`` sorts by the formatted date (mm/dd/yyyy) before the cap, as
-    the reports do (O2, H3); otherwise the real date is used."""
+    the reports do (O2, H3); otherwise the real date is used.  ``one_supervisor``
+    gives a ticket the supervisor in effect when it was created instead of a row
+    for each supervisor of its agent's day (C15), so averages count it once."""
     legs = (shared(t, "longest_wait", cfg, lambda: longest_wait(t.call_legs, cfg.account, cfg.longest_wait_compare))
             .select(F.col("ticket_id").alias("_did"), "dur").distinct())
     calls = t.call_tickets.where((F.col("client_account") == cfg.account)
@@ -57,7 +81,8 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True, cap:
                                & F.col("status").isin(*DONE_STATUSES))
     solved = (calls.join(legs, F.col("ticket_id") == F.col("_did"), "left")
              .select("ticket_id", "dur", "channel", "local_date_created",
-                     hour_of_time_text("local_time_created").alias("hour_"), "assignee_id")
+                     hour_of_time_text("local_time_created").alias("hour_"), "assignee_id",
+                     *([seconds_of_day("local_time_created").alias("_at")] if one_supervisor else []))
              .distinct())
     team = (t.subteams.where(F.col("is_core_team"))
              .select("subteam", F.col("zendesk_id").alias("_zid"), "agent_name", "agent_email",
@@ -65,11 +90,7 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True, cap:
     x = validity_join(solved, team, "assignee_id", "_zid", "local_date_created", "_start", "_end", "left")
     x = x.where(F.col("local_date_created") >= lit_like(x, "local_date_created", cfg.wait_time_floor))
     if with_supervisor:
-        su = tracked_supervisors(t, cfg)
-        x = x.join(su, (F.col("local_date_created") == F.col("_sdate")) & (F.col("_agent") == F.col("agent_name")),
-                   "left")
-        cur = shared(t, "current_roster", cfg, lambda: current_roster(t.hr_roster, cfg.hr_division))
-        x = x.join(cur, F.col("agent_name") == F.col("full_name"), "left")
+        x = (_led_by_one_supervisor if one_supervisor else _led_by_the_days_supervisors)(x, t, cfg)
         # tracked-time supervisor, else HR, else the default label (one DISTINCT
         # over the final projection equals the report's two nested ones)
         x = x.withColumn("supervisor", F.coalesce("_util_sup", "job_supervisor", F.lit(cfg.default_supervisor)))
@@ -86,7 +107,7 @@ def wait_time(t, cfg: ReportConfig = DEFAULT, with_supervisor: bool = True, cap:
         F.col("subteam").alias("client_account"), us_date("local_date_created").alias("local_date_created"),
         "hour_", "ticket_id", "assignee_id", "email_address", "agent_name",
         *(["supervisor"] if with_supervisor else []), "dur",
-        *[round_avg_text(n).alias(n) for n in grains],
+        *[round_avg_text(n, cfg.half_even_means).alias(n) for n in grains],
         F.col("local_date_created").alias("_day"))
     day = "local_date_created" if text_date_order else "_day"
     order = ([("client_account", "asc")] if with_supervisor else []) + [

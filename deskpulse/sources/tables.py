@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType, NumericType
 
+from deskpulse.functions import parse_us_date
+
 # Column contract of each input.  Ids (ticket, assignee, roster id) are text
 # everywhere, so joins never need casts on either side (J2); the loaders cast
 # real tables to the types below.
@@ -60,11 +62,17 @@ TYPES = {
 }
 
 
+#: Columns that a date-partitioned layout adds to an input: name -> the column whose date it is.
+DERIVED = {"attendance": {"shift_day": "shift_start"}}
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """The contract columns of one input in the contract's types.  Whole
     numbers become id text without a decimal part, whatever numeric type the
-    source stores them in; columns that already fit stay bare, so filters on
-    them reach the scan."""
+    source stores them in; dates stored as text are read as ISO or mm/dd/yyyy
+    dates (F3; NULL for other text).  Columns that already fit stay bare, so
+    filters on them reach the scan.  A partition column of ``DERIVED`` is kept
+    if the source has it."""
     out = []
     for c in SCHEMAS[name]:
         want, have = TYPES.get(c, "string"), df.schema[c].dataType
@@ -73,8 +81,11 @@ def conform(df: DataFrame, name: str) -> DataFrame:
             col = col.cast("decimal(38,0)")
         if isinstance(have, NumericType) and want in ("bigint", "double"):
             want = have.simpleString()  # numbers keep their own width
+        if want == "date" and have.simpleString() == "string":
+            out.append(F.coalesce(col.try_cast("date"), parse_us_date(col)).alias(c))
+            continue
         out.append((col if have.simpleString() == want else col.cast(want)).alias(c))
-    return df.select(*out)
+    return df.select(*out, *[c for c in DERIVED.get(name, ()) if c in df.columns])
 
 
 @dataclass
@@ -104,7 +115,8 @@ class Tables:
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "Tables":
         """Read each input from ``root/<field>`` parquet (e.g. written by
-        ``deskpulse.sources.fixtures.write_fixtures``)."""
+        ``deskpulse.sources.fixtures.write_fixtures``, or partitioned by date by
+        ``deskpulse.sources.layout.write_partitioned``)."""
         return cls(**{k: conform(spark.read.parquet(f"{root}/{k}"), k) for k in SCHEMAS})
 
 
