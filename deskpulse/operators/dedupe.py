@@ -58,8 +58,9 @@ def keep_extreme(df: DataFrame, keys: Sequence[str], order_col: str, largest: bo
 
 def _keep_extreme_of_bins(df: DataFrame, keys: Sequence[str], order_col: str, agg, largest: bool, bins: int) -> DataFrame:
     # As a struct, equal keys may hold NULLs, and the join below needs no other partitioning than the one made here.
+    # Neither key is nullable: an inferred not-null filter would make the two readers' exchanges differ.
     x = (df.where(F.col(order_col).isNotNull())
-           .select("*", F.struct(*keys).alias("_key"), F.pmod(F.xxhash64(*df.columns), F.lit(bins)).alias("_bin"))
+           .select("*", F.struct(*keys).alias("_key"), F.coalesce(F.pmod(F.xxhash64(*df.columns), F.lit(bins)), F.lit(0)).alias("_bin"))
            .repartition("_key", "_bin"))
     # The hash keeps every column in use, so that both readers of the exchange need the same columns and Spark fills
     # it once (``ReusedExchange``).

@@ -29,12 +29,13 @@ def write_partitioned(tables: Tables, root: str, names=None) -> None:
     Rows are rebalanced by day before the write: adaptive execution puts small
     days together in a task and splits a day that holds a large share of the
     rows over several, so neither a task nor a file grows with a hot day.
-    Rows without a date keep a folder of their own.
+    Rows without a date keep a folder of their own.  An empty input is written
+    without folders, so that its columns can still be read.
     """
     for name in names or SCHEMAS:
         df = getattr(tables, name)
         day = PARTITION_DATES.get(name)
-        if day is None:
+        if day is None or df.isEmpty():
             df.write.mode("overwrite").parquet(f"{root}/{name}")
             continue
         if day not in df.columns:

@@ -25,6 +25,21 @@ def test_dates_and_flags_are_cast(spark):
     assert row["start_date"] == dt.date(2024, 1, 2) and row["is_core_team"] is True
 
 
+def test_text_dates_are_read_in_either_form(spark):
+    schema = ", ".join(f"{c} string" for c in SCHEMAS["subteams"])
+    rows = [("1", "A", "a@x", "T", "01/31/2024", "2024-02-01", "true"), ("2", "A", "a@x", "T", "31/31/2024", "", "true")]
+    got = [(r["start_date"], r["end_date"]) for r in conform(spark.createDataFrame(rows, schema), "subteams").orderBy("zendesk_id").collect()]
+    assert got == [(dt.date(2024, 1, 31), dt.date(2024, 2, 1)), (None, None)]
+
+
+def test_reports_on_text_dates_equal_those_on_dates(spark):
+    tables = fixture_tables(spark, SMALL)
+    texts = {k: conform(df.select(*[F.date_format(c, "MM/dd/yyyy").alias(c) if TYPES.get(c) == "date" else c for c in df.columns]), k)
+             for k, df in tables.items()}
+    plain, parsed = (sorted(map(repr, csat.csat_flex(t).collect())) for t in (Tables(**tables), Tables(**texts)))
+    assert plain == parsed and plain
+
+
 def test_bigint_and_text_ids_give_the_same_report(spark, tmp_path):
     tables = fixture_tables(spark, SMALL)
     names = {}

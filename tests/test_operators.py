@@ -49,8 +49,29 @@ def test_rank_equals_max_equality(spark, data):
     ref = df.withColumn("m", F.max("ts").over(w)).where(F.col("m") == F.col("ts")).drop("m")
     assert rows(keep_extreme(df, ["k"], "ts"), "k", "ts") == rows(ref, "k", "ts")
     assert rows(keep_extreme(df, ["k"], "ts", method="window"), "k", "ts") == rows(ref, "k", "ts")
+    assert rows(keep_extreme(df, ["k"], "ts", method="bins", bins=3), "k", "ts") == rows(ref, "k", "ts")
     ref_min = df.withColumn("m", F.min("ts").over(w)).where(F.col("m") == F.col("ts")).drop("m")
     assert rows(keep_extreme(df, ["k"], "ts", largest=False), "k", "ts") == rows(ref_min, "k", "ts")
+    assert rows(keep_extreme(df, ["k"], "ts", largest=False, method="bins"), "k", "ts") == rows(ref_min, "k", "ts")
+
+
+def test_extremes_of_bins_keep_ties_of_a_hot_key_and_deal_it_out(spark):
+    df = spark.range(3000).selectExpr("if(id % 3 < 2, 'hot', string(id)) as k", "if(id % 3 < 2, 7, int(id)) as ts", "id as v")
+    got = keep_extreme(df, ["k"], "ts", method="bins")
+    assert got.count() == 3000 and got.columns == ["k", "ts", "v"]
+    per_bin = [r["n"] for r in df.where("k = 'hot'").groupBy(F.pmod(F.xxhash64("k", "ts", "v"), F.lit(16)).alias("b"))
+               .agg(F.count("*").alias("n")).collect()]
+    assert len(per_bin) == 16 and max(per_bin) <= 3 * sorted(per_bin)[8]
+
+
+def test_extremes_of_bins_read_their_input_once(spark, tmp_path):
+    spark.range(500).selectExpr("string(id % 7) as k", "int(id % 11) as ts", "id as v", "id * 2 as unused").write.parquet(str(tmp_path / "x"))
+    x = spark.read.parquet(str(tmp_path / "x")).select("k", "ts", "v")
+    got = keep_extreme(x, ["k"], "ts", method="bins")
+    assert got.count() == keep_extreme(x, ["k"], "ts").count()
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final and "Window" not in final
 
 
 def test_validity_join_bounds_and_open_end(spark):
