@@ -34,6 +34,11 @@ def test_round_avg_text(spark, v, out):
     assert one(spark, fx.round_avg_text("x"), v, "x double") == out
 
 
+@pytest.mark.parametrize("v,out", [(2.5, "2"), (3.5, "4"), (-2.5, "-2"), (2.6, "3"), (float("nan"), "NaN"), (None, None)])
+def test_round_avg_text_half_even(spark, v, out):
+    assert one(spark, fx.round_avg_text("x", half_even=True), v, "x double") == out
+
+
 @pytest.mark.parametrize("v,out", [(12.0, "12"), (12.5, "12.5"), (float("nan"), "NaN"), (None, None)])
 def test_num_text(spark, v, out):
     assert one(spark, fx.num_text("x"), v, "x double") == out
