@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,23 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def tidy(run):
+    """``run`` for ``mapInArrow``; at its end the worker gives freed memory back to the system.
+
+    Python workers live on between tasks and stages, and what one task needed for its longest
+    texts would otherwise stay with each of them.
+    """
+
+    def tidied(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return tidied
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have yet."""
     taken, name = {c.lower() for c in df.columns}, stem

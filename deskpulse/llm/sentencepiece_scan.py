@@ -18,14 +18,15 @@ CHUNK characters that are encoded independently, by a max-plus scan:
   chunk yields the transfer matrix from the states at its left border to
   those at its right border: the largest path weight, 0 or minus infinity,
   kept as one bit per left state. Products of such matrices (max and plus)
-  are associative; forward and backward products over a document's chunks
-  leave one state per border.
+  are associative: neighbours are multiplied in rounds, FAN of them in a
+  group, until a document is one matrix; then the states around each group
+  give the states at the borders inside it, down to the chunks.
 * With its two border states each chunk is backtraced on its own, on any
   executor, and the chunks' pieces are put together in order.
 
 The results are the library's own for every document. A chunk needs its own
-text and one piece's length around it; a document's matrices are a few bits
-for each chunk.
+text and one piece's length around it; a group of a round holds FAN matrices
+of a few bits, however long the document is.
 
 Decoding is the library's. Texts come back exactly, but for texts that hold
 U+2581 (the model's space sign), which the model reads as a space; the
@@ -44,7 +45,7 @@ from __future__ import annotations
 
 import hashlib
 from array import array
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,12 +54,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from deskpulse.llm.io import cut, free_name, table
+from deskpulse.llm.io import cut, free_name, table, tidy
 from deskpulse.llm.textvec import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT = 65_536  # characters up to which a document is one chunk
 CHUNK = 32_768
+FAN = 16  # neighbours whose matrices are multiplied in one group
+TASK_CHUNKS = 4  # per task, about
 SPACE = "▁"
 
 
@@ -227,15 +230,20 @@ def _shared_model(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def _chunks(giants: DataFrame, key: str, text: str, longest: int) -> DataFrame:
-    """(key, k, chunks, part, lead): the chunks of normalised texts with one piece's length around them."""
-    norm = F.concat(F.lit(SPACE), F.replace(F.col(text), F.lit(" "), F.lit(SPACE)))
-    d = giants.select(F.col(key).alias("key"), norm.alias("norm")).withColumn("len", F.char_length("norm"))
-    d = d.withColumn("chunks", F.ceil(F.col("len") / CHUNK).cast("int"))
-    d = d.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    left = F.greatest(F.col("k") * CHUNK - longest, F.lit(0))
-    right = F.least((F.col("k") + 1) * CHUNK + longest, F.col("len"))
-    return d.select("key", "k", "chunks", F.substr("norm", left + 1, right - left).alias("part"), (F.col("k") * CHUNK - left).alias("lead"), (F.least((F.col("k") + 1) * CHUNK, F.col("len")) - left).alias("stop"))
+def _chunks(batches, longest: int, size: int):
+    """The chunks (of ``size`` characters) of normalised texts with one piece's length around them."""
+    for b in batches:
+        for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            norm = SPACE + text.replace(" ", SPACE)
+            chunks = -(-len(norm) // size)
+            for k in range(chunks):
+                left, stop = max(0, k * size - longest), min((k + 1) * size, len(norm))
+                row = {"key": key, "k": k, "chunks": chunks, "part": norm[left : stop + longest], "lead": k * size - left, "stop": stop - left}
+                yield pa.RecordBatch.from_pylist([row], schema=_CHUNK)
+
+
+_CHUNK = pa.schema([("key", pa.string()), ("k", pa.int32()), ("chunks", pa.int32()), ("part", pa.string()), ("lead", pa.int32()), ("stop", pa.int32())])
+_CHUNK_SQL = "key string, k int, chunks int, part string, lead int, stop int"
 
 
 def _transfer(batches, model):
@@ -261,33 +269,71 @@ _TRANSFER = pa.schema([("key", pa.string()), ("k", pa.int32()), ("left", _SPANS)
 _TRANSFER_SQL = "key string, k int, left array<array<int>>, right array<array<int>>, bits array<string>"
 
 
-def _combine(t: pa.Table) -> pa.Table:
-    """The one state per border of a document, from its chunks' matrices."""
+def _matrix(r: dict) -> tuple[list, dict]:
+    """A row's transfer matrix: its left states, and the bits of each right state."""
+    return [tuple(x) for x in r["left"]], {tuple(x): int(bits, 16) for x, bits in zip(r["right"], r["bits"], strict=True)}
+
+
+def multiply(a: tuple[list, dict], b: tuple[list, dict]) -> tuple[list, dict]:
+    """Max-plus product of two neighbours' matrices over weights 0 and minus infinity: a right
+    state of ``b`` is reached from the left states of ``a`` that reach one of its own left states."""
+    out = {}
+    for state, bits in b[1].items():
+        got = 0
+        for i, border in enumerate(b[0]):
+            if bits >> i & 1:
+                got |= a[1].get(border, 0)
+        if got:
+            out[state] = got
+    return a[0], out
+
+
+def _product(t: pa.Table) -> pa.Table:
+    """The matrix of up to FAN neighbours, as one row of the next level."""
     rows = sorted(t.to_pylist(), key=lambda r: r["k"])
-    mats = []  # per chunk: left state -> set of right states, and back
-    for r in rows:
-        fwd: dict[tuple, set] = {}
-        left = [tuple(s) for s in r["left"]]
-        for s, bits in zip(map(tuple, r["right"]), r["bits"], strict=True):
-            m = int(bits, 16)
-            for i, a in enumerate(left):
-                if m >> i & 1:
-                    fwd.setdefault(a, set()).add(s)
-        mats.append(fwd)
-    reached = [{tuple(rows[0]["left"][0])}]
-    for fwd in mats:
-        reached.append({s for a in reached[-1] for s in fwd.get(a, ())})
-    state = [next(iter(reached[-1]))]  # exactly one path has weight 0
-    for fwd, before in zip(reversed(mats), reversed(reached[:-1]), strict=True):
-        state.append(next(a for a in sorted(before) if state[-1] in fwd.get(a, ())))
+    left, right = reduce(multiply, map(_matrix, rows))
+    return pa.Table.from_pylist([{"key": rows[0]["key"], "k": rows[0]["above"], "left": left, "right": list(right), "bits": [hex(m) for m in right.values()]}], schema=_TRANSFER)
+
+
+def _inside(t: pa.Table) -> pa.Table:
+    """The states at the borders of up to FAN neighbours, from those around all of them (exactly one path has weight 0)."""
+    rows = sorted(t.to_pylist(), key=lambda r: r["k"])
+    mats = [_matrix(r) for r in rows]
+    reached = [{tuple(rows[0]["enter"])}]
+    for left, right in mats:
+        bits = sum(1 << i for i, x in enumerate(left) if x in reached[-1])
+        reached.append({x for x, m in right.items() if m & bits})
+    state = [tuple(rows[0]["leave"])]
+    for (left, right), before in zip(reversed(mats), reversed(reached[:-1]), strict=True):
+        bits = right[state[-1]]
+        state.append(next(x for i, x in enumerate(left) if bits >> i & 1 and x in before))
     state.reverse()
     return pa.table({
         "key": [r["key"] for r in rows], "k": pa.array([r["k"] for r in rows], pa.int32()),
-        "enter": pa.array([list(s) for s in state[:-1]], pa.list_(pa.int32())),
-        "leave": pa.array([list(s) for s in state[1:]], pa.list_(pa.int32())),
+        "enter": pa.array([list(x) for x in state[:-1]], pa.list_(pa.int32())),
+        "leave": pa.array([list(x) for x in state[1:]], pa.list_(pa.int32())),
     })
 
 
+def borders(transfer: DataFrame, chunks: int) -> DataFrame:
+    """(key, k, enter, leave): the states around every chunk, for documents of up to ``chunks`` chunks.
+
+    Up: neighbours' matrices are multiplied in rounds, FAN of them in a group keyed (key, k div FAN),
+    until a document is one matrix. Down: the states around a group give those inside it."""
+    above = F.floor(F.col("k") / FAN).cast("int")
+    levels = [transfer]
+    while chunks > 1:
+        grouped = levels[-1].withColumn("above", above)
+        levels.append(cut(grouped.groupBy("key", "above").applyInArrow(_product, _TRANSFER_SQL)))
+        chunks = -(-chunks // FAN)
+    around = levels.pop().select("key", "k", F.get("left", F.lit(0)).alias("enter"), F.get("right", F.lit(0)).alias("leave"))
+    for level in reversed(levels):
+        up = around.withColumnRenamed("k", "above")
+        within = level.withColumn("above", above).join(up, ["key", "above"])
+        around = within.groupBy("key", "above").applyInArrow(_inside, "key string, k int, enter array<int>, leave array<int>")
+    return around
+
+
 def _backtrace(batches, model):
     for b in batches:
         for r in b.to_pylist():
@@ -307,11 +353,15 @@ def _backtrace(batches, model):
 
 def giant_ids(giants: DataFrame, key: str, text: str, model) -> DataFrame:
     """(key, ids) of giant texts, one row per key, by the scan."""
-    longest = vocabulary(model.value).longest
-    parts = cut(_chunks(giants, key, text, longest).repartition("key", "k"))
-    transfer = cut(parts.mapInArrow(lambda it: _transfer(it, model), _TRANSFER_SQL))
-    borders = transfer.groupBy("key").applyInArrow(_combine, "key string, k int, enter array<int>, leave array<int>")
-    traced = parts.join(borders, ["key", "k"]).mapInArrow(lambda it: _backtrace(it, model), "key string, k int, ids array<int>")
+    longest, length = vocabulary(model.value).longest, CHUNK
+    parts = cut(giants.select(key, text).mapInArrow(lambda it: _chunks(it, longest, length), _CHUNK_SQL))
+    size = parts.agg(F.count("*").alias("n"), F.max("chunks").alias("most")).first()
+    # a fixed number of tasks, which adaptive execution leaves alone: chunks are small but take long
+    tasks = max(1, -(-size["n"] // TASK_CHUNKS))
+    spread = parts.repartition(tasks, "key", "k")
+    transfer = cut(spread.mapInArrow(lambda it: _transfer(it, model), _TRANSFER_SQL))
+    around = borders(transfer, size["most"] or 0)
+    traced = spread.join(around, ["key", "k"]).repartition(tasks, "key", "k").mapInArrow(lambda it: _backtrace(it, model), "key string, k int, ids array<int>")
     whole = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"]))
     return traced.groupBy("key").agg(whole.alias("ids"))
 
@@ -337,7 +387,7 @@ def encode(docs: DataFrame, out: str = "ids", text: str = "text", path: str = MO
                 yield pa.RecordBatch.from_arrays([*b.columns, lists], names=[*names, out])
 
     big = F.coalesce(F.char_length(text) > GIANT, F.lit(False))
-    small = docs.where(~big).mapInArrow(run, schema)
+    small = docs.where(~big).mapInArrow(tidy(run), schema)
     key = free_name(docs, "text_key")
     giants = docs.where(big).withColumn(key, F.sha2(F.col(text), 256))
     ids = giant_ids(giants.dropDuplicates([key]), key, text, model).select(F.col("key").alias(key), F.col("ids").alias(out))
@@ -360,7 +410,7 @@ def decode(df: DataFrame, out: str = "decoded", ids: str = "ids", path: str = MO
                 texts = [t if ok else None for t, ok in zip(processor(model.value).decode(lists), col.is_valid().to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, out])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def tokenized(docs: DataFrame, path: str = MODEL) -> DataFrame:
@@ -383,7 +433,7 @@ def tokenized(docs: DataFrame, path: str = MODEL) -> DataFrame:
                 yield pa.record_batch([b.column("doc_id"), lists, pa.array(sha), pa.array([x == y for x, y in zip(back, texts, strict=True)])], names=["doc_id", "ids", "text_sha256", "exact"])
 
     id_type = dict(d.dtypes)["doc_id"]
-    small = d.where(~big).mapInArrow(run, f"doc_id {id_type}, ids array<int>, text_sha256 string, exact boolean")
+    small = d.where(~big).mapInArrow(tidy(run), f"doc_id {id_type}, ids array<int>, text_sha256 string, exact boolean")
     g = d.where(big).withColumn("text_key", F.sha2("text", 256))
     found = giant_ids(g.dropDuplicates(["text_key"]), "text_key", "text", model)
     back = decode(found, path=path)  # one row per giant text
