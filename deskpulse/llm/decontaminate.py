@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskpulse.llm.io import table
+from deskpulse.llm.io import table, tidy
 from deskpulse.llm.textfeatures import PLAIN, member
 from deskpulse.llm.textvec import arrow_buffers, mix, slices
 
@@ -53,7 +53,11 @@ COSINE = 0.4
 COVER = 0.6
 LOOKED_UP = 0.25  # of the words needed, that a region must have of the rarest (any share is exact)
 ITEM_CHARS = 8 << 20
-BLOCK = 1024  # vocabulary buckets per summed row
+BLOCK = 256  # vocabulary buckets per summed row
+SUMMED = 128  # rows that a group adds up
+LEVELS = 3  # of sums, for up to SUMMED ** LEVELS tasks
+PASSAGES = 4096  # multiplied at once
+COSINES = 1 << 22  # computed at once
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -62,7 +66,9 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 def _summed(docs: DataFrame, width: int, dtype: str, add) -> np.ndarray:
     """Sum over all texts of a (2 ** WORD_BITS, width) matrix that ``add``
-    accumulates per task; summed by blocks of rows in Spark."""
+    accumulates per task; summed by blocks of rows in Spark. The tasks' blocks
+    are added up in LEVELS levels, SUMMED neighbouring tasks in a group, so that
+    no group grows with the number of tasks."""
     n = 2**WORD_BITS
 
     def part(batches):
@@ -76,15 +82,21 @@ def _summed(docs: DataFrame, width: int, dtype: str, add) -> np.ndarray:
             if acc[k : k + BLOCK].any():
                 yield pa.record_batch([pa.array([k], pa.int32()), pa.array([acc[k : k + BLOCK].tobytes()], pa.binary())], names=["k", "v"])
 
-    def total(t: pa.Table) -> pa.Table:
-        acc = np.zeros(BLOCK * width, np.float64)
-        for v in t.column("v"):
-            acc += np.frombuffer(v.as_py(), dtype)
-        return pa.table({"k": t.column("k").slice(0, 1), "v": pa.array([acc.tobytes()], pa.binary())})
+    def total(kind: str):
+        def add_up(t: pa.Table) -> pa.Table:
+            acc = np.zeros(BLOCK * width, np.float64)
+            for v in t.sort_by("m").column("v"):  # in the tasks' order
+                acc += np.frombuffer(v.as_py(), kind)
+            return pa.table({"k": t.column("k").slice(0, 1), "m": t.column("g").slice(0, 1), "v": pa.array([acc.tobytes()], pa.binary())})
+
+        return add_up
 
     out = np.zeros((n, width))
-    parts = docs.select("text").mapInArrow(part, "k int, v binary")
-    for r in parts.groupBy("k").applyInArrow(total, "k int, v binary").collect():  # fixed size
+    sums = docs.select("text").mapInArrow(tidy(part), "k int, v binary").withColumn("m", F.spark_partition_id())
+    for level in range(LEVELS):
+        group = F.lit(0) if level == LEVELS - 1 else F.floor(F.col("m") / SUMMED).cast("int")
+        sums = sums.select("k", "m", "v", group.alias("g")).groupBy("k", "g").applyInArrow(total("<f8" if level else dtype), "k int, m int, v binary")
+    for r in sums.collect():  # fixed size
         out[r["k"] : r["k"] + BLOCK] = np.frombuffer(r["v"]).reshape(BLOCK, width)
     return out
 
@@ -106,14 +118,17 @@ def fit_latent(docs: DataFrame) -> dict:
         idx, first = idx[keep], np.concatenate([[0], np.cumsum(keep)])[first]
         if not len(idx):
             return
-        begins = passages(first)
-        z = np.add.reduceat(omega[idx], begins, axis=0)
-        # back: every word adds its passage's row; words are sorted so that each bucket is one sum
-        own = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(idx))))
-        order = np.argsort(idx, kind="stable")
-        w = idx[order]
-        starts = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-        acc[w[starts]] += np.add.reduceat(z[own[order]], starts, axis=0)
+        begins = np.append(passages(first), len(idx))
+        for lo in range(0, len(begins) - 1, PASSAGES):
+            at = begins[lo : lo + PASSAGES + 1]
+            words, at = idx[at[0] : at[-1]], at - at[0]
+            z = np.add.reduceat(omega[words], at[:-1], axis=0)
+            # back: every word adds its passage's row; words are sorted so that each bucket is one sum
+            own = np.repeat(np.arange(len(z)), np.diff(at))
+            order = np.argsort(words, kind="stable")
+            w = words[order]
+            starts = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+            acc[w[starts]] += np.add.reduceat(z[own[order]], starts, axis=0)
 
     weighted = docs.sparkSession.sparkContext.broadcast(test * idf[:, None])  # 2 ** WORD_BITS x SKETCH floats
     y = _summed(docs, SKETCH, "<f4", sketch) * idf[:, None]
@@ -296,10 +311,13 @@ def _by_latent(h: np.ndarray, first: np.ndarray, index: dict, model: dict, found
     _, once = np.unique(mix(h[take] ^ np.repeat(np.arange(len(near), dtype=np.uint64) << np.uint64(32), size)), return_index=True)
     weight_once = np.zeros(len(take))
     weight_once[once] = weight[take[once]]
-    latent = _unit(np.add.reduceat(model["fold"][_bucket(h[take])], starts, axis=0))
     seen = set()
-    for lo in range(0, len(latent), 1024):
-        w, k = np.nonzero(latent[lo : lo + 1024] @ index["vec"].T >= COSINE)
+    ends = np.append(starts, len(take))
+    rows = max(1, min(1024, COSINES // max(1, len(index["vec"]))))
+    for lo in range(0, len(near), rows):
+        at = ends[lo : lo + rows + 1]
+        latent = _unit(np.add.reduceat(model["fold"][_bucket(h[take[at[0] : at[-1]]])], at[:-1] - at[0], axis=0))
+        w, k = np.nonzero(latent @ index["vec"].T >= COSINE)
         code = np.unique((w + lo) * len(index["ids"]) + index["owner"][k])
         w, item = np.divmod(code, len(index["ids"]))
         at = np.repeat(starts[w] - np.concatenate([[0], np.cumsum(size[w])[:-1]]), size[w]) + np.arange(size[w].sum())
@@ -343,7 +361,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         cover = n / np.array([len(index["words"][k]) for k in i])
                         yield pa.record_batch([b.column("doc_id").take(pa.array(t)), pa.array(index["ids"][i]), pa.array(n), pa.array(cover)], names=["doc_id", "item_id", "lcs_words", "coverage"])
 
-        part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, item_id long, lcs_words long, coverage double")
+        part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, item_id long, lcs_words long, coverage double")
         out = part if out is None else out.union(part)
     best = out.groupBy("doc_id", "item_id").agg(F.max("lcs_words").alias("lcs_words"), F.max("coverage").alias("coverage"))
     return best
@@ -364,7 +382,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     clean[[t for t, _, _ in find_in_batch(h, first, index, m)]] = False
                     yield b.filter(pa.array(clean))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = out.mapInArrow(tidy(run), docs.schema)
     return out
 
 
