@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from deskpulse.llm.bloom import bloom_filter, in_bloom
 from deskpulse.llm.components import components
-from deskpulse.llm.io import cut, free_name
+from deskpulse.llm.io import cut, free_name, tidy
 from deskpulse.llm.textvec import arrow_buffers, mix, shingle_hashes, slices, word_hashes
 
 ROWS = 5  # minima per band
@@ -129,7 +129,7 @@ def shingle_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
                 flat = np.concatenate([*sets, np.zeros(0, np.int64)])
                 yield pa.record_batch([b.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(flat))], names=["doc_id", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, shingles array<long>")
 
 
 def _similar(equal_lanes: np.ndarray, n_hash: int) -> np.ndarray:
@@ -209,7 +209,7 @@ def _likely_trees(members: DataFrame, n_hash: int, least: float, percent: int) -
                     yield _trees(ok, xi, yi)
 
     blocked = members.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-    return _meetings(blocked, "bucket", F.struct("doc_id", "n_shingles", "sig")).mapInArrow(run, "a long, b long")
+    return _meetings(blocked, "bucket", F.struct("doc_id", "n_shingles", "sig")).mapInArrow(tidy(run), "a long, b long")
 
 
 def _common(ok: np.ndarray, xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
@@ -256,7 +256,7 @@ def _confirmed_trees(members: DataFrame, n_hash: int, least: float, percent: int
                 if ok.any():
                     yield _trees(ok, xi, yi)
 
-    return _meetings(members, "family", F.struct("doc_id", "n_shingles", "sig", "shingles")).mapInArrow(run, "a long, b long")
+    return _meetings(members, "family", F.struct("doc_id", "n_shingles", "sig", "shingles")).mapInArrow(tidy(run), "a long, b long")
 
 
 def minhash_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -267,7 +267,7 @@ def minhash_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     bands = band_count(percent / 100)
     n_hash = bands * ROWS
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    sigs = docs.mapInArrow(_signatures(k, bands), "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sig array<long>")
+    sigs = docs.mapInArrow(tidy(_signatures(k, bands)), "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sig array<long>")
     sigs = cut(sigs)
     one = sigs.select("doc_id", "n_shingles", "f1", "f2").groupBy("doc_id").agg(F.min(F.struct("n_shingles", "f1", "f2")).alias("s")).select("doc_id", "s.*")
     classes = one.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("class_id"))

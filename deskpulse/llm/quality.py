@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskpulse.llm.boost import Boosted, Isotonic
-from deskpulse.llm.io import cut, free_name, table
+from deskpulse.llm.io import cut, free_name, table, tidy
 from deskpulse.llm.textfeatures import PLAIN, byte_counts, repeated_lines, runs_of
 from deskpulse.llm.textvec import arrow_buffers, slices
 
@@ -70,7 +70,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> dict:
                 x = features(*arrow_buffers(b.column("text")))
                 yield pa.record_batch([b.column("doc_id"), b.column("y"), *map(pa.array, x.T)], names=["doc_id", "y", *FEATURES])
 
-    rows = train.mapInArrow(run, "doc_id long, y int, " + ", ".join(f"{f} double" for f in FEATURES))
+    rows = train.mapInArrow(tidy(run), "doc_id long, y int, " + ", ".join(f"{f} double" for f in FEATURES))
     rows = rows.groupBy("doc_id").agg(F.min(F.struct("y", *FEATURES)).alias("s")).select("doc_id", "s.*").toPandas()  # TRAIN_ROWS x features
     if rows.y.nunique() < 2:
         return {"trees": None}
@@ -103,7 +103,7 @@ def document_evidence(docs: DataFrame, model: dict, out: str, text: str = "text"
                 p = score(features(data, offsets), np.diff(offsets) == 0)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], names=[*names, out])
 
-    return docs.mapInArrow(run, _with_field(docs, out))
+    return docs.mapInArrow(tidy(run), _with_field(docs, out))
 
 
 def _with_field(docs: DataFrame, name: str):

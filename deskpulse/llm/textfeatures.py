@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from deskpulse.llm.textvec import _powers, mix
+from deskpulse.llm.textvec import mix, word_sums
 
 _RANDOM = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64)
 _UPPER = np.zeros(256, bool)
@@ -55,9 +55,7 @@ class Vocabulary:
         starts = np.flatnonzero(first)
         if not len(starts):
             return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-        power, inverse = _powers(n)
-        h = mix(np.add.reduceat(self.table[data] * power, starts) * inverse[starts])
-        return h, np.searchsorted(starts, offsets)
+        return mix(word_sums(self.table, data, starts)), np.searchsorted(starts, offsets)
 
     def of(self, words) -> np.ndarray:
         """Sorted hashes of the given words (each one token)."""

@@ -23,6 +23,7 @@ _BYTE[_SEP] = 0
 _K = 0x9E3779B97F4A7C15
 _K_INV = pow(_K, -1, 2**64)
 _TABLES = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+STRETCH = 1 << 20  # bytes hashed at once, and the most powers that are kept
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -35,15 +36,37 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base and of its inverse, modulo 2**64."""
+    """Powers of the odd base and of its inverse, modulo 2**64, up to STRETCH."""
     if len(_TABLES[0]) < n:
+        size = max(n, min(2 * len(_TABLES[0]), STRETCH))
         for i, base in enumerate((_K, _K_INV)):
-            p = np.full(max(n, 2 * len(_TABLES[0]) if i == 0 else len(_TABLES[0])), base, dtype=np.uint64)
+            p = np.full(size, base, dtype=np.uint64)
             p[0] = 1
             _TABLES[i] = np.multiply.accumulate(p)
     return _TABLES[0][:n], _TABLES[1][:n]
 
 
+def word_sums(weight: np.ndarray, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Per word the sum of its bytes' weights times the power of their place in it.
+
+    A word goes from its start to the next one; bytes outside words weigh nothing. The buffer is
+    worked through in stretches of STRETCH bytes, so memory beside the results does not depend on
+    the longest text; a word that goes on into the next stretch gets the rest of its sum there."""
+    out = np.zeros(len(starts), np.uint64)
+    for lo in range(0, len(data), STRETCH):
+        vals = weight[data[lo : lo + STRETCH]]
+        power, inverse = _powers(len(vals))
+        vals *= power
+        a, b = np.searchsorted(starts, [lo, lo + len(vals)])
+        own = starts[a:b] - lo
+        if a < b:  # the power of a word's place in the stretch is divided out again
+            out[a:b] = np.add.reduceat(vals, own) * inverse[own]
+        head = vals[: own[0]] if a < b else vals
+        if a and len(head):
+            out[a - 1 : a] += head.sum(dtype=np.uint64, keepdims=True) * np.uint64(pow(_K, lo - int(starts[a - 1]), 2**64))
+    return out
+
+
 def arrow_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array; null counts as empty."""
     if col.null_count:
@@ -70,13 +93,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(first)
     if len(starts) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    # a stretch runs from a word's start to the next one; separators weigh nothing,
-    # and the power of a word's place in the buffer is divided out again
-    power, inverse = _powers(n)
-    vals = _BYTE[data]
-    vals *= power
-    h = mix(np.add.reduceat(vals, starts) * inverse[starts])
-    return h, np.searchsorted(starts, offsets)
+    return mix(word_sums(_BYTE, data, starts)), np.searchsorted(starts, offsets)
 
 
 def slices(batch: pa.RecordBatch, col: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
