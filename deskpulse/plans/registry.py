@@ -14,7 +14,7 @@ from deskpulse.sources import load_tables
 
 def _report(fn, **kw) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(load_tables(spark, sf_dir), DEFAULT, **kw)
+        return fn(load_tables(spark, sf_dir, on_use=True), DEFAULT, **kw)
     run.__name__ = getattr(fn, "__name__", "report")
     run.__doc__ = fn.__doc__
     return run

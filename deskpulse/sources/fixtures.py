@@ -10,6 +10,7 @@ reach the scan.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -218,6 +219,39 @@ def fixture_tables(spark: SparkSession, sf_dir: str, updates: DataFrame | None =
     }
 
 
+#: Ticket input -> the channels of the updates that it holds.
+CHANNELS = {"email_tickets": ("email", "api"), "chat_tickets": ("chat",), "call_tickets": ("voice",), "web_tickets": ("web",)}
+
+
+def input_writer(spark: SparkSession, sf_dir: str, out_root: str) -> Callable[[str], DataFrame]:
+    """``write(name)``: writes one input under ``out_root`` and returns the scan of its files.
+
+    The updates are joined and written once, with one folder per ticket input; the four inputs are
+    scans of their folders, so no update is written a second time."""
+    derived = fixture_tables(spark, sf_dir)
+    made = {}
+
+    def updates() -> DataFrame:
+        if "updates" not in made:
+            upd = ticket_updates(*(spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("orders", "lineitem")))
+            named = [F.when(F.col("channel").isin(*channels), name) for name, channels in CHANNELS.items()]
+            upd = upd.withColumn("_input", F.coalesce(*named))
+            upd.write.mode("overwrite").partitionBy("_input").parquet(f"{out_root}/_updates")
+            made["updates"] = spark.read.schema(upd.schema).parquet(f"{out_root}/_updates")
+        return made["updates"]
+
+    def write(name: str) -> DataFrame:
+        if name in CHANNELS:
+            return updates().where(F.col("_input") == name).select(*SCHEMAS[name])
+        df = derived[name]
+        if name == "kpi_summary":
+            df = fixture_tables(spark, sf_dir, updates().where(F.col("_input") == "email_tickets"))[name]
+        df.write.mode("overwrite").parquet(f"{out_root}/{name}")
+        return spark.read.parquet(f"{out_root}/{name}").select(*SCHEMAS[name])
+
+    return write
+
+
 # Inputs keyed by ticket: bucketing them on ticket_id (same bucket count for
 # all) lets per-ticket aggregations and ticket-to-ticket joins run without a
 # shuffle.  A deployment would lay out its fact tables the same way.
