@@ -18,6 +18,18 @@ shuffle the facts once per grain.  Here all grains are computed together:
 The number of exchanges does not depend on the number of grains.  The tables of
 steps 2 and 3 have one row per group, or per finest key and grain, not per fact.
 Steps 2 and 3 read the same exchange of step 1 (``ReusedExchange``).
+
+Step 3 has a row per finest key and grain, and where most rows have a finest key
+of their own (many agents, few updates a day) that is several times the facts.
+For such inputs the caller names an ``anchor`` (the agent) and the keys that
+another one implies (week and month of a day):
+
+- grains with the anchor have small groups of finest keys (the days of one
+  agent's month).  The table of step 1 is exchanged by the group, its totals are
+  aggregated there, and a hash join in place adds them to the rows: one exchange
+  per grain, no row per key and grain.  A grain that implies all keys needs none;
+- grains without it (teams) have few groups: steps 2 and 3 above on the table
+  that has one row per their own keys, joined last, when it is measured small.
 """
 
 from __future__ import annotations
@@ -42,7 +54,8 @@ def _grouping_number(keys: Sequence[str], grain: frozenset) -> int:
 
 
 def grain_table(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg",
-                extra_keys: Sequence[str] = (), nan_as_null: bool = False) -> DataFrame:
+                extra_keys: Sequence[str] = (), nan_as_null: bool = False, anchor: str | None = None,
+                implied: Mapping[str, str] | None = None) -> DataFrame:
     """One row per finest key (``extra_keys`` + all grain keys) with one
     column per grain: the ``fn`` (avg, sum or count) of ``value`` over the
     rows sharing that grain's keys.  NULL keys form their own group, as in
@@ -51,8 +64,15 @@ def grain_table(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]],
     Fractional values are summed as decimals (six places), so a mean does not
     depend on the order of summation; a group that holds a NaN gives NaN (H11)
     unless ``nan_as_null``.
+
+    With an ``anchor`` every grain has that key, and ``implied`` maps keys to the key
+    that determines them (see above).
     """
-    return grain_tables(df, {value: (grains, fn)}, extra_keys, nan_as_null)
+    if anchor is None:
+        return grain_tables(df, {value: (grains, fn)}, extra_keys, nan_as_null)
+    keys = _unique([*extra_keys, *[k for ks in grains.values() for k in ks]])
+    fine = df.groupBy(*keys).agg(*_partials(df, value, 0, nan_as_null))
+    return _anchored(df, fine, keys, value, grains, fn, nan_as_null, implied or {})
 
 
 def grain_tables(df: DataFrame, measures: Mapping[str, tuple[Mapping[str, Sequence[str]], str]],
@@ -61,15 +81,19 @@ def grain_tables(df: DataFrame, measures: Mapping[str, tuple[Mapping[str, Sequen
     share the steps above; a key set that several grains use is aggregated once."""
     columns = [(name, value, frozenset(ks), fn) for value, (grains, fn) in measures.items() for name, ks in grains.items()]
     keys = _unique([*extra_keys, *[k for grains, _ in measures.values() for ks in grains.values() for k in ks]])
-    sets = _unique(ks for _, _, ks, _ in columns)
     of = {v: i for i, v in enumerate(measures)}
-    finish = lambda value, fn: _finish(df, value, of[value], fn, nan_as_null)
     partials = [p for i, value in enumerate(measures) for p in _partials(df, value, i, nan_as_null)]
+    finish = lambda value, fn: _finish(df, value, of[value], fn, nan_as_null)
+    return _looked_up(df.groupBy(*keys).agg(*partials), keys, columns, finish)
+
+
+def _looked_up(fine: DataFrame, keys: Sequence[str], columns, finish) -> DataFrame:
+    """Steps 2 and 3 on the partials ``fine`` per finest key."""
+    sets = _unique(ks for _, _, ks, _ in columns)
     if sets == [frozenset(keys)]:
-        return df.groupBy(*keys).agg(*partials).select(*keys, *[finish(value, fn).alias(name) for name, value, _, fn in columns])
+        return fine.select(*keys, *[finish(value, fn).alias(name) for name, value, _, fn in columns])
 
     number = {ks: _grouping_number(keys, ks) for ks in sets}
-    fine = df.groupBy(*keys).agg(*partials)
     sums = [c for c in fine.columns if c not in keys]
     totals = fine.groupingSets([[F.col(k) for k in keys if k in ks] for ks in sets], *keys).agg(
         F.grouping_id().cast("bigint").alias("_grain"), *[F.sum(c).alias(c) for c in sums])
@@ -89,6 +113,33 @@ def grain_tables(df: DataFrame, measures: Mapping[str, tuple[Mapping[str, Sequen
     return found.groupBy(*keys).agg(*out)
 
 
+def _implies_all(grain: Sequence[str], keys: Sequence[str], implied: Mapping[str, str]) -> bool:
+    return all(k in grain or implied.get(k) in grain for k in keys)
+
+
+def _anchored(df: DataFrame, fine: DataFrame, keys: Sequence[str], value: str, grains: Mapping[str, Sequence[str]],
+              fn: str, nan_as_null: bool, implied: Mapping[str, str]) -> DataFrame:
+    """Grains of small groups: ``fine`` meets each grain's totals where an exchange by the grain's keys puts it."""
+    sums = [c for c in fine.columns if c not in keys]
+    total = _finish(df, value, 0, fn, nan_as_null)
+    own = [name for name, ks in grains.items() if _implies_all(ks, keys, implied)]
+    x = fine.select("*", *[total.alias(name) for name in own])
+    for name, ks in grains.items():
+        if name in own:
+            continue
+        # A struct of keys may hold NULLs and is itself never NULL.  The hashes keep every column in use on both sides, so
+        # that both readers of the exchange need the same columns and Spark fills it once (as in ``keep_extreme``).
+        placed = x.select("*", F.struct(*ks).alias("_group")).repartition("_group")
+        found = placed.groupBy("_group").agg(*[F.sum(c).alias(c) for c in sums], F.bit_xor(F.xxhash64(*x.columns)).alias("_used"))
+        found = found.select(F.col("_group").alias("_total_of"), total.alias(name), "_used")
+        counted = (F.col("_n0") >= 0) | (F.xxhash64(*x.columns) == F.col("_used"))  # always true
+        # a task's totals are fewer than its rows, and a hot group is one of them: hashed, the rows need no sort
+        x = placed.join(found.hint("shuffle_hash"), (F.col("_group") == F.col("_total_of")) & counted)
+        # keys that need both sides: a filter of theirs stays above the join, or only one of the readers would have it
+        x = x.select(*[F.when(F.col("_used").isNotNull(), F.col(k)).alias(k) for k in keys], *placed.columns[len(keys):-1], name)
+    return x.select(*keys, *grains)
+
+
 def _fractional(df: DataFrame, value: str) -> bool:
     return isinstance(df.schema[value].dataType, (DoubleType, FloatType))
 
@@ -118,7 +169,24 @@ def _finish(df: DataFrame, value: str, i: int, fn: str, nan_as_null: bool) -> Co
 
 
 def attach_grains(df: DataFrame, value: str, grains: Mapping[str, Sequence[str]], fn: str = "avg",
-                  nan_as_null: bool = False) -> DataFrame:
-    """``df`` with one extra column per grain (see ``grain_table``)."""
+                  nan_as_null: bool = False, anchor: str | None = None, implied: Mapping[str, str] | None = None) -> DataFrame:
+    """``df`` with one extra column per grain (see ``grain_table``).  With an ``anchor``, grains may leave it out."""
+    if anchor is None:
+        keys = _unique([k for ks in grains.values() for k in ks])
+        return null_safe_join(df, grain_table(df, value, grains, fn, nan_as_null=nan_as_null), keys)
+    implied = implied or {}
+    anchored = {name: ks for name, ks in grains.items() if anchor in ks}
+    others = {name: ks for name, ks in grains.items() if anchor not in ks}
     keys = _unique([k for ks in grains.values() for k in ks])
-    return null_safe_join(df, grain_table(df, value, grains, fn, nan_as_null=nan_as_null), keys)
+    base = lambda ks: [k for k in ks if implied.get(k) not in ks]
+    fine = df.groupBy(*keys).agg(*_partials(df, value, 0, nan_as_null))
+    out = null_safe_join(df, _anchored(df, fine, keys, value, anchored, fn, nan_as_null, implied)
+                         .select(*base(keys), *anchored), base(keys))
+    if others:
+        few = _unique([k for ks in others.values() for k in ks])
+        sums = [c for c in fine.columns if c not in keys]
+        table = _looked_up(fine.groupBy(*few).agg(*[F.sum(c).alias(c) for c in sums]), few,
+                           [(name, value, frozenset(ks), fn) for name, ks in others.items()],
+                           lambda value, fn: _finish(df, value, 0, fn, nan_as_null))
+        out = null_safe_join(out, table.select(*base(few), *others), base(few))
+    return out.select(*df.columns, *grains)

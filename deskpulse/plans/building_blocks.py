@@ -15,7 +15,7 @@ from deskpulse.operators import (
     asof_nearest, attach_grains, current_roster as _current_roster, exclude_ids,
     first_per_key, keep_extreme, latest_per_key, longest_wait as _longest_wait, validity_join,
 )
-from deskpulse.plans.common import roster
+from deskpulse.plans.common import PERIODS, roster
 from deskpulse.plans.shared import shared
 from deskpulse.sources.tables import TICKET_COLS
 
@@ -141,6 +141,6 @@ def update_lag_multi_grain(t, cfg: ReportConfig = DEFAULT) -> DataFrame:
          .select("ticket_id", "local_date_created", "date_updated", "agent_name",
                  days_between("date_updated", "local_date_created").alias("lag_days")))
     x = x.withColumn("_week", week_start("local_date_created")).withColumn("_month", month_start("local_date_created"))
-    g = attach_grains(x, "lag_days", LAG_GRAINS)
+    g = attach_grains(x, "lag_days", LAG_GRAINS, anchor="agent_name", implied=PERIODS)
     return g.select("ticket_id", "local_date_created", "date_updated", "agent_name", "lag_days",
                     *[round_avg_text(n, cfg.half_even_means).alias(n) for n in LAG_GRAINS])

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Periods that a ticket's day determines.
+PERIODS = {"_week": "local_date_created", "_month": "local_date_created"}
+
+
 def lit_like(df: DataFrame, col: str, value) -> Column:
     """A literal typed like ``df[col]``, so a comparison with it keeps the
     column bare and the filter reaches the parquet scan."""

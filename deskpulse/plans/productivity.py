@@ -34,7 +34,7 @@ from deskpulse.functions import (
 from deskpulse.operators import (
     attach_grains, day_intervals, grain_table, in_effect, latest_per_key, null_safe_join, validity_join,
 )
-from deskpulse.plans.common import lit_like, roster, top_k
+from deskpulse.plans.common import PERIODS, lit_like, roster, top_k
 from deskpulse.plans.shared import shared
 
 
@@ -151,7 +151,8 @@ def hours_cube(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("_week", week_start("_day")).withColumn("_month", month_start("_day"))
     return grain_table(rows, "duration_seconds", {
         "h_dur": ["_tag", "_who", "_day", "_hour"], "d_dur": ["_tag", "_who", "_day"],
-        "w_dur": ["_tag", "_who", "_week"], "m_dur": ["_tag", "_who", "_month"]}, fn="sum", extra_keys=["_with"])
+        "w_dur": ["_tag", "_who", "_week"], "m_dur": ["_tag", "_who", "_month"]}, fn="sum", extra_keys=["_with"],
+        anchor="_who", implied={"_week": "_day", "_month": "_day"})
 
 
 def _tracked_hours(t, cfg: ReportConfig) -> DataFrame:
@@ -239,7 +240,7 @@ def productivity_hourly_one_supervisor(t, cfg: ReportConfig = DEFAULT, cap: int
     a row per alias (H9), after the totals."""
     x = tickets_by_supervisor(t, cfg)
     x = x.withColumn("_week", week_start("local_date_created")).withColumn("_month", month_start("local_date_created"))
-    x = _with_agent_days(t, cfg, attach_grains(x, "h_tickets", PERIOD_TICKETS, fn="sum"))
+    x = _with_agent_days(t, cfg, attach_grains(x, "h_tickets", PERIOD_TICKETS, fn="sum", anchor="agent_name", implied=PERIODS))
     # an hour's entries differ by supervisor only, their totals are the agent's
     x = x.withColumn("_au", F.get(F.filter("tracked", lambda e: e["hour"] == F.col("hour_")), F.lit(0)))
     x = x.withColumn("_man", F.explode_outer("manual"))
@@ -262,7 +263,7 @@ def productivity_hourly(t, cfg: ReportConfig = DEFAULT, cap: int | None = None,
                  "is_core_team", "channel", "h_tickets", "_au.h_dur", "_au.d_dur", "_au.w_dur", "_au.m_dur",
                  "_man.d_dur_manual", "_man.w_dur_manual", "_man.m_dur_manual").distinct()
     x = x.withColumn("_week", week_start("local_date_created")).withColumn("_month", month_start("local_date_created"))
-    return _hourly_out(attach_grains(x, "h_tickets", PERIOD_TICKETS, fn="sum"), cap, ordered)
+    return _hourly_out(attach_grains(x, "h_tickets", PERIOD_TICKETS, fn="sum", anchor="agent_name", implied=PERIODS), cap, ordered)
 
 
 def _hourly_out(x: DataFrame, cap: int | None, ordered: bool) -> DataFrame:

@@ -205,6 +205,38 @@ def test_grains_share_one_totals_exchange(spark):
     assert "Expand" not in finest
 
 
+ANCHORED = {"d": ["a", "day"], "td": ["day"], "w": ["a", "week"], "tw": ["week"], "m": ["a", "month"], "tm": ["month"]}
+IMPLIED = {"week": "day", "month": "day"}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["x", "y", None]), st.one_of(st.none(), st.integers(0, 70)),
+                          st.one_of(st.none(), st.integers(0, 50)), st.sampled_from([None, 1.5, float("nan")])), min_size=1, max_size=30),
+       st.sampled_from(["v", "f"]), st.sampled_from(["avg", "sum", "count"]))
+def test_anchored_grains_equal_the_looked_up_ones(spark, data, value, fn):
+    df = (spark.createDataFrame(data, "a string, n int, v bigint, f double").withColumn("day", F.expr("date_add(date'2024-01-15', n)"))
+          .withColumn("week", F.trunc("day", "week")).withColumn("month", F.trunc("day", "month")))
+    shown = lambda x: sorted(map(repr, x.select(*df.columns, *ANCHORED).collect()))
+    assert shown(attach_grains(df, value, ANCHORED, fn, anchor="a", implied=IMPLIED)) == shown(attach_grains(df, value, ANCHORED, fn))
+    mine = {k: ks for k, ks in ANCHORED.items() if "a" in ks}
+    tables = [grain_table(df, value, mine, fn, ["n"], **kw) for kw in ({}, {"anchor": "a", "implied": IMPLIED})]
+    got, want = (sorted(map(repr, t.select("a", "day", "n", *mine).collect())) for t in tables)
+    assert got == want
+
+
+def test_anchored_grains_exchange_the_finest_keys_once_per_grain(spark):
+    df = (spark.range(3000).selectExpr("string(id % 50) as a", "date_add(date'2024-01-01', int(id % 200)) as day", "id % 7 as v")
+          .withColumn("week", F.trunc("day", "week")).withColumn("month", F.trunc("day", "month")))
+    grains = {k: ks for k, ks in ANCHORED.items() if "a" in ks}
+    got = grain_table(df, "v", grains, "sum", anchor="a", implied=IMPLIED).where("a is not null and day is not null")
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # week and month: an exchange each, read twice; no row per key and grain
+    reused = final.count("ReusedExchange")  # each names the exchange it reads
+    assert reused == 2 and final.count("REPARTITION_BY_COL") - reused == 2
+    assert "Expand" not in final and "Generate" not in final and "Window" not in final
+
+
 def test_grain_tables_of_two_measures(spark):
     from deskpulse.operators.grains import grain_tables
     df = spark.createDataFrame([("x", 1, 5, 1.5), ("x", 2, None, float("nan")), ("y", 1, 7, None), (None, 1, 1, 2.0)],
