@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskpulse.llm.io import table, tidy
-from deskpulse.llm.textfeatures import PLAIN, member
+from deskpulse.llm.textfeatures import PLAIN
 from deskpulse.llm.textvec import arrow_buffers, mix, slices
 
 WORD_BITS = 15
@@ -58,6 +58,9 @@ SUMMED = 128  # rows that a group adds up
 LEVELS = 3  # of sums, for up to SUMMED ** LEVELS tasks
 PASSAGES = 4096  # multiplied at once
 COSINES = 1 << 22  # computed at once
+LONG = 16  # rows from which on a sum is taken alone
+MOST_HELD = 200_000  # words of items whose bits a task keeps,
+MOST_BITS = 1_000  # of items of so many words at most
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -122,13 +125,13 @@ def fit_latent(docs: DataFrame) -> dict:
         for lo in range(0, len(begins) - 1, PASSAGES):
             at = begins[lo : lo + PASSAGES + 1]
             words, at = idx[at[0] : at[-1]], at - at[0]
-            z = np.add.reduceat(omega[words], at[:-1], axis=0)
+            z = _row_sums(omega, words, at[:-1], np.diff(at))
             # back: every word adds its passage's row; words are sorted so that each bucket is one sum
             own = np.repeat(np.arange(len(z)), np.diff(at))
             order = np.argsort(words, kind="stable")
             w = words[order]
             starts = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-            acc[w[starts]] += np.add.reduceat(z[own[order]], starts, axis=0)
+            acc[w[starts]] += _row_sums(z, own[order], starts, np.diff(starts, append=len(w)))
 
     weighted = docs.sparkSession.sparkContext.broadcast(test * idf[:, None])  # 2 ** WORD_BITS x SKETCH floats
     y = _summed(docs, SKETCH, "<f4", sketch) * idf[:, None]
@@ -151,6 +154,24 @@ def passages(first: np.ndarray, size: int = PASSAGE) -> np.ndarray:
     return at + np.arange(per.sum()) * size
 
 
+def _row_sums(rows: np.ndarray, which: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[which[b : b + n]]`` for each (b, n >= 1), each added up in this order: short ones
+    side by side, a row of each at a time, those of more than LONG rows one by one."""
+    out = np.empty((len(begin), rows.shape[1]), rows.dtype)
+    by = np.argsort(-size, kind="stable")
+    alone = int((size > LONG).sum())
+    for k in by[:alone].tolist():
+        out[k] = rows.take(which[begin[k] : begin[k] + size[k]], axis=0).sum(0)
+    by = by[alone:]
+    if len(by):
+        at, n = begin[by], size[by]
+        total = rows.take(which[at], axis=0)
+        for j, left in enumerate(np.searchsorted(-n, -np.arange(1, n[0])).tolist(), 1):  # sums of more than j rows
+            total[:left] += rows.take(which[at[:left] + j], axis=0)
+        out[by] = total
+    return out
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-30)
 
@@ -175,7 +196,7 @@ def item_index(items: list, model: dict) -> dict:
     keys = np.unique(np.concatenate([*[mix(w ^ x) for w, x in zip(words, salt, strict=True)], np.zeros(0, np.uint64)]))
     vocabulary = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]))
     return {
-        "ids": np.array(ids, np.int64), "words": words, "answers": answers, "vocabulary": vocabulary, "salt": salt, "keys": keys,
+        "ids": np.array(ids, np.int64), "words": words, "answers": answers, "vocabulary": vocabulary, "sieve": _sieve(vocabulary), "salt": salt, "keys": keys, "key_sieve": _sieve(keys),
         "vec": _unit(np.array(vec, np.float32).reshape(len(vec), RANK)), "owner": np.array(owner, np.int64),
         **_rarest(words, model),
     }
@@ -199,12 +220,31 @@ def _rarest(words: list, model: dict) -> dict:
     n = np.array([len(h) for h in words], np.int64)
     step, length = np.maximum(1, n // 2), 2 * n + np.minimum(n, WINDOW)
     return {
-        "rare": rare, "begin": np.append(begin, len(key)), "item": np.concatenate([*item, np.zeros(0, np.int64)]).astype(np.int64)[order],
+        "rare": rare, "rare_sieve": _sieve(rare), "begin": np.append(begin, len(key)), "item": np.concatenate([*item, np.zeros(0, np.int64)]).astype(np.int64)[order],
         "often": np.concatenate([*often, np.zeros(0, np.int64)]).astype(np.int64)[order], "least": np.array(least, np.int64),
         "step": step, "length": length, "spans": -(-length // step),
     }
 
 
+def _sieve(sorted_set: np.ndarray) -> np.ndarray:
+    """By the first bits of a hash, whether ``sorted_set`` has any with them."""
+    bits = min(24, max(10, (8 * len(sorted_set)).bit_length()))
+    out = np.zeros(1 << bits, bool)
+    out[(sorted_set >> np.uint64(64 - bits)).astype(np.int64)] = True
+    return out
+
+
+def _found(h: np.ndarray, sorted_set: np.ndarray, sieve: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``h`` are in ``sorted_set``, and where; only what passes the sieve is looked up."""
+    shift = np.uint64(64 - (len(sieve).bit_length() - 1))
+    at = np.flatnonzero(sieve.take((h >> shift).view(np.int64)))
+    place = np.searchsorted(sorted_set, h[at])
+    if len(sorted_set):
+        same = sorted_set[np.minimum(place, len(sorted_set) - 1)] == h[at]
+        at, place = at[same], place[same]
+    return at, place
+
+
 def _tokens(text: str):
     data = np.frombuffer(text.encode(), np.uint8)
     return PLAIN.tokens(data, np.array([0, len(data)]))
@@ -220,21 +260,44 @@ def _answer(text: str, h: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return np.unique(h[np.argsort(-idf[_bucket(h)], kind="stable")[: max(1, len(h) // 4)]])
 
 
-def lcs_length(item: np.ndarray, region: np.ndarray) -> int:
-    """Longest common subsequence, bit-parallel over the item's words."""
+def item_bits(item: np.ndarray) -> dict[int, int]:
+    """For each word of an item the places where it has it, one bit each."""
     at: dict[int, int] = {}
     for k, w in enumerate(item.tolist()):
         at[w] = at.get(w, 0) | 1 << k
+    return at
+
+
+def lcs_length(item: np.ndarray, region: np.ndarray, at: dict[int, int] | None = None, least: float = 0) -> int:
+    """Longest common subsequence, bit-parallel over the item's words (``at``: its bits, if known). A region
+    with fewer than ``least`` words of the item gives their number, which the subsequence can't exceed."""
+    at = item_bits(item) if at is None else at
+    met = [at[w] for w in region.tolist() if w in at]
+    if len(met) < least:
+        return len(met)
     full = (1 << len(item)) - 1
     v = full
-    for w in region.tolist():
-        m = at.get(w)
-        if m:
-            u = v & m
-            v = ((v + u) | (v - u)) & full
+    for m in met:
+        u = v & m
+        v = ((v + u) | (v - u)) & full
     return len(item) - v.bit_count()
 
 
+def _common(index: dict, i: int, region: np.ndarray) -> int:
+    """Longest common subsequence of item ``i`` and a region; below COVER of the item it may be given too large."""
+    item, held = index["words"][i], index.setdefault("held", {})
+    at = held.get(i)
+    if at is None:
+        at = item_bits(item)
+        index["n_held"] = index.get("n_held", 0) + len(item)
+        if index["n_held"] > MOST_HELD:
+            held.clear()
+            index["n_held"] = len(item)
+        if len(item) <= MOST_BITS:
+            held[i] = at
+    return lcs_length(item, region, at, COVER * len(item))
+
+
 def find_in_batch(h: np.ndarray, first: np.ndarray, index: dict, model: dict) -> list[tuple[int, int, int]]:
     """(text number, item number, lcs) of the contaminations in a batch."""
     found: dict[tuple[int, int], int] = {}
@@ -247,16 +310,14 @@ def find_in_batch(h: np.ndarray, first: np.ndarray, index: dict, model: dict) ->
 def _holds(index: dict, i: int, region: np.ndarray) -> int:
     """Words of item ``i`` in order in the region, 0 if it doesn't hold the item."""
     words, answer = index["words"][i], index["answers"][i]
-    got = lcs_length(words, region)
+    got = _common(index, i, region)
     return got if got >= COVER * len(words) and np.isin(answer, region).sum() * 2 >= len(answer) else 0
 
 
 def candidates(h: np.ndarray, first: np.ndarray, index: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, item, step number) of the first rare word of every region that
     has enough of them; a superset of the regions that hold an item."""
-    word = np.minimum(np.searchsorted(index["rare"], h), len(index["rare"]) - 1)
-    at = np.flatnonzero(index["rare"][word] == h)
-    word = word[at]
+    at, word = _found(h, index["rare"], index["rare_sieve"])
     text = np.searchsorted(first, at, side="right") - 1
     per = index["begin"][word + 1] - index["begin"][word]
     post = np.repeat(index["begin"][word] - np.cumsum(per) + per, per) + np.arange(per.sum())
@@ -281,7 +342,7 @@ def _by_words(h: np.ndarray, first: np.ndarray, index: dict, found: dict) -> Non
             continue
         lo, hi = int(first[t]), int(first[t + 1])
         begin = max(0, b - int(index["spans"][i]) + 1)
-        if lcs_length(index["words"][i], h[lo + begin * step : min(hi, lo + b * step + length)]) < max(COVER * n, found.get((t, i), 0) + 1):
+        if _common(index, i, h[lo + begin * step : min(hi, lo + b * step + length)]) < max(COVER * n, found.get((t, i), 0) + 1):
             continue  # nor has any region within
         for k in range(begin, b + 1):
             if (t, i, k) not in seen:
@@ -301,7 +362,10 @@ def _by_latent(h: np.ndarray, first: np.ndarray, index: dict, model: dict, found
     stop = np.where(pair, np.append(ends[1:], len(h)), ends)
     summed = lambda w: (c := np.concatenate([[0], np.cumsum(w)]))[stop] - c[halves]
     mass = summed(weight)
-    near = np.flatnonzero((pair | alone) & (summed(weight * member(h, index["vocabulary"])) >= LEAST_SHARED * mass))
+    known, _ = _found(h, index["vocabulary"], index["sieve"])
+    shared = np.zeros(len(h))
+    shared[known] = weight[known]
+    near = np.flatnonzero((pair | alone) & (summed(shared) >= LEAST_SHARED * mass))
     if not len(near):
         return
     begin, size, mass, text_of = halves[near], (stop - halves)[near], mass[near], text_of[near]
@@ -321,7 +385,9 @@ def _by_latent(h: np.ndarray, first: np.ndarray, index: dict, model: dict, found
         code = np.unique((w + lo) * len(index["ids"]) + index["owner"][k])
         w, item = np.divmod(code, len(index["ids"]))
         at = np.repeat(starts[w] - np.concatenate([[0], np.cumsum(size[w])[:-1]]), size[w]) + np.arange(size[w].sum())
-        own = member(mix(h[take[at]] ^ np.repeat(index["salt"][item], size[w])), index["keys"]) * weight_once[at]
+        of_item, _ = _found(mix(h[take[at]] ^ np.repeat(index["salt"][item], size[w])), index["keys"], index["key_sieve"])
+        own = np.zeros(len(at))
+        own[of_item] = weight_once[at[of_item]]
         keep = np.add.reduceat(own, np.concatenate([[0], np.cumsum(size[w])[:-1]])) >= LEAST_OWN * mass[w] if len(w) else np.zeros(0, bool)
         for a, i in zip(w[keep].tolist(), item[keep].tolist(), strict=True):
             n, t, at = len(index["words"][i]), int(text_of[a]), int(begin[a])

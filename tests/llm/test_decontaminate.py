@@ -152,3 +152,27 @@ def test_rows_are_dropped_by_their_own_text(spark):
     d = spark.createDataFrame(rows, "doc_id long, text string")
     kept = dc.drop_contaminated(d, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
     assert {tuple(r) for r in kept} == {(None, clean[1]), (5, clean[2])}
+
+
+def test_row_sums_equal_sums_in_order_and_lookups_equal_membership():
+    rng = np.random.default_rng(17)
+    rows = rng.standard_normal((500, 5)).astype(np.float32)
+    size = np.concatenate([rng.integers(1, 2 * dc.LONG, 80), [1, 900, dc.LONG, dc.LONG + 1]])
+    begin, which = np.cumsum(size) - size, rng.integers(0, len(rows), size.sum())
+    assert np.allclose(dc._row_sums(rows, which, begin, size), np.add.reduceat(rows[which], begin, axis=0), rtol=1e-4, atol=1e-4)
+    assert dc._row_sums(rows, which, begin[:0], size[:0]).shape == (0, 5)
+    h = rng.integers(0, 2**64, 3000, np.uint64)
+    for known in (np.unique(h[:700]), h[:0], np.array([0, 2**64 - 1], np.uint64)):
+        at, place = dc._found(np.append(h, np.uint64(0)), known, dc._sieve(known))
+        assert np.array_equal(at, np.flatnonzero(np.isin(np.append(h, np.uint64(0)), known))) and np.array_equal(known[place], np.append(h, np.uint64(0))[at])
+
+
+def test_regions_without_enough_words_of_an_item_are_not_compared():
+    item, region = np.arange(10, dtype=np.uint64), np.array([3, 50, 4, 60, 5] * 20, np.uint64)
+    assert dc.lcs_length(item, region) == 3
+    assert dc.lcs_length(item, region[:5], least=4) == 3  # the words met, a bound
+    index = {"words": [item, item[:3]], "answers": [item, item]}
+    assert dc._common(index, 0, region) == 3 and dc._common(index, 1, item) == 3 and set(index["held"]) == {0, 1}
+    index["n_held"] = dc.MOST_HELD
+    index["words"].append(np.arange(dc.MOST_BITS + 1, dtype=np.uint64))
+    assert dc._common(index, 2, index["words"][2]) == dc.MOST_BITS + 1 and not index["held"]
