@@ -2,12 +2,13 @@
 
 Every block starts from an empty model and is coded on its own; many blocks
 advance together, one id each per step, so that each step is a few numpy
-operations over all of them.
+operations over all of them. Within a block an id goes by its number, which
+is the count of distinct ids up to its first place (from 1); 0 is no id.
 
 Model of a block. Four predictions share the coding interval:
 
 * order 2: the id expected after the last two ids (hashed table);
-* order 1: the id expected after the last id (hashed table);
+* order 1: the id expected after the last id;
 * order 0: the ids the block has had so far, in a list in which an id moves
   half-way to the front each time it is coded here; place k has a share of
   about 1 / (k + 32);
@@ -18,12 +19,14 @@ confidence of the order-2 and of the order-1 prediction and whether both
 expect the same id: after every id the weights move to the prediction that
 coded it. All arithmetic is on integers, so any reader gets the same numbers.
 
-The range coder keeps 64 bits and emits 16 at a time; an interval that lies
-across a border is shortened instead of carrying.
+The range coder keeps 56 bits and emits 16 at a time; a carry goes to the
+words before. The reader holds the distance of its code from the low end only.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 U = np.uint64
@@ -37,67 +40,86 @@ SUM = U(FIELDS)
 FIELD = U(0xFFFF)
 EVEN = U((1 << SHARE_BITS) // 4 * FIELDS)
 TABLE_BITS = 11
-DOWN = U(64 - TABLE_BITS)
+DOWN = np.uint32(32 - TABLE_BITS)
 CONTEXTS = 32
-TOP, BOTTOM = U(1 << 48), U(1 << 40)
-S16, S32, S48 = U(16), U(32), U(48)
+TURNED = 64  # rows or columns of a tile
+BOTTOM, LOW = U(1 << 40), U((1 << 40) - 1)
+S4, S16, S24, S32, S40, S48 = U(4), U(16), U(24), U(32), U(40), U(48)
 SHARE = U(SHARE_BITS)
 
 
-def _places(n: int) -> np.ndarray:
-    """Bounds of the shares of the places of the order-0 list: entry k is the sum of the shares before k."""
-    return np.concatenate([[0], np.cumsum((1 << 16) // (np.arange(n, dtype=np.int64) + 32))]).astype(np.uint64)
+@lru_cache(maxsize=4)
+def _places(n: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shares of the order-0 list. By place (from 1; 0 is no place, a whole share): its share and the sum of those before.
+    By number of places: 2 ** 40 over the sum of their shares (0: over the vocabulary) and the last point of the
+    sum. By point of the sum: the place, from 0."""
+    share = (1 << 16) // (np.arange(n, dtype=np.int64) + 32)
+    sums = np.concatenate([[0], np.cumsum(share)])
+    parts = (1 << 40) // np.concatenate([[vocabulary], sums[1:]])
+    shares, before = np.concatenate([[1], share]), np.concatenate([[0], sums[:-1]])
+    return *(x.astype(np.uint64) for x in (shares, before, parts, np.maximum(sums - 1, 0))), np.repeat(np.arange(n), share)
 
 
 class Model:
     """State of ``lanes`` blocks of at most ``most`` ids each."""
 
     def __init__(self, lanes: int, most: int, vocabulary: int):
-        size = 1 << TABLE_BITS
+        self.kind = np.uint16 if most < 1 << 14 else np.uint32  # of number * 4 + confidence
+        size, stride = 1 << TABLE_BITS, most + 1
+        lane = np.arange(lanes, dtype=np.int64)
         self.share = np.full(lanes * CONTEXTS, EVEN)
-        self.after = np.full(2 * lanes * size, -4, np.int32)  # expected id * 4 + confidence (0 to 3)
+        self.after = np.full(lanes * (size + stride), 0, self.kind)  # expected number * 4 + confidence (0 to 3)
         self.known = np.zeros(lanes, np.int64)
-        self.bounds = _places(most)
-        self.last = np.full(lanes, vocabulary, np.uint64)
-        self.before = np.full(lanes, vocabulary, np.uint64)
-        lane = np.arange(lanes, dtype=np.int64)
-        self.row, self.mix = lane * most, lane * CONTEXTS
-        self.slot1, self.slot2 = lane * 2 * size, (lane * 2 + 1) * size
+        self.last, self.before = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        self.row, self.mix = lane * stride, lane * CONTEXTS
+        self.slots = np.stack([lane * (size + stride) + stride, lane * (size + stride)])  # order 2, order 1
+        self.listed = np.tile(np.arange(1, stride + 1, dtype=self.kind), lanes)  # number at each place; a new one is there already
+        self.shares, self.sums, self.parts, self.ends, self.places = _places(most, vocabulary)
 
     def predict(self, n: int) -> None:
         """Predictions of the first ``n`` lanes and the bounds of their shares."""
         last = self.last[:n]
-        both = (last * U(0x9E3779B1) + self.before[:n]) * U(0xD6E8FEB86659FD93)
-        self.at1 = self.slot1[:n] + ((last * U(0x9E3779B97F4A7C15)) >> DOWN).view(np.int64)
-        self.at2 = self.slot2[:n] + (both >> DOWN).view(np.int64)
-        self.p1, self.p2 = self.after.take(self.at1), self.after.take(self.at2)
-        self.c1, self.c2 = self.p1 >> 2, self.p2 >> 2
-        level = ((self.p2 & 3) << 3) + ((self.p1 & 3) << 1) + (self.c1 == self.c2)
+        self.at = at = self.slots[:, :n].copy()
+        at[0] += (last * np.uint32(0x9E3779B1) + self.before[:n]) >> DOWN
+        at[1] += last
+        self.p = p = self.after.take(at)
+        self.c, self.sure = c, sure = p >> 2, p & 3
+        level = (sure[0] << 3) + (sure[1] << 1) + (c[0] == c[1])
         self.context = self.mix[:n] + level
-        self.weights = w = self.share.take(self.context)
-        self.b1 = w & FIELD
-        self.b2 = self.b1 + ((w >> S16) & FIELD)
-        self.b3 = self.b2 + ((w >> S32) & FIELD)
-
-    def narrow(self, kind: np.ndarray, lo: np.ndarray, span: np.ndarray) -> np.ndarray:
-        """Takes ``lo`` and the returned span to the share of the prediction that codes each lane's id."""
-        r = span >> SHARE
-        begin = np.choose(kind, (U(0), self.b1, self.b2, self.b3))
-        self.by16 = (kind << 4).view(np.uint64)
-        lo += r * begin
-        return r * ((self.weights >> self.by16) & FIELD)
-
-    def learn(self, n: int, ids: np.ndarray, x: np.ndarray) -> None:
-        """Moves the weights to the prediction that coded each id, and the tables to the ids (``x``: 32 bits)."""
+        self.weights = self.share.take(self.context)
+        self.bounds = self.weights * SUM  # sums of the first one, two, three and four weights
+
+    def narrow(self, n: int, kind: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and size of the share of the prediction that codes each lane's id, and the units it is cut
+        into: shares of the list, ids of the vocabulary, or one."""
+        self.by16 = by16 = kind.astype(np.uint64) << S4
+        begin = r * ((self.bounds << S16 >> by16) & FIELD)
+        r = r * ((self.weights >> by16) & FIELD)
+        self.from_list, self.new = kind == 2, kind == 3
+        self.listing = self.known[:n] * self.from_list  # how many are listed, 0 for other kinds
+        unit = ((r >> S24) * self.parts.take(self.listing)) >> S16
+        return begin, r + (unit - r) * (kind > 1)
+
+    def forward(self, n: int, k: np.ndarray) -> np.ndarray:
+        """Moves the id at place ``k`` of each list half-way to the front (place 0 stays) and returns its number."""
+        row, half = self.row[:n], k >> 1
+        self.here, self.there = here, there = row + k, row + half
+        one, self.other = self.listed.take(here), self.listed.take(there)
+        self.listed[here], self.listed[there] = self.other, one
+        self.known[:n] += self.new
+        return one
+
+    def learn(self, n: int, y: np.ndarray) -> None:
+        """Moves the weights to the prediction that coded each id, and the tables to the ids' numbers."""
         w = self.weights
         less = ((w - FLOOR) >> RATE) & KEEP
         self.share[self.context] = w - less + (((less * SUM) >> S48) << self.by16)
-        first = (x << 2) + 1
-        for at, p, c in ((self.at1, self.p1, self.c1), (self.at2, self.p2, self.c2)):
-            sure = p & 3
-            self.after[at] = np.where(c == x, p + (sure < 3), np.where(sure > 1, p - 1, first))
-        self.before[:n] = self.last[:n]
-        self.last[:n] = ids
+        # a hit raises the confidence up to 3, a miss lowers it and below 2 puts the new number in
+        hit, fresh = self.c == y, (y << 2) + 1
+        moved = self.p + hit * ((self.sure < 3) + self.kind(1)) - 1
+        self.after[self.at] = fresh + (moved - fresh) * (hit | (self.sure > 1))
+        np.multiply(self.last[:n], np.uint32(0x85EBCA6B), out=self.before[:n])
+        self.last[:n] = y
 
 
 def _shapes(lengths: np.ndarray):
@@ -105,16 +127,15 @@ def _shapes(lengths: np.ndarray):
     order = np.argsort(-lengths, kind="stable")
     longest = int(lengths.max(initial=0))
     left = len(lengths) - np.searchsorted(np.sort(lengths), np.arange(longest), side="right")
-    return order, left
+    return order, left.tolist()
 
 
-def _due(lo: np.ndarray, r: np.ndarray, lanes: np.ndarray):
-    """Of ``lanes`` (all with a short span), low ends and spans such that their first 16 bits are settled."""
-    a, b = lo[lanes], r[lanes]
-    across = (a ^ (a + b)) >= TOP
-    if across.any():
-        b = np.where(across, (~a + U(1)) & (BOTTOM - U(1)), b)
-    return a, b
+def _turned(x: np.ndarray) -> np.ndarray:
+    """The transpose, copied in tiles."""
+    out = np.empty(x.shape[::-1], x.dtype)
+    for k in range(0, x.shape[1], TURNED):
+        out[k : k + TURNED] = x[:, k : k + TURNED].T
+    return out
 
 
 def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
@@ -122,59 +143,66 @@ def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     lengths = np.array([len(b) for b in blocks], np.int64)
     order, left = _shapes(lengths)
     lanes, most = len(blocks), max(1, int(lengths.max(initial=0)))
-    ids = np.zeros((most, lanes), np.int32)  # by step, so that a step's ids are together
-    local = np.zeros((most, lanes), np.int32)
-    for lane, k in enumerate(order):
-        n = lengths[k]
-        ids[:n, lane] = blocks[k]
-        _, local[:n, lane] = np.unique(blocks[k], return_inverse=True)
     m = Model(lanes, most, vocabulary)
-    place = np.full(lanes * most, -1, np.int32)  # of each distinct id of a lane in its list
-    listed = np.zeros(lanes * most, np.int32)  # the distinct id at each place
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    words, at = np.zeros((lanes, 3 * most + 8), np.uint16), np.zeros(lanes, np.int64)
-    for t in range(len(left)):
-        n = int(left[t])
+    ids, numbers = np.zeros((most, lanes), np.int32), np.zeros((most, lanes), m.kind)  # by step, so that a step's ids are together
+    first = np.zeros(vocabulary, np.int32)
+    for lo in range(0, lanes, TURNED):
+        own = order[lo : lo + TURNED]
+        x, y = np.zeros((len(own), most), np.int32), np.zeros((len(own), most), m.kind)
+        for lane, k in enumerate(own):
+            n, b = int(lengths[k]), blocks[k]
+            at = np.arange(n, dtype=np.int32)
+            first[b[::-1]] = at[::-1]
+            at_first = first[b]
+            x[lane, :n], y[lane, :n] = b, np.cumsum(at_first == at)[at_first]
+        ids[:, lo : lo + TURNED], numbers[:, lo : lo + TURNED] = x.T, y.T
+    place = np.tile(np.maximum(np.arange(most + 1) - 1, 0).astype(m.kind), lanes)  # of each number of a lane in its list
+    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 56, np.uint64)
+    words = np.zeros((3 * most + 8, lanes), np.uint32)
+    at, flat = np.arange(lanes, dtype=np.int64), words.reshape(-1)
+    for n, x, y in zip(left, ids, numbers):
+        x, y, lo, row = x[:n], y[:n], low[:n], m.row[:n]
         m.predict(n)
-        x, mine, lo = ids[t, :n], m.row[:n] + local[t, :n], low[:n]
-        k = place.take(mine)
-        kind = np.where(m.c2 == x, 0, np.where(m.c1 == x, 1, 3 - (k >= 0)))
-        r = m.narrow(kind, lo, span[:n])
-        some = np.flatnonzero(kind == 2)
-        if len(some):
-            kk, base, rr = k[some], m.row[some], r[some] // m.bounds[m.known[some]]
-            start = m.bounds[kk]
-            lo[some] += rr * start
-            r[some] = rr * (m.bounds[kk + 1] - start)
-            half, here = base + (kk >> 1), base + kk
-            other = listed[half]
-            listed[half], listed[here] = listed[here], other
-            place[base + other] = kk
-            place[mine[some]] = kk >> 1
-        new = np.flatnonzero(kind == 3)
-        if len(new):
-            rr, count = r[new] // U(vocabulary), m.known[new]
-            lo[new] += rr * x[new].astype(np.uint64)
-            r[new] = rr
-            listed[m.row[new] + count] = local[t, new]
-            place[mine[new]] = count
-            m.known[new] = count + 1
-        m.learn(n, x.astype(np.uint64), x)
+        miss = (m.c != y).view(np.int8)
+        kind = miss[0] * (miss[1] * ((y > m.known[:n]).view(np.int8) + np.int8(1)) + np.int8(1))
+        begin, unit = m.narrow(n, kind, span[:n] >> SHARE)
+        k = (place.take(row + y) * m.from_list).astype(np.int64)
+        share = k + m.from_list
+        lo += begin + unit * (m.sums.take(share) + (x * m.new).view(np.uint32))
+        r = unit * m.shares.take(share)
+        one = m.forward(n, k)
+        place[row + m.other] = k
+        place[row + one] = k >> 1
+        m.learn(n, y)
+        short = r < BOTTOM
+        flat[at[:n]] = lo >> S40  # written again if it isn't settled yet
+        at[:n] += short * lanes
+        shift = short * S16
+        lo &= LOW | (short - U(1))
+        lo <<= shift
+        r <<= shift
         go = np.flatnonzero(r < BOTTOM)
         while len(go):
-            a, b = _due(lo, r, go)
-            words[go, at[go]] = a >> S48
-            at[go] += 1
-            lo[go], r[go] = a << S16, b << S16
-            go = go[r[go] < BOTTOM]
+            a, b, j = lo.take(go), r.take(go) << S16, at.take(go)
+            flat[j] = a >> S40
+            at[go] = j + lanes
+            lo[go], r[go] = (a & LOW) << S16, b
+            go = go[b < BOTTOM]
         span[:n] = r
     for _ in range(4):
-        words[np.arange(lanes), at] = low >> S48
-        at += 1
-        low <<= S16
+        flat[at] = low >> S40
+        at += lanes
+        low = (low & LOW) << S16
+    used = at // lanes
+    words = _turned(words[: used.max(initial=0)])
+    flat = words.reshape(-1)
+    while (over := np.flatnonzero(flat > 0xFFFF)).size:  # carries; a block's first word has none
+        flat[over] &= 0xFFFF
+        flat[over - 1] += 1
+    words = words.astype(">u2")
     out = [b""] * lanes
-    for lane, k in enumerate(order):
-        out[k] = words[lane, : at[lane]].astype("<u2").tobytes()
+    for lane, (k, n) in enumerate(zip(order, used.tolist())):
+        out[k] = words[lane, :n].tobytes()
     return out
 
 
@@ -184,58 +212,56 @@ def decode_blocks(coded: list[bytes], lengths, vocabulary: int) -> list[np.ndarr
     order, left = _shapes(lengths)
     lanes, most = len(coded), max(1, int(lengths.max(initial=0)))
     longest = max([len(c) // 2 for c in coded], default=0) + 8
-    words, at = np.zeros((lanes, longest), np.uint16), np.full(lanes, 4, np.int64)
+    words = np.zeros((lanes, longest), np.uint16)
     for lane, k in enumerate(order):
-        w = np.frombuffer(coded[k], "<u2")
+        w = np.frombuffer(b"\0" + coded[k] + b"\0", ">u2")  # 56 bits are four words but for a byte
         words[lane, : len(w)] = w
+    words = _turned(words)
     code = np.zeros(lanes, np.uint64)
     for j in range(4):
-        code = (code << S16) | words[:, j]
+        code = (code << S16) | words[j]
+    at, flat = np.arange(lanes, dtype=np.int64) + 4 * lanes, words.reshape(-1)
     m = Model(lanes, most, vocabulary)
-    listed = np.zeros(lanes * most, np.int32)
-    ids = np.zeros((most, lanes), np.int32)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    for t in range(len(left)):
-        n = int(left[t])
+    numbers, names = np.zeros((most, lanes), m.kind), np.zeros((most, lanes), np.int32)  # names: of new ids, from 1
+    span, top = np.full(lanes, 1 << 56, np.uint64), U(vocabulary - 1)
+    for n, y, name in zip(left, numbers, names):
+        y, cd = y[:n], code[:n]
         m.predict(n)
-        lo, cd = low[:n], code[:n]
-        v = (cd - lo) // (span[:n] >> SHARE)
-        kind = (v >= m.b1).astype(np.int64) + (v >= m.b2) + (v >= m.b3)
-        r = m.narrow(kind, lo, span[:n])
-        x = np.where(kind == 0, m.c2, m.c1)
-        some = np.flatnonzero(kind == 2)
-        if len(some):
-            base, total = m.row[some], m.bounds[m.known[some]]
-            a, rr = lo[some], r[some] // total
-            kk = np.searchsorted(m.bounds, np.minimum((cd[some] - a) // rr, total - U(1)), side="right") - 1
-            start = m.bounds[kk]
-            lo[some] = a + rr * start
-            r[some] = rr * (m.bounds[kk + 1] - start)
-            half, here = base + (kk >> 1), base + kk
-            x[some] = one = listed[here]
-            listed[here] = listed[half]
-            listed[half] = one
-        new = np.flatnonzero(kind == 3)
-        if len(new):
-            a, rr, count = lo[new], r[new] // U(vocabulary), m.known[new]
-            v = np.minimum((cd[new] - a) // rr, U(vocabulary - 1))
-            lo[new] = a + rr * v
-            r[new] = rr
-            x[new] = v
-            listed[m.row[new] + count] = v
-            m.known[new] = count + 1
-        ids[t, :n] = x
-        m.learn(n, x, x)
+        r = span[:n] >> SHARE
+        kind = (cd >= r * (m.bounds & FIELD)).view(np.int8) + (cd >= r * ((m.bounds >> S16) & FIELD)).view(np.int8)
+        kind += (cd >= r * ((m.bounds >> S32) & FIELD)).view(np.int8)
+        begin, unit = m.narrow(n, kind, r)
+        cd -= begin
+        point = cd // unit
+        k = m.places.take(np.minimum(point, m.ends.take(m.listing)).view(np.int64))
+        x = np.minimum(point, top) * m.new
+        name[:n] = x + m.new
+        share = k + m.from_list
+        cd -= unit * (m.sums.take(share) + x)
+        r = unit * m.shares.take(share)
+        one = m.forward(n, k)
+        y[:] = m.c[1] + (m.c[0] - m.c[1]) * (kind == 0)
+        y += (one - y) * m.from_list
+        y += (m.known[:n].astype(m.kind) - y) * m.new
+        m.learn(n, y)
+        short = r < BOTTOM
+        shift = short * S16
+        cd <<= shift
+        cd |= flat.take(at[:n]) * short
+        at[:n] += short * lanes
+        r <<= shift
         go = np.flatnonzero(r < BOTTOM)
         while len(go):
-            a, b = _due(lo, r, go)
-            j = at[go]
-            cd[go] = (cd[go] << S16) | words[go, np.minimum(j, longest - 1)]
-            at[go] = j + 1
-            lo[go], r[go] = a << S16, b << S16
-            go = go[r[go] < BOTTOM]
+            j, b = at.take(go), r.take(go) << S16
+            cd[go] = (cd.take(go) << S16) | flat.take(j)
+            at[go] = j + lanes
+            r[go] = b
+            go = go[b < BOTTOM]
         span[:n] = r
+    numbers, names = _turned(numbers), _turned(names)
     out = [None] * lanes
     for lane, k in enumerate(order):
-        out[k] = ids[: lengths[k], lane].copy()
+        n = lengths[k]
+        x = names[lane, :n]
+        out[k] = (x[x > 0] - 1)[numbers[lane, :n].astype(np.int64) - 1]
     return out

@@ -6,7 +6,7 @@ order. A folder holds one file per task of the write. A file is a Parquet part
 (so that Spark's commit protocol covers lost and repeated tasks, on any file
 system) whose rows are blocks; ``data`` is a block on its own:
 
-    magic 'IDB1', vocabulary size, number of ids, number of documents, place of
+    magic 'IDB2', vocabulary size, number of ids, number of documents, place of
     the first one in its file, sizes of the two parts below, flags (4 bytes
     each, little endian); for each document its id (8 bytes) and how many of
     its ids lie in this block (4 bytes), deflated; the ids, coded by the
@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from deskpulse.llm.io import scratch_folder, small_batches, table
 from deskpulse.llm.rangecoder import decode_blocks, encode_blocks
@@ -53,9 +53,10 @@ TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END = 1
 BLOCK = 2048  # ids of a block
 LANES = 2048  # blocks that a task codes side by side
+GATHERED = 256  # blocks whose rows are handed on together
 SLICE = 4 << 20  # bytes of text tokenized at a time (one text at least)
 HEAD = struct.Struct("<4s7I")
-MAGIC = b"IDB1"
+MAGIC = b"IDB2"
 NULL_ID = -(1 << 63)
 HAS_NULL, GOES_ON, UNFINISHED = 1, 2, 4  # flags: NULL_ID means null; the first document began earlier; the last one ends later
 SCHEMA = "file int, block int, n_ids int, data binary"
@@ -75,20 +76,24 @@ class WordCoder:
         self.size = max(vocab.values()) + 1
         self.closes = np.zeros(self.size, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.atoms, self.odd = Pieces(lambda p: [self.words(p.to_pylist())]), Pieces(lambda p: [self.whole(p.to_pylist())])
+        # the same model for words that are lower-cased and cut already
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.atoms, self.odd = Pieces(lambda p: [self.words(p)]), Pieces(lambda p: [self.whole(p.to_pylist())])
 
     def whole(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         lengths = np.array([len(x) for x in ids], np.int64)
         return np.array([i for x in ids for i in x], np.int32), lengths
 
-    def words(self, atoms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, atoms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that are one unit of the tokenizer each: encoded side by side, cut after word-end tokens."""
-        texts = [" ".join(atoms[i : i + 500]) for i in range(0, len(atoms), 500)]
-        flat = np.concatenate([np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        offsets = np.append(np.arange(0, len(atoms), 100), len(atoms)).astype(np.int32)
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), atoms), " ").to_pylist()
+        flat = np.concatenate([np.array(e.ids, np.int32) for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)])
         ends = np.flatnonzero(self.closes[flat]) + 1
         if len(ends) != len(atoms) or ends[-1] != len(flat):
-            return self.whole(atoms)
+            return self.whole(atoms.to_pylist())
         return flat, np.diff(ends, prepend=0)
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +108,8 @@ class WordCoder:
         plain = pc.match_substring_regex(distinct, self.PLAIN).to_numpy(zero_copy_only=False)
         flats, lengths = [], np.zeros(len(distinct), np.int64)
         if plain.any():
-            parts = pc.split_pattern(pc.utf8_rtrim_whitespace(pc.replace_substring_regex(distinct.filter(pa.array(plain)), self.ATOM, r"\1 ")), " ")
+            lower = pc.utf8_lower(distinct.filter(pa.array(plain)))
+            parts = pc.split_pattern(pc.utf8_rtrim_whitespace(pc.replace_substring_regex(lower, self.ATOM, r"\1 ")), " ")
             flat, n = self.atoms.ids(parts.flatten())
             lengths[plain] = sums(n, parts.offsets.to_numpy() - parts.offsets[0].as_py())
             flats.append(flat)
@@ -313,38 +319,33 @@ def _pieces(blocks: DataFrame, with_ids: bool) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, LANES):
                 b = batch.slice(at, LANES)
-                files, numbers = b.column("file").to_pylist(), b.column("block").to_pylist()
-                for file, number, (block, ids) in zip(files, numbers, decode(b.column("data").to_pylist())):
-                    yield _rows(file, number, block, ids, with_ids)
-
-    def gathered(batches):
-        held, n = [], 0
-        for r in run(batches):
-            held.append(r)
-            n += r.num_rows
-            if n >= 4096:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, n = [], 0
-        if n:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-    return blocks.mapInArrow(gathered, PIECES + (", ids array<long>" if with_ids else ""))
-
-
-def _rows(file: int, number: int, block: Block, ids: np.ndarray, with_ids: bool) -> pa.RecordBatch:
-    k, ends = len(block.docs), np.cumsum(block.counts)
-    at = ends - block.counts
-    raw = ids.astype("<u4").tobytes()
-    first, last = np.ones(k, bool), np.ones(k, bool)
-    first[0], last[-1] = not block.flags & GOES_ON, not block.flags & UNFINISHED
-    doc = pa.array(block.docs, mask=(block.docs == NULL_ID) if block.flags & HAS_NULL else None)
+                decoded = decode(b.column("data").to_pylist())
+                for k in range(0, b.num_rows, GATHERED):
+                    part = b.slice(k, GATHERED)
+                    yield _rows(part.column("file"), part.column("block"), decoded[k : k + GATHERED], with_ids)
+
+    return blocks.mapInArrow(run, PIECES + (", ids array<long>" if with_ids else ""))
+
+
+def _rows(files: pa.Array, numbers: pa.Array, decoded: list[tuple[Block, np.ndarray]], with_ids: bool) -> pa.RecordBatch:
+    blocks, ids = [b for b, _ in decoded], np.concatenate([i for _, i in decoded])
+    k = np.array([len(b.docs) for b in blocks])
+    block_of, counts, docs = np.repeat(np.arange(len(blocks)), k), np.concatenate([b.counts for b in blocks]), np.concatenate([b.docs for b in blocks])
+    ends = np.cumsum(counts)
+    begins, of_block = ends - counts, np.cumsum([b.n for b in blocks]) - [b.n for b in blocks]
+    place = np.concatenate([b.place + np.arange(n) for b, n in zip(blocks, k)])
+    flags = np.array([b.flags for b in blocks])
+    first, last, until = np.ones(len(docs), bool), np.ones(len(docs), bool), np.cumsum(k)
+    first[until - k], last[until - 1] = flags & GOES_ON == 0, flags & UNFINISHED == 0
+    raw = memoryview(ids.astype("<u4").tobytes())
+    crc = [zlib.crc32(raw[a:e]) for a, e in zip((4 * begins).tolist(), (4 * ends).tolist())]
     cols = [
-        pa.array(np.full(k, file, np.int32)), pa.array(np.full(k, number, np.int32)), doc, pa.array(block.place + np.arange(k)),
-        pa.array(at.astype(np.int32)), pa.array(block.counts.astype(np.int32)),
-        pa.array(np.array([zlib.crc32(raw[4 * a : 4 * e]) for a, e in zip(at, ends)], np.int64)), pa.array(first), pa.array(last),
+        files.take(pa.array(block_of)), numbers.take(pa.array(block_of)), pa.array(docs, mask=(docs == NULL_ID) & (flags & HAS_NULL > 0)[block_of]), pa.array(place),
+        pa.array((begins - of_block[block_of]).astype(np.int32)), pa.array(counts.astype(np.int32)),
+        pa.array(crc, pa.int64()), pa.array(first), pa.array(last),
     ]
     names = ["file", "block", "doc_id", "place", "at", "n", "crc", "first", "last"]
     if with_ids:
-        cols.append(pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)).astype(np.int32)), pa.array(ids.astype(np.int64))))
+        cols.append(pa.ListArray.from_arrays(pa.array(np.append(begins, len(ids)).astype(np.int32)), pa.array(ids.astype(np.int64))))
         names.append("ids")
     return pa.record_batch(cols, names=names)

@@ -11,8 +11,10 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-MOST_CACHED = 200_000  # pieces that a task keeps; past that it starts anew
+MOST_CACHED = 200_000  # pieces that a task keeps,
+MOST_BYTES = 64 << 20  # and their bytes; past that it starts anew
 
 
 def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -57,24 +59,27 @@ class Pieces:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.known = None  # the pieces by their number
         self.sides = [Growing() for _ in range(self.n)]
 
     def numbers(self, pieces: pa.Array) -> np.ndarray:
         """Number of each of ``pieces``, which may repeat; unknown ones are encoded first."""
-        if len(self.number) > MOST_CACHED:
+        if self.known is not None and (len(self.known) > MOST_CACHED or self.known.nbytes + pieces.nbytes > MOST_BYTES):
             self.clear()
         if not len(pieces):
             return np.zeros(0, np.int64)
         coded = pieces.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        which = np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
+        words = coded.dictionary
+        if self.known is None:
+            self.known = words.slice(0, 0)
+        which = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         fresh = np.flatnonzero(which < 0)
         if len(fresh):
-            for side, (flat, lengths) in zip(self.sides, self.encode(coded.dictionary.take(pa.array(fresh)))):
+            unknown = words.take(pa.array(fresh))
+            for side, (flat, lengths) in zip(self.sides, self.encode(unknown)):
                 side.add(flat, lengths)
-            which[fresh] = len(self.number) + np.arange(len(fresh))
-            self.number.update(zip([words[i] for i in fresh.tolist()], which[fresh].tolist()))
+            which[fresh] = len(self.known) + np.arange(len(fresh))
+            self.known = pa.concat_arrays([self.known, unknown])
         return which[coded.indices.to_numpy(zero_copy_only=False)]
 
     def ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:

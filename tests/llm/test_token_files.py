@@ -106,3 +106,23 @@ def test_checksums_of_parts_join():
     a, b, c = b"one part", b"", b"another" * 9
     moved = tf.shifted_crc(np.array([zlib.crc32(a), zlib.crc32(b), zlib.crc32(c)], np.uint64), np.array([len(b + c), len(c), 0]))
     assert int(np.bitwise_xor.reduce(moved)) == zlib.crc32(a + b + c)
+
+
+def test_carries_and_long_blocks_round_trip():
+    rng = np.random.default_rng(9)
+    blocks = [rng.integers(0, 3, 20_000), np.zeros(17_000, np.int64), rng.integers(0, 1 << 20, 400), np.arange(2048) % 2, np.zeros(0, np.int64)]
+    for vocabulary in (1 << 20, 1 << 29):
+        coded = encode_blocks(blocks, vocabulary) if vocabulary < 1 << 29 else encode_blocks([np.where(b == 1, vocabulary - 1, b) for b in blocks], vocabulary)
+        for a, b in zip(blocks, decode_blocks(coded, [len(b) for b in blocks], vocabulary)):
+            assert np.array_equal(a if vocabulary < 1 << 29 else np.where(a == 1, vocabulary - 1, a), b)
+
+
+def test_words_are_cut_and_lowered_once_for_the_model_alone(coder, library, monkeypatch):
+    called = []
+    monkeypatch.setattr(coder, "whole", lambda pieces: called.append(pieces) or pytest.fail("plain words need no whole tokenizer"))
+    coder.atoms.clear()
+    texts = ["ÀÉÎ Naïve ÿes café-AU-lait 3x4 [ok]", "again AGAIN ÑANDÚ"] * 300
+    flat, n = coder.texts(pa.array(texts))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts[:2]]
+    assert flat.tolist() == (want[0] + want[1]) * 300 and n.tolist() == [len(want[0]), len(want[1])] * 300 and not called
+    assert len(coder.atoms.known) == len(set(coder.atoms.known.to_pylist()))  # each distinct word once, kept in Arrow
