@@ -42,6 +42,7 @@ EVEN = U((1 << SHARE_BITS) // 4 * FIELDS)
 TABLE_BITS = 11
 DOWN = np.uint32(32 - TABLE_BITS)
 CONTEXTS = 32
+FAST = "clip"  # take without a look for places out of range, which there are none of
 TURNED = 64  # rows or columns of a tile
 BOTTOM, LOW = U(1 << 40), U((1 << 40) - 1)
 S4, S16, S24, S32, S40, S48 = U(4), U(16), U(24), U(32), U(40), U(48)
@@ -82,11 +83,11 @@ class Model:
         self.at = at = self.slots[:, :n].copy()
         at[0] += (last * np.uint32(0x9E3779B1) + self.before[:n]) >> DOWN
         at[1] += last
-        self.p = p = self.after.take(at)
+        self.p = p = self.after.take(at, mode=FAST)
         self.c, self.sure = c, sure = p >> 2, p & 3
         level = (sure[0] << 3) + (sure[1] << 1) + (c[0] == c[1])
         self.context = self.mix[:n] + level
-        self.weights = self.share.take(self.context)
+        self.weights = self.share.take(self.context, mode=FAST)
         self.bounds = self.weights * SUM  # sums of the first one, two, three and four weights
 
     def narrow(self, n: int, kind: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,19 +96,19 @@ class Model:
         self.by16 = by16 = kind.astype(np.uint64) << S4
         begin = r * ((self.bounds << S16 >> by16) & FIELD)
         r = r * ((self.weights >> by16) & FIELD)
-        self.from_list, self.new = kind == 2, kind == 3
+        self.from_list, self.new = one(kind == 2), one(kind == 3)
         self.listing = self.known[:n] * self.from_list  # how many are listed, 0 for other kinds
-        unit = ((r >> S24) * self.parts.take(self.listing)) >> S16
-        return begin, r + (unit - r) * (kind > 1)
+        unit = ((r >> S24) * self.parts.take(self.listing, mode=FAST)) >> S16
+        return begin, r + (unit - r) * (self.from_list + self.new).view(U)
 
     def forward(self, n: int, k: np.ndarray) -> np.ndarray:
         """Moves the id at place ``k`` of each list half-way to the front (place 0 stays) and returns its number."""
         row, half = self.row[:n], k >> 1
         self.here, self.there = here, there = row + k, row + half
-        one, self.other = self.listed.take(here), self.listed.take(there)
-        self.listed[here], self.listed[there] = self.other, one
+        moved, self.other = self.listed.take(here, mode=FAST), self.listed.take(there, mode=FAST)
+        self.listed[here], self.listed[there] = self.other, moved
         self.known[:n] += self.new
-        return one
+        return moved
 
     def learn(self, n: int, y: np.ndarray) -> None:
         """Moves the weights to the prediction that coded each id, and the tables to the ids' numbers."""
@@ -122,6 +123,11 @@ class Model:
         self.last[:n] = y
 
 
+def one(flags: np.ndarray) -> np.ndarray:
+    """1 where a flag holds, 0 elsewhere, as whole numbers that need no cast in a step."""
+    return flags.view(np.int8).astype(np.int64)
+
+
 def _shapes(lengths: np.ndarray):
     """Lanes in order of falling length, and for each step how many of them still run."""
     order = np.argsort(-lengths, kind="stable")
@@ -166,19 +172,20 @@ def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
         miss = (m.c != y).view(np.int8)
         kind = miss[0] * (miss[1] * ((y > m.known[:n]).view(np.int8) + np.int8(1)) + np.int8(1))
         begin, unit = m.narrow(n, kind, span[:n] >> SHARE)
-        k = (place.take(row + y) * m.from_list).astype(np.int64)
+        k = place.take(row + y, mode=FAST) * m.from_list
         share = k + m.from_list
-        lo += begin + unit * (m.sums.take(share) + (x * m.new).view(np.uint32))
-        r = unit * m.shares.take(share)
-        one = m.forward(n, k)
+        lo += begin + unit * (m.sums.take(share, mode=FAST) + (x * m.new).view(U))
+        r = unit * m.shares.take(share, mode=FAST)
+        moved = m.forward(n, k)
+        k = k.astype(m.kind)
         place[row + m.other] = k
-        place[row + one] = k >> 1
+        place[row + moved] = k >> 1
         m.learn(n, y)
-        short = r < BOTTOM
-        flat[at[:n]] = lo >> S40  # written again if it isn't settled yet
+        short = one(r < BOTTOM)
+        flat[at[:n]] = (lo >> S40).astype(np.uint32)  # written again if it isn't settled yet
         at[:n] += short * lanes
-        shift = short * S16
-        lo &= LOW | (short - U(1))
+        shift = (short << 4).view(U)
+        lo &= LOW | (short - 1).view(U)
         lo <<= shift
         r <<= shift
         go = np.flatnonzero(r < BOTTOM)
@@ -233,21 +240,21 @@ def decode_blocks(coded: list[bytes], lengths, vocabulary: int) -> list[np.ndarr
         begin, unit = m.narrow(n, kind, r)
         cd -= begin
         point = cd // unit
-        k = m.places.take(np.minimum(point, m.ends.take(m.listing)).view(np.int64))
-        x = np.minimum(point, top) * m.new
+        k = m.places.take(np.minimum(point, m.ends.take(m.listing, mode=FAST)).view(np.int64), mode=FAST)
+        x = np.minimum(point, top).view(np.int64) * m.new
         name[:n] = x + m.new
         share = k + m.from_list
-        cd -= unit * (m.sums.take(share) + x)
-        r = unit * m.shares.take(share)
-        one = m.forward(n, k)
+        cd -= unit * (m.sums.take(share, mode=FAST) + x.view(U))
+        r = unit * m.shares.take(share, mode=FAST)
+        moved = m.forward(n, k)
         y[:] = m.c[1] + (m.c[0] - m.c[1]) * (kind == 0)
-        y += (one - y) * m.from_list
-        y += (m.known[:n].astype(m.kind) - y) * m.new
+        y += (moved - y) * (kind == 2)
+        y += (m.known[:n].astype(m.kind) - y) * (kind == 3)
         m.learn(n, y)
-        short = r < BOTTOM
-        shift = short * S16
+        short = one(r < BOTTOM)
+        shift = (short << 4).view(U)
         cd <<= shift
-        cd |= flat.take(at[:n]) * short
+        cd |= (flat.take(at[:n], mode=FAST) * short).view(U)
         at[:n] += short * lanes
         r <<= shift
         go = np.flatnonzero(r < BOTTOM)

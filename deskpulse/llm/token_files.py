@@ -31,6 +31,7 @@ positions, so no task needs all rows of one.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -46,13 +47,14 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from deskpulse.llm.io import scratch_folder, small_batches, table
 from deskpulse.llm.rangecoder import decode_blocks, encode_blocks
-from deskpulse.llm.textvec import slices
+from deskpulse.llm.textvec import arrow_buffers, slices
 from deskpulse.llm.tokenwords import Pieces, ragged_take, sums
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END = 1
 BLOCK = 2048  # ids of a block
-LANES = 2048  # blocks that a task codes side by side
+LANES = 3072  # blocks that a task codes side by side
+READ_LANES = 4096  # blocks that a task decodes side by side
 GATHERED = 256  # blocks whose rows are handed on together
 SLICE = 4 << 20  # bytes of text tokenized at a time (one text at least)
 HEAD = struct.Struct("<4s7I")
@@ -66,20 +68,19 @@ PIECES = "file int, block int, doc_id long, place long, at int, n int, crc long,
 class WordCoder:
     """Ids of texts by a tokenizer that drops white space and ends every word with a word-end token."""
 
-    #: pieces that are made of letters, digits and signs whose borders the tokenizer's own splitting has too
-    PLAIN = r"^[a-zà-öø-ÿÀ-ÖØ-Þ0-9!-&(-;=-@\[-`{-~]+$"
-    ATOM = r"([a-zà-öø-ÿÀ-ÖØ-Þ]+|[0-9]|[!-/:-@\[-`{-~]+)"
+    MOST_WORDS = 400_000  # kept by a task
 
     def __init__(self, blob: bytes):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks run side by side already
         self.tokenizer = Tokenizer.from_buffer(blob)
         vocab = self.tokenizer.get_vocab()
         self.size = max(vocab.values()) + 1
         self.closes = np.zeros(self.size, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        # the same model for words that are lower-cased and cut already
+        # the same model for words that are lower-cased, cut and written in the model's byte signs already
         self.bare = Tokenizer(self.tokenizer.model)
-        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.atoms, self.odd = Pieces(lambda p: [self.words(p)]), Pieces(lambda p: [self.whole(p.to_pylist())])
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.atoms, self.odd = Pieces(lambda p: [self.words(p)], most=self.MOST_WORDS), Pieces(lambda p: [self.whole(p.to_pylist())])
 
     def whole(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -89,7 +90,7 @@ class WordCoder:
     def words(self, atoms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that are one unit of the tokenizer each: encoded side by side, cut after word-end tokens."""
         offsets = np.append(np.arange(0, len(atoms), 100), len(atoms)).astype(np.int32)
-        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), atoms), " ").to_pylist()
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), byte_signs(atoms)), " ").to_pylist()
         flat = np.concatenate([np.array(e.ids, np.int32) for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)])
         ends = np.flatnonzero(self.closes[flat]) + 1
         if len(ends) != len(atoms) or ends[-1] != len(flat):
@@ -103,18 +104,13 @@ class WordCoder:
         if not len(pieces):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         coded = pieces.dictionary_encode()
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        distinct = pc.ascii_lower(coded.dictionary)
-        plain = pc.match_substring_regex(distinct, self.PLAIN).to_numpy(zero_copy_only=False)
-        flats, lengths = [], np.zeros(len(distinct), np.int64)
-        if plain.any():
-            lower = pc.utf8_lower(distinct.filter(pa.array(plain)))
-            parts = pc.split_pattern(pc.utf8_rtrim_whitespace(pc.replace_substring_regex(lower, self.ATOM, r"\1 ")), " ")
-            flat, n = self.atoms.ids(parts.flatten())
-            lengths[plain] = sums(n, parts.offsets.to_numpy() - parts.offsets[0].as_py())
-            flats.append(flat)
+        which, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        plain, atoms, parts = units(distinct)
+        flat, n = self.atoms.ids(atoms)
+        flats, lengths = [flat], np.zeros(len(distinct), np.int64)
+        lengths[plain] = sums(n, parts)
         if not plain.all():
-            flat, lengths[~plain] = self.odd.ids(coded.dictionary.filter(pa.array(~plain)))
+            flat, lengths[~plain] = self.odd.ids(distinct.filter(pa.array(~plain)))
             flats.append(flat)
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
         starts = np.zeros(len(distinct), np.int64)
@@ -123,6 +119,74 @@ class WordCoder:
         return ragged_take(np.concatenate(flats), starts[which], n), sums(n, offsets)
 
 
+#: What a byte is in a plain piece, whose borders the tokenizer's own splitting has too: a letter (ASCII, or a byte of
+#: U+00C0 to U+00FF), a digit, one of the signs; 0 is none of these.
+LETTER, DIGIT, SIGN = 1, 2, 3
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[*b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"]] = SIGN
+_CLASS[[*b"0123456789"]] = DIGIT
+_CLASS[[0xC3, *range(0x80, 0xC0), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[0x41:0x5B] += 32
+_TAIL_SMALL = np.arange(256, dtype=np.uint8)  # of the byte after 0xC3
+_TAIL_SMALL[0x80:0x9F] += 32
+_NO_TAIL = np.ones(256, bool)  # what can't follow 0xC3 in a letter: the rest, U+00D7, U+00DF (it grows) and U+00F7
+_NO_TAIL[[x for x in range(0x80, 0xC0) if x not in (0x97, 0x9F, 0xB7)]] = False
+
+
+def units(pieces: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Which pieces are plain; the units of those (runs of letters, single digits, runs of signs; lower case), one
+    after the other; and per plain piece the index of its first unit (length: plain pieces + 1)."""
+    data, offsets = arrow_buffers(pieces)
+    kind, low = _CLASS[data], _SMALL[data]
+    tails = np.flatnonzero(data[:-1] == 0xC3) + 1
+    low[tails] = _TAIL_SMALL[data[tails]]
+    bad = kind == 0
+    high = data >= 0x80
+    if high.any():  # letters above ASCII are 0xC3 and one byte
+        bad[tails] = _NO_TAIL[data[tails]]
+        high[tails] = False
+        bad |= high & (data != 0xC3)
+    plain = np.diff(np.concatenate([[0], np.cumsum(bad)])[offsets]) == 0
+    sizes = np.diff(offsets)
+    if not plain.all():
+        keep = np.repeat(plain, sizes)
+        low, kind, sizes = low[keep], kind[keep], sizes[plain]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    first = kind == DIGIT
+    first[1:] |= kind[1:] != kind[:-1]
+    first[offsets[:-1][sizes > 0]] = True
+    begins = np.append(np.flatnonzero(first), len(low)).astype(np.int32)
+    atoms = pa.StringArray.from_buffers(len(begins) - 1, pa.py_buffer(begins), pa.py_buffer(low))
+    return plain, atoms, np.concatenate([[0], np.cumsum(first)])[offsets]
+
+
+@lru_cache(maxsize=1)
+def _signs() -> tuple[np.ndarray, np.ndarray]:
+    """The two bytes of the library's sign for each byte that U+00C0 to U+00FF have in UTF-8."""
+    signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    head, tail = np.zeros(256, np.uint8), np.zeros(256, np.uint8)
+    for c in map(chr, range(0xC0, 0x100)):
+        for byte, sign in zip(c.encode(), signs.pre_tokenize_str(c)[0][0], strict=True):
+            head[byte], tail[byte] = sign.encode()
+    return head, tail
+
+
+def byte_signs(atoms: pa.Array) -> pa.Array:
+    """``units`` as the library's byte-level step writes them: other bytes than ASCII become a sign of two bytes."""
+    data, offsets = arrow_buffers(atoms)
+    high = data >= 0x80
+    if not high.any():
+        return atoms
+    head, tail = _signs()
+    width = high + np.int64(1)
+    ends = np.cumsum(width)
+    out = np.repeat(data, width)
+    out[ends[high] - 2], out[ends[high] - 1] = head[data[high]], tail[data[high]]
+    offsets = np.concatenate([[0], ends])[offsets].astype(np.int32)
+    return pa.StringArray.from_buffers(len(atoms), pa.py_buffer(offsets), pa.py_buffer(out))
+
+
 @lru_cache(maxsize=2)
 def word_coder(blob: bytes) -> WordCoder:
     return WordCoder(blob)
@@ -316,17 +380,29 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pieces(blocks: DataFrame, with_ids: bool) -> DataFrame:
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, LANES):
-                b = batch.slice(at, LANES)
-                decoded = decode(b.column("data").to_pylist())
-                for k in range(0, b.num_rows, GATHERED):
-                    part = b.slice(k, GATHERED)
-                    yield _rows(part.column("file"), part.column("block"), decoded[k : k + GATHERED], with_ids)
+        for b in side_by_side(batches, READ_LANES):
+            decoded = decode(b.column("data").to_pylist())
+            for k in range(0, b.num_rows, GATHERED):
+                part = b.slice(k, GATHERED)
+                yield _rows(part.column("file"), part.column("block"), decoded[k : k + GATHERED], with_ids)
 
     return blocks.mapInArrow(run, PIECES + (", ids array<long>" if with_ids else ""))
 
 
+def side_by_side(batches, rows: int):
+    """The rows of all ``batches`` in batches of ``rows``, but for the last: Spark's own may be smaller."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        while n >= rows:
+            whole = pa.concat_batches(held)
+            yield whole.slice(0, rows)
+            held, n = [whole.slice(rows)], n - rows
+    if n:
+        yield pa.concat_batches(held)
+
+
 def _rows(files: pa.Array, numbers: pa.Array, decoded: list[tuple[Block, np.ndarray]], with_ids: bool) -> pa.RecordBatch:
     blocks, ids = [b for b, _ in decoded], np.concatenate([i for _, i in decoded])
     k = np.array([len(b.docs) for b in blocks])

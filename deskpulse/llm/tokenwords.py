@@ -13,8 +13,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from deskpulse.llm.textvec import arrow_buffers, mix, word_sums
+
 MOST_CACHED = 200_000  # pieces that a task keeps,
-MOST_BYTES = 64 << 20  # and their bytes; past that it starts anew
+MOST_BYTES = 64 << 20  # and their bytes; past that it forgets those met in one batch only, or all
 
 
 def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -32,6 +34,17 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+_WEIGHT = np.random.default_rng(20260102).integers(1, 2**63, 256, dtype=np.uint64)
+
+
+def hashes(pieces: pa.Array) -> np.ndarray:
+    """A 64-bit hash of the bytes of each piece."""
+    data, offsets = arrow_buffers(pieces)
+    out, some = np.zeros(len(pieces), np.uint64), offsets[1:] > offsets[:-1]
+    out[some] = mix(word_sums(_WEIGHT, data, offsets[:-1][some]))
+    return out
+
+
 class Growing:
     """A flat array of ids that grows, cut into pieces."""
 
@@ -49,37 +62,73 @@ class Growing:
         self.lengths = np.concatenate([self.lengths, lengths])
         self.used += len(flat)
 
+    def kept(self, which: np.ndarray) -> Growing:
+        """The pieces ``which`` alone."""
+        out, lengths = Growing(), self.lengths[which]
+        out.add(ragged_take(self.flat, self.starts[which], lengths), lengths)
+        return out
+
 
 class Pieces:
     """Ids of the distinct pieces a task has met, for one or several tokenizers. ``encode`` gives, for each tokenizer,
     (flat ids, number of ids) of an array of pieces."""
 
-    def __init__(self, encode: Callable[[pa.Array], list[tuple[np.ndarray, np.ndarray]]], sides: int = 1):
-        self.encode, self.n = encode, sides
+    def __init__(self, encode: Callable[[pa.Array], list[tuple[np.ndarray, np.ndarray]]], sides: int = 1, most: int | None = None):
+        self.encode, self.n, self.most = encode, sides, most or MOST_CACHED
         self.clear()
 
     def clear(self) -> None:
         self.known = None  # the pieces by their number
+        self.hashes, self.of = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # theirs, sorted, and their numbers
+        self.met = np.zeros(0, np.int64)  # in how many batches, since they came or were kept
         self.sides = [Growing() for _ in range(self.n)]
 
+    def forget(self) -> None:
+        """Keeps the pieces that several batches had; none if these are too many as well."""
+        kept = np.flatnonzero(self.met > 1)
+        known = self.known.take(pa.array(kept))
+        if len(kept) > self.most // 2 or known.nbytes > MOST_BYTES // 2:
+            return self.clear()
+        self.known, self.met, self.sides = known, np.ones(len(kept), np.int64), [side.kept(kept) for side in self.sides]
+        h = hashes(known)
+        self.of = np.argsort(h)
+        self.hashes = h[self.of]
+
+    def find(self, words: pa.Array, h: np.ndarray) -> np.ndarray:
+        """Number of each of ``words``, -1 if it isn't known: by its hash, then by its text."""
+        which = np.full(len(words), -1, np.int64)
+        if len(self.of):
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.of) - 1)
+            here = np.flatnonzero(self.hashes[at] == h)
+            number = self.of[at[here]]
+            same = pc.equal(words.take(pa.array(here)), self.known.take(pa.array(number))).to_numpy(zero_copy_only=False)
+            which[here[same]] = number[same]
+        return which
+
     def numbers(self, pieces: pa.Array) -> np.ndarray:
         """Number of each of ``pieces``, which may repeat; unknown ones are encoded first."""
-        if self.known is not None and (len(self.known) > MOST_CACHED or self.known.nbytes + pieces.nbytes > MOST_BYTES):
-            self.clear()
+        if self.known is not None and (len(self.known) > self.most or self.known.nbytes + pieces.nbytes > MOST_BYTES):
+            self.forget()
         if not len(pieces):
             return np.zeros(0, np.int64)
         coded = pieces.dictionary_encode()
         words = coded.dictionary
         if self.known is None:
             self.known = words.slice(0, 0)
-        which = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        h = hashes(words)
+        which = self.find(words, h)
         fresh = np.flatnonzero(which < 0)
         if len(fresh):
             unknown = words.take(pa.array(fresh))
             for side, (flat, lengths) in zip(self.sides, self.encode(unknown)):
                 side.add(flat, lengths)
             which[fresh] = len(self.known) + np.arange(len(fresh))
+            added = fresh[np.argsort(h[fresh])]
+            at = np.searchsorted(self.hashes, h[added])
+            self.hashes, self.of = np.insert(self.hashes, at, h[added]), np.insert(self.of, at, which[added])
             self.known = pa.concat_arrays([self.known, unknown])
+            self.met = np.concatenate([self.met, np.zeros(len(fresh), np.int64)])
+        self.met[which] += 1
         return which[coded.indices.to_numpy(zero_copy_only=False)]
 
     def ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from deskpulse.llm import token_files as tf
+from deskpulse.llm import token_files as tf, tokenwords as tw
 from deskpulse.llm.rangecoder import decode_blocks, encode_blocks
 
 SMALL = "/root/testdata/sf0.001"
@@ -126,3 +126,39 @@ def test_words_are_cut_and_lowered_once_for_the_model_alone(coder, library, monk
     want = [library.encode(t, add_special_tokens=False).ids for t in texts[:2]]
     assert flat.tolist() == (want[0] + want[1]) * 300 and n.tolist() == [len(want[0]), len(want[1])] * 300 and not called
     assert len(coder.atoms.known) == len(set(coder.atoms.known.to_pylist()))  # each distinct word once, kept in Arrow
+
+
+def test_plain_pieces_are_cut_where_the_tokenizer_cuts(coder, library):
+    signs = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA1, 0x180), 0x0, 0x7F, 0x3B1, 0x4E2D, 0x1F600]]
+    pieces = [a + b for a in signs for b in ("", "a", "É", "7", ".", "ß", "×", "é9(")] + ["ÀÖØÞß÷×", "àöøþÿ", "", "Ã©Ã", "x" * 300]
+    plain, atoms, parts = tf.units(pa.array(pieces))
+    flat, n = coder.words(atoms)
+    ends = np.concatenate([[0], np.cumsum(n)])
+    for k, i in enumerate(np.flatnonzero(plain)):
+        want = library.encode(pieces[i], add_special_tokens=False).ids
+        assert flat[ends[parts[k]] : ends[parts[k + 1]]].tolist() == want, pieces[i]
+    assert all(plain[i] for i, p in enumerate(pieces) if p.isascii() and p.isalnum()) and not plain[pieces.index("ß")]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.text("ab'<é÷ß 7.\n", max_size=6), max_size=9), max_size=6))
+def test_forgotten_words_are_encoded_again(batches):
+    known = tw.Pieces(lambda p: [tuple(np.array(x, t) for x, t in (([c for w in p.to_pylist() for c in w.encode()], np.int32), ([len(w.encode()) for w in p.to_pylist()], np.int64)))], most=3)
+    for words in batches:
+        flat, n = known.ids(pa.array(words, pa.string()))
+        assert flat.tolist() == [c for w in words for c in w.encode()] and n.tolist() == [len(w.encode()) for w in words]
+
+
+def test_words_of_several_batches_stay_when_others_go():
+    asked = []
+    known = tw.Pieces(lambda p: [(asked.extend(p.to_pylist()), (np.zeros(len(p), np.int32), np.ones(len(p), np.int64)))[1]], most=8)
+    for k in range(20):
+        known.ids(pa.array(["often", "as often", *[f"once {k} {j}" for j in range(3)]]))
+    assert asked.count("often") == asked.count("as often") == 1 and len(asked) == 2 + 60 and len(known.known) <= 8 + 5
+
+
+def test_small_batches_of_blocks_are_decoded_side_by_side():
+    batches = [pa.record_batch([pa.array(range(k, k + n), pa.int64())], names=["x"]) for k, n in ((0, 1000), (1000, 1000), (2000, 0), (2000, 2500), (4500, 7))]
+    got = list(tf.side_by_side(iter(batches), 2048))
+    assert [b.num_rows for b in got] == [2048, 2048, 411] and [x for b in got for x in b.column("x").to_pylist()] == list(range(4507))
+    assert list(tf.side_by_side(iter([]), 2048)) == []
