@@ -160,7 +160,7 @@ def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
             at = np.arange(n, dtype=np.int32)
             first[b[::-1]] = at[::-1]
             at_first = first[b]
-            x[lane, :n], y[lane, :n] = b, np.cumsum(at_first == at)[at_first]
+            x[lane, :n], y[lane, :n] = b, np.cumsum(at_first == at, dtype=m.kind).take(at_first)
         ids[:, lo : lo + TURNED], numbers[:, lo : lo + TURNED] = x.T, y.T
     place = np.tile(np.maximum(np.arange(most + 1) - 1, 0).astype(m.kind), lanes)  # of each number of a lane in its list
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 56, np.uint64)

@@ -53,10 +53,9 @@ from deskpulse.llm.tokenwords import Pieces, ragged_take, sums
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END = 1
 BLOCK = 2048  # ids of a block
-LANES = 3072  # blocks that a task codes side by side
-READ_LANES = 4096  # blocks that a task decodes side by side
+LANES = 4096  # blocks that a task codes, or decodes, side by side
 GATHERED = 256  # blocks whose rows are handed on together
-SLICE = 4 << 20  # bytes of text tokenized at a time (one text at least)
+SLICE = 8 << 20  # bytes of text tokenized at a time (one text at least)
 HEAD = struct.Struct("<4s7I")
 MAGIC = b"IDB2"
 NULL_ID = -(1 << 63)
@@ -68,7 +67,7 @@ PIECES = "file int, block int, doc_id long, place long, at int, n int, crc long,
 class WordCoder:
     """Ids of texts by a tokenizer that drops white space and ends every word with a word-end token."""
 
-    MOST_WORDS = 400_000  # kept by a task
+    MOST_WORDS = 600_000  # kept by a task
 
     def __init__(self, blob: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks run side by side already
@@ -380,7 +379,7 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pieces(blocks: DataFrame, with_ids: bool) -> DataFrame:
     def run(batches):
-        for b in side_by_side(batches, READ_LANES):
+        for b in side_by_side(batches, LANES):
             decoded = decode(b.column("data").to_pylist())
             for k in range(0, b.num_rows, GATHERED):
                 part = b.slice(k, GATHERED)

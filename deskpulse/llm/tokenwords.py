@@ -24,8 +24,9 @@ def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     ends = np.cumsum(lengths)
     if not len(ends) or not ends[-1]:
         return flat[:0]
-    step = np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
-    return flat[step]
+    step = np.repeat(starts - (ends - lengths), lengths)
+    step += np.arange(ends[-1])
+    return flat.take(step)
 
 
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
