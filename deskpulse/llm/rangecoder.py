@@ -44,6 +44,8 @@ DOWN = np.uint32(32 - TABLE_BITS)
 CONTEXTS = 32
 FAST = "clip"  # take without a look for places out of range, which there are none of
 TURNED = 64  # rows or columns of a tile
+PAD = 32  # lanes more in a row of steps, so that rows don't begin a power of two apart
+ROOM = 3 * TURNED + 8  # words that a lane may add in TURNED steps and at its end
 BOTTOM, LOW = U(1 << 40), U((1 << 40) - 1)
 S4, S16, S24, S32, S40, S48 = U(4), U(16), U(24), U(32), U(40), U(48)
 SHARE = U(SHARE_BITS)
@@ -62,31 +64,30 @@ def _places(n: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 class Model:
-    """State of ``lanes`` blocks of at most ``most`` ids each."""
+    """State of ``lanes`` blocks of at most ``most`` ids each. Tables by number, by place and by context hold all lanes'
+    cells of a number together: the few numbers that most ids have stay in the cache."""
 
     def __init__(self, lanes: int, most: int, vocabulary: int):
         self.kind = np.uint16 if most < 1 << 14 else np.uint32  # of number * 4 + confidence
-        size, stride = 1 << TABLE_BITS, most + 1
-        lane = np.arange(lanes, dtype=np.int64)
-        self.share = np.full(lanes * CONTEXTS, EVEN)
-        self.after = np.full(lanes * (size + stride), 0, self.kind)  # expected number * 4 + confidence (0 to 3)
+        size, self.lanes = 1 << TABLE_BITS, lanes
+        self.lane = np.arange(lanes, dtype=np.int64)
+        self.share = np.full(CONTEXTS * lanes, EVEN)
+        self.after = np.zeros((size + most + 1) * lanes, self.kind)  # expected number * 4 + confidence (0 to 3); order 2, order 1
         self.known = np.zeros(lanes, np.int64)
         self.last, self.before = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-        self.row, self.mix = lane * stride, lane * CONTEXTS
-        self.slots = np.stack([lane * (size + stride) + stride, lane * (size + stride)])  # order 2, order 1
-        self.listed = np.tile(np.arange(1, stride + 1, dtype=self.kind), lanes)  # number at each place; a new one is there already
+        self.slots = np.stack([self.lane * size, self.lane + size * lanes])  # of order 2: a table each lane; order 1
+        self.at = self.slots.copy()
+        self.listed = np.repeat(np.arange(1, most + 2, dtype=self.kind), lanes)  # number at each place; a new one is there already
         self.shares, self.sums, self.parts, self.ends, self.places = _places(most, vocabulary)
 
     def predict(self, n: int) -> None:
         """Predictions of the first ``n`` lanes and the bounds of their shares."""
-        last = self.last[:n]
-        self.at = at = self.slots[:, :n].copy()
-        at[0] += (last * np.uint32(0x9E3779B1) + self.before[:n]) >> DOWN
-        at[1] += last
+        self.at = at = self.at[:, :n]
+        np.add(self.slots[0, :n], (self.last[:n] * np.uint32(0x9E3779B1) + self.before[:n]) >> DOWN, out=at[0])
         self.p = p = self.after.take(at, mode=FAST)
         self.c, self.sure = c, sure = p >> 2, p & 3
         level = (sure[0] << 3) + (sure[1] << 1) + (c[0] == c[1])
-        self.context = self.mix[:n] + level
+        self.context = level * np.int64(self.lanes) + self.lane[:n]
         self.weights = self.share.take(self.context, mode=FAST)
         self.bounds = self.weights * SUM  # sums of the first one, two, three and four weights
 
@@ -96,22 +97,21 @@ class Model:
         self.by16 = by16 = kind.astype(np.uint64) << S4
         begin = r * ((self.bounds << S16 >> by16) & FIELD)
         r = r * ((self.weights >> by16) & FIELD)
-        self.from_list, self.new = one(kind == 2), one(kind == 3)
+        self.is_new = kind == 3
+        self.from_list, self.new = one(kind == 2), one(self.is_new)
         self.listing = self.known[:n] * self.from_list  # how many are listed, 0 for other kinds
         unit = ((r >> S24) * self.parts.take(self.listing, mode=FAST)) >> S16
-        return begin, r + (unit - r) * (self.from_list + self.new).view(U)
+        np.copyto(unit, r, where=kind < 2)
+        return begin, unit
 
-    def forward(self, n: int, k: np.ndarray) -> np.ndarray:
-        """Moves the id at place ``k`` of each list half-way to the front (place 0 stays) and returns its number."""
-        row, half = self.row[:n], k >> 1
-        self.here, self.there = here, there = row + k, row + half
-        moved, self.other = self.listed.take(here, mode=FAST), self.listed.take(there, mode=FAST)
-        self.listed[here], self.listed[there] = self.other, moved
-        self.known[:n] += self.new
-        return moved
+    def forward(self, here: np.ndarray, there: np.ndarray, moved: np.ndarray) -> np.ndarray:
+        """Moves numbers from their places ``here`` to ``there`` and returns those that were there and change with them."""
+        other = self.listed.take(there, mode=FAST)
+        self.listed[here], self.listed[there] = other, moved
+        return other
 
-    def learn(self, n: int, y: np.ndarray) -> None:
-        """Moves the weights to the prediction that coded each id, and the tables to the ids' numbers."""
+    def learn(self, n: int, y: np.ndarray, cell: np.ndarray) -> None:
+        """Moves the weights to the prediction that coded each id, and the tables to the ids' numbers, of these cells."""
         w = self.weights
         less = ((w - FLOOR) >> RATE) & KEEP
         self.share[self.context] = w - less + (((less * SUM) >> S48) << self.by16)
@@ -121,6 +121,7 @@ class Model:
         self.after[self.at] = fresh + (moved - fresh) * (hit | (self.sure > 1))
         np.multiply(self.last[:n], np.uint32(0x85EBCA6B), out=self.before[:n])
         self.last[:n] = y
+        np.add(self.slots[1, 0], cell, out=self.at[1])
 
 
 def one(flags: np.ndarray) -> np.ndarray:
@@ -150,66 +151,72 @@ def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     order, left = _shapes(lengths)
     lanes, most = len(blocks), max(1, int(lengths.max(initial=0)))
     m = Model(lanes, most, vocabulary)
-    ids, numbers = np.zeros((most, lanes), np.int32), np.zeros((most, lanes), m.kind)  # by step, so that a step's ids are together
-    first = np.zeros(vocabulary, np.int32)
+    numbers = np.zeros((most, lanes + PAD), m.kind)  # by step, so that a step's numbers are together
+    names = np.zeros((most + 1, lanes), np.int32)  # the id of each number of a lane
+    first, steps = np.zeros(vocabulary, m.kind), np.arange(most, dtype=m.kind)
+    y, number = np.zeros((TURNED, most), m.kind), np.zeros(most, m.kind)
     for lo in range(0, lanes, TURNED):
         own = order[lo : lo + TURNED]
-        x, y = np.zeros((len(own), most), np.int32), np.zeros((len(own), most), m.kind)
         for lane, k in enumerate(own):
-            n, b = int(lengths[k]), blocks[k]
-            at = np.arange(n, dtype=np.int32)
+            n, b = int(lengths[k]), blocks[k].astype(np.int64)
+            at = steps[:n]
             first[b[::-1]] = at[::-1]
-            at_first = first[b]
-            x[lane, :n], y[lane, :n] = b, np.cumsum(at_first == at, dtype=m.kind).take(at_first)
-        ids[:, lo : lo + TURNED], numbers[:, lo : lo + TURNED] = x.T, y.T
-    place = np.tile(np.maximum(np.arange(most + 1) - 1, 0).astype(m.kind), lanes)  # of each number of a lane in its list
+            at_first = first.take(b, mode=FAST)
+            new = (at_first == at).nonzero()[0]
+            number[new] = steps[: len(new)] + m.kind(1)
+            y[lane, :n] = number.take(at_first, mode=FAST)
+            names[1 : len(new) + 1, lo + lane] = b.take(new)
+        numbers[:, lo : lo + len(own)] = y[: len(own)].T
+    names, place = names.reshape(-1), np.repeat(np.maximum(np.arange(most + 1) - 1, 0).astype(m.kind), lanes)  # of each number in the list
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 56, np.uint64)
-    words = np.zeros((3 * most + 8, lanes), np.uint32)
-    at, flat = np.arange(lanes, dtype=np.int64), words.reshape(-1)
-    for n, x, y in zip(left, ids, numbers):
-        x, y, lo, row = x[:n], y[:n], low[:n], m.row[:n]
+    width = most * 7 // 8 + ROOM | 1  # words of a lane, more if need be
+    words, lane = np.zeros((lanes, width), np.uint32), m.lane
+    at, flat = lane * width, words.reshape(-1)
+    for step, (n, y) in enumerate(zip(left, numbers)):
+        if step % TURNED == 0 and (used := int((at - lane * width).max())) + ROOM > width:
+            more = (used + ROOM) * 3 // 2 | 1
+            words, at = np.pad(words, ((0, 0), (0, more - width))), at + lane * (more - width)
+            flat, width = words.reshape(-1), more
+        y, lo = y[:n], low[:n]
         m.predict(n)
         miss = (m.c != y).view(np.int8)
         kind = miss[0] * (miss[1] * ((y > m.known[:n]).view(np.int8) + np.int8(1)) + np.int8(1))
         begin, unit = m.narrow(n, kind, span[:n] >> SHARE)
-        k = place.take(row + y, mode=FAST) * m.from_list
+        m.known[:n] += m.new
+        cell = y * np.int64(lanes) + lane[:n]
+        k = place.take(cell, mode=FAST) * m.from_list
         share = k + m.from_list
-        lo += begin + unit * (m.sums.take(share, mode=FAST) + (x * m.new).view(U))
+        lo += begin
+        lo += unit * m.sums.take(share, mode=FAST)
         r = unit * m.shares.take(share, mode=FAST)
-        moved = m.forward(n, k)
-        k = k.astype(m.kind)
-        place[row + m.other] = k
-        place[row + moved] = k >> 1
-        m.learn(n, y)
-        short = one(r < BOTTOM)
-        flat[at[:n]] = (lo >> S40).astype(np.uint32)  # written again if it isn't settled yet
-        at[:n] += short * lanes
-        shift = (short << 4).view(U)
-        lo &= LOW | (short - 1).view(U)
-        lo <<= shift
-        r <<= shift
-        go = np.flatnonzero(r < BOTTOM)
+        new = m.is_new.nonzero()[0]
+        lo[new] += unit.take(new) * names.take(cell.take(new)).astype(U)
+        moves = (k != 0).nonzero()[0]
+        k, row = k.take(moves), lane.take(moves)
+        half = k >> 1
+        other = m.forward(k * lanes + row, half * lanes + row, y.take(moves))
+        place[other * np.int64(lanes) + row] = k
+        place[cell.take(moves)] = half
+        m.learn(n, y, cell)
+        go = (r < BOTTOM).nonzero()[0]
         while len(go):
             a, b, j = lo.take(go), r.take(go) << S16, at.take(go)
-            flat[j] = a >> S40
-            at[go] = j + lanes
+            flat[j] = (a >> S40).astype(np.uint32)
+            at[go] = j + 1
             lo[go], r[go] = (a & LOW) << S16, b
             go = go[b < BOTTOM]
         span[:n] = r
     for _ in range(4):
         flat[at] = low >> S40
-        at += lanes
+        at += 1
         low = (low & LOW) << S16
-    used = at // lanes
-    words = _turned(words[: used.max(initial=0)])
-    flat = words.reshape(-1)
     while (over := np.flatnonzero(flat > 0xFFFF)).size:  # carries; a block's first word has none
         flat[over] &= 0xFFFF
         flat[over - 1] += 1
     words = words.astype(">u2")
     out = [b""] * lanes
-    for lane, (k, n) in enumerate(zip(order, used.tolist())):
-        out[k] = words[lane, :n].tobytes()
+    for k, w, n in zip(order, words, (at - lane * width).tolist()):
+        out[k] = w[:n].tobytes()
     return out
 
 
@@ -219,19 +226,19 @@ def decode_blocks(coded: list[bytes], lengths, vocabulary: int) -> list[np.ndarr
     order, left = _shapes(lengths)
     lanes, most = len(coded), max(1, int(lengths.max(initial=0)))
     longest = max([len(c) // 2 for c in coded], default=0) + 8
-    words = np.zeros((lanes, longest), np.uint16)
+    words = np.zeros((lanes, longest | 1), np.uint16)
     for lane, k in enumerate(order):
         w = np.frombuffer(b"\0" + coded[k] + b"\0", ">u2")  # 56 bits are four words but for a byte
         words[lane, : len(w)] = w
-    words = _turned(words)
     code = np.zeros(lanes, np.uint64)
     for j in range(4):
-        code = (code << S16) | words[j]
-    at, flat = np.arange(lanes, dtype=np.int64) + 4 * lanes, words.reshape(-1)
+        code = (code << S16) | words[:, j]
+    at, flat = np.arange(lanes, dtype=np.int64) * words.shape[1] + 4, words.reshape(-1)
     m = Model(lanes, most, vocabulary)
-    numbers, names = np.zeros((most, lanes), m.kind), np.zeros((most, lanes), np.int32)  # names: of new ids, from 1
+    numbers, names = np.zeros((most, lanes + PAD), m.kind), np.zeros((most + 1) * lanes, np.int32)  # by step; by number
+    lane = m.lane
     span, top = np.full(lanes, 1 << 56, np.uint64), U(vocabulary - 1)
-    for n, y, name in zip(left, numbers, names):
+    for n, y in zip(left, numbers):
         y, cd = y[:n], code[:n]
         m.predict(n)
         r = span[:n] >> SHARE
@@ -241,34 +248,33 @@ def decode_blocks(coded: list[bytes], lengths, vocabulary: int) -> list[np.ndarr
         cd -= begin
         point = cd // unit
         k = m.places.take(np.minimum(point, m.ends.take(m.listing, mode=FAST)).view(np.int64), mode=FAST)
-        x = np.minimum(point, top).view(np.int64) * m.new
-        name[:n] = x + m.new
         share = k + m.from_list
-        cd -= unit * (m.sums.take(share, mode=FAST) + x.view(U))
+        cd -= unit * m.sums.take(share, mode=FAST)
         r = unit * m.shares.take(share, mode=FAST)
-        moved = m.forward(n, k)
-        y[:] = m.c[1] + (m.c[0] - m.c[1]) * (kind == 0)
-        y += (moved - y) * (kind == 2)
-        y += (m.known[:n].astype(m.kind) - y) * (kind == 3)
-        m.learn(n, y)
-        short = one(r < BOTTOM)
-        shift = (short << 4).view(U)
-        cd <<= shift
-        cd |= (flat.take(at[:n], mode=FAST) * short).view(U)
-        at[:n] += short * lanes
-        r <<= shift
-        go = np.flatnonzero(r < BOTTOM)
+        m.known[:n] += m.new
+        here = k * lanes + lane[:n]
+        y[:] = m.listed.take(here, mode=FAST)
+        np.copyto(y, m.c[0], where=kind == 0)
+        np.copyto(y, m.c[1], where=kind == 1)
+        new = m.is_new.nonzero()[0]
+        x, number = np.minimum(point.take(new), top), m.known.take(new)
+        cd[new] -= unit.take(new) * x
+        y[new] = number
+        cell = y * np.int64(lanes) + lane[:n]
+        names[cell.take(new)] = x
+        moves = (k != 0).nonzero()[0]
+        m.forward(here.take(moves), (k.take(moves) >> 1) * lanes + lane.take(moves), y.take(moves))
+        m.learn(n, y, cell)
+        go = (r < BOTTOM).nonzero()[0]
         while len(go):
             j, b = at.take(go), r.take(go) << S16
-            cd[go] = (cd.take(go) << S16) | flat.take(j)
-            at[go] = j + lanes
+            cd[go] = (cd.take(go) << S16) | flat.take(j).astype(U)
+            at[go] = j + 1
             r[go] = b
             go = go[b < BOTTOM]
         span[:n] = r
-    numbers, names = _turned(numbers), _turned(names)
+    numbers, names = _turned(numbers), _turned(names.reshape(most + 1, lanes)[: m.known.max(initial=0) + 1])
     out = [None] * lanes
-    for lane, k in enumerate(order):
-        n = lengths[k]
-        x = names[lane, :n]
-        out[k] = (x[x > 0] - 1)[numbers[lane, :n].astype(np.int64) - 1]
+    for k, y, name in zip(order, numbers, names):
+        out[k] = name.take(y[: lengths[k]], mode=FAST)
     return out

@@ -48,12 +48,12 @@ from tokenizers import Tokenizer, pre_tokenizers
 from deskpulse.llm.io import scratch_folder, small_batches, table
 from deskpulse.llm.rangecoder import decode_blocks, encode_blocks
 from deskpulse.llm.textvec import arrow_buffers, slices
-from deskpulse.llm.tokenwords import Pieces, ragged_take, sums
+from deskpulse.llm.tokenwords import Pieces, picked, sums
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END = 1
 BLOCK = 2048  # ids of a block
-LANES = 4096  # blocks that a task codes, or decodes, side by side
+LANES = 4000  # blocks that a task codes, or decodes, side by side; no power of two, whose rows share their places in the cache
 GATHERED = 256  # blocks whose rows are handed on together
 SLICE = 8 << 20  # bytes of text tokenized at a time (one text at least)
 HEAD = struct.Struct("<4s7I")
@@ -106,16 +106,15 @@ class WordCoder:
         which, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
         plain, atoms, parts = units(distinct)
         flat, n = self.atoms.ids(atoms)
-        flats, lengths = [flat], np.zeros(len(distinct), np.int64)
-        lengths[plain] = sums(n, parts)
+        lengths = sums(n, parts)
         if not plain.all():
-            flat, lengths[~plain] = self.odd.ids(distinct.filter(pa.array(~plain)))
-            flats.append(flat)
-        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        starts = np.zeros(len(distinct), np.int64)
-        starts[order] = np.cumsum(lengths[order]) - lengths[order]
-        n = lengths[which]
-        return ragged_take(np.concatenate(flats), starts[which], n), sums(n, offsets)
+            odd, n = self.odd.ids(distinct.filter(pa.array(~plain)))
+            flat, lengths = np.concatenate([flat, odd]), np.concatenate([lengths, n])
+            place = np.empty(len(distinct), np.int64)  # plain pieces come first
+            place[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(distinct))
+            which = place[which]
+        flat, begins = picked(flat, lengths, which)
+        return flat, np.diff(begins[offsets])
 
 
 #: What a byte is in a plain piece, whose borders the tokenizer's own splitting has too: a letter (ASCII, or a byte of
@@ -232,7 +231,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, en
     def run(batches):
         coder = word_coder(blob)
         out = Writer(TaskContext.get().partitionId(), coder.size)
-        for batch in batches:
+        for batch in gathered(batches, SLICE):
             for b in slices(batch, "text", SLICE):
                 texts = pc.fill_null(b.column("text"), "")
                 flat, n = coder.texts(texts) if by_piece else coder.whole(texts.to_pylist())
@@ -249,6 +248,19 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, en
     d.mapInArrow(run, SCHEMA).write.parquet(path)
 
 
+def gathered(batches, size: int):
+    """The rows of all ``batches`` in batches of ``size`` bytes or somewhat less, where Spark's own are smaller."""
+    held, n = [], 0
+    for b in batches:
+        if held and n + b.nbytes > size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+        held.append(b)
+        n += b.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 class Writer:
     """Cuts a task's ids into blocks and codes LANES of them at a time."""
 

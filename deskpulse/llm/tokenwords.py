@@ -29,6 +29,16 @@ def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return flat.take(step)
 
 
+def picked(flat: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pieces that lie one after the other in ``flat``: those of the numbers ``which``, one after the other, and where
+    they begin (the last place: where they end). Arrow copies the pieces as strings of bytes."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]) * flat.itemsize
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+    _, begins, data = pieces.take(pa.array(which)).buffers()
+    begins = np.frombuffer(begins, np.int64, len(which) + 1) // flat.itemsize
+    return np.frombuffer(data, flat.dtype, begins[-1]) if begins[-1] else flat[:0], begins
+
+
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of ``values[o[i] : o[i + 1]]`` for each i (empty ranges give 0)."""
     total = np.concatenate([[0], np.cumsum(values)])
@@ -95,16 +105,18 @@ class Pieces:
         self.of = np.argsort(h)
         self.hashes = h[self.of]
 
-    def find(self, words: pa.Array, h: np.ndarray) -> np.ndarray:
-        """Number of each of ``words``, -1 if it isn't known: by its hash, then by its text."""
-        which = np.full(len(words), -1, np.int64)
+    def find(self, words: pa.Array, h: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each of ``words``, -1 if it isn't known: by its hash, then by its text; and the place of each in the
+        sorted hashes, in the ``order`` of its own hash."""
+        which, own = np.full(len(words), -1, np.int64), h[order]
+        places = np.searchsorted(self.hashes, own)
         if len(self.of):
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.of) - 1)
-            here = np.flatnonzero(self.hashes[at] == h)
-            number = self.of[at[here]]
+            at = np.minimum(places, len(self.of) - 1)
+            equal = self.hashes[at] == own
+            here, number = order[equal], self.of[at[equal]]
             same = pc.equal(words.take(pa.array(here)), self.known.take(pa.array(number))).to_numpy(zero_copy_only=False)
             which[here[same]] = number[same]
-        return which
+        return which, places
 
     def numbers(self, pieces: pa.Array) -> np.ndarray:
         """Number of each of ``pieces``, which may repeat; unknown ones are encoded first."""
@@ -117,15 +129,16 @@ class Pieces:
         if self.known is None:
             self.known = words.slice(0, 0)
         h = hashes(words)
-        which = self.find(words, h)
+        order = np.argsort(h)  # one after the other, sorted hashes are found fast
+        which, places = self.find(words, h, order)
         fresh = np.flatnonzero(which < 0)
         if len(fresh):
             unknown = words.take(pa.array(fresh))
             for side, (flat, lengths) in zip(self.sides, self.encode(unknown)):
                 side.add(flat, lengths)
+            added = which[order] < 0
             which[fresh] = len(self.known) + np.arange(len(fresh))
-            added = fresh[np.argsort(h[fresh])]
-            at = np.searchsorted(self.hashes, h[added])
+            added, at = order[added], places[added]
             self.hashes, self.of = np.insert(self.hashes, at, h[added]), np.insert(self.of, at, which[added])
             self.known = pa.concat_arrays([self.known, unknown])
             self.met = np.concatenate([self.met, np.zeros(len(fresh), np.int64)])
@@ -135,5 +148,5 @@ class Pieces:
     def ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, number of ids) of each of ``pieces`` by the first tokenizer."""
         which, side = self.numbers(pieces), self.sides[0]
-        lengths = side.lengths[which]
-        return ragged_take(side.flat, side.starts[which], lengths), lengths
+        flat, begins = picked(side.flat, side.lengths, which)
+        return flat, np.diff(begins)

@@ -162,3 +162,32 @@ def test_small_batches_of_blocks_are_decoded_side_by_side():
     got = list(tf.side_by_side(iter(batches), 2048))
     assert [b.num_rows for b in got] == [2048, 2048, 411] and [x for b in got for x in b.column("x").to_pylist()] == list(range(4507))
     assert list(tf.side_by_side(iter([]), 2048)) == []
+
+
+def test_small_batches_of_texts_are_tokenized_together():
+    sizes = [10, 20, 5, 300, 1, 30, 0, 2]
+    batches = [pa.record_batch([pa.array(range(n), pa.int64()), pa.array([f"{k} {i}" for i in range(n)], pa.string())], names=["doc_id", "text"]) for k, n in enumerate(sizes)]
+    got = list(tf.gathered(iter(batches), batches[1].nbytes * 2))
+    assert [b.num_rows for b in got] == [35, 300, 33]  # a large one stays alone
+    assert pa.Table.from_batches(got).to_pylist() == pa.Table.from_batches(batches).to_pylist()
+    assert list(tf.gathered(iter([]), 100)) == []
+
+
+def test_pieces_are_picked_with_their_places():
+    flat, lengths = np.arange(10, 22, dtype=np.int32), np.array([3, 0, 5, 1])  # what lies behind the pieces isn't used
+    for which in ([], [1], [2, 0, 0, 1, 3, 2], [3] * 1000):
+        ids, begins = tw.picked(flat, lengths, np.array(which, np.int64))
+        ends = np.cumsum(lengths)
+        want = [x for w in which for x in flat[ends[w] - lengths[w] : ends[w]]]
+        assert ids.tolist() == want and begins.tolist() == np.concatenate([[0], np.cumsum(lengths[which] if which else [])]).tolist()
+    assert tw.picked(flat[:0], lengths[:0], np.zeros(0, np.int64))[1].tolist() == [0]
+
+
+def test_blocks_that_need_more_words_than_expected_round_trip():
+    rng = np.random.default_rng(4)
+    blocks = [rng.integers(0, 1 << 29, 2048), np.zeros(2048, np.int64), rng.integers(0, 1 << 29, 700), np.zeros(0, np.int64)]
+    coded = encode_blocks(blocks, 1 << 29)
+    assert len(coded[0]) > 2 * 2048 and len(coded[1]) < 100  # more than a word an id
+    assert encode_blocks(blocks[:1], 1 << 29) == coded[:1] and encode_blocks(blocks[1:], 1 << 29) == coded[1:]
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, decode_blocks(coded, [len(b) for b in blocks], 1 << 29)))
+    assert encode_blocks([], 1 << 29) == decode_blocks([], [], 1 << 29) == []
