@@ -38,6 +38,8 @@ FLOOR = U(LEAST * FIELDS)
 KEEP = U(0x07FF * FIELDS)  # what a field has left after a shift by RATE
 SUM = U(FIELDS)
 FIELD = U(0xFFFF)
+TOPS = U(0x8000 * FIELDS)  # the top bit of each field, and of the first three
+TOPS_3 = U(0x8000_8000_8000)
 EVEN = U((1 << SHARE_BITS) // 4 * FIELDS)
 TABLE_BITS = 11
 DOWN = np.uint32(32 - TABLE_BITS)
@@ -60,7 +62,7 @@ def _places(n: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     sums = np.concatenate([[0], np.cumsum(share)])
     parts = (1 << 40) // np.concatenate([[vocabulary], sums[1:]])
     shares, before = np.concatenate([[1], share]), np.concatenate([[0], sums[:-1]])
-    return *(x.astype(np.uint64) for x in (shares, before, parts, np.maximum(sums - 1, 0))), np.repeat(np.arange(n), share)
+    return *(x.astype(np.uint64) for x in (shares, before, parts, np.maximum(sums - 1, 0))), np.repeat(np.arange(n, dtype=np.uint16 if n <= 1 << 16 else np.uint32), share)
 
 
 class Model:
@@ -242,8 +244,8 @@ def decode_blocks(coded: list[bytes], lengths, vocabulary: int) -> list[np.ndarr
         y, cd = y[:n], code[:n]
         m.predict(n)
         r = span[:n] >> SHARE
-        kind = (cd >= r * (m.bounds & FIELD)).view(np.int8) + (cd >= r * ((m.bounds >> S16) & FIELD)).view(np.int8)
-        kind += (cd >= r * ((m.bounds >> S32) & FIELD)).view(np.int8)
+        # how many of the first three bounds the point has reached: a field's top bit stays where it isn't less
+        kind = np.bitwise_count(((cd // r) * SUM + TOPS - m.bounds) & TOPS_3)
         begin, unit = m.narrow(n, kind, r)
         cd -= begin
         point = cd // unit
@@ -252,7 +254,7 @@ def decode_blocks(coded: list[bytes], lengths, vocabulary: int) -> list[np.ndarr
         cd -= unit * m.sums.take(share, mode=FAST)
         r = unit * m.shares.take(share, mode=FAST)
         m.known[:n] += m.new
-        here = k * lanes + lane[:n]
+        here = k * np.int64(lanes) + lane[:n]
         y[:] = m.listed.take(here, mode=FAST)
         np.copyto(y, m.c[0], where=kind == 0)
         np.copyto(y, m.c[1], where=kind == 1)
@@ -263,7 +265,7 @@ def decode_blocks(coded: list[bytes], lengths, vocabulary: int) -> list[np.ndarr
         cell = y * np.int64(lanes) + lane[:n]
         names[cell.take(new)] = x
         moves = (k != 0).nonzero()[0]
-        m.forward(here.take(moves), (k.take(moves) >> 1) * lanes + lane.take(moves), y.take(moves))
+        m.forward(here.take(moves), (k.take(moves) >> 1) * np.int64(lanes) + lane.take(moves), y.take(moves))
         m.learn(n, y, cell)
         go = (r < BOTTOM).nonzero()[0]
         while len(go):

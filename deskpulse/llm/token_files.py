@@ -136,7 +136,8 @@ def units(pieces: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Which pieces are plain; the units of those (runs of letters, single digits, runs of signs; lower case), one
     after the other; and per plain piece the index of its first unit (length: plain pieces + 1)."""
     data, offsets = arrow_buffers(pieces)
-    kind, low = _CLASS[data], _SMALL[data]
+    raw = data.tobytes()
+    kind, low = np.frombuffer(raw.translate(_CLASS.tobytes()), np.uint8), np.frombuffer(bytearray(raw).translate(_SMALL.tobytes()), np.uint8)
     tails = np.flatnonzero(data[:-1] == 0xC3) + 1
     low[tails] = _TAIL_SMALL[data[tails]]
     bad = kind == 0
@@ -145,7 +146,8 @@ def units(pieces: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
         bad[tails] = _NO_TAIL[data[tails]]
         high[tails] = False
         bad |= high & (data != 0xC3)
-    plain = np.diff(np.concatenate([[0], np.cumsum(bad)])[offsets]) == 0
+    plain = np.ones(len(pieces), bool)
+    plain[np.searchsorted(offsets, bad.nonzero()[0], side="right") - 1] = False
     sizes = np.diff(offsets)
     if not plain.all():
         keep = np.repeat(plain, sizes)
@@ -156,7 +158,7 @@ def units(pieces: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     first[offsets[:-1][sizes > 0]] = True
     begins = np.append(np.flatnonzero(first), len(low)).astype(np.int32)
     atoms = pa.StringArray.from_buffers(len(begins) - 1, pa.py_buffer(begins), pa.py_buffer(low))
-    return plain, atoms, np.concatenate([[0], np.cumsum(first)])[offsets]
+    return plain, atoms, np.searchsorted(begins, offsets.astype(np.int32))
 
 
 @lru_cache(maxsize=1)
