@@ -7,18 +7,24 @@ everything that is nearest to c; both halves' bounds, squared, add up to a
 bound on the distance to a cell. A cell is visited, in the order of the
 multi-sequence traversal of the bounds, until the bound exceeds the distance
 that the threshold stands for, so no link is missed, whatever the vectors.
-Meetings are then verified by cosine in double precision. In vectors without
-structure the bound excludes few cells and the search is brute force in
-blocks; the codebooks save work where vectors lie in groups.
+In visited cells a product over the first few turned coordinates (principal
+axes of the sample) and the length of the rest bounds each cosine from above
+(Cauchy-Schwarz); what can reach the threshold is verified by cosine in double
+precision. In vectors without structure the bound excludes few cells and the
+search is brute force over those first coordinates; the codebooks save work
+where vectors lie in groups.
 
 Bounds and skew: equal vectors are one class (a grouped minimum), so copies
-cost one row. The members of a cell are dealt into blocks; two blocks meet
-once, in a join keyed by cell and block, the caller by the parity of the two
-numbers, so a hot cell is many keys. A meeting of two blocks is one matrix product in numpy and returns at
-most one row per member: the number of its links and the root of its tree
-within the meeting. Pairs are never written out. Codebooks are fitted on a
-bounded sample (SAMPLE vectors, taken in the order of a hash); every vector
-is indexed.
+cost one row. The rows of a label are dealt by a hash into blocks of at most
+about SHARE bytes, so a hot cell is no hot key. Every two blocks of a label
+meet once, in rounds: in round r, block s meets block s + r (of the label's
+blocks, in a circle). A round moves each row twice at most and its files are
+given back before the next one, so disk grows with the rows, not with the
+meetings. A meeting holds one block and reads the other in pieces; it returns
+at most one row per member (the number of its links and the root of its tree)
+and an edge where two trees met. Pairs are never written out. Codebooks are
+fitted on a bounded sample (SAMPLE vectors, taken in the order of a hash);
+every vector is indexed.
 
 Defined cases: vectors compare only within the same label and length. A null
 label, a null, empty or zero vector, or one with a null, NaN or infinite
@@ -30,19 +36,28 @@ ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskpulse.llm.components import components
-from deskpulse.llm.io import cut, table
+from deskpulse.llm.io import cut, release, small_batches, table, tidy
+from deskpulse.llm.textvec import mix
 
 SAMPLE = 8192  # vectors that the codebooks are fitted on
 CELL = 64  # vectors a cell should hold, on average over the largest label
 CODEWORDS = 512  # at most, per half
 RECALL = 0.995  # of isotropic neighbours, for the ``visits`` of ``fit_index``
-BLOCK = 256
+SHARE = 1 << 25  # bytes of vectors in a block, on average
+CHUNK = 1 << 15  # bytes of vectors that are moved as one row
+ROWS = 512  # of the held block that visit together
+COLUMNS = 1024  # that they meet at once
+PIECE = 8192  # rows of the other block that are read at once
+LET_THROUGH = 2e-5  # share of pairs that the first coordinates may leave to be verified
+FEW = 100_000  # ids that are broadcast at most
 SLACK = 1e-9  # on squared distances, for rounding
 
 
@@ -117,126 +132,308 @@ def reachable(x: np.ndarray, m: dict, threshold: float) -> np.ndarray:
     most = 2 - 2 * threshold + SLACK
     l1, l2 = bounds(x[:, : m["half"]], m["c1"]), bounds(x[:, m["half"] :], m["c2"])
     least1, least2 = l1.min(0), l2.min(0)
-    inside = (least1[:, None] + least2 <= most).sum()
-    cells = traverse(least1[None], least2[None], int(inside))[0]  # of the rows together
+    inside = int((least1[:, None] + least2 <= most).sum())
+    cells = np.arange(len(least1) * len(least2))
+    if inside < len(cells):
+        cells = traverse(least1[None], least2[None], inside)[0]  # of the rows together
+    out, left = np.zeros(len(cells), bool), np.arange(len(cells))
     i, j = np.divmod(cells, len(m["c2"]))
-    out = np.zeros(len(cells), bool)
     for a, b in zip(l1, l2, strict=True):
-        out |= a[i] + b[j] <= most
+        near = a[i] + b[j] <= most
+        out[left[near]] = True
+        if near.any():  # a cell needs one row only
+            left, i, j = left[~near], i[~near], j[~near]
+            if not len(left):
+                break
     return cells[out]
 
 
-def _read(blobs: list[bytes], kind: str, dim: int) -> np.ndarray:
-    return unit(np.frombuffer(b"".join(blobs), dtype=kind).reshape(len(blobs), dim))
+def fit_prefix(x: np.ndarray, threshold: float) -> np.ndarray:
+    """The first principal axes (columns) of ``x``, as many as let through few pairs below the threshold."""
+    axes = np.linalg.eigh(x.T @ x)[1][:, ::-1]
+    probe = x[:1024] @ axes
+    below = probe @ probe.T < threshold
+    for k in (8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512, 768):
+        if k >= x.shape[1]:
+            break
+        low = prefix(probe, k)
+        if (below & (low @ low.T >= threshold)).sum() <= LET_THROUGH * below.size:
+            return np.ascontiguousarray(axes[:, :k])
+    return axes
+
+
+def prefix(x: np.ndarray, k: int) -> np.ndarray:
+    """The first ``k`` columns and the length of the rest: products of two such rows are at least the cosine."""
+    low = x[:, :k]
+    rest = np.sqrt(np.maximum(0, 1 - (low * low).sum(1, keepdims=True)))
+    return np.concatenate([low, rest], 1).astype(np.float32)
+
+
+class _Block:
+    """Rows of one block, in the order of their cells."""
+
+    def __init__(self, chunks: list[tuple[bytes, bytes, bytes]], kind: str, dim: int, m: dict | None):
+        ids, copies, vecs = (b"".join(c) for c in zip(*chunks, strict=True))
+        self.ids, self.copies = np.frombuffer(ids, np.int64), np.frombuffer(copies, np.int64)
+        self.raw, self.cell, low = np.frombuffer(vecs, kind).reshape(len(self.ids), dim), np.zeros(len(self.ids), np.int32), []
+        for at in range(0, len(self.ids), PIECE):
+            x = unit(self.raw[at : at + PIECE])
+            if m is not None:
+                self.cell[at : at + PIECE] = cells_of(x, m)
+            low.append(prefix(x, min(dim, 32)) if m is None else prefix(x @ m["axes"], m["axes"].shape[1]))
+        order = self.cell.argsort(kind="stable")
+        self.ids, self.copies, self.raw, self.cell, self.low = self.ids[order], self.copies[order], self.raw[order], self.cell[order], np.concatenate(low)[order]
+        self.found, self.root = np.zeros(len(order), np.int64), self.ids.copy()
+
+    def linked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.flatnonzero(self.found)
+        return self.ids[at], self.found[at], self.root[at]
+
+
+def cells_of(x: np.ndarray, m: dict) -> np.ndarray:
+    return sq_dists(x[:, : m["half"]], m["c1"]).argmin(1) * len(m["c2"]) + sq_dists(x[:, m["half"] :], m["c2"]).argmin(1)
+
+
+def reached(x: _Block, m: dict | None, threshold: float) -> list[np.ndarray | None]:
+    """For every ROWS rows of ``x``, which cells they visit; None: all."""
+    out = []
+    for lo in range(0, len(x.ids), ROWS):
+        visits = None
+        if m is not None:
+            cells = reachable(unit(x.raw[lo : lo + ROWS]), m, threshold)
+            if len(cells) < len(m["c1"]) * len(m["c2"]):
+                visits = np.zeros(len(m["c1"]) * len(m["c2"]), bool)
+                visits[cells] = True
+        out.append(visits)
+    return out
+
+
+def meet(x: _Block, y: _Block, visits: list[np.ndarray | None], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Adds the links between ``x`` and ``y`` (between the rows of ``x`` if they are the same) to both; returns edges between trees that met."""
+    least = threshold - 4 * (x.low.shape[1] + 8) * 2.0**-24  # for rounding in single precision
+    edges, bound = [], np.empty((ROWS, COLUMNS), np.float32)
+    for k, lo in enumerate(range(0, len(x.ids), ROWS)):
+        at = np.arange(lo if x is y else 0, len(y.ids))
+        if visits[k] is not None:
+            at = at[visits[k][y.cell[at]]]
+        whole = len(at) and at[-1] - at[0] + 1 == len(at)
+        for c in range(0, len(at), COLUMNS):
+            cols = at[c : c + COLUMNS]
+            to = y.low[cols[0] : cols[-1] + 1] if whole else y.low[cols]
+            own = x.low[lo : lo + ROWS]
+            hit = np.matmul(own, to.T, out=bound[: len(own), : len(to)] if len(to) == COLUMNS else None) >= least
+            rows = hit.any(1).nonzero()[0]
+            if len(rows):
+                near = hit[rows].any(0).nonzero()[0]
+                edges += _verified(x, rows + lo, y, cols[near], threshold)
+    edges = np.unique(np.concatenate(edges, 1), axis=1) if edges else np.zeros((2, 0), np.int64)
+    return edges[0], edges[1]
+
+
+def _verified(x: _Block, rows: np.ndarray, y: _Block, cols: np.ndarray, threshold: float) -> list[np.ndarray]:
+    link = unit(x.raw[rows]) @ unit(y.raw[cols]).T >= threshold
+    if x is y:  # every pair once
+        link &= rows[:, None] < cols
+    hx, hy = link.any(1), link.any(0)
+    if not hx.any():
+        return []
+    link, rows, cols = link[hx][:, hy], rows[hx], cols[hy]
+    x.found[rows] += link @ y.copies[cols]
+    y.found[cols] += x.copies[rows] @ link
+    was_x, was_y = x.root[rows], y.root[cols]
+    rx, ry, big = was_x, was_y, np.iinfo(np.int64).max
+    while True:  # smallest root within the meeting, along links
+        nx = np.minimum(rx, np.where(link, ry, big).min(1))
+        ny = np.minimum(ry, np.where(link, nx[:, None], big).min(0))
+        if x is y:  # a row can be on both sides
+            _, both, other = np.intersect1d(rows, cols, assume_unique=True, return_indices=True)
+            nx[both] = ny[other] = np.minimum(nx[both], ny[other])
+        if (nx == rx).all() and (ny == ry).all():
+            break
+        rx, ry = nx, ny
+    x.root[rows], y.root[cols] = rx, ry
+    # a root that isn't kept is tied to the new one; a row's own id is tied at the end
+    was, now, ids = np.concatenate([was_x, was_y]), np.concatenate([rx, ry]), np.concatenate([x.ids[rows], y.ids[cols]])
+    tied = (was != now) & (was != ids)
+    return [np.unique(np.stack([was[tied], now[tied]]), axis=1)] if tied.any() else []
 
 
 def embedding_links(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id) under the given id name: the number of
-    other vectors linked directly, and the smallest id reachable by links."""
+    other vectors linked directly, and the smallest id reachable by links.
+    ``vectors`` is read several times, so that no whole copy of it is kept."""
+    spark = vectors.sparkSession
+    small_batches(spark)
     kind = "<f4" if dict(vectors.dtypes)[vec_col] == "array<float>" else "<f8"
-    base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vec_col).alias("vec")).where("id is not null")
-    base = base.groupBy("id").agg(F.min(F.struct("label", "vec")).alias("s")).select("id", "s.*")
-    bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    fit = F.col("label").isNotNull() & F.col("vec").isNotNull() & ~bad & F.exists("vec", lambda x: x != 0)
-    base = cut(base.withColumn("usable", F.coalesce(fit, F.lit(False))))
-    usable = base.where("usable")
-    classes = cut(usable.groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).withColumn("dim", F.size("vec")))
-    pairs = _linked(classes, threshold, kind)
+    base = _once(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vec_col).alias("vec")).where("id is not null"))
+    wrong = F.exists("vec", lambda x: x.isNull()) | F.isnan(F.array_max("vec")) | (F.array_max("vec") == float("inf")) | (F.array_min("vec") == -float("inf"))
+    zero = (F.array_max("vec") == 0) & (F.array_min("vec") == 0)
+    usable = base.where(F.col("label").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0) & ~F.coalesce(wrong | zero, F.lit(True)))
+    # 128 bits stand for label and vector where only equality counts
+    usable = usable.withColumns({"dim": F.size("vec"), "f1": F.xxhash64("label", "vec"), "f2": F.xxhash64(F.lit(1), "label", "vec")})
+    narrow = cut(usable.select("id", "label", "dim", "f1", "f2"))
+    same = cut(narrow.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).where("copies > 1"))
+    members = cut(narrow.join(_hinted(same), ["f1", "f2"]).select("id", "rep", "copies"))
+    reps, rows = narrow, usable.withColumn("copies", F.lit(1).cast("long"))
+    if not members.isEmpty():
+        reps = narrow.join(_hinted(members.where("id != rep").select("id")), "id", "left_anti")
+        if _few(members):
+            rows = usable.join(F.broadcast(members), "id", "left").where("rep is null or rep = id").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long")))
+        else:
+            rows = usable.groupBy("f1", "f2").agg(F.min(F.struct("id", "label", "vec", "dim")).alias("s"), F.count("*").alias("copies")).select("s.*", "copies")
+    release(spark)
+    sizes = cut(reps.groupBy(F.col("label").cast("string").alias("label"), "dim").count())
+    sample = reps.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id")  # bounded by SAMPLE
+    sample = usable.join(F.broadcast(sample), "id", "left_semi").orderBy(F.xxhash64("id"), "id").select("dim", "vec").collect()
+    models = _models(sizes, sample, threshold)
+    release(spark)
+    index, blocks = _index(rows, sizes, kind)
+    del base, usable, narrow, same, reps, rows
+    release(spark)
+    pairs = _linked(index, blocks, models, threshold, kind)
+    del index
+    release(spark)
     comp = components(pairs.where("root != id").select(F.col("id").alias("a"), F.col("root").alias("b")))
     counts = pairs.groupBy("id").agg(F.sum("found").alias("found"))
-    ends = (
-        classes.select("label", "vec", "rep", "copies")
+    out = (
+        vectors.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
+        .join(_hinted(members), "id", "left")
+        .withColumns({"rep": F.coalesce("rep", "id"), "copies": F.coalesce("copies", F.lit(1))})
         .join(counts.withColumnRenamed("id", "rep"), "rep", "left")
         .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("label", "vec", (F.coalesce("found", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
     )
-    out = usable.join(ends, ["label", "vec"]).select("id", "n_links", "component_id")
-    rest = base.where("not usable").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return out.unionByName(rest).withColumnRenamed("id", id_col)
+    return out.select(F.col("id").alias(id_col), (F.coalesce("found", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
+
+
+def _few(rows: DataFrame) -> bool:
+    return rows.limit(FEW + 1).count() <= FEW
+
+
+def _hinted(rows: DataFrame) -> DataFrame:
+    """``rows`` (cut), to be broadcast if they are few: the other side of a join stays where it is."""
+    return F.broadcast(rows) if _few(rows) else rows
 
 
-def _linked(classes: DataFrame, threshold: float, kind: str) -> DataFrame:
-    """(id, found, root) rows of all block meetings, cut."""
-    spark = classes.sparkSession
-    sizes = classes.groupBy("dim", "label").count().groupBy("dim").agg(F.max("count").alias("largest"))
-    sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("dim", "vec").collect()  # bounded by SAMPLE
+def _once(rows: DataFrame) -> DataFrame:
+    """One row an id, the smallest; rows of ids that come once are not moved where few ids come again."""
+    smallest = lambda x: x.groupBy("id").agg(F.min(F.struct("label", "vec")).alias("s")).select("id", "s.*")
+    again = cut(rows.groupBy("id").count().where("count > 1").select("id"))
+    if again.isEmpty():
+        return rows
+    if not _few(again):
+        return smallest(rows)
+    return rows.join(F.broadcast(again), "id", "left_anti").unionByName(smallest(rows.join(F.broadcast(again), "id", "left_semi")))
+
+
+def _models(sizes: DataFrame, sample: list, threshold: float) -> dict[int, dict]:
+    """Codebooks and first axes of the 64 most populous lengths."""
     models = {}
-    for dim, largest in ((r["dim"], r["largest"]) for r in sizes.orderBy(F.desc("largest")).limit(64).collect()):
+    for dim, largest in sizes.groupBy("dim").agg(F.max("count").alias("largest")).orderBy(F.desc("largest")).limit(64).collect():
         own = [r["vec"] for r in sample if r["dim"] == dim]
         if len(own) >= 8:
-            models[dim] = fit_index(unit(np.array(own, dtype=np.float64)), largest, threshold)
-    shared = spark.sparkContext.broadcast(models)  # at most 2 x CODEWORDS codewords a length
-
-    def assign(batches):
+            x = unit(np.array(own, dtype=np.float64))
+            models[dim] = fit_index(x, largest, threshold) | {"axes": fit_prefix(x, threshold)}
+    return models
+
+
+def _index(rows: DataFrame, sizes: DataFrame, kind: str) -> tuple[DataFrame, int]:
+    """Rows dealt into blocks (label, dim, block, blocks, ids, copies, vecs), many a row, cut; and the most blocks of a label."""
+    share, chunk = SHARE, CHUNK
+    size = F.col("dim") * int(kind[-1])
+    large = sizes.where(F.col("count") * size > share).collect()  # a row per SHARE bytes at most
+    parts = {(r["label"], r["dim"]): -(-r["count"] * r["dim"] * int(kind[-1]) // share) for r in large}
+    shared = rows.sparkSession.sparkContext.broadcast(parts)
+
+    def packed(held):
+        b = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        dims, ids, copies = (b.column(c).to_numpy() for c in ("dim", "id", "copies"))
+        names = b.column("label").cast(pa.string()).dictionary_encode()
+        code, names = names.indices.to_numpy(), names.dictionary.to_pylist()
+        off = b.column("vec").offsets.to_numpy()
+        flat = b.column("vec").values.to_numpy(zero_copy_only=False).astype(kind)
+        blocks = np.array([shared.value.get((names[c], d), 1) for c, d in zip(code, dims.tolist(), strict=True)])
+        block = (mix(ids.view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
+        order = np.lexsort((block, code, dims))
+        key = np.stack([dims, code, block])[:, order]
+        starts = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, [len(order)]])
+        out = []
+        for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+            dim = int(dims[order[lo]])
+            most = max(1, chunk // (dim * int(kind[-1])))
+            for at in (order[i : min(hi, i + most)] for i in range(lo, hi, most)):
+                out.append((names[code[at[0]]], dim, int(block[at[0]]), int(blocks[at[0]]), ids[at].tobytes(), copies[at].tobytes(), flat[off[at][:, None] + np.arange(dim)].tobytes()))
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 3), strict=True)], names=["label", "dim", "block", "blocks", "ids", "copies", "vecs"])
+
+    def pack(batches):
+        held = []
         for b in batches:
-            dims = b.column("dim").to_numpy()
-            n = len(dims)
-            off = b.column("vec").offsets.to_numpy()
-            flat = b.column("vec").values.to_numpy(zero_copy_only=False).astype(kind)
-            cell = np.zeros(n, np.int32)  # a length with few vectors is one cell
-            for dim, m in shared.value.items():
-                at = np.flatnonzero(dims == dim)
-                if len(at):
-                    x = unit(flat[off[at][:, None] + np.arange(dim)])
-                    cell[at] = sq_dists(x[:, : m["half"]], m["c1"]).argmin(1) * len(m["c2"]) + sq_dists(x[:, m["half"] :], m["c2"]).argmin(1)
-            blobs = [flat[off[i] : off[i + 1]].tobytes() for i in range(n)]
-            yield pa.record_batch([b.column("rep"), b.column("label").cast(pa.string()), b.column("dim"), b.column("copies"), pa.array(cell), pa.array(blobs, pa.binary())], names=["id", "label", "dim", "copies", "cell", "vec"])
-
-    rows = cut(classes.select("rep", "label", "dim", "copies", "vec").mapInArrow(assign, "id long, label string, dim int, copies long, cell int, vec binary"))
-    grid = rows.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    index = rows.join(grid, ["label", "dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    # dealt anew by block: the blocks of a hot cell are gathered by many tasks, and the join above can be split
-    index = cut(index.repartition("label", "dim", "cell", "block").groupBy("label", "dim", "cell", "block").agg(F.collect_list(F.struct("id", "copies", "vec")).alias("ys")))
-
-    def visit(batches):
-        for b in batches:
-            visits = []
-            for r in range(b.num_rows):
-                dim = b.column("dim")[r].as_py()
-                m = shared.value.get(dim)
-                visits.append([0] if m is None else reachable(_read(b.column("ys")[r].values.field("vec").to_pylist(), kind, dim), m, threshold).tolist())
-            yield pa.record_batch([*b.columns[:4], pa.array(visits, pa.list_(pa.int32()))], names=["label", "dim", "own", "from", "visits"])
-
-    def mine(a, b):  # of two numbers, whether the first one calls
-        return F.when((a + b) % 2 == 1, a < b).otherwise(a > b)
-
-    visits = index.mapInArrow(visit, "label string, dim int, own int, from int, visits array<int>")
-    visits = visits.select("label", "dim", "own", "from", F.explode("visits").alias("cell")).where((F.col("own") == F.col("cell")) | mine(F.col("own"), F.col("cell")))
-    visits = visits.join(grid, ["label", "dim", "cell"])  # cells without members drop out
-    visits = visits.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    visits = visits.where((F.col("own") != F.col("cell")) | (F.col("from") == F.col("block")) | mine(F.col("from"), F.col("block")))
-    callers = index.select("label", "dim", F.col("cell").alias("own"), F.col("block").alias("from"), F.col("ys").alias("xs"))
-    met = visits.join(callers, ["label", "dim", "own", "from"]).join(index, ["label", "dim", "cell", "block"]).select("dim", "xs", "ys")
-
-    def verify(batches):
+            if b.num_rows:
+                held.append(b)
+            if sum(x.nbytes for x in held) > 1 << 24:
+                yield packed(held)
+                held = []
+        if held:
+            yield packed(held)
+
+    packs = rows.select("id", "label", "dim", "copies", "vec").mapInArrow(tidy(pack), "label string, dim int, block int, blocks int, ids binary, copies binary, vecs binary")
+    return cut(packs), max(parts.values(), default=1)
+
+
+def _linked(index: DataFrame, blocks: int, models: dict[int, dict], threshold: float, kind: str) -> DataFrame:
+    """(id, found, root) rows of all meetings, each round's cut."""
+    shared = index.sparkSession.sparkContext.broadcast(models)  # at most 2 x CODEWORDS codewords and 769 axes a length
+
+    def search(batches) -> Iterator[pa.RecordBatch]:
+        key, chunks, x, visits = None, [], None, []
+
+        def rows(ids, found, root):
+            return pa.record_batch([pa.array(ids), pa.array(found), pa.array(root)], names=["id", "found", "root"])
+
+        def go(side, last):
+            """Works off the chunks that are held."""
+            nonlocal chunks, x, visits
+            dim = key[1]
+            m = shared.value.get(dim)
+            if chunks:
+                y, chunks = _Block(chunks, kind, dim, m), []
+                if not side:
+                    x, visits = y, reached(y, m, threshold)
+                if side or key[2] == key[3]:
+                    was, now = meet(x, y, visits, threshold)
+                    yield rows(was, np.zeros(len(was), np.int64), now)
+                    if x is not y:
+                        yield rows(*y.linked())
+            if last and x is not None:
+                yield rows(*x.linked())
+                x = None
+
+        side, held = 0, 0
         for b in batches:
+            cols = [b.column(c) for c in ("label", "dim", "s", "t", "side", "ids", "copies", "vecs")]
             for r in range(b.num_rows):
-                dim = b.column("dim")[r].as_py()
-                xs, ys = b.column("xs")[r].values, b.column("ys")[r].values
-                xi, yi = xs.field("id").to_numpy(), ys.field("id").to_numpy()
-                link = _read(xs.field("vec").to_pylist(), kind, dim) @ _read(ys.field("vec").to_pylist(), kind, dim).T >= threshold
-                link &= xi[:, None] != yi
-                if not link.any():
-                    continue
-                to_x = link @ ys.field("copies").to_numpy()
-                to_y = xs.field("copies").to_numpy() @ link
-                if np.isin(xi, yi).any():  # a block with itself: every pair is there twice
-                    to_y[:] = 0
-                rx, ry = xi.copy(), yi.copy()
-                big = np.iinfo(np.int64).max
-                while True:  # smallest id within the meeting, along links
-                    nx = np.minimum(rx, np.where(link, ry, big).min(1))
-                    ny = np.minimum(ry, np.where(link, nx[:, None], big).min(0))
-                    if (nx == rx).all() and (ny == ry).all():
-                        break
-                    rx, ry = nx, ny
-                hx, hy = link.any(1), link.any(0)
-                yield pa.record_batch(
-                    [pa.array(np.concatenate([xi[hx], yi[hy]])), pa.array(np.concatenate([to_x[hx], to_y[hy]])), pa.array(np.concatenate([rx[hx], ry[hy]]))],
-                    names=["id", "found", "root"],
-                )
-
-    return cut(met.mapInArrow(verify, "id long, found long, root long"))
+                *k, now, ids, copies, vecs = (c[r].as_py() for c in cols)
+                if key is not None and (k != key or now != side or side and held >= PIECE):
+                    yield from go(side, k != key)
+                    held = 0
+                key, side = k, now
+                chunks.append((ids, copies, vecs))
+                held += len(ids) // 8
+        if key is not None:
+            yield from go(side, True)
+
+    pairs = None
+    for r in range(blocks // 2 + 1):
+        # in a circle of blocks, block s calls block s + r; half way round, only the first half calls
+        side = lambda s, t, k: F.struct(F.expr(s).cast("int").alias("s"), F.expr(t).cast("int").alias("t"), F.lit(k).alias("side"))
+        sides = [side("block", f"(block + {r}) % blocks", 0)] + ([side(f"(block - {r} + blocks) % blocks", "block", 1)] if r else [])
+        met = index.where(f"2 * {r} <= blocks").select("label", "dim", "blocks", F.explode(F.array(*sides)).alias("k"), "ids", "copies", "vecs")
+        met = met.where(f"2 * {r} < blocks or k.s < k.t").select("label", "dim", "k.*", "ids", "copies", "vecs")
+        met = met.repartition("label", "dim", "s", "t").sortWithinPartitions("label", "dim", "s", "t", "side")
+        found = cut(met.mapInArrow(tidy(search), "id long, found long, root long"))
+        pairs = found if pairs is None else pairs.union(found)
+        del met, found
+        release(index.sparkSession)
+    return pairs
 
 
 def op1_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -1,8 +1,16 @@
+import contextlib
+import os
+import tempfile
+import threading
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from brute import union_find
 
 from deskpulse.llm import embed_dedup
-from deskpulse.llm.io import table
+from deskpulse.llm.io import release, scratch_folder, table
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id string, copies int"
 
@@ -95,3 +103,86 @@ def test_bounds_exclude_cells_but_no_neighbour():
     for v, cells in zip(x[:300], seen, strict=True):
         assert np.isin(cell[x @ v >= 0.93], cells).all()
     assert np.mean([len(c) for c in seen]) < len(m["c1"]) * k / 2
+
+
+def grouped(rng, n, labels):
+    """Rows in loose groups, with exact copies, in labels of different sizes."""
+    centres = rng.standard_normal((40, 12))
+    v = centres[rng.integers(0, 40, n)] + 0.12 * rng.standard_normal((n, 12))
+    v[::9] = v[0]
+    return [(i, [float(np.float32(x)) for x in w], int(labels[i % len(labels)]), "x", 1) for i, w in enumerate(v)]
+
+
+@pytest.mark.parametrize("few", [0, 10, 1000])
+def test_every_two_blocks_of_a_label_meet_once(spark, monkeypatch, few):
+    rng = np.random.default_rng(6)
+    rows = grouped(rng, 700, [1, 1, 1, 1, 2, 2, 2, 3, 3, 4])
+    again = [(r[0], [x + 1 for x in r[1]], 5, "x", 1) for r in rows[:20]]  # larger labels: the first rows stay
+    monkeypatch.setattr(embed_dedup, "SHARE", 12 * 4 * 60)  # 1 to 5 blocks a label
+    monkeypatch.setattr(embed_dedup, "CHUNK", 12 * 4 * 7)
+    monkeypatch.setattr(embed_dedup, "FEW", few)
+    check(embed_dedup.embedding_links(spark.createDataFrame(rows + again, SCHEMA)), rows)
+
+
+def test_trees_that_meet_late_are_one(spark, monkeypatch):
+    # a chain of neighbours: each links with the next two, every component is whole only over all meetings
+    angle = np.arange(300) * 0.3
+    rng = np.random.default_rng(7)
+    turn = np.linalg.qr(rng.standard_normal((16, 16)))[0]
+    v = np.zeros((300, 16))
+    v[:, 0], v[:, 1], v[:, 2] = np.cos(angle / 6), np.sin(angle / 6), np.arange(300) * 0.02
+    v = v @ turn
+    rows = [(int(i), [float(np.float32(x)) for x in v[k]], 1, "x", 1) for k, i in enumerate(rng.permutation(300))]
+    monkeypatch.setattr(embed_dedup, "SHARE", 16 * 4 * 40)
+    check(embed_dedup.embedding_links(spark.createDataFrame(rows, SCHEMA)), rows)
+
+
+def test_prefixes_bound_the_cosine():
+    rng = np.random.default_rng(8)
+    for x in (rng.standard_normal((500, 40)), rng.standard_normal((500, 3)) @ rng.standard_normal((3, 40)) + 0.01 * rng.standard_normal((500, 40))):
+        x = embed_dedup.unit(x)
+        axes = embed_dedup.fit_prefix(x, 0.93)
+        low = embed_dedup.prefix(x @ axes, axes.shape[1])
+        assert (low @ low.T >= x @ x.T - 4 * (low.shape[1] + 8) * 2.0**-24).all()
+    assert axes.shape[1] < 16  # in three dimensions a few are enough
+
+
+def test_disk_grows_with_the_rows_and_not_with_the_meetings(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    n = 16_000
+    flat = rng.standard_normal((n, 64)).astype(np.float32)
+    path = f"{tempfile.mkdtemp(prefix='run-')}/embeddings.parquet"
+    vecs = pa.ListArray.from_arrays(np.arange(0, flat.size + 1, 64, dtype=np.int32), flat.ravel())
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": vecs, "label": np.ones(n, np.int32)}), path)
+    places = [str(x) for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    places.append(scratch_folder(spark).removeprefix("file:"))
+
+    def used():
+        total = 0
+        for d in places:
+            for at, _, names in os.walk(d):
+                for x in names:
+                    with contextlib.suppress(OSError):
+                        total += os.path.getsize(f"{at}/{x}")
+        return total
+
+    release(spark)
+    begun, most, done = used(), [0], threading.Event()
+
+    def watch():
+        while not done.wait(0.05):
+            most[0] = max(most[0], used())
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    threshold = spark.conf.get(key)
+    spark.conf.set(key, "256k")  # the table is small, tables that it stands for are not
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        monkeypatch.setattr(embed_dedup, "SHARE", flat.nbytes // 8)  # 8 blocks
+        assert embed_dedup.embedding_links(spark.read.parquet(path)).count() == n
+    finally:
+        done.set()
+        watcher.join()
+        spark.conf.set(key, threshold)
+    assert (most[0] - begun) / flat.nbytes < 9
