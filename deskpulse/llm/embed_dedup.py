@@ -18,9 +18,9 @@ Bounds and skew: equal vectors are one class (a grouped minimum), so copies
 cost one row. The rows of a label are dealt by a hash into blocks of at most
 about SHARE bytes, so a hot cell is no hot key. Every two blocks of a label
 meet once, in rounds: in round r, block s meets block s + r (of the label's
-blocks, in a circle). A round moves each row twice at most and its files are
-given back before the next one, so disk grows with the rows, not with the
-meetings. A meeting holds one block and reads the other in pieces; it returns
+blocks, in a circle), for even s and then for odd s. A round moves about as
+many rows as there are and its files are given back before the next one, so
+disk grows with the rows, not with the meetings. A meeting holds one block and reads the other in pieces; it returns
 at most one row per member (the number of its links and the root of its tree)
 and an edge where two trees met. Pairs are never written out. Codebooks are
 fitted on a bounded sample (SAMPLE vectors, taken in the order of a hash);
@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskpulse.llm.components import components
-from deskpulse.llm.io import cut, release, small_batches, table, tidy
+from deskpulse.llm.io import cut, release, shuffles_given_back, small_batches, table, tidy
 from deskpulse.llm.textvec import mix
 
 SAMPLE = 8192  # vectors that the codebooks are fitted on
@@ -265,7 +265,30 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     spark = vectors.sparkSession
     small_batches(spark)
     kind = "<f4" if dict(vectors.dtypes)[vec_col] == "array<float>" else "<f8"
-    base = _once(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vec_col).alias("vec")).where("id is not null"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vec_col).alias("vec")).where("id is not null")
+    with shuffles_given_back(spark):
+        members, index, sizes, models = _classes(rows, threshold, kind)
+        release(spark)
+        pairs = _linked(*index, sizes, models, threshold, kind)
+        del index
+        release(spark)
+        counts = cut(pairs.groupBy("id").agg(F.sum("found").alias("found")))
+        comp = cut(_trees(pairs))
+        members = _hinted(members)
+    out = (
+        rows.select("id").distinct()
+        .join(members, "id", "left")
+        .withColumns({"rep": F.coalesce("rep", "id"), "copies": F.coalesce("copies", F.lit(1))})
+        .join(counts.withColumnRenamed("id", "rep"), "rep", "left")
+        .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    )
+    return out.select(F.col("id").alias(id_col), (F.coalesce("found", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
+
+
+def _classes(rows: DataFrame, threshold: float, kind: str) -> tuple[DataFrame, tuple[DataFrame, int], DataFrame, dict[int, dict]]:
+    """Of (id, label, vec) rows: the members of classes of equal vectors (id, rep, copies), where there is more than
+    one; the index of one row a class, with the most blocks of a label; the classes by label and length; the models."""
+    base = _once(rows)
     wrong = F.exists("vec", lambda x: x.isNull()) | F.isnan(F.array_max("vec")) | (F.array_max("vec") == float("inf")) | (F.array_min("vec") == -float("inf"))
     zero = (F.array_max("vec") == 0) & (F.array_min("vec") == 0)
     usable = base.where(F.col("label").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0) & ~F.coalesce(wrong | zero, F.lit(True)))
@@ -274,35 +297,21 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     narrow = cut(usable.select("id", "label", "dim", "f1", "f2"))
     same = cut(narrow.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).where("copies > 1"))
     members = cut(narrow.join(_hinted(same), ["f1", "f2"]).select("id", "rep", "copies"))
-    reps, rows = narrow, usable.withColumn("copies", F.lit(1).cast("long"))
+    reps, one = narrow, usable.withColumn("copies", F.lit(1).cast("long"))
     if not members.isEmpty():
         reps = narrow.join(_hinted(members.where("id != rep").select("id")), "id", "left_anti")
         if _few(members):
-            rows = usable.join(F.broadcast(members), "id", "left").where("rep is null or rep = id").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long")))
+            one = usable.join(F.broadcast(members), "id", "left").where("rep is null or rep = id").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long")))
         else:
-            rows = usable.groupBy("f1", "f2").agg(F.min(F.struct("id", "label", "vec", "dim")).alias("s"), F.count("*").alias("copies")).select("s.*", "copies")
-    release(spark)
+            one = usable.groupBy("f1", "f2").agg(F.min(F.struct("id", "label", "vec", "dim")).alias("s"), F.count("*").alias("copies")).select("s.*", "copies")
     sizes = cut(reps.groupBy(F.col("label").cast("string").alias("label"), "dim").count())
     sample = reps.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id")  # bounded by SAMPLE
     sample = usable.join(F.broadcast(sample), "id", "left_semi").orderBy(F.xxhash64("id"), "id").select("dim", "vec").collect()
-    models = _models(sizes, sample, threshold)
-    release(spark)
-    index, blocks = _index(rows, sizes, kind)
-    del base, usable, narrow, same, reps, rows
-    release(spark)
-    pairs = _linked(index, blocks, models, threshold, kind)
-    del index
-    release(spark)
-    comp = components(pairs.where("root != id").select(F.col("id").alias("a"), F.col("root").alias("b")))
-    counts = pairs.groupBy("id").agg(F.sum("found").alias("found"))
-    out = (
-        vectors.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
-        .join(_hinted(members), "id", "left")
-        .withColumns({"rep": F.coalesce("rep", "id"), "copies": F.coalesce("copies", F.lit(1))})
-        .join(counts.withColumnRenamed("id", "rep"), "rep", "left")
-        .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-    )
-    return out.select(F.col("id").alias(id_col), (F.coalesce("found", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
+    return members, _index(one, sizes, kind), sizes, _models(sizes, sample, threshold)
+
+
+def _trees(pairs: DataFrame) -> DataFrame:
+    return components(pairs.where("root != id").select(F.col("id").alias("a"), F.col("root").alias("b")))
 
 
 def _few(rows: DataFrame) -> bool:
@@ -379,8 +388,8 @@ def _index(rows: DataFrame, sizes: DataFrame, kind: str) -> tuple[DataFrame, int
     return cut(packs), max(parts.values(), default=1)
 
 
-def _linked(index: DataFrame, blocks: int, models: dict[int, dict], threshold: float, kind: str) -> DataFrame:
-    """(id, found, root) rows of all meetings, each round's cut."""
+def _linked(index: DataFrame, blocks: int, sizes: DataFrame, models: dict[int, dict], threshold: float, kind: str) -> DataFrame:
+    """(id, found, root) rows of all meetings, cut by rounds."""
     shared = index.sparkSession.sparkContext.broadcast(models)  # at most 2 x CODEWORDS codewords and 769 axes a length
 
     def search(batches) -> Iterator[pa.RecordBatch]:
@@ -421,16 +430,20 @@ def _linked(index: DataFrame, blocks: int, models: dict[int, dict], threshold: f
         if key is not None:
             yield from go(side, True)
 
-    pairs = None
-    for r in range(blocks // 2 + 1):
+    pairs, held, rows = None, 0, sizes.agg(F.sum("count")).first()[0] or 0
+    for r, half in [(0, ""), *((r, f"k.s % 2 = {odd} and ") for r in range(1, blocks // 2 + 1) for odd in (0, 1))]:
         # in a circle of blocks, block s calls block s + r; half way round, only the first half calls
         side = lambda s, t, k: F.struct(F.expr(s).cast("int").alias("s"), F.expr(t).cast("int").alias("t"), F.lit(k).alias("side"))
         sides = [side("block", f"(block + {r}) % blocks", 0)] + ([side(f"(block - {r} + blocks) % blocks", "block", 1)] if r else [])
         met = index.where(f"2 * {r} <= blocks").select("label", "dim", "blocks", F.explode(F.array(*sides)).alias("k"), "ids", "copies", "vecs")
-        met = met.where(f"2 * {r} < blocks or k.s < k.t").select("label", "dim", "k.*", "ids", "copies", "vecs")
+        met = met.where(f"{half}(2 * {r} < blocks or k.s < k.t)").select("label", "dim", "k.*", "ids", "copies", "vecs")
         met = met.repartition("label", "dim", "s", "t").sortWithinPartitions("label", "dim", "s", "t", "side")
         found = cut(met.mapInArrow(tidy(search), "id long, found long, root long"))
-        pairs = found if pairs is None else pairs.union(found)
+        pairs, held = found if pairs is None else pairs.union(found), held + found.count()
+        if r and held > rows:  # or linked rows would be kept once a round
+            sums = cut(pairs.groupBy("id").agg(F.sum("found").alias("found")).select("id", "found", F.col("id").alias("root")))
+            pairs, held = sums.union(cut(_trees(pairs).select("node", F.lit(0).cast("long"), "component_id"))), 0
+            del sums
         del met, found
         release(index.sparkSession)
     return pairs
