@@ -153,7 +153,7 @@ def fit_prefix(x: np.ndarray, threshold: float) -> np.ndarray:
     axes = np.linalg.eigh(x.T @ x)[1][:, ::-1]
     probe = x[:1024] @ axes
     below = probe @ probe.T < threshold
-    for k in (8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512, 768):
+    for k in (7, 11, 15, 23, 31, 47, 63, 95, 127, 191, 255, 383, 511, 767):  # with the rest's length, widths that products are fast for
         if k >= x.shape[1]:
             break
         low = prefix(probe, k)
@@ -176,11 +176,12 @@ class _Block:
         ids, copies, vecs = (b"".join(c) for c in zip(*chunks, strict=True))
         self.ids, self.copies = np.frombuffer(ids, np.int64), np.frombuffer(copies, np.int64)
         self.raw, self.cell, low = np.frombuffer(vecs, kind).reshape(len(self.ids), dim), np.zeros(len(self.ids), np.int32), []
-        for at in range(0, len(self.ids), PIECE):
-            x = unit(self.raw[at : at + PIECE])
+        some = min(PIECE, max(1, (1 << 22) // dim))
+        for at in range(0, len(self.ids), some):
+            x = unit(self.raw[at : at + some])
             if m is not None:
-                self.cell[at : at + PIECE] = cells_of(x, m)
-            low.append(prefix(x, min(dim, 32)) if m is None else prefix(x @ m["axes"], m["axes"].shape[1]))
+                self.cell[at : at + some] = cells_of(x, m)
+            low.append(prefix(x, min(dim, 31)) if m is None else prefix(x @ m["axes"], m["axes"].shape[1]))
         order = self.cell.argsort(kind="stable")
         self.ids, self.copies, self.raw, self.cell, self.low = self.ids[order], self.copies[order], self.raw[order], self.cell[order], np.concatenate(low)[order]
         self.found, self.root = np.zeros(len(order), np.int64), self.ids.copy()
@@ -390,7 +391,7 @@ def _index(rows: DataFrame, sizes: DataFrame, kind: str) -> tuple[DataFrame, int
 
 def _linked(index: DataFrame, blocks: int, sizes: DataFrame, models: dict[int, dict], threshold: float, kind: str) -> DataFrame:
     """(id, found, root) rows of all meetings, cut by rounds."""
-    shared = index.sparkSession.sparkContext.broadcast(models)  # at most 2 x CODEWORDS codewords and 769 axes a length
+    shared = index.sparkSession.sparkContext.broadcast(models)  # at most 2 x CODEWORDS codewords and the axes, a square of the length
 
     def search(batches) -> Iterator[pa.RecordBatch]:
         key, chunks, x, visits = None, [], None, []

@@ -121,7 +121,10 @@ def test_every_two_blocks_of_a_label_meet_once(spark, monkeypatch, few):
     monkeypatch.setattr(embed_dedup, "SHARE", 12 * 4 * 60)  # 1 to 5 blocks a label
     monkeypatch.setattr(embed_dedup, "CHUNK", 12 * 4 * 7)
     monkeypatch.setattr(embed_dedup, "FEW", few)
+    folds, trees = [], embed_dedup._trees
+    monkeypatch.setattr(embed_dedup, "_trees", lambda pairs: folds.append(1) or trees(pairs))
     check(embed_dedup.embedding_links(spark.createDataFrame(rows + again, SCHEMA)), rows)
+    assert len(folds) > 1  # results of several rounds were folded on the way
 
 
 def test_trees_that_meet_late_are_one(spark, monkeypatch):
